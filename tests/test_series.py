@@ -58,3 +58,12 @@ def test_exact_quantiles_match_pandas(spark):
         for p, name in ((0.01, "q_0_01"), (0.5, "q_0_5"), (0.99, "q_0_99")):
             assert abs(s.quantile(p) - r[name]) < 1e-9
     assert set(got[got.column == "v"]["k"]) == {"a", "b", "c", "d"}
+
+
+def test_sort_based_quantiles_match_pandas(spark):
+    df = _frame(spark)
+    got = exact_quantiles(df, ["k"], ["v"], [0.01, 0.5, 0.99], single_task_values=0).toPandas()
+    fast = exact_quantiles(df, ["k"], ["v"], [0.01, 0.5, 0.99]).toPandas()
+    m = got.merge(fast, on=["k", "column"])
+    for q in ("q_0_01", "q_0_5", "q_0_99"):
+        assert np.allclose(m[q + "_x"], m[q + "_y"], atol=1e-12)

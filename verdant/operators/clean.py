@@ -11,7 +11,7 @@ from ..config import (CLIP_HIGH_Q, CLIP_LOW_Q, DEFAULT_EXEC, DEFAULT_KEY_COLUMN,
                       DEFAULT_TIME, PREFERRED_FEATURES)
 from ..sources.ingest import resolve_target
 from .quantiles import exact_quantiles, quantile_name, wide_quantiles
-from .series import POS, SIZE, positions, with_neighbours
+from .series import POS, SIZE, group_size_bound, positions, with_neighbours
 
 INTERNAL = {POS, SIZE, "_order"}
 
@@ -59,13 +59,13 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_col: str = "_order")
 
 
 def interpolate_linear(df: DataFrame, key: str, cols: Sequence[str], block_rows: int,
-                       pos_col: str = POS) -> DataFrame:
+                       pos_col: str = POS, single_block: bool = False) -> DataFrame:
     """Linear interpolation by row position inside each key, both directions (C4).
 
     Leading and trailing gaps take the nearest valid value; the spacing is the
     row position, not the time difference.
     """
-    nb = with_neighbours(df, [key], cols, block_rows, pos_col)
+    nb = with_neighbours(df, [key], cols, block_rows, pos_col, single_block)
     pos = F.col(pos_col)
     filled = []
     for c in cols:
@@ -133,9 +133,10 @@ def clean_dataset(df: DataFrame, key: str = DEFAULT_KEY_COLUMN, time_col: str =
     """
     cols = numeric_columns(df, [key, time_col, order_col])
     base = drop_null_time(df, time_col)
-    deduped = dedupe_first(base, [key, time_col], order_col)
-    ranked = positions(deduped.drop(order_col), [key], [time_col])
-    filled = interpolate_linear(ranked, key, cols, block_rows)
+    deduped = dedupe_first(base, [key, time_col], order_col).drop(order_col)
+    bound = group_size_bound(deduped, [key])
+    ranked = positions(deduped, [key], [time_col], max_group=bound, single_task_rows=block_rows)
+    filled = interpolate_linear(ranked, key, cols, block_rows, single_block=bound <= block_rows)
     if group_median:
         filled = fill_group_median(filled, key, cols)
     filled = fill_global_median(filled, cols)

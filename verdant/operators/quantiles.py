@@ -14,7 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .series import POS, SIZE, positions
+from .series import POS, SIZE, group_size_bound, positions
+
+# Groups up to this many values are ranked by Spark's exact ``percentile``
+# (its buffer holds the group's distinct values, bounded by this count).
+SINGLE_TASK_VALUES = 1 << 20
 
 
 def _long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
@@ -30,11 +34,14 @@ def quantile_name(p: float) -> str:
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
-                    probs: Sequence[float], method: str = "exact") -> DataFrame:
+                    probs: Sequence[float], method: str = "exact",
+                    single_task_values: int = SINGLE_TASK_VALUES) -> DataFrame:
     """One row per (group, column) with a ``q_<p>`` column per probability.
 
-    ``method="approx"`` switches to ``percentile_approx`` (bounded sketches,
-    not exact) for callers that accept it.
+    The largest (group, column) is measured first: up to
+    ``single_task_values`` values Spark's exact ``percentile`` is used,
+    beyond that the sort-based path.  ``method="approx"`` switches to
+    ``percentile_approx`` (bounded sketches, not exact).
     """
     group_cols = list(group_cols)
     long = _long(df, group_cols, value_cols)
@@ -42,6 +49,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequen
     if method == "approx":
         return long.groupBy(*keys).agg(*[
             F.percentile_approx("value", p, 100000).alias(quantile_name(p)) for p in probs])
+    if group_size_bound(long, keys) <= single_task_values:
+        q = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
+        agg = long.groupBy(*keys).agg(q.alias("_q"))
+        return agg.select(*keys, *[F.col("_q")[i].alias(quantile_name(p)) for i, p in enumerate(probs)])
     ranked = positions(long, keys, ["value"])
     n1 = F.col(SIZE) - F.lit(1)
     pos = F.col(POS)

@@ -32,15 +32,31 @@ def _window(keys: Sequence[str]):
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
+def group_size_bound(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest ``keys`` group (one small aggregation job)."""
+    counts = df.groupBy(*keys).count() if keys else df.select(F.count(F.lit(1)).alias("count"))
+    return int(counts.agg(F.max("count")).first()[0] or 0)
+
+
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
               pos_col: str = POS, size_col: str = SIZE,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, max_group: int | None = None,
+              single_task_rows: int | None = None) -> DataFrame:
     """Add 1-based ``pos_col`` (rank in ``order`` within ``keys``) and the key size.
 
     ``order`` should be a total order inside each key for reproducible
     numbering; equal rows get distinct consecutive positions.
+
+    When ``max_group`` (the largest group, measured by the caller) is at most
+    ``single_task_rows`` a plain ``row_number`` window is used: every group is
+    proven small enough for one task.  Otherwise rows are ranked from a
+    range-partitioned sort so that no group is ever held by a single task.
     """
     keys = list(keys)
+    if max_group is not None and single_task_rows is not None and max_group <= single_task_rows:
+        w = _window(keys).orderBy(*order)
+        return (df.withColumn(pos_col, F.row_number().over(w).cast("long"))
+                .withColumn(size_col, F.count(F.lit(1)).over(_window(keys))))
     n_parts = num_partitions or shuffle_partitions(df.sparkSession)
     sort_cols = [*keys, *order]
     tagged = (
@@ -93,7 +109,7 @@ def with_lags(df: DataFrame, keys: Sequence[str], cols: Sequence[str], max_lag:
 
 
 def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                    block_rows: int, pos_col: str = POS) -> DataFrame:
+                    block_rows: int, pos_col: str = POS, single_block: bool = False) -> DataFrame:
     """For each column add the nearest non-null value at/before and at/after the row.
 
     Adds ``_pv_<c>``/``_pp_<c>`` (previous value / its position) and
@@ -125,6 +141,13 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
             F.min_by(F.col(c), valid_pos(c)).alias(f"_bf_v_{c}"),
             F.min(valid_pos(c)).alias(f"_bf_p_{c}"),
         ]
+    if single_block:
+        out = tagged.select("*", *local)
+        final = []
+        for c in cols:
+            final += [F.col(f"_l{p}_{c}").alias(f"_{p}_{c}") for p in ("pv", "pp", "nv", "np")]
+        drop = [BLOCK] + [f"_l{p}_{c}" for c in cols for p in ("pv", "pp", "nv", "np")]
+        return out.select("*", *final).drop(*drop)
     summary = tagged.groupBy(*keys, BLOCK).agg(*summary_aggs)
     wb = _window(keys).orderBy(BLOCK)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
