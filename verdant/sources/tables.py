@@ -72,4 +72,4 @@ def order_day_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.groupBy(
         F.col("o_orderpriority").alias("crop_type"), F.col("o_orderdate").alias("timestamp")
-    ).agg(F.sum("o_totalprice").alias("indoor_temperature_c"), F.count(F.lit(1)).alias("n_orders"))
+    ).agg(F.sum("o_totalprice").alias("indoor_temperature_c"), F.count(F.lit(1)).cast("double").alias("n_orders"))
