@@ -11,7 +11,8 @@ from ..config import (CLIP_HIGH_Q, CLIP_LOW_Q, DEFAULT_EXEC, DEFAULT_KEY_COLUMN,
                       DEFAULT_TIME, PREFERRED_FEATURES)
 from ..sources.ingest import resolve_target
 from .quantiles import exact_quantiles, quantile_name, wide_quantiles
-from .series import POS, SIZE, group_size_bound, positions, with_neighbours
+from ..session import materialize
+from .series import POS, SIZE, group_size_bound, group_sizes, positions, with_neighbours
 
 INTERNAL = {POS, SIZE, "_order"}
 
@@ -89,9 +90,9 @@ def fill_group_median(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame
                            for c in df.columns])
 
 
-def fill_global_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def fill_global_median(df: DataFrame, cols: Sequence[str], size_hint: int | None = None) -> DataFrame:
     """Replace remaining NULLs by the exact median over all keys (C6). One-row side table."""
-    med = wide_quantiles(df, cols, [0.5])
+    med = wide_quantiles(df, cols, [0.5], size_hint=size_hint)
     joined = df.crossJoin(F.broadcast(med))
     q = quantile_name(0.5)
     return joined.select(*[F.coalesce(F.col(c), F.col(f"{c}__{q}")).alias(c) if c in cols else F.col(c)
@@ -99,15 +100,15 @@ def fill_global_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def clip_bounds(df: DataFrame, cols: Sequence[str], low_q: float = CLIP_LOW_Q,
-                high_q: float = CLIP_HIGH_Q, method: str = "exact") -> DataFrame:
+                high_q: float = CLIP_HIGH_Q, method: str = "exact", size_hint: int | None = None) -> DataFrame:
     """One row: ``<c>__q_<low>`` / ``<c>__q_<high>`` over all keys."""
-    return wide_quantiles(df, cols, [low_q, high_q], method)
+    return wide_quantiles(df, cols, [low_q, high_q], method, size_hint=size_hint)
 
 
 def clip_quantile(df: DataFrame, cols: Sequence[str], low_q: float = CLIP_LOW_Q,
-                  high_q: float = CLIP_HIGH_Q, method: str = "exact") -> DataFrame:
+                  high_q: float = CLIP_HIGH_Q, method: str = "exact", size_hint: int | None = None) -> DataFrame:
     """Clip every column to its global [q_low, q_high] (C7). NULL stays NULL."""
-    bounds = clip_bounds(df, cols, low_q, high_q, method)
+    bounds = clip_bounds(df, cols, low_q, high_q, method, size_hint)
     lo_n, hi_n = quantile_name(low_q), quantile_name(high_q)
     joined = df.crossJoin(F.broadcast(bounds))
 
@@ -134,13 +135,15 @@ def clean_dataset(df: DataFrame, key: str = DEFAULT_KEY_COLUMN, time_col: str =
     cols = numeric_columns(df, [key, time_col, order_col])
     base = drop_null_time(df, time_col)
     deduped = dedupe_first(base, [key, time_col], order_col).drop(order_col)
-    bound = group_size_bound(deduped, [key])
+    bound, total = group_sizes(deduped, [key])
     ranked = positions(deduped, [key], [time_col], max_group=bound, single_task_rows=block_rows)
     filled = interpolate_linear(ranked, key, cols, block_rows, single_block=bound <= block_rows)
     if group_median:
         filled = fill_group_median(filled, key, cols)
-    filled = fill_global_median(filled, cols)
-    return clip_quantile(filled, cols, method=clip_method)
+    # Two global passes (median, then clip quantiles) read the repaired
+    # series: checkpoint it once instead of re-running dedupe + windows.
+    filled = fill_global_median(materialize(filled), cols, size_hint=total)
+    return clip_quantile(filled, cols, method=clip_method, size_hint=total)
 
 
 def select_features(df: DataFrame, target: str = DEFAULT_TARGET, time_col: str = DEFAULT_TIME,

@@ -35,13 +35,16 @@ def quantile_name(p: float) -> str:
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                     probs: Sequence[float], method: str = "exact",
-                    single_task_values: int = SINGLE_TASK_VALUES) -> DataFrame:
+                    single_task_values: int = SINGLE_TASK_VALUES,
+                    size_hint: int | None = None) -> DataFrame:
     """One row per (group, column) with a ``q_<p>`` column per probability.
 
     The largest (group, column) is measured first: up to
     ``single_task_values`` values Spark's exact ``percentile`` is used,
-    beyond that the sort-based path.  ``method="approx"`` switches to
-    ``percentile_approx`` (bounded sketches, not exact).
+    beyond that the sort-based path.  ``size_hint`` is an upper bound on the
+    rows of any group that the caller already measured (skips that job).
+    ``method="approx"`` switches to ``percentile_approx`` (bounded sketches,
+    not exact).
     """
     group_cols = list(group_cols)
     long = _long(df, group_cols, value_cols)
@@ -49,7 +52,8 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequen
     if method == "approx":
         return long.groupBy(*keys).agg(*[
             F.percentile_approx("value", p, 100000).alias(quantile_name(p)) for p in probs])
-    if group_size_bound(long, keys) <= single_task_values:
+    bound = size_hint if size_hint is not None else group_size_bound(long, keys)
+    if bound <= single_task_values:
         q = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
         agg = long.groupBy(*keys).agg(q.alias("_q"))
         return agg.select(*keys, *[F.col("_q")[i].alias(quantile_name(p)) for i, p in enumerate(probs)])
@@ -81,9 +85,9 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequen
 
 
 def wide_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
-                   method: str = "exact") -> DataFrame:
+                   method: str = "exact", size_hint: int | None = None) -> DataFrame:
     """Global quantiles as a single row: ``<col>__q_<p>`` columns (null when a column is all-null)."""
-    long = exact_quantiles(df, [], value_cols, probs, method)
+    long = exact_quantiles(df, [], value_cols, probs, method, size_hint=size_hint)
     aggs = []
     for c in value_cols:
         for p in probs:

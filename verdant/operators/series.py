@@ -34,8 +34,14 @@ def _window(keys: Sequence[str]):
 
 def group_size_bound(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest ``keys`` group (one small aggregation job)."""
+    return group_sizes(df, keys)[0]
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows of the largest ``keys`` group, total rows) in one aggregation job."""
     counts = df.groupBy(*keys).count() if keys else df.select(F.count(F.lit(1)).alias("count"))
-    return int(counts.agg(F.max("count")).first()[0] or 0)
+    row = counts.agg(F.max("count"), F.sum("count")).first()
+    return int(row[0] or 0), int(row[1] or 0)
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
