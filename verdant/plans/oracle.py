@@ -317,6 +317,20 @@ def oracle_sql() -> dict[str, str]:
         *clean_ctes("oranked", ocols)) + \
         f'SELECT crop_type, "timestamp", {b("_pos", "row_pos")}, ' + ", ".join(r(c, c) for c in ocols) + " FROM cleaned"
 
+    q["export_roundtrip"] = _event_sql(CLEAN, f"""SELECT crop_type, "timestamp", {b('_pos', 'row_pos')}, {feats_r},
+        trim(regexp_replace(lower(trim(crop_type)), '[^a-z0-9]+', '_', 'g'), '_') AS key_slug FROM cleaned""")
+    sacts = f"""sacts AS (SELECT event_type AS crop_type, CAST(ts AS TIMESTAMP) AS ts, event_id,
+        CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= {EVENT_INVALID_CODE} THEN NULL
+             ELSE value END AS predicted_temperature_c FROM events)"""
+    q["stream_control"] = with_(sacts) + f"""SELECT crop_type, ts, event_id, {r('predicted_temperature_c', 'reading')},
+        {_act(0)} AS action, {b(_act(1), 'fan_on')}, {b(_act(2), 'spray_on')}, {_act(3)} AS status_note FROM sacts"""
+    q["stream_window_counts"] = with_(sacts) + f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, crop_type,
+        {b('count(*)', 'total_records')}, {b(f'sum({_act(1)})', 'fan_on_events')},
+        {b(f'sum({_act(2)})', 'spray_on_events')}, {b(f"count(*) FILTER (WHERE {_act(0)} = 'fan_and_spray_on')", 'fan_and_spray_events')},
+        {b(f"count(*) FILTER (WHERE {_act(0)} = 'idle')", 'idle_events')}
+        FROM sacts GROUP BY 1, 2, 3
+        HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM sacts) - INTERVAL 2 HOUR"""
     q["correlation_matrix"] = _event_sql(CLEAN, f"""SELECT crop_type, 'indoor_temperature_c' AS feature_a,
         'humidity_pct' AS feature_b, {r('corr(indoor_temperature_c, humidity_pct)', '"corr"')}
         FROM cleaned GROUP BY crop_type""")

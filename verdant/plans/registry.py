@@ -346,6 +346,15 @@ def q_comparison_report(spark, d):
         "models_evaluated", "ranking")).alias("report_json"))
 
 
+def q_export_roundtrip(spark, d):
+    """K1 + S6: per-key CSV export of the cleaned series, read back from the shared folder."""
+    from ..sources import sinks
+    cleaned = event_run(spark, d).cleaned.select("crop_type", "timestamp", POS, *FEATURES)
+    path = sinks.export_by_key(cleaned, sinks.shared_path(spark, "export"), "crop_type", "csv")
+    schema = "crop_type string, timestamp timestamp_ntz, _pos long, indoor_temperature_c double, humidity_pct double"
+    return finish(sinks.read_csv(spark, path, schema))
+
+
 # -------------------------------------------------------------------- MLlib
 
 def _mllib(spark, d, name, **kw):
