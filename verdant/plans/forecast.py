@@ -100,7 +100,7 @@ class ForecastRun:
             return models.ar1_forecast(self.windows, k, nf, ti)
         if name == "knn_regressor":
             from ..operators.knn import knn_forecast
-            return knn_forecast(self.windows, k)
+            return knn_forecast(self.windows, k, nf * self.cfg.sequence_length)
         trees = self.mllib_trees
         rounds = self.mllib_rounds
         makers = {

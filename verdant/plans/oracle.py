@@ -331,6 +331,11 @@ def oracle_sql() -> dict[str, str]:
         {b(f"count(*) FILTER (WHERE {_act(0)} = 'idle')", 'idle_events')}
         FROM sacts GROUP BY 1, 2, 3
         HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM sacts) - INTERVAL 2 HOUR"""
+    q["knn_forecast"] = _event_sql(CLEAN + SCALE + WINDOWS + _knn_ctes(), f"""SELECT crop_type, "timestamp", split,
+        'knn_regressor' AS model, {r('first(y_q)', 'y')},
+        {r('CASE WHEN count(*) FILTER (WHERE dist = 0) > 0 THEN avg(y_f) FILTER (WHERE dist = 0) '
+           'ELSE sum(y_f / dist) FILTER (WHERE dist <> 0) / sum(1.0 / dist) FILTER (WHERE dist <> 0) END', 'yhat')}
+        FROM knn_top GROUP BY crop_type, "timestamp", split""")
     q["correlation_matrix"] = _event_sql(CLEAN, f"""SELECT crop_type, 'indoor_temperature_c' AS feature_a,
         'humidity_pct' AS feature_b, {r('corr(indoor_temperature_c, humidity_pct)', '"corr"')}
         FROM cleaned GROUP BY crop_type""")
@@ -449,6 +454,25 @@ def oracle_sql() -> dict[str, str]:
     return q
 
 
+def _knn_ctes(k: int = 7) -> list[str]:
+    n = L * len(FEATS)
+    xs = [f"x{i + 1:02d}" for i in range(n)]
+    mom = ", ".join(f"avg({x}) AS m_{x}, CASE WHEN stddev_pop({x}) IS NULL OR stddev_pop({x}) = 0 THEN 1.0 "
+                    f"ELSE stddev_pop({x}) END AS s_{x}" for x in xs)
+    zf = ", ".join(f"(w.{x} - m.m_{x}) / m.s_{x} AS z_{x}" for x in xs)
+    dist = " + ".join(f"(q.z_{x} - f.z_{x}) * (q.z_{x} - f.z_{x})" for x in xs)
+    return [
+        f"kmom AS (SELECT crop_type, {mom} FROM wins WHERE is_fit GROUP BY crop_type)",
+        f"kfit AS (SELECT w.crop_type, w._pos AS fid, w.y AS y_f, {zf} FROM wins w JOIN kmom m USING (crop_type) WHERE w.is_fit)",
+        f"""kq AS (SELECT w.crop_type, w."timestamp", 'val' AS split, w.y AS y_q, {zf} FROM wins w JOIN kmom m USING (crop_type) WHERE w.is_val
+               UNION ALL
+               SELECT w.crop_type, w."timestamp", 'test' AS split, w.y AS y_q, {zf} FROM wins w JOIN kmom m USING (crop_type) WHERE w.split = 'test')""",
+        f"""knn_top AS (SELECT q.crop_type, q."timestamp", q.split, q.y_q, f.fid, f.y_f, sqrt({dist}) AS dist
+               FROM kq q JOIN kfit f USING (crop_type)
+               QUALIFY row_number() OVER (PARTITION BY q.crop_type, q."timestamp", q.split ORDER BY sqrt({dist}), f.fid) <= {k})""",
+    ]
+
+
 def _summary_sql() -> str:
     def shape(name, src, ncols):
         return (f"SELECT '{name}_shape' AS section, 'rows' AS \"column\", CAST(count(*) AS DOUBLE) AS value FROM {src} "
