@@ -46,16 +46,25 @@ def drop_null_time(df: DataFrame, time_col: str = DEFAULT_TIME) -> DataFrame:
     return df.filter(F.col(time_col).isNotNull())
 
 
+FIXED_WIDTH = {"double", "float", "bigint", "int", "smallint", "tinyint", "boolean", "date",
+               "timestamp", "timestamp_ntz"}
+
+
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_col: str = "_order") -> DataFrame:
     """Keep the first row (lowest ``order_col``) of each ``keys`` group.
 
     A grouped ``min_by`` rather than a window: copies are merged map-side
     before the shuffle, so a key with very many copies never lands whole in
-    one task.
+    one task.  Fixed-width columns get one ``min_by`` each (hash aggregation);
+    otherwise the row is carried as one struct (sort-based aggregation).
     """
     others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]),
-                                         F.col(order_col)).alias("_first"))
+    types = dict(df.dtypes)
+    order = F.col(order_col)
+    if all(types[c] in FIXED_WIDTH for c in others):
+        aggs = [F.min(order).alias(c) if c == order_col else F.min_by(F.col(c), order).alias(c) for c in others]
+        return df.groupBy(*keys).agg(*aggs).select(*keys, *others)
+    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("_first"))
     return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others])
 
 

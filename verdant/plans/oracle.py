@@ -258,8 +258,13 @@ def _event_sql(ctes: list[str], body: str) -> str:
 
 # ------------------------------------------------------------------ queries
 
+RANK_SQL = """ovr AS (SELECT row_number() OVER (ORDER BY rmse ASC NULLS LAST, model) AS "rank", model, mae, rmse, r2
+        FROM (SELECT model, avg(mae) AS mae, avg(rmse) AS rmse, avg(r2) AS r2 FROM cmp GROUP BY model))"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    rank_sql = RANK_SQL
     miss = " UNION ALL ".join(
         [f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE \"{c}\" IS NULL) AS BIGINT) AS missing FROM obs"
          for c in ("crop_type", "timestamp")]
@@ -336,6 +341,24 @@ def oracle_sql() -> dict[str, str]:
         {r('CASE WHEN count(*) FILTER (WHERE dist = 0) > 0 THEN avg(y_f) FILTER (WHERE dist = 0) '
            'ELSE sum(y_f / dist) FILTER (WHERE dist <> 0) / sum(1.0 / dist) FILTER (WHERE dist <> 0) END', 'yhat')}
         FROM knn_top GROUP BY crop_type, "timestamp", split""")
+    q["external_predictions"] = _event_sql(CLEAN + SCALE + WINDOWS + PREDS, f"""SELECT crop_type, "timestamp", split,
+        'external_persistence' AS model, {r('y', 'y')}, {r('yhat', 'yhat')} FROM preds WHERE model = 'naive_persistence'""")
+    q["model_registry_notes"] = _event_sql(CLEAN + SCALE + WINDOWS, """SELECT k.crop_type, n.model, n.note
+        FROM (SELECT DISTINCT crop_type FROM wins) k,
+             (VALUES ('naive_persistence', 'trained'), ('linear_baseline', 'trained'),
+                     ('xgboost', 'Unavailable: disabled by configuration'),
+                     ('primary_backend', 'linear_baseline')) n(model, note)""")
+    t = "indoor_temperature_c"
+    q["plot_tables"] = _event_sql(FULL + CMP + ACTIONS + [rank_sql], f"""
+        SELECT 'temperature_trend' AS chart, crop_type, "timestamp", '{t}' AS label, {r(t, 'value')} FROM cleaned
+        UNION ALL SELECT 'before_scaling', crop_type, "timestamp", '{t}', {r(t, 'value')} FROM cleaned
+        UNION ALL SELECT 'after_scaling', crop_type, "timestamp", '{t}', {r(t, 'value')} FROM scaled
+        UNION ALL SELECT 'actual_vs_predicted', crop_type, "timestamp", 'actual', {r('actual_temperature_c', 'value')} FROM fc
+        UNION ALL SELECT 'actual_vs_predicted', crop_type, "timestamp", 'predicted', {r('predicted_temperature_c', 'value')} FROM fc
+        UNION ALL SELECT 'model_rmse_by_key', crop_type, CAST(NULL AS TIMESTAMP), model, {r('rmse', 'value')} FROM cmp
+        UNION ALL SELECT 'model_rmse_overall', CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), model, {r('rmse', 'value')} FROM ovr
+        UNION ALL SELECT 'action_fan', crop_type, "timestamp", action, {r('fan_on', 'value')} FROM acts
+        UNION ALL SELECT 'action_spray', crop_type, "timestamp", action, {r('spray_on', 'value')} FROM acts""")
     q["correlation_matrix"] = _event_sql(CLEAN, f"""SELECT crop_type, 'indoor_temperature_c' AS feature_a,
         'humidity_pct' AS feature_b, {r('corr(indoor_temperature_c, humidity_pct)', '"corr"')}
         FROM cleaned GROUP BY crop_type""")
@@ -387,8 +410,6 @@ def oracle_sql() -> dict[str, str]:
         FROM fc GROUP BY crop_type""")
     cmp_cols = f"""crop_type, {b('"rank"', '"rank"')}, model, {r('mae', 'mae')}, {r('rmse', 'rmse')}, {r('r2', 'r2')}"""
     q["model_comparison"] = _event_sql(FULL + CMP, f"SELECT {cmp_cols} FROM cmp")
-    rank_sql = """ovr AS (SELECT row_number() OVER (ORDER BY rmse ASC NULLS LAST, model) AS "rank", model, mae, rmse, r2
-        FROM (SELECT model, avg(mae) AS mae, avg(rmse) AS rmse, avg(r2) AS r2 FROM cmp GROUP BY model))"""
     ovr_cols = f"""{b('"rank"', '"rank"')}, model, {r('mae', 'mae')}, {r('rmse', 'rmse')}, {r('r2', 'r2')}"""
     q["overall_ranking"] = _event_sql(FULL + CMP + [rank_sql], f"SELECT {ovr_cols} FROM ovr")
     q["top_ranking"] = _event_sql(FULL + CMP + [rank_sql], f'SELECT {ovr_cols} FROM ovr ORDER BY "rank" LIMIT 5')

@@ -330,6 +330,24 @@ def q_plot_series(spark, d):
     return finish(actual.unionByName(models_))
 
 
+def q_plot_tables(spark, d):
+    """The data behind every chart, long form."""
+    from ..operators import reports
+    run = event_run(spark, d)
+    return finish(reports.plot_tables(run.cleaned, run.selected, run.scaled, run.forecast, run.comparison,
+                                      metrics.overall_ranking(run.comparison), run.actions, run.target))
+
+
+def q_dashboard_bundle(spark, d):
+    """K1-K8 + S6 + R5/R7 + J4/J5: write every artifact, read index and payloads back, assemble."""
+    from ..sources import sinks
+    from .forecast import EVENT_THRESHOLDS
+    from .workflow import load_bundle, run_workflow
+    paths = run_workflow(spark, tables.event_observations(spark, d), sinks.shared_path(spark, "workflow"),
+                         event_config())
+    return load_bundle(spark, paths, EVENT_THRESHOLDS)
+
+
 def q_ui_payload(spark, d):
     return event_run(spark, d).payload()
 
@@ -355,6 +373,32 @@ def q_export_roundtrip(spark, d):
     return finish(sinks.read_csv(spark, path, schema))
 
 
+def q_external_predictions(spark, d):
+    """Predictions produced elsewhere (here: persisted persistence forecasts) join the windows."""
+    from ..sources import sinks
+    run = event_run(spark, d)
+    made = run.predictions_for("naive_persistence").select(
+        "crop_type", "timestamp", "split", F.lit("external_persistence").alias("model"), "yhat")
+    path = sinks.shared_path(spark, "external")
+    made.write.mode("overwrite").parquet(path)
+    external = spark.read.parquet(path)
+    return finish(models.external_predictions(run.windows, external, "crop_type"))
+
+
+def q_model_registry_notes(spark, d):
+    """(key, model, note) for every model of the run plus the optional second booster."""
+    run = event_run(spark, d)
+    notes = {"xgboost": "Unavailable: disabled by configuration", "primary_backend": run.cfg.preferred_model}
+    return finish(models.registry_notes(spark, run.windows, "crop_type", list(run.model_set), notes))
+
+
+def q_hybrid_all_models(spark, d):
+    """The full model set of the source workflow through the ensemble; per key x model accuracy."""
+    run = event_run(spark, d, model_set=("knn_regressor", "linear_regression", "random_forest",
+                                         "gradient_boosting", "svr_rbf"))
+    return finish(run.comparison)
+
+
 # -------------------------------------------------------------------- MLlib
 
 def _mllib(spark, d, name, **kw):
