@@ -189,16 +189,24 @@ class ForecastRun:
                 .join(summary, [k])
                 .withColumn("target_column", F.lit(self.target)))
 
-    def payload(self) -> DataFrame:
-        """One nested row per key with parallel arrays, weight maps and comparison rows."""
+    def payload(self, page_rows: int = 10000) -> DataFrame:
+        """Nested rows with parallel arrays, weight maps and comparison rows.
+
+        Arrays hold at most ``page_rows`` consecutive forecast rows: one row
+        per (key, page), so no task ever gathers a whole large series.
+        """
+        from ..operators.series import group_size_bound, positions
         k = self.cfg.key
         f = self.forecast.join(self.actions.select(k, "timestamp", "action", "fan_on", "spray_on"),
                                [k, "timestamp"])
+        bound = group_size_bound(f, [k])
+        f = positions(f, [k], ["timestamp"], max_group=bound, single_task_rows=self.exec_cfg.block_rows)
+        f = f.withColumn("page", F.floor((F.col("_pos") - 1) / F.lit(page_rows)).cast("long"))
         rows = F.array_sort(F.collect_list(F.struct(
             "timestamp", "actual_temperature_c", "predicted_temperature_c", "absolute_error_c",
             "action", "fan_on", "spray_on")))
-        series = f.groupBy(k).agg(rows.alias("r")).select(
-            k,
+        series = f.groupBy(k, "page").agg(rows.alias("r")).select(
+            k, "page",
             F.transform("r", lambda s: iso_text(s["timestamp"])).alias("timestamps"),
             F.transform("r", lambda s: F.bround(s["actual_temperature_c"], 4)).alias("actual_temperature_c"),
             F.transform("r", lambda s: F.bround(s["predicted_temperature_c"], 4)).alias("predicted_temperature_c"),
@@ -211,10 +219,11 @@ class ForecastRun:
             F.map_from_entries(F.collect_list(F.struct("model", "validation_rmse"))).alias("validation_rmse"))
         cmp = self.comparison.groupBy(k).agg(F.array_sort(F.collect_list(
             F.struct("rank", "model", "mae", "rmse", "r2"))).alias("model_comparison"))
-        model_series = self.test_original.groupBy(k, "model").agg(
+        pages = f.select(k, "timestamp", "page")
+        model_series = self.test_original.join(pages, [k, "timestamp"]).groupBy(k, "page", "model").agg(
             F.array_sort(F.collect_list(F.struct("timestamp", "yhat"))).alias("s")
-        ).groupBy(k).agg(F.map_from_entries(F.collect_list(F.struct(
+        ).groupBy(k, "page").agg(F.map_from_entries(F.collect_list(F.struct(
             "model", F.transform("s", lambda e: F.bround(e["yhat"], 4))))).alias("model_prediction_series"))
         best = metrics.best_model(self.comparison, k).select(k, "best_model")
         return (series.join(self.label, [k], "left").join(w, [k], "left").join(cmp, [k], "left")
-                .join(best, [k], "left").join(model_series, [k], "left"))
+                .join(best, [k], "left").join(model_series, [k, "page"], "left"))
