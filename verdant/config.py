@@ -90,6 +90,7 @@ RF_TREES, RF_DEPTH, RF_MIN_LEAF = 260, 14, 2
 GB_ROUNDS, GB_RATE, GB_DEPTH, GB_SUBSAMPLE = 280, 0.04, 3, 0.9
 XGB_ROUNDS, XGB_RATE, XGB_DEPTH, XGB_SUBSAMPLE, XGB_COLSAMPLE = 320, 0.05, 4, 0.9, 0.9
 KNN_NEIGHBOURS = 7
+SVR_C = 15.0
 RANDOM_SEED = 42
 
 

@@ -1,10 +1,11 @@
 """Forecasting models (M1-M14) over the window table.
 
-Set-based models (persistence, AR(1), KNN) run for any number of keys as
-joins and grouped aggregates.  MLlib regressors are fitted once per key like
-the source pipeline; each fit is a distributed Spark job and the number of
-keys is bounded by ``max_groups`` (high-cardinality keys should use the
-set-based models).
+Set-based models (persistence, AR(1), KNN, and linear regression via TSQR)
+run for any number of keys as joins, grouped aggregates and per-task numpy
+reductions.  Tree and kernel models use MLlib, fitted once per key like the
+source workflow; each fit is a distributed Spark job and the number of keys
+is bounded by ``max_groups`` (high-cardinality keys should use the set-based
+models).
 
 Every predictor returns the long prediction table
 ``(key, timestamp, split, model, y, yhat)`` with split in {val, test}.
@@ -21,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import (DEFAULT_EXEC, GB_DEPTH, GB_RATE, GB_ROUNDS, GB_SUBSAMPLE, RANDOM_SEED, RF_DEPTH,
-                      RF_MIN_LEAF, RF_TREES, XGB_COLSAMPLE, XGB_DEPTH, XGB_RATE, XGB_ROUNDS, XGB_SUBSAMPLE)
+                      RF_MIN_LEAF, RF_TREES, SVR_C, XGB_COLSAMPLE, XGB_DEPTH, XGB_RATE, XGB_ROUNDS,
+                      XGB_SUBSAMPLE)
 from ..session import materialize
 
 PRED_COLS = ["split", "model", "y", "yhat"]
@@ -81,10 +83,66 @@ def _vectorize(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector("x"))
 
 
-def linear_regression():
-    from pyspark.ml.regression import LinearRegression
-    return LinearRegression(featuresCol="features", labelCol="y", regParam=0.0, elasticNetParam=0.0,
-                            standardization=False, solver="auto", maxIter=200, tol=1e-10)
+def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32) -> DataFrame:
+    """M1 fit: least squares with intercept on the fit windows of every key, via TSQR.
+
+    The rows are centred per key (means from one grouped aggregation), each
+    task reduces its rows to the R factor of ``[X | y]`` (numpy QR over Arrow
+    batches), R factors are combined per (key, task bucket) and then per key,
+    and the minimum-norm solution of the small triangular system is taken
+    inside the final group task.  This equals an SVD least-squares solve of
+    the whole key, handles rank-deficient windows, needs no per-key driver
+    loop, and moves at most (dim+1)^2 numbers per key and task.
+    """
+    width = dim + 1
+    fit = windows.filter(F.col("is_fit")).select(key, "x", "y")
+    means = fit.groupBy(key).agg(
+        F.array(*[F.avg(F.element_at("x", i + 1)) for i in range(dim)]).alias("xm"), F.avg("y").alias("ym"))
+    centred = fit.join(means, [key]).select(
+        key, F.zip_with("x", "xm", lambda a, b: a - b).alias("xc"), (F.col("y") - F.col("ym")).alias("yc"))
+    out_schema = f"{key} string, part long, r array<double>"
+
+    # Task-side helpers are closures (shipped by value): workers need no package import.
+    def _qr_rows(blocks, width):
+        a = np.vstack([np.asarray(b).reshape(-1, width) for b in blocks])
+        return np.linalg.qr(a, mode="r") if len(a) else np.zeros((0, width))
+
+    def local(batches):
+        from pyspark import TaskContext
+        acc: dict = {}
+        for pdf in batches:
+            for kv, g in pdf.groupby(key, sort=False):
+                a = np.column_stack([np.vstack(g["xc"].to_numpy()), g["yc"].to_numpy()])
+                acc[kv] = _qr_rows([acc[kv], a], width) if kv in acc else _qr_rows([a], width)
+        part = TaskContext.get().partitionId()
+        yield pd.DataFrame({key: list(acc), "part": [part] * len(acc),
+                            "r": [r.ravel() for r in acc.values()]}, columns=[key, "part", "r"])
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = _qr_rows([np.asarray(v) for v in pdf["r"]], width)
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "part": [int(pdf["part"].iloc[0]) % fan_in],
+                             "r": [r.ravel()]})
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = _qr_rows([np.asarray(v) for v in pdf["r"]], width)
+        coef = np.linalg.lstsq(r[:, :dim], r[:, dim], rcond=None)[0] if len(r) else np.full(dim, np.nan)
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "coef": [coef]})
+
+    partial = centred.mapInPandas(local, out_schema)
+    level = partial.groupBy(key, (F.col("part") % F.lit(fan_in)).alias("_b")).applyInPandas(
+        combine, out_schema) if fan_in > 1 else partial
+    coef = level.groupBy(key).applyInPandas(solve, f"{key} string, coef array<double>")
+    intercept = F.col("ym") - F.aggregate(F.zip_with("xm", "coef", lambda a, b: a * b), F.lit(0.0),
+                                          lambda acc, v: acc + v)
+    return coef.join(means, [key]).select(key, intercept.alias("intercept"), "coef")
+
+
+def ols_forecast(windows: DataFrame, key: str, dim: int) -> DataFrame:
+    """M1: linear regression on the flattened window, scored on validation and test windows."""
+    params = ols_coefficients(windows, key, dim)
+    rows = scored_rows(windows).join(params, [key], "left")
+    dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    return _long(rows, key, "linear_regression", F.col("intercept") + dot)
 
 
 def random_forest(trees: int = RF_TREES):
@@ -109,7 +167,7 @@ def second_boosting(rounds: int = XGB_ROUNDS):
 
 
 def rbf_regression(n_components: int = 256, seed: int = RANDOM_SEED):
-    """M5: RBF-kernel regressor as random Fourier features + robust linear fit.
+    """M5: RBF-kernel regressor as random Fourier features + ridge fit (SVR role, C=15).
 
     Returned as a factory taking the fit DataFrame, because the feature map
     depends on the fit data's scale (gamma = 1 / (n_features * var)).
@@ -139,7 +197,8 @@ def _fit_rbf(fit: DataFrame, score: DataFrame, n_components: int, seed: int):
     dim = len(fit.select("x").first()[0])
     moments = fit.select(*[F.element_at("x", i + 1).alias(f"c{i}") for i in range(dim)]).agg(
         *[F.avg(f"c{i}").alias(f"m{i}") for i in range(dim)],
-        *[F.stddev_pop(f"c{i}").alias(f"s{i}") for i in range(dim)]).first()
+        *[F.stddev_pop(f"c{i}").alias(f"s{i}") for i in range(dim)],
+        F.count(F.lit(1)).alias("n")).first()
     mean = np.array([moments[f"m{i}"] or 0.0 for i in range(dim)])
     std = np.array([moments[f"s{i}"] or 0.0 for i in range(dim)])
     std[std == 0] = 1.0
@@ -148,8 +207,10 @@ def _fit_rbf(fit: DataFrame, score: DataFrame, n_components: int, seed: int):
     weights = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, n_components))
     offsets = rng.uniform(0.0, 2.0 * np.pi, size=n_components)
     rff = _rff_udf(weights, offsets, mean, std)
-    est = LinearRegression(featuresCol="features", labelCol="y", loss="huber", regParam=1e-4,
-                           elasticNetParam=0.0, maxIter=200)
+    # Ridge on the feature map with the SVR trade-off: lambda = 1 / (C * n).
+    est = LinearRegression(featuresCol="features", labelCol="y", loss="squaredError",
+                           regParam=1.0 / (SVR_C * max(int(moments["n"]), 1)), elasticNetParam=0.0,
+                           standardization=False, maxIter=500)
     model = est.fit(fit.withColumn("features", array_to_vector(rff("x"))))
     return model.transform(score.withColumn("features", array_to_vector(rff("x"))))
 

@@ -93,8 +93,12 @@ def sliding_windows(df: DataFrame, key: str, target: str, features: Sequence[str
     pos, k, n = F.col(POS), F.col("_k"), F.col(SIZE)
     in_train = pos <= k
     win = F.when(in_train, pos - F.lit(length)).otherwise(pos - k - F.lit(length))
-    x = F.array(*[finite_or_zero(F.col(f"{f}__lag{lag}"))
-                  for lag in range(length, 0, -1) for f in features])
+    # Window values are single precision, as in the source workflow; besides
+    # matching its numbers this breaks exact collinearities between features.
+    def f32(c):
+        return finite_or_zero(c).cast("float").cast("double")
+
+    x = F.array(*[f32(F.col(f"{f}__lag{lag}")) for lag in range(length, 0, -1) for f in features])
     n_tr = F.greatest(k - F.lit(length), F.lit(0))
     n_te = F.greatest(n - k - F.lit(length), F.lit(0))
     val_size = F.greatest(F.lit(1), F.floor(n_tr.cast("double") * F.lit(val_ratio)).cast("long"))
@@ -106,7 +110,7 @@ def sliding_windows(df: DataFrame, key: str, target: str, features: Sequence[str
         .select(
             F.col(key), F.col(time_col), pos.alias(POS),
             F.when(in_train, F.lit("train")).otherwise(F.lit("test")).alias("split"),
-            win.alias("win"), x.alias("x"), finite_or_zero(F.col(target)).alias("y"),
+            win.alias("win"), x.alias("x"), f32(F.col(target)).alias("y"),
             is_fit.alias("is_fit"), is_val.alias("is_val"),
             n_tr.alias("n_train_windows"), n_te.alias("n_test_windows"),
         )

@@ -98,13 +98,14 @@ class ForecastRun:
             return models.persistence_forecast(self.windows, k, nf, ti, self.cfg.sequence_length)
         if name == "linear_baseline":
             return models.ar1_forecast(self.windows, k, nf, ti)
+        if name == "linear_regression":
+            return models.ols_forecast(self.windows, k, nf * self.cfg.sequence_length)
         if name == "knn_regressor":
             from ..operators.knn import knn_forecast
             return knn_forecast(self.windows, k, nf * self.cfg.sequence_length)
         trees = self.mllib_trees
         rounds = self.mllib_rounds
         makers = {
-            "linear_regression": models.linear_regression,
             "random_forest": (lambda: models.random_forest(trees)) if trees else models.random_forest,
             "gradient_boosting": (lambda: models.gradient_boosting(rounds)) if rounds else models.gradient_boosting,
             "svr_rbf": models.rbf_regression,

@@ -107,7 +107,7 @@ SCALE = [
 
 def _window_ctes() -> list[str]:
     lags = ", ".join(f"lag({c}, {k}) OVER w AS {c}__lag{k}" for k in range(1, L + 1) for c in FEATS)
-    xs = [fz(f"{c}__lag{k}") for k in range(L, 0, -1) for c in FEATS]
+    xs = [f"CAST(CAST({fz(f'{c}__lag{k}')} AS FLOAT) AS DOUBLE)" for k in range(L, 0, -1) for c in FEATS]
     xcols = ", ".join(f"{x} AS x{i + 1:02d}" for i, x in enumerate(xs))
     k_expr = f"greatest(1, least(CAST(floor(_n * {1.0 - TEST_RATIO!r}::DOUBLE) AS BIGINT), _n - 1))"
     return [
@@ -116,7 +116,7 @@ def _window_ctes() -> list[str]:
         f"""win0 AS (SELECT crop_type, "timestamp", _pos,
             CASE WHEN _pos <= _k THEN 'train' ELSE 'test' END AS split,
             CASE WHEN _pos <= _k THEN _pos - {L} ELSE _pos - _k - {L} END AS win,
-            {xcols}, {fz('indoor_temperature_c')} AS y,
+            {xcols}, CAST(CAST({fz('indoor_temperature_c')} AS FLOAT) AS DOUBLE) AS y,
             greatest(_k - {L}, 0) AS n_tr, greatest(_n - _k - {L}, 0) AS n_te, _pos <= _k AS in_train
           FROM lagged)""",
         f"""allwin AS (SELECT *,
