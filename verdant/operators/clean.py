@@ -143,8 +143,10 @@ def clean_dataset(df: DataFrame, key: str = DEFAULT_KEY_COLUMN, time_col: str =
     """
     cols = numeric_columns(df, [key, time_col, order_col])
     base = drop_null_time(df, time_col)
+    # Raw per-key counts bound the de-duplicated ones from above: measuring
+    # them needs only a scan with map-side counting, not the de-dup shuffle.
+    bound, total = group_sizes(base, [key])
     deduped = dedupe_first(base, [key, time_col], order_col).drop(order_col)
-    bound, total = group_sizes(deduped, [key])
     ranked = positions(deduped, [key], [time_col], max_group=bound, single_task_rows=block_rows)
     filled = interpolate_linear(ranked, key, cols, block_rows, single_block=bound <= block_rows)
     if group_median:

@@ -125,9 +125,13 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     keys = list(keys)
     pos = F.col(pos_col)
     tagged = df.withColumn(BLOCK, block_of(pos, block_rows))
-    w = Window.partitionBy(*keys, BLOCK).orderBy(pos_col)
-    w_prev = w.rowsBetween(Window.unboundedPreceding, 0)
-    w_next = w.rowsBetween(0, Window.unboundedFollowing)
+    # Both directions use running frames (linear); a frame reaching to
+    # "unbounded following" is re-aggregated per row by Spark (quadratic), so
+    # the forward look-up is a backward running frame over descending order.
+    w_prev = Window.partitionBy(*keys, BLOCK).orderBy(F.col(pos_col).asc()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    w_next = Window.partitionBy(*keys, BLOCK).orderBy(F.col(pos_col).desc()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
 
     def valid_pos(c):
         return F.when(F.col(c).isNotNull(), pos)
@@ -138,8 +142,8 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         local += [
             F.last(F.col(c), ignorenulls=True).over(w_prev).alias(f"_lpv_{c}"),
             F.last(valid_pos(c), ignorenulls=True).over(w_prev).alias(f"_lpp_{c}"),
-            F.first(F.col(c), ignorenulls=True).over(w_next).alias(f"_lnv_{c}"),
-            F.first(valid_pos(c), ignorenulls=True).over(w_next).alias(f"_lnp_{c}"),
+            F.last(F.col(c), ignorenulls=True).over(w_next).alias(f"_lnv_{c}"),
+            F.last(valid_pos(c), ignorenulls=True).over(w_next).alias(f"_lnp_{c}"),
         ]
         summary_aggs += [
             F.max_by(F.col(c), valid_pos(c)).alias(f"_bl_v_{c}"),
@@ -155,16 +159,15 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         drop = [BLOCK] + [f"_l{p}_{c}" for c in cols for p in ("pv", "pp", "nv", "np")]
         return out.select("*", *final).drop(*drop)
     summary = tagged.groupBy(*keys, BLOCK).agg(*summary_aggs)
-    wb = _window(keys).orderBy(BLOCK)
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    after = wb.rowsBetween(1, Window.unboundedFollowing)
+    before = _window(keys).orderBy(F.col(BLOCK).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = _window(keys).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     for c in cols:
         carry_cols += [
             F.last(f"_bl_v_{c}", ignorenulls=True).over(before).alias(f"_cpv_{c}"),
             F.last(f"_bl_p_{c}", ignorenulls=True).over(before).alias(f"_cpp_{c}"),
-            F.first(f"_bf_v_{c}", ignorenulls=True).over(after).alias(f"_cnv_{c}"),
-            F.first(f"_bf_p_{c}", ignorenulls=True).over(after).alias(f"_cnp_{c}"),
+            F.last(f"_bf_v_{c}", ignorenulls=True).over(after).alias(f"_cnv_{c}"),
+            F.last(f"_bf_p_{c}", ignorenulls=True).over(after).alias(f"_cnp_{c}"),
         ]
     carry = summary.select(*keys, BLOCK, *carry_cols)
     out = tagged.select("*", *local).join(carry, [*keys, BLOCK], "left")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from ..config import (BLEND_MODEL, BLEND_UNIFORM, MAX_WEIGHT_BONUS, MAX_WEIGHT_CAP, MAX_WEIGHT_FLOOR,
                       MIN_WEIGHT_FEW, MIN_WEIGHT_MANY, PREFERRED_BOOST, RMSE_FLOOR, SEQUENCE_LENGTH,
                       TEST_RATIO, VALIDATION_RATIO, WEIGHT_ITERATIONS, WEIGHT_TOLERANCE)
-from ..sources.tables import EVENT_INVALID_CODE
+from ..sources.tables import EVENT_GRAIN, EVENT_INVALID_CODE
 from .forecast import EVENT_THRESHOLDS
 
 L = SEQUENCE_LENGTH
@@ -38,7 +38,7 @@ def with_(*ctes: str) -> str:
 # ---------------------------------------------------------------- shared CTEs
 
 OBS = f"""obs AS (
-  SELECT event_type AS crop_type, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp",
+  SELECT event_type AS crop_type, CAST(date_trunc('{EVENT_GRAIN}', ts) AS TIMESTAMP) AS "timestamp",
          CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= {EVENT_INVALID_CODE}
               THEN NULL ELSE value END AS indoor_temperature_c,
          TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity_pct,

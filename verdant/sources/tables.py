@@ -19,21 +19,26 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # this level marks the temperature reading invalid (the table has no NULLs,
 # so this is where the gaps that interpolation repairs come from).
 EVENT_INVALID_CODE = 90
+# Observation grain of the events series: readings are bucketed to the minute,
+# so series length grows with the table while same-minute events still give
+# duplicates for first-row de-duplication.
+EVENT_GRAIN = "minute"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def event_observations(spark: SparkSession, sf_dir: str, hourly: bool = True) -> DataFrame:
-    """events -> observations: key=event_type, time=hour of ts, target=value, humidity=props.k.
+def event_observations(spark: SparkSession, sf_dir: str, grain: str | None = EVENT_GRAIN) -> DataFrame:
+    """events -> observations: key=event_type, time=ts truncated to ``grain``, target=value,
+    humidity=props.k.
 
-    Hourly truncation makes several events share a (key, time); cleaning keeps
-    the first by ``event_id``.
+    Truncation makes several events share a (key, time); cleaning keeps the
+    first by ``event_id``.  ``grain=None`` keeps the raw timestamps.
     """
     ev = read_table(spark, sf_dir, "events")
     code = F.get_json_object("props", "$.k").try_cast("double")
-    ts = F.date_trunc("hour", "ts").cast("timestamp_ntz") if hourly else F.col("ts")
+    ts = F.date_trunc(grain, "ts").cast("timestamp_ntz") if grain else F.col("ts")
     return ev.select(
         F.col("event_type").alias("crop_type"),
         ts.alias("timestamp"),
