@@ -10,8 +10,8 @@ _NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-na
 
 
 def na_to_null(c: Column) -> Column:
-    """Text missing-value tokens (as a CSV reader would treat them) become NULL."""
-    return F.when(F.trim(c).isin(_NA_TOKENS), F.lit(None)).otherwise(c)
+    """Text missing-value tokens become NULL (exact field text, as a CSV reader matches them)."""
+    return F.when(c.isin(_NA_TOKENS), F.lit(None)).otherwise(c)
 
 
 def nan_to_null(c: Column) -> Column:
