@@ -67,3 +67,14 @@ def test_sort_based_quantiles_match_pandas(spark):
     m = got.merge(fast, on=["k", "column"])
     for q in ("q_0_01", "q_0_5", "q_0_99"):
         assert np.allclose(m[q + "_x"], m[q + "_y"], atol=1e-12)
+
+
+def test_positions_descending_order_both_paths(spark):
+    df = _frame(spark)
+    a = positions(df, ["k"], [F.col("t").desc()], num_partitions=5).toPandas().sort_values(["k", "t"])
+    b = positions(df, ["k"], [F.col("t").desc()], max_group=100, single_task_rows=100).toPandas() \
+        .sort_values(["k", "t"])
+    assert list(a[POS]) == list(b[POS])
+    exp = df.toPandas().sort_values(["k", "t"], ascending=[True, False])
+    exp["rn"] = exp.groupby("k").cumcount() + 1
+    assert list(exp.sort_values(["k", "t"])["rn"]) == list(a[POS])

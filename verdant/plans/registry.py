@@ -293,11 +293,17 @@ def q_prediction_pivot(spark, d):
 
 
 def q_last_k_rows(spark, d, k: int = 8):
-    from pyspark.sql import Window
+    """The newest k forecast rows per key (a top-k report; the limit is the feature).
+
+    Ranked with the size-checked positions primitive, so a hot key is ranked
+    by a range-partitioned sort rather than inside one window task.
+    """
+    from ..config import DEFAULT_EXEC
+    from ..operators.series import group_size_bound, positions
     f = event_run(spark, d).forecast
-    w = Window.partitionBy("crop_type").orderBy(F.col("timestamp").desc())
-    return finish(f.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
-                  .withColumn("recent_rank", F.col("rn")).drop("rn"))
+    ranked = positions(f, ["crop_type"], [F.col("timestamp").desc()], pos_col="recent_rank", size_col="_n",
+                       max_group=group_size_bound(f, ["crop_type"]), single_task_rows=DEFAULT_EXEC.block_rows)
+    return finish(ranked.filter(F.col("recent_rank") <= k).drop("_n"))
 
 
 def q_hybrid_gain(spark, d):
