@@ -104,10 +104,23 @@ def ensemble_weights(scored: DataFrame, key: str) -> DataFrame:
 
 
 def coordinate(preds: DataFrame, key: str, preferred: str | None = None) -> DataFrame:
-    """E1-E6 in one: weights table for the valid models of each key."""
-    ok = valid_models(preds, key)
-    kept = preds.join(ok, [key, "model"], "left_semi")
-    return ensemble_weights(scores(validation_rmse(kept, key), preferred), key)
+    """E1-E6 in one: weights table for the valid models of each key.
+
+    Validity checks and validation RMSE come from one grouped aggregation;
+    the expected validation length is a window over that (key x model)
+    table, which is tiny.
+    """
+    from pyspark.sql import Window
+    is_val = F.col("split") == "val"
+    per = preds.groupBy(key, "model").agg(
+        F.count_if(is_val).alias("n_val"),
+        F.count_if(F.col("split") == "test").alias("n_test"),
+        F.count_if(_is_bad(F.col("yhat"))).alias("n_bad"),
+        F.sqrt(F.avg(F.when(is_val, F.pow(F.col("y") - F.col("yhat"), 2)))).alias("validation_rmse"))
+    expected = F.max(F.when(F.col("n_val") > 0, F.col("n_val"))).over(Window.partitionBy(key))
+    ok = per.withColumn("n_expected", expected).filter(
+        (F.col("n_bad") == 0) & (F.col("n_test") > 0) & (F.col("n_val") == F.col("n_expected")))
+    return ensemble_weights(scores(ok.select(key, "model", "validation_rmse"), preferred), key)
 
 
 def hybrid_forecast(preds: DataFrame, weights: DataFrame, key: str) -> DataFrame:
