@@ -78,3 +78,13 @@ def test_positions_descending_order_both_paths(spark):
     exp = df.toPandas().sort_values(["k", "t"], ascending=[True, False])
     exp["rn"] = exp.groupby("k").cumcount() + 1
     assert list(exp.sort_values(["k", "t"])["rn"]) == list(a[POS])
+
+
+def test_null_key_is_a_series(spark):
+    rows = [(None, t, float(t) if t % 3 else None) for t in range(1, 30)] + [("a", t, float(t)) for t in range(1, 5)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    ranked = positions(df, ["k"], ["t"], num_partitions=4)
+    assert ranked.count() == len(rows)
+    nb = with_neighbours(ranked, ["k"], ["v"], block_rows=4).toPandas()
+    nulls = nb[nb.k.isna()].sort_values("t")
+    assert len(nulls) == 29 and nulls["_pv_v"].iloc[3:].notna().all()

@@ -32,6 +32,17 @@ def _window(keys: Sequence[str]):
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
+def _join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` treating NULL keys as equal (a NULL key is still a series)."""
+    lt, rt = left.alias("_l"), right.alias("_r")
+    cond = None
+    for c in cols:
+        e = F.col(f"_l.`{c}`").eqNullSafe(F.col(f"_r.`{c}`"))
+        cond = e if cond is None else (cond & e)
+    extra = [F.col(f"_r.`{c}`") for c in right.columns if c not in cols]
+    return lt.join(rt, cond, how).select(*[F.col(f"_l.`{c}`") for c in left.columns], *extra)
+
+
 def group_size_bound(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest ``keys`` group (one small aggregation job)."""
     return group_sizes(df, keys)[0]
@@ -81,7 +92,7 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         F.sum("_cnt").over(_window(keys)).alias(size_col),
     )
     return (
-        tagged.join(stats, [*keys, "_part"])
+        _join_on(tagged, stats, [*keys, "_part"])
         .withColumn(pos_col, F.col("_rid") - F.col("_rid0") + F.col("_off") + F.lit(1))
         .drop("_rid", "_part", "_rid0", "_off")
     )
@@ -170,7 +181,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
             F.last(f"_bf_p_{c}", ignorenulls=True).over(after).alias(f"_cnp_{c}"),
         ]
     carry = summary.select(*keys, BLOCK, *carry_cols)
-    out = tagged.select("*", *local).join(carry, [*keys, BLOCK], "left")
+    out = _join_on(tagged.select("*", *local), carry, [*keys, BLOCK], "left")
     final = []
     for c in cols:
         final += [
