@@ -36,3 +36,22 @@ def test_clean_multi_block_equals_single_block(spark):
     assert len(m) == len(big) == len(small)
     for c in cols[2:]:
         assert ((m[c + "_x"] - m[c + "_y"]).abs() < 1e-9).all()
+
+
+@needs(SF01)
+def test_forecast_identical_on_scale_paths(spark):
+    """Tiny blocks and quantile thresholds force every large-data path; results must not move."""
+    from verdant.config import ExecutionConfig
+    from verdant.plans.forecast import ForecastRun, event_config
+    obs = event_observations(spark, SF01)
+    small = ForecastRun(obs, event_config(), ExecutionConfig(block_rows=97, single_task_values=10))
+    big = ForecastRun(obs, event_config())
+    a = small.forecast.toPandas().sort_values(["crop_type", "timestamp"]).reset_index(drop=True)
+    b = big.forecast.toPandas().sort_values(["crop_type", "timestamp"]).reset_index(drop=True)
+    assert len(a) == len(b) > 0
+    assert (a[["crop_type", "timestamp"]] == b[["crop_type", "timestamp"]]).all().all()
+    for c in ("actual_temperature_c", "predicted_temperature_c"):
+        assert ((a[c] - b[c]).abs() < 1e-9).all(), c
+    wa = small.weights.toPandas().sort_values(["crop_type", "model"])["weight"].values
+    wb = big.weights.toPandas().sort_values(["crop_type", "model"])["weight"].values
+    assert abs(wa - wb).max() < 1e-12

@@ -126,6 +126,9 @@ class ExecutionConfig:
     # Upper bound on distinct groups for which one MLlib model is fitted per
     # group (the fits are distributed, the loop over groups is not).
     max_model_groups: int = 64
+    # Groups with at most this many values get Spark's exact percentile (its
+    # buffer holds the group's distinct values); larger ones the sort path.
+    single_task_values: int = 1 << 20
     extra: dict = field(default_factory=dict)
 
 

@@ -99,9 +99,10 @@ def fill_group_median(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame
                            for c in df.columns])
 
 
-def fill_global_median(df: DataFrame, cols: Sequence[str], size_hint: int | None = None) -> DataFrame:
+def fill_global_median(df: DataFrame, cols: Sequence[str], size_hint: int | None = None,
+                       single_task_values: int | None = None) -> DataFrame:
     """Replace remaining NULLs by the exact median over all keys (C6). One-row side table."""
-    med = wide_quantiles(df, cols, [0.5], size_hint=size_hint)
+    med = wide_quantiles(df, cols, [0.5], size_hint=size_hint, single_task_values=single_task_values)
     joined = df.crossJoin(F.broadcast(med))
     q = quantile_name(0.5)
     return joined.select(*[F.coalesce(F.col(c), F.col(f"{c}__{q}")).alias(c) if c in cols else F.col(c)
@@ -109,15 +110,18 @@ def fill_global_median(df: DataFrame, cols: Sequence[str], size_hint: int | None
 
 
 def clip_bounds(df: DataFrame, cols: Sequence[str], low_q: float = CLIP_LOW_Q,
-                high_q: float = CLIP_HIGH_Q, method: str = "exact", size_hint: int | None = None) -> DataFrame:
+                high_q: float = CLIP_HIGH_Q, method: str = "exact", size_hint: int | None = None,
+                single_task_values: int | None = None) -> DataFrame:
     """One row: ``<c>__q_<low>`` / ``<c>__q_<high>`` over all keys."""
-    return wide_quantiles(df, cols, [low_q, high_q], method, size_hint=size_hint)
+    return wide_quantiles(df, cols, [low_q, high_q], method, size_hint=size_hint,
+                          single_task_values=single_task_values)
 
 
 def clip_quantile(df: DataFrame, cols: Sequence[str], low_q: float = CLIP_LOW_Q,
-                  high_q: float = CLIP_HIGH_Q, method: str = "exact", size_hint: int | None = None) -> DataFrame:
+                  high_q: float = CLIP_HIGH_Q, method: str = "exact", size_hint: int | None = None,
+                  single_task_values: int | None = None) -> DataFrame:
     """Clip every column to its global [q_low, q_high] (C7). NULL stays NULL."""
-    bounds = clip_bounds(df, cols, low_q, high_q, method, size_hint)
+    bounds = clip_bounds(df, cols, low_q, high_q, method, size_hint, single_task_values)
     lo_n, hi_n = quantile_name(low_q), quantile_name(high_q)
     joined = df.crossJoin(F.broadcast(bounds))
 
@@ -132,7 +136,8 @@ def clip_quantile(df: DataFrame, cols: Sequence[str], low_q: float = CLIP_LOW_Q,
 
 def clean_dataset(df: DataFrame, key: str = DEFAULT_KEY_COLUMN, time_col: str = DEFAULT_TIME,
                   order_col: str = "_order", block_rows: int = DEFAULT_EXEC.block_rows,
-                  group_median: bool = False, clip_method: str = "exact") -> DataFrame:
+                  group_median: bool = False, clip_method: str = "exact",
+                  single_task_values: int = DEFAULT_EXEC.single_task_values) -> DataFrame:
     """C8 = P12 -> C3 -> C4 -> (C5) -> C6 -> C7.
 
     Output keeps ``_pos`` (1-based time rank inside the key) and ``_n`` (rows
@@ -153,8 +158,10 @@ def clean_dataset(df: DataFrame, key: str = DEFAULT_KEY_COLUMN, time_col: str =
         filled = fill_group_median(filled, key, cols)
     # Two global passes (median, then clip quantiles) read the repaired
     # series: checkpoint it once instead of re-running dedupe + windows.
-    filled = fill_global_median(materialize(filled), cols, size_hint=total)
-    return clip_quantile(filled, cols, method=clip_method, size_hint=total)
+    filled = fill_global_median(materialize(filled), cols, size_hint=total,
+                                single_task_values=single_task_values)
+    return clip_quantile(filled, cols, method=clip_method, size_hint=total,
+                         single_task_values=single_task_values)
 
 
 def select_features(df: DataFrame, target: str = DEFAULT_TARGET, time_col: str = DEFAULT_TIME,

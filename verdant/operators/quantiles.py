@@ -35,7 +35,7 @@ def quantile_name(p: float) -> str:
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                     probs: Sequence[float], method: str = "exact",
-                    single_task_values: int = SINGLE_TASK_VALUES,
+                    single_task_values: int | None = None,
                     size_hint: int | None = None) -> DataFrame:
     """One row per (group, column) with a ``q_<p>`` column per probability.
 
@@ -52,8 +52,9 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequen
     if method == "approx":
         return long.groupBy(*keys).agg(*[
             F.percentile_approx("value", p, 100000).alias(quantile_name(p)) for p in probs])
+    limit = SINGLE_TASK_VALUES if single_task_values is None else single_task_values
     bound = size_hint if size_hint is not None else group_size_bound(long, keys)
-    if bound <= single_task_values:
+    if bound <= limit:
         q = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
         agg = long.groupBy(*keys).agg(q.alias("_q"))
         return agg.select(*keys, *[F.col("_q")[i].alias(quantile_name(p)) for i, p in enumerate(probs)])
@@ -85,9 +86,11 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequen
 
 
 def wide_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
-                   method: str = "exact", size_hint: int | None = None) -> DataFrame:
+                   method: str = "exact", size_hint: int | None = None,
+                   single_task_values: int | None = None) -> DataFrame:
     """Global quantiles as a single row: ``<col>__q_<p>`` columns (null when a column is all-null)."""
-    long = exact_quantiles(df, [], value_cols, probs, method, size_hint=size_hint)
+    long = exact_quantiles(df, [], value_cols, probs, method, single_task_values=single_task_values,
+                           size_hint=size_hint)
     aggs = []
     for c in value_cols:
         for p in probs:

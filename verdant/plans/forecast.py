@@ -41,7 +41,8 @@ class ForecastRun:
     @cached_property
     def cleaned(self) -> DataFrame:
         return clean.clean_dataset(self.observations, self.cfg.key, self.cfg.time,
-                                   block_rows=self.exec_cfg.block_rows)
+                                   block_rows=self.exec_cfg.block_rows,
+                                   single_task_values=self.exec_cfg.single_task_values)
 
     @cached_property
     def _selection(self):
