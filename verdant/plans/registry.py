@@ -359,24 +359,22 @@ def q_ui_payload(spark, d):
 
 
 def q_comparison_report(spark, d):
+    """Per-key comparison report as a JSON document plus its text lines."""
     run = event_run(spark, d)
     cmp = run.comparison
     rows = cmp.groupBy("crop_type").agg(
         F.array_sort(F.collect_list(F.struct("rank", "model", "mae", "rmse", "r2"))).alias("ranking"))
     best = metrics.best_model(cmp, "crop_type")
     j = rows.join(best, ["crop_type"])
+    lines = F.transform("ranking", lambda r: F.format_string(
+        "#%d %s: MAE=%.4f, RMSE=%.4f, R2=%.4f", r["rank"], r["model"], r["mae"], r["rmse"], r["r2"]))
+    text = F.concat_ws("\n", F.concat(F.lit("=== Model Comparison Report: "), F.col("crop_type"), F.lit(" ===")),
+                       F.format_string("Best model: %s", F.col("best_model")),
+                       F.format_string("Best RMSE: %.4f", F.col("best_model_rmse")), F.lit(""),
+                       F.array_join(lines, "\n"))
     return j.select("crop_type", F.to_json(F.struct(
         F.col("crop_type").alias("crop_name"), "best_model", F.col("best_model_rmse").alias("best_rmse"),
-        "models_evaluated", "ranking")).alias("report_json"))
-
-
-def q_export_roundtrip(spark, d):
-    """K1 + S6: per-key CSV export of the cleaned series, read back from the shared folder."""
-    from ..sources import sinks
-    cleaned = event_run(spark, d).cleaned.select("crop_type", "timestamp", POS, *FEATURES)
-    path = sinks.export_by_key(cleaned, sinks.shared_path(spark, "export"), "crop_type", "csv")
-    schema = "crop_type string, timestamp timestamp_ntz, _pos long, indoor_temperature_c double, humidity_pct double"
-    return finish(sinks.read_csv(spark, path, schema))
+        "models_evaluated", "ranking")).alias("report_json"), text.alias("report_text"))
 
 
 def q_external_predictions(spark, d):
