@@ -25,6 +25,9 @@ def build_session(master: str | None = None, app: str = "verdant",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpointed lineage cuts are written with Kryo and compressed.
+        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
+        .config("spark.checkpoint.compress", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
