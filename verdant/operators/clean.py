@@ -137,20 +137,22 @@ def clip_quantile(df: DataFrame, cols: Sequence[str], low_q: float = CLIP_LOW_Q,
 def clean_dataset(df: DataFrame, key: str = DEFAULT_KEY_COLUMN, time_col: str = DEFAULT_TIME,
                   order_col: str = "_order", block_rows: int = DEFAULT_EXEC.block_rows,
                   group_median: bool = False, clip_method: str = "exact",
-                  single_task_values: int = DEFAULT_EXEC.single_task_values) -> DataFrame:
+                  single_task_values: int = DEFAULT_EXEC.single_task_values,
+                  stats: dict | None = None) -> DataFrame:
     """C8 = P12 -> C3 -> C4 -> (C5) -> C6 -> C7.
 
     Output keeps ``_pos`` (1-based time rank inside the key) and ``_n`` (rows
     of the key) for the windowing operators.  C5 is off by default: after
     two-sided interpolation a key's column is either complete or entirely
     NULL, and the median of an all-NULL column is NULL, so C5 cannot change
-    any value.
+    any value.  ``stats`` (optional) receives the measured key statistics
+    (``max_group``, ``rows``, ``groups``; upper bounds for the cleaned table).
     """
     cols = numeric_columns(df, [key, time_col, order_col])
     base = drop_null_time(df, time_col)
     # Raw per-key counts bound the de-duplicated ones from above: measuring
     # them needs only a scan with map-side counting, not the de-dup shuffle.
-    bound, total = group_sizes(base, [key])
+    bound, total = group_sizes(base, [key], stats)
     deduped = dedupe_first(base, [key, time_col], order_col).drop(order_col)
     ranked = positions(deduped, [key], [time_col], max_group=bound, single_task_rows=block_rows)
     filled = interpolate_linear(ranked, key, cols, block_rows, single_block=bound <= block_rows)

@@ -123,10 +123,14 @@ def coordinate(preds: DataFrame, key: str, preferred: str | None = None) -> Data
     return ensemble_weights(scores(ok.select(key, "model", "validation_rmse"), preferred), key)
 
 
-def hybrid_forecast(preds: DataFrame, weights: DataFrame, key: str) -> DataFrame:
-    """Weighted sum of the test predictions of the weighted models."""
-    test = preds.filter(F.col("split") == "test").join(weights.select(key, "model", "weight"),
-                                                      [key, "model"], "inner")
+def hybrid_forecast(preds: DataFrame, weights: DataFrame, key: str, n_rows: int | None = None) -> DataFrame:
+    """Weighted sum of the test predictions of the weighted models.
+
+    ``n_rows`` bounds the weights table (keys x models) for an explicit broadcast.
+    """
+    from .series import join_small
+    test = join_small(preds.filter(F.col("split") == "test"), weights.select(key, "model", "weight"),
+                      [key, "model"], "inner", n_rows)
     return test.groupBy(key, "timestamp").agg(
         F.first("y").alias("y"), F.sum(F.col("weight") * F.col("yhat")).alias("yhat")
     ).select(key, "timestamp", F.lit("test").alias("split"), F.lit(HYBRID_MODEL).alias("model"), "y", "yhat")

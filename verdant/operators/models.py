@@ -25,6 +25,7 @@ from ..config import (DEFAULT_EXEC, GB_DEPTH, GB_RATE, GB_ROUNDS, GB_SUBSAMPLE,
                       RF_MIN_LEAF, RF_TREES, SVR_C, XGB_COLSAMPLE, XGB_DEPTH, XGB_RATE, XGB_ROUNDS,
                       XGB_SUBSAMPLE)
 from ..session import materialize
+from .series import join_small
 
 PRED_COLS = ["split", "model", "y", "yhat"]
 
@@ -61,11 +62,12 @@ def ar1_params(windows: DataFrame, key: str, n_features: int, target_index: int
                                 F.regr_intercept("y", "lag1").alias("intercept"))
 
 
-def ar1_forecast(windows: DataFrame, key: str, n_features: int, target_index: int = 0) -> DataFrame:
+def ar1_forecast(windows: DataFrame, key: str, n_features: int, target_index: int = 0,
+                 n_keys: int | None = None) -> DataFrame:
     """M8: linear autoregressive baseline."""
     params = ar1_params(windows, key, n_features, target_index)
     lag1 = F.element_at("x", F.size("x") - F.lit(n_features) + F.lit(target_index + 1))
-    rows = scored_rows(windows).join(params, [key], "left")
+    rows = join_small(scored_rows(windows), params, [key], "left", n_keys)
     return _long(rows, key, "linear_baseline", F.col("intercept") + F.col("slope") * lag1)
 
 
@@ -83,7 +85,8 @@ def _vectorize(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector("x"))
 
 
-def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32) -> DataFrame:
+def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32,
+                     n_keys: int | None = None) -> DataFrame:
     """M1 fit: least squares with intercept on the fit windows of every key, via TSQR.
 
     The rows are centred per key (means from one grouped aggregation), each
@@ -98,7 +101,7 @@ def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32) -
     fit = windows.filter(F.col("is_fit")).select(key, "x", "y")
     means = fit.groupBy(key).agg(
         F.array(*[F.avg(F.element_at("x", i + 1)) for i in range(dim)]).alias("xm"), F.avg("y").alias("ym"))
-    centred = fit.join(means, [key]).select(
+    centred = join_small(fit, means, [key], "inner", n_keys).select(
         key, F.zip_with("x", "xm", lambda a, b: a - b).alias("xc"), (F.col("y") - F.col("ym")).alias("yc"))
     out_schema = f"{key} string, part long, r array<double>"
 
@@ -137,10 +140,10 @@ def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32) -
     return coef.join(means, [key]).select(key, intercept.alias("intercept"), "coef")
 
 
-def ols_forecast(windows: DataFrame, key: str, dim: int) -> DataFrame:
+def ols_forecast(windows: DataFrame, key: str, dim: int, n_keys: int | None = None) -> DataFrame:
     """M1: linear regression on the flattened window, scored on validation and test windows."""
-    params = ols_coefficients(windows, key, dim)
-    rows = scored_rows(windows).join(params, [key], "left")
+    params = ols_coefficients(windows, key, dim, n_keys=n_keys)
+    rows = join_small(scored_rows(windows), params, [key], "left", n_keys)
     dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     return _long(rows, key, "linear_regression", F.col("intercept") + dot)
 

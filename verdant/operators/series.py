@@ -43,18 +43,36 @@ def _join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str =
     return lt.join(rt, cond, how).select(*[F.col(f"_l.`{c}`") for c in left.columns], *extra)
 
 
+# Per-key side tables (parameters, coefficients, weights) up to this many rows
+# are broadcast explicitly; beyond it the join is left to AQE's runtime choice.
+BROADCAST_ROWS = 1 << 20
+
+
 def group_size_bound(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest ``keys`` group (one small aggregation job)."""
     return group_sizes(df, keys)[0]
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest ``keys`` group, total rows) in one aggregation job."""
+def group_sizes(df: DataFrame, keys: Sequence[str], stats: dict | None = None) -> tuple[int, int]:
+    """(rows of the largest ``keys`` group, total rows) in one aggregation job.
+
+    ``stats`` (optional) also receives ``groups``: the number of groups.
+    """
     counts = df.groupBy(*keys).count() if keys else df.select(F.count(F.lit(1)).alias("count"))
-    row = counts.agg(F.max("count"), F.sum("count")).first()
+    row = counts.agg(F.max("count"), F.sum("count"), F.count(F.lit(1))).first()
+    if stats is not None:
+        stats.update(max_group=int(row[0] or 0), rows=int(row[1] or 0), groups=int(row[2] or 0))
     return int(row[0] or 0), int(row[1] or 0)
 
 
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               small_rows: int | None = None) -> DataFrame:
+    """Join a side table whose row count is measured: broadcast it only when proven small."""
+    if small_rows is not None and small_rows <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
+
+
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
               pos_col: str = POS, size_col: str = SIZE,
               num_partitions: int | None = None, max_group: int | None = None,

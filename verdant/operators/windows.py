@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, DEFAULT_KEY_COLUMN, MIN_TRAIN_WINDOWS, SEQUENCE_LENGTH, TEST_RATIO, VALIDATION_RATIO
 from ..functions.values import finite_or_zero
-from .series import POS, SIZE, with_lags
+from .series import POS, SIZE, join_small, with_lags
 
 
 def min_group_filter(df: DataFrame, min_rows: int, size_col: str = SIZE) -> DataFrame:
@@ -48,10 +48,14 @@ def inverse_expr(v: Column, mn: Column, mx: Column) -> Column:
 
 
 def minmax_scale(df: DataFrame, keys: Sequence[str], features: Sequence[str],
-                 params: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """W3 (and W5 when ``keys`` is empty): returns (scaled, params)."""
+                 params: DataFrame | None = None, n_keys: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """W3 (and W5 when ``keys`` is empty): returns (scaled, params).
+
+    ``n_keys`` (measured number of keys) lets the one-row-per-key parameter
+    table be broadcast; without it the join is left to AQE.
+    """
     params = params if params is not None else minmax_fit(df, keys, features)
-    joined = df.join(params, list(keys), "left") if keys else df.crossJoin(F.broadcast(params))
+    joined = join_small(df, params, list(keys), "left", n_keys) if keys else df.crossJoin(F.broadcast(params))
     out = [scale_expr(F.col(c), F.col(f"{c}__min"), F.col(f"{c}__max")).alias(c) if c in features
            else F.col(c) for c in df.columns]
     return joined.select(*out), params

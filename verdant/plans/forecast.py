@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_EXEC, HYBRID_MODEL, ExecutionConfig, ForecastConfig
 from ..functions.values import iso_text
 from ..operators import clean, control, ensemble, metrics, models, windows
-from ..operators.series import SIZE
+from ..operators.series import SIZE, join_small
 from ..session import materialize
 
 # Fixed values for the driver's events table: thresholds on its value scale.
@@ -40,9 +40,17 @@ class ForecastRun:
     # ------------------------------------------------------------- cleaning
     @cached_property
     def cleaned(self) -> DataFrame:
+        self._stats: dict = {}
         return clean.clean_dataset(self.observations, self.cfg.key, self.cfg.time,
                                    block_rows=self.exec_cfg.block_rows,
-                                   single_task_values=self.exec_cfg.single_task_values)
+                                   single_task_values=self.exec_cfg.single_task_values,
+                                   stats=self._stats)
+
+    @property
+    def n_keys(self) -> int | None:
+        """Measured upper bound on the number of keys (from the cleaning stats job)."""
+        self.cleaned
+        return self._stats.get("groups")
 
     @cached_property
     def _selection(self):
@@ -71,7 +79,7 @@ class ForecastRun:
 
     @cached_property
     def _scaling(self):
-        return windows.minmax_scale(self.grouped, [self.cfg.key], self.features)
+        return windows.minmax_scale(self.grouped, [self.cfg.key], self.features, n_keys=self.n_keys)
 
     @property
     def scaled(self) -> DataFrame:
@@ -98,9 +106,9 @@ class ForecastRun:
         if name == "naive_persistence":
             return models.persistence_forecast(self.windows, k, nf, ti, self.cfg.sequence_length)
         if name == "linear_baseline":
-            return models.ar1_forecast(self.windows, k, nf, ti)
+            return models.ar1_forecast(self.windows, k, nf, ti, n_keys=self.n_keys)
         if name == "linear_regression":
-            return models.ols_forecast(self.windows, k, nf * self.cfg.sequence_length)
+            return models.ols_forecast(self.windows, k, nf * self.cfg.sequence_length, n_keys=self.n_keys)
         if name == "knn_regressor":
             from ..operators.knn import knn_forecast
             return knn_forecast(self.windows, k, nf * self.cfg.sequence_length)
@@ -129,7 +137,8 @@ class ForecastRun:
 
     @cached_property
     def hybrid(self) -> DataFrame:
-        return ensemble.hybrid_forecast(self.predictions, self.weights, self.cfg.key)
+        n = self.n_keys * len(self.model_set) if self.n_keys is not None else None
+        return ensemble.hybrid_forecast(self.predictions, self.weights, self.cfg.key, n)
 
     @cached_property
     def label(self) -> DataFrame:
@@ -140,7 +149,7 @@ class ForecastRun:
         """Join the target's scaling params and invert y and yhat."""
         t = self.target
         p = self.params.select(self.cfg.key, F.col(f"{t}__min").alias("_mn"), F.col(f"{t}__max").alias("_mx"))
-        j = preds.join(p, [self.cfg.key], "left")
+        j = join_small(preds, p, [self.cfg.key], "left", self.n_keys)
         inv = windows.inverse_expr
         return j.select(self.cfg.key, "timestamp", "split", "model",
                         inv(F.col("y"), F.col("_mn"), F.col("_mx")).alias("y"),
