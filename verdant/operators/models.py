@@ -220,9 +220,15 @@ def _fit_rbf(fit: DataFrame, score: DataFrame, n_components: int, seed: int):
 
 def fit_per_key(windows: DataFrame, key: str, model_name: str, make_estimator: Callable,
                 max_groups: int = DEFAULT_EXEC.max_model_groups, threads: int = 4,
-                keep_models: dict | None = None) -> DataFrame:
-    """Fit one MLlib estimator per key on fit windows; score val + test windows (M1-M3, M5, M6, M9)."""
-    windows = materialize(windows.select(key, "timestamp", "split", "x", "y", "is_fit", "is_val"))
+                keep_models: dict | None = None, materialize_input: bool = True) -> DataFrame:
+    """Fit one MLlib estimator per key on fit windows; score val + test windows (M2, M3, M5, M6, M9).
+
+    Every fit re-reads the window table, so it is checkpointed first unless the
+    caller passes an already materialised table (``materialize_input=False``).
+    """
+    windows = windows.select(key, "timestamp", "split", "x", "y", "is_fit", "is_val")
+    if materialize_input:
+        windows = materialize(windows)
     keys = [r[0] for r in windows.select(key).distinct().limit(max_groups + 1).collect()]
     if len(keys) > max_groups:
         raise ValueError(f"{model_name}: more than {max_groups} keys; use the set-based models")

@@ -120,7 +120,8 @@ class ForecastRun:
             "svr_rbf": models.rbf_regression,
             "xgboost": models.second_boosting,
         }
-        return models.fit_per_key(self.windows, k, name, makers[name], self.exec_cfg.max_model_groups)
+        return models.fit_per_key(self.windows, k, name, makers[name], self.exec_cfg.max_model_groups,
+                                  materialize_input=False)
 
     @cached_property
     def predictions(self) -> DataFrame:
