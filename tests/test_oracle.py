@@ -54,3 +54,9 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "crop_type" in df.columns
+
+
+def test_every_oracle_has_a_query():
+    from verdant.plans import oracle
+    assert set(oracle.oracle_sql()) <= set(E.queries())
+    assert len(E.queries()) >= 60
