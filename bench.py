@@ -30,6 +30,8 @@ HEADLINE = [
     "model_comparison",
     "threshold_actions",
     "crop_results",
+    "linear_regression",
+    "stream_window_counts",
 ]
 
 
