@@ -12,7 +12,7 @@ from ..config import (CLIP_HIGH_Q, CLIP_LOW_Q, DEFAULT_EXEC, DEFAULT_KEY_COLUMN,
 from ..sources.ingest import resolve_target
 from .quantiles import exact_quantiles, quantile_name, wide_quantiles
 from ..session import materialize
-from .series import POS, SIZE, group_size_bound, group_sizes, positions, with_neighbours
+from .series import POS, SIZE, group_sizes, positions, with_neighbours
 
 INTERNAL = {POS, SIZE, "_order"}
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import HYBRID_MODEL
 from ..functions.names import display_key, lookup_key, normalize_col, slug_col
 from ..functions.values import json_number
-from ..operators import clean, control, ensemble, metrics, models, windows
+from ..operators import clean, ensemble, metrics, models, windows
 from ..operators.series import POS, SIZE
 from ..sources import tables
 from ..sources.ingest import standardize, union_all
@@ -98,11 +98,12 @@ def q_dedupe_first(spark, d):
 
 
 def q_interpolate_linear(spark, d):
-    dd = _deduped(spark, d)
     from ..config import DEFAULT_EXEC
-    bound = clean.group_size_bound(dd, ["crop_type"])
-    ranked = clean.positions(dd, ["crop_type"], ["timestamp"], max_group=bound,
-                             single_task_rows=DEFAULT_EXEC.block_rows)
+    from ..operators.series import group_size_bound, positions
+    dd = _deduped(spark, d)
+    bound = group_size_bound(dd, ["crop_type"])
+    ranked = positions(dd, ["crop_type"], ["timestamp"], max_group=bound,
+                       single_task_rows=DEFAULT_EXEC.block_rows)
     out = clean.interpolate_linear(ranked, "crop_type", FEATURES, DEFAULT_EXEC.block_rows,
                                    single_block=bound <= DEFAULT_EXEC.block_rows)
     return finish(out.select("crop_type", "timestamp", POS, *FEATURES))
