@@ -28,6 +28,8 @@ def build_session(master: str | None = None, app: str = "verdant",
         # Checkpointed lineage cuts are written with Kryo and compressed.
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         .config("spark.checkpoint.compress", "true")
+        # Remove checkpoint files of datasets that are no longer referenced.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
