@@ -53,9 +53,13 @@ def _standardize(windows: DataFrame, key: str, dim: int) -> tuple[DataFrame, Dat
     return fit_z, q_z
 
 
-def _dist(zq, zf):
-    sq = F.zip_with(zq, zf, lambda a, b: (a - b) * (a - b))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
+def _dist(zq, zf, dim: int):
+    """Euclidean distance as plain arithmetic (whole-stage codegen; array HOFs are interpreted)."""
+    total = None
+    for i in range(1, dim + 1):
+        d = F.element_at(zq, i) - F.element_at(zf, i)
+        total = d * d if total is None else total + d * d
+    return F.sqrt(total)
 
 
 def _top_k(cand: DataFrame, key: str, k: int) -> DataFrame:
@@ -88,7 +92,7 @@ def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOU
             .select(key, "cell", "fid", "z", "y_f")
         base = F.floor(F.col("pq") / h).cast("long")
         qc = pending.join(width, [key]).withColumn("cell", F.explode(F.array(base - 1, base, base + 1)))
-        cand = qc.join(fc, [key, "cell"]).withColumn("dist", _dist(F.col("zq"), F.col("z")))
+        cand = qc.join(fc, [key, "cell"]).withColumn("dist", _dist(F.col("zq"), F.col("z"), dim))
         top = materialize(_top_k(cand, key, k).select(*cols, "n_cand", "n_fit", "h"))
         stat = top.groupBy(*q).agg(F.max("dist").alias("d_k"), F.first("n_cand").alias("n_cand"),
                                    F.first("n_fit").alias("n_fit"), F.first("h").alias("h"))
@@ -101,7 +105,7 @@ def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOU
         width = materialize(width.join(bound, [key], "left").select(
             key, F.greatest(F.col("h") * F.lit(8.0), F.coalesce("ub", F.lit(0.0))).alias("h")))
     # Leftovers (queries that never saw k candidates): compare with every fit window of their key.
-    rest = pending.join(fit_z.drop("n_fit", "p"), [key]).withColumn("dist", _dist(F.col("zq"), F.col("z")))
+    rest = pending.join(fit_z.drop("n_fit", "p"), [key]).withColumn("dist", _dist(F.col("zq"), F.col("z"), dim))
     done.append(_top_k(rest, key, k).select(*cols))
     out = done[0]
     for d in done[1:]:
