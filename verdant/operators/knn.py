@@ -41,11 +41,13 @@ def _standardize(windows: DataFrame, key: str, dim: int) -> tuple[DataFrame, Dat
                                             .otherwise(s)).alias("sd"), "n_fit")
 
     def z(df):
+        # Plain arithmetic per dimension (codegen) rather than array higher-order functions.
         j = df.join(mom, [key])
-        zz = F.transform(F.arrays_zip(F.col("x").alias("a"), F.col("mu").alias("b"), F.col("sd").alias("c")),
-                         lambda t: (t["a"] - t["b"]) / t["c"])
-        return j.withColumn("z", zz).withColumn(
-            "p", F.aggregate("z", F.lit(0.0), lambda acc, v: acc + v) / F.lit(math.sqrt(dim)))
+        parts = [(F.element_at("x", i) - F.element_at("mu", i)) / F.element_at("sd", i) for i in range(1, dim + 1)]
+        total = parts[0]
+        for p_ in parts[1:]:
+            total = total + p_
+        return j.withColumn("z", F.array(*parts)).withColumn("p", total / F.lit(math.sqrt(dim)))
 
     fit_z = z(fit).select(key, F.col("_pos").alias("fid"), "z", "p", F.col("y").alias("y_f"), "n_fit")
     q_z = z(scored_rows(windows)).select(key, *QKEY, F.col("y").alias("y_q"), F.col("z").alias("zq"),

@@ -85,6 +85,15 @@ def _vectorize(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector("x"))
 
 
+def dot_product(a: Column, b: Column, dim: int) -> Column:
+    """sum(a[i] * b[i]) as plain arithmetic (whole-stage codegen; array HOFs are interpreted)."""
+    total = None
+    for i in range(1, dim + 1):
+        t = F.element_at(a, i) * F.element_at(b, i)
+        total = t if total is None else total + t
+    return total
+
+
 def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32,
                      n_keys: int | None = None) -> DataFrame:
     """M1 fit: least squares with intercept on the fit windows of every key, via TSQR.
@@ -101,8 +110,7 @@ def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32,
     fit = windows.filter(F.col("is_fit")).select(key, "x", "y")
     means = fit.groupBy(key).agg(
         F.array(*[F.avg(F.element_at("x", i + 1)) for i in range(dim)]).alias("xm"), F.avg("y").alias("ym"))
-    centred = join_small(fit, means, [key], "inner", n_keys).select(
-        key, F.zip_with("x", "xm", lambda a, b: a - b).alias("xc"), (F.col("y") - F.col("ym")).alias("yc"))
+    centred = join_small(fit, means, [key], "inner", n_keys).select(key, "x", "y", "xm", "ym")
     out_schema = f"{key} string, part long, r array<double>"
 
     # Task-side helpers are closures (shipped by value): workers need no package import.
@@ -115,7 +123,8 @@ def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32,
         acc: dict = {}
         for pdf in batches:
             for kv, g in pdf.groupby(key, sort=False):
-                a = np.column_stack([np.vstack(g["xc"].to_numpy()), g["yc"].to_numpy()])
+                xm, ym = np.asarray(g["xm"].iloc[0]), float(g["ym"].iloc[0])
+                a = np.column_stack([np.vstack(g["x"].to_numpy()) - xm, g["y"].to_numpy() - ym])
                 acc[kv] = _qr_rows([acc[kv], a], width) if kv in acc else _qr_rows([a], width)
         part = TaskContext.get().partitionId()
         yield pd.DataFrame({key: list(acc), "part": [part] * len(acc),
@@ -144,7 +153,7 @@ def ols_forecast(windows: DataFrame, key: str, dim: int, n_keys: int | None = No
     """M1: linear regression on the flattened window, scored on validation and test windows."""
     params = ols_coefficients(windows, key, dim, n_keys=n_keys)
     rows = join_small(scored_rows(windows), params, [key], "left", n_keys)
-    dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    dot = dot_product(F.col("x"), F.col("coef"), dim)
     return _long(rows, key, "linear_regression", F.col("intercept") + dot)
 
 
