@@ -53,7 +53,13 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequen
         return long.groupBy(*keys).agg(*[
             F.percentile_approx("value", p, 100000).alias(quantile_name(p)) for p in probs])
     limit = SINGLE_TASK_VALUES if single_task_values is None else single_task_values
-    bound = size_hint if size_hint is not None else group_size_bound(long, keys)
+    # A group's row count bounds the values of each of its columns: measure on the input.
+    if size_hint is not None:
+        bound = size_hint
+    elif group_cols:
+        bound = group_size_bound(df, group_cols)
+    else:
+        bound = df.count()
     if bound <= limit:
         q = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
         agg = long.groupBy(*keys).agg(q.alias("_q"))
