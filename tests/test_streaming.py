@@ -27,3 +27,15 @@ def test_incremental_refresh_processes_only_new_files(spark):
     assert run_once() == first                       # nothing new: nothing processed
     shutil.copy(os.path.join(SF001, "events.parquet"), os.path.join(src, "events_2.parquet"))
     assert run_once() == 2 * first                   # only the new file is added
+
+
+@needs(SF001)
+def test_stream_dedupe_keeps_one_row_per_key_and_hour(spark):
+    import __spark_entry__ as E
+    from pyspark.sql import functions as F
+    got = E.queries()["stream_dedupe"](spark, SF001)
+    ev = spark.read.parquet(os.path.join(SF001, "events.parquet"))
+    expected = ev.select("event_type", F.date_trunc("hour", "ts").alias("h")).distinct().count()
+    assert got.count() == expected
+    per = got.groupBy("crop_type", F.date_trunc("hour", "ts")).count()
+    assert per.filter("count > 1").count() == 0
