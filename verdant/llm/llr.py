@@ -1,6 +1,7 @@
 """Quality rules by hashed n-gram log-likelihood ratio; DataFrame functions only.
 
-Words and word pairs are hashed into ``buckets``.  Two smoothed multinomials are
+Words, word pairs and word shapes (letters and digits blanked) are hashed into
+``buckets``.  Two smoothed multinomials are
 counted over all documents: raw (every document) and trusted (documents whose
 ``labels.quality`` is 1).  A document's score is the sum of
 ln(p_trusted / p_raw) over its n-grams divided by their number.  Weights are whole
@@ -26,20 +27,26 @@ from pyspark.sql import functions as F
 from .common import SPACE, cut, let, read, words
 
 BUCKETS = 1 << 16
-THRESHOLD = -60_000  # millionths of a nat per n-gram
+THRESHOLD = -300_000  # millionths of a nat per n-gram
 SMOOTHING = 1.0
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
 
-def hashed_grams(w: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of the words and of the pairs of neighbouring words."""
+def shapes(text: Column) -> Column:
+    """The words with every run of letters and digits written as ``a``: what surrounds them stays."""
+    return words(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{L}\p{N}]+", "a"))
+
+
+def hashed_grams(w: Column, shape: Column, buckets: int = BUCKETS) -> Column:
+    """Buckets of the words, of the pairs of neighbouring words and of the word shapes."""
     single = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
     pairs = F.when(F.size(w) > 1, F.transform(
         F.sequence(F.lit(0), F.size(w) - 2),
         lambda i: F.pmod(F.xxhash64(F.get(w, i), F.get(w, i + 1)), F.lit(buckets)).cast("int")))
-    return F.concat(single, F.coalesce(pairs, F.array().cast("array<int>")))
+    outline = F.transform(shape, lambda x: F.pmod(F.xxhash64(F.lit(0), x), F.lit(buckets)).cast("int"))
+    return F.concat(single, outline, F.coalesce(pairs, F.array().cast("array<int>")))
 
 
 def repeated_words(w: Column, size: int = WINDOW) -> Column:
@@ -60,9 +67,9 @@ def repeated_words(w: Column, size: int = WINDOW) -> Column:
 
 
 def measures(docs: DataFrame, keep: list[Column], text: str = "text") -> DataFrame:
-    """``keep`` and, for every whole text: the words ``w`` and the counts of the base rules."""
+    """``keep`` and, for every whole text: words ``w``, shapes ``shape`` and the counts of the base rules."""
     t = F.coalesce(F.col(text), F.lit(""))
-    d = docs.select(*keep, t.alias("_t"), words(t).alias("w"))
+    d = docs.select(*keep, t.alias("_t"), words(t).alias("w"), shapes(t).alias("shape"))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     return d.select(
         *[c for c in d.columns if c != "_t"], F.size("w").cast("long").alias("n_words"),
@@ -75,8 +82,9 @@ def measures(docs: DataFrame, keep: list[Column], text: str = "text") -> DataFra
 def gram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """(bucket, weight): millionths of ln(p_trusted / p_raw), from counts over all documents."""
     ids = trusted.filter("doc_id is not null").select("doc_id").distinct().withColumn("trusted", F.lit(1)).hint("shuffle_hash")
-    d = docs.select("doc_id", "text").join(ids, "doc_id", "left").select(words(F.col("text")).alias("w"), "trusted")
-    counts = d.select(F.explode(hashed_grams(F.col("w"), buckets)).alias("bucket"), "trusted").groupBy("bucket").agg(
+    d = docs.select("doc_id", "text").join(ids, "doc_id", "left").select(
+        words(F.col("text")).alias("w"), shapes(F.col("text")).alias("shape"), "trusted")
+    counts = d.select(F.explode(hashed_grams(F.col("w"), F.col("shape"), buckets)).alias("bucket"), "trusted").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("trust"))
     counts = cut(counts)
     n = counts.agg(F.sum("raw").alias("raw"), F.sum("trust").alias("trust")).first()  # one row
@@ -97,10 +105,10 @@ def judge(docs: DataFrame, weights: DataFrame, threshold: int = THRESHOLD, bucke
     for bucket, weight in weights.toLocalIterator():  # ``buckets`` numbers, whatever the corpus
         table[bucket] = weight
     weight_of = F.from_json(F.lit(json.dumps(table)), "array<long>")  # folded to one literal
-    m = measures(docs, [F.col("doc_id")]).withColumn("grams", hashed_grams(F.col("w"), buckets))
+    m = measures(docs, [F.col("doc_id")]).withColumn("grams", hashed_grams(F.col("w"), F.col("shape"), buckets))
     total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, g: a + F.get(weight_of, g))
     scored = m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      F.size("grams").alias("n"), total.alias("total"))
+                      F.size("grams").cast("long").alias("n"), total.alias("total"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),

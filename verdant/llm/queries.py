@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import chat, llr, mixing
 
 QUERIES = {
     "op1_chat_formatting": chat,
+    "op2_likelihood_rules": llr,
+    "op6_source_mix": mixing,
 }
 
 
