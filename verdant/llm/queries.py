@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, llr, mixing
+from . import bpe, chat, llr, mixing, topk
 
 QUERIES = {
     "op1_chat_formatting": chat,
     "op2_likelihood_rules": llr,
+    "op5_byte_pairs": bpe,
     "op6_source_mix": mixing,
+    "op8_threshold_top_k": topk,
 }
 
 
