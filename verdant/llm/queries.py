@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, llr, mixing, topk
+from . import bpe, chat, jaccard, llr, mixing, suffix, topk
 
 QUERIES = {
     "op1_chat_formatting": chat,
     "op2_likelihood_rules": llr,
     "op5_byte_pairs": bpe,
     "op6_source_mix": mixing,
+    "op7_jaccard_join": jaccard,
     "op8_threshold_top_k": topk,
+    "op9_suffix_dedup": suffix,
 }
 
 
