@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jaccard, llr, mixing, suffix, topk
+from . import bpe, chat, jaccard, llr, mixing, pii, suffix, topk
 
 QUERIES = {
     "op1_chat_formatting": chat,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_jaccard_join": jaccard,
     "op8_threshold_top_k": topk,
     "op9_suffix_dedup": suffix,
+    "op10_surrogates": pii,
 }
 
 
