@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jaccard, llr, mixing, pii, suffix, topk
+from . import bpe, chat, jaccard, llr, mixing, neighbours, pii, suffix, topk
 
 QUERIES = {
     "op1_chat_formatting": chat,
     "op2_likelihood_rules": llr,
+    "op4_neighbour_quality": neighbours,
     "op5_byte_pairs": bpe,
     "op6_source_mix": mixing,
     "op7_jaccard_join": jaccard,
