@@ -39,19 +39,24 @@ def shapes(text: Column) -> Column:
     return words(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{L}\p{N}]+", "a"))
 
 
-def hashed_grams(w: Column, shape: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of the words, of the pairs of neighbouring words and of the word shapes."""
-    single = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
-    pairs = F.when(F.size(w) > 1, F.transform(
-        F.sequence(F.lit(0), F.size(w) - 2),
-        lambda i: F.pmod(F.xxhash64(F.get(w, i), F.get(w, i + 1)), F.lit(buckets)).cast("int")))
-    outline = F.transform(shape, lambda x: F.pmod(F.xxhash64(F.lit(0), x), F.lit(buckets)).cast("int"))
-    return F.concat(single, outline, F.coalesce(pairs, F.array().cast("array<int>")))
+def gram_hashes(d: DataFrame) -> DataFrame:
+    """``d`` with 64-bit hashes of its words ``w`` and shapes ``shape``: ``singles``, ``pairs`` and ``outlines``."""
+    d = d.withColumn("singles", F.transform("w", lambda x: F.xxhash64(x)))
+    neighbours = F.transform(F.slice("singles", 2, F.greatest(F.size("singles") - 1, F.lit(0))),
+                             lambda x, i: F.xxhash64(F.get("singles", i), x))
+    return d.withColumn("pairs", neighbours).withColumn("outlines", F.transform("shape", lambda x: F.xxhash64(F.lit(0), x)))
 
 
-def repeated_words(w: Column, size: int = WINDOW) -> Column:
-    """Words inside windows of ``size`` words that stand twice or more in the text, the first included."""
-    windows = F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
+def bucket_of(gram: Column, buckets: int) -> Column:
+    if buckets & (buckets - 1):
+        raise ValueError("the number of buckets is a power of two")
+    return gram.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int")
+
+
+def repeated_words(singles: Column, pairs: Column, size: int = WINDOW) -> Column:
+    """Words inside windows of five words that stand twice or more in the text, the first included."""
+    windows = F.transform(F.slice(singles, size, F.greatest(F.size(singles) - (size - 1), F.lit(0))),
+                          lambda last, i: F.xxhash64(F.get(pairs, i), F.get(pairs, i + 2), last))
 
     def covered(hashes: Column) -> Column:
         ranked = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
@@ -63,28 +68,29 @@ def repeated_words(w: Column, size: int = WINDOW) -> Column:
                            lambda a, at: F.struct(at.alias("last"), (a["n"] + F.least(F.lit(size), at - a["last"])).alias("n")))
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(gone["n"])
 
-    return F.when(F.size(w) <= size, F.lit(0)).otherwise(let(windows, covered))
+    return F.when(F.size(singles) <= size, F.lit(0)).otherwise(let(windows, covered))
 
 
 def measures(docs: DataFrame, keep: list[Column], text: str = "text") -> DataFrame:
-    """``keep`` and, for every whole text: words ``w``, shapes ``shape`` and the counts of the base rules."""
+    """``keep`` and, for every whole text: gram hashes and the counts of the base rules."""
     t = F.coalesce(F.col(text), F.lit(""))
-    d = docs.select(*keep, t.alias("_t"), words(t).alias("w"), shapes(t).alias("shape"))
+    d = gram_hashes(docs.select(*keep, t.alias("_t"), words(t).alias("w"), shapes(t).alias("shape")))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     return d.select(
-        *[c for c in d.columns if c != "_t"], F.size("w").cast("long").alias("n_words"),
+        *[c for c in d.columns if c not in ("_t", "w", "shape")], F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("_t", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("w")).cast("long").alias("n_repeat_words"))
+        repeated_words(F.col("singles"), F.col("pairs")).cast("long").alias("n_repeat_words"))
 
 
 def gram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """(bucket, weight): millionths of ln(p_trusted / p_raw), from counts over all documents."""
     ids = trusted.filter("doc_id is not null").select("doc_id").distinct().withColumn("trusted", F.lit(1)).hint("shuffle_hash")
-    d = docs.select("doc_id", "text").join(ids, "doc_id", "left").select(
-        words(F.col("text")).alias("w"), shapes(F.col("text")).alias("shape"), "trusted")
-    counts = d.select(F.explode(hashed_grams(F.col("w"), F.col("shape"), buckets)).alias("bucket"), "trusted").groupBy("bucket").agg(
+    d = gram_hashes(docs.select("doc_id", "text").join(ids, "doc_id", "left").select(
+        words(F.col("text")).alias("w"), shapes(F.col("text")).alias("shape"), "trusted"))
+    counts = d.select(F.explode(F.concat("singles", "pairs", "outlines")).alias("gram"), "trusted").groupBy(
+        bucket_of(F.col("gram"), buckets).alias("bucket")).agg(
         F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("trust"))
     counts = cut(counts)
     n = counts.agg(F.sum("raw").alias("raw"), F.sum("trust").alias("trust")).first()  # one row
@@ -105,10 +111,12 @@ def judge(docs: DataFrame, weights: DataFrame, threshold: int = THRESHOLD, bucke
     for bucket, weight in weights.toLocalIterator():  # ``buckets`` numbers, whatever the corpus
         table[bucket] = weight
     weight_of = F.from_json(F.lit(json.dumps(table)), "array<long>")  # folded to one literal
-    m = measures(docs, [F.col("doc_id")]).withColumn("grams", hashed_grams(F.col("w"), F.col("shape"), buckets))
-    total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, g: a + F.get(weight_of, g))
-    scored = m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      F.size("grams").cast("long").alias("n"), total.alias("total"))
+    kinds = ("singles", "pairs", "outlines")
+    total = sum((F.aggregate(k, F.lit(0).cast("long"), lambda a, g: a + F.get(weight_of, bucket_of(g, buckets)))
+                 for k in kinds), F.lit(0))
+    scored = measures(docs, [F.col("doc_id")]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        sum((F.size(k).cast("long") for k in kinds), F.lit(0)).alias("n"), total.alias("total"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
