@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jaccard, llr, mixing, neighbours, pii, suffix, topk
+import corpus_pipeline
+
+from . import bpe, chat, jaccard, llr, mixing, neighbours, pii, suffix, topk, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat,
     "op2_likelihood_rules": llr,
+    "op3_toxicity_trees": toxicity,
     "op4_neighbour_quality": neighbours,
     "op5_byte_pairs": bpe,
     "op6_source_mix": mixing,
@@ -18,8 +21,9 @@ QUERIES = {
 
 
 def queries():
-    return {name: module.query for name, module in QUERIES.items()}
+    return {name: module.query for name, module in QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: module.SQL for name, module in QUERIES.items() if getattr(module, "SQL", None)}
+    found = {name: module.SQL for name, module in QUERIES.items() if getattr(module, "SQL", None)}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
