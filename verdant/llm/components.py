@@ -17,7 +17,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # cut, so that the join reads two plain shuffles and Spark can split a hot node
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.join(least, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = cut(large)
         low = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -45,7 +45,7 @@ def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most: i
     """(bands, rows) with the most rows a band, for the fewest chance candidates, that reach the recall."""
     found = None
     for rows in range(1, most + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
+        bands = math.ceil(math.log1p(-recall) / math.log1p(-threshold ** rows))
         if bands * rows <= most:
             found = bands, rows
     if not found:
@@ -158,7 +158,8 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SH
 
     short = F.xxhash64("set_key").alias("node")
     buckets = classes.select(short, F.explode("bands").alias("bucket"))
-    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top")
+    # cut, so that the join below reads two plain shuffles and a hot bucket can be split
+    hubs = cut(buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top"))
     stars = buckets.join(hubs, "bucket").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     groups = cut(connected_components(stars))
     sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))

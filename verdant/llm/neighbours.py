@@ -12,7 +12,7 @@ nearest vote with their label, weighted by similarity to the power ``SHARPNESS``
 
 Only the sample is bounded.  Labels of the held-out fold are never read.
 
-Defined cases: null, empty and other texts without a term have score 0; with no
+Defined cases: null, empty and other texts without words have score 0; with no
 labels every score is 0.5, with one class its label; several labels of an id
 count as the largest; a null id is in the fold that its empty text gives; repeated rows
 get equal scores; an empty table gives no rows; extra columns are ignored.
@@ -42,18 +42,19 @@ REPEAT_WEIGHT = (40.0, 10.0)
 
 
 def term_counts(text: str | None) -> np.ndarray:
-    """Term weights of one whole text; all zero for an empty one."""
+    """Term weights of one whole text; all zero for one without words."""
     data = as_bytes(text)
     out = np.zeros(TERMS, dtype=np.float32)
+    w = word_hashes(data)
+    if not len(w):
+        return out
     b = np.frombuffer(data, dtype=np.uint8).astype(np.uint32)
     if len(b) >= 3:
         code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
         code = (code * np.uint32(2654435761)) >> np.uint32(32 - TRIGRAM_BITS)
         out[:-2] = np.log1p(np.bincount(code, minlength=1 << TRIGRAM_BITS))
-    w = word_hashes(data)
-    if len(w):
-        again = np.count_nonzero(w[1:] == w[:-1]), len(w) - len(np.unique(w))
-        out[-2:] = np.array(again) / len(w) * REPEAT_WEIGHT
+    again = np.count_nonzero(w[1:] == w[:-1]), len(w) - len(np.unique(w))
+    out[-2:] = np.array(again) / len(w) * REPEAT_WEIGHT
     return out
 
 
