@@ -37,7 +37,7 @@ def corpus():
             "shared-prefix-" + p[10:412] + "R" + p[:399], prose(rng, 150), prose(rng, 150), p[:399] + "!", "?" + p[1:400]]
 
 
-@pytest.mark.parametrize("hot", [20_000, 1])
+@pytest.mark.parametrize("hot", [8192, 1])
 def test_equals_brute_force(spark, hot):
     texts = corpus()
     got = {r.doc_id: tuple(r)[1:] for r in run(documents(spark, texts), hot=hot)}

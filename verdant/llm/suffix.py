@@ -15,10 +15,12 @@ A byte goes if a 400-byte string that covers it starts anywhere else too.
    then verified byte by byte.  A window that starts ``o`` bytes before its anchor
    is repeated iff two contexts agree on ``o`` bytes to the left and on the rest
    to the right, that is, share both classes that these extensions cut.
-4. A gram with over ``HOT`` distinct contexts is not gathered: its windows are
-   hashed and counted with partial aggregates instead (the same answer).
+4. A gram with over ``HOT`` distinct contexts is not gathered.  Its window offsets
+   are cut into runs of ``RUN``; the bytes that all windows of a run share are hashed
+   and counted with partial aggregates, which rules most runs out; those that they
+   span, which settles whole runs; and the windows of the rest (the same answer).
 
-Texts are matched by a 128-bit content key; a text that stands twice is repeated
+Texts are matched by a 96-bit content key; a text that stands twice is repeated
 as a whole.  Matches never cross documents; windows are judged on the input.
 
 Defined cases: null text is empty; texts under 400 bytes keep everything; long
@@ -41,7 +43,8 @@ from .common import _MULTIPLIER, PrefixHash, as_bytes, cut, mix, powers, read
 
 LENGTH = 400
 GRAM = 64
-HOT = 20_000
+HOT = 8192
+RUN = 16
 PIECE = 1 << 19
 BATCH = 4096
 KEY = ["t1", "t2"]
@@ -49,7 +52,7 @@ KEY = ["t1", "t2"]
 
 def content_key(text) -> list:
     t = F.coalesce(text, F.lit(""))
-    return [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2")]
+    return [F.xxhash64(t).alias("t1"), F.hash(F.lit(1), t).alias("t2")]
 
 
 def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
@@ -85,32 +88,28 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
 
 
 def _find(length: int, gram: int):
+    """Anchors of whole texts; ``place`` packs t2 (high half) and the position."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out, rows, size = [], [], 0
+            out, size = [], 0
             for t1, t2, text in zip(batch["t1"], batch["t2"], batch["text"]):
                 pos, key, context = anchors(np.frombuffer(as_bytes(text), dtype=np.uint8), length, gram)
-                out.append((pos.astype(np.int32), key.view(np.int64), context.view(np.int64)))
-                rows.append((t1, t2, len(pos)))
+                out.append((np.full(len(pos), t1, dtype=np.int64), (np.int64(t2) << 32) + pos, key.view(np.int64),
+                            context.view(np.int64)))
                 size += len(pos)
                 if size > 100_000:
-                    yield _anchor_frame(out, rows)
-                    out, rows, size = [], [], 0
+                    yield pd.DataFrame(dict(zip(("t1", "place", "gram", "context"), map(np.concatenate, zip(*out)))))
+                    out, size = [], 0
             if size:
-                yield _anchor_frame(out, rows)
+                yield pd.DataFrame(dict(zip(("t1", "place", "gram", "context"), map(np.concatenate, zip(*out)))))
     return run
 
 
-def _anchor_frame(out, rows) -> pd.DataFrame:
-    t1, t2, n = zip(*rows)
-    pos, gram, context = (np.concatenate(x) for x in zip(*out))
-    return pd.DataFrame({"t1": np.repeat(t1, n), "t2": np.repeat(t2, n), "gram": gram, "context": context, "pos": pos})
-
-
 def _contexts(length: int, gram: int):
     """The bytes to the right of each wanted anchor, itself included, and those to the left of it."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set = set()  # texts of this partition; copies need no second reading
+        names = ["gram", "context", "crowded", "before", "after"]
         for batch in batches:
             rows = []
             for t1, t2, text, wanted in zip(batch["t1"], batch["t2"], batch["text"], batch["wanted"]):
@@ -120,12 +119,12 @@ def _contexts(length: int, gram: int):
                 data = as_bytes(text)
                 for w in wanted:
                     p = w["pos"]
-                    rows.append((w["gram"], w["context"], data[max(0, p - (length - gram)):p], data[p:p + length]))
+                    rows.append((w["gram"], w["context"], w["crowded"], data[max(0, p - (length - gram)):p], data[p:p + length]))
                     if len(rows) >= 20_000:
-                        yield pd.DataFrame(rows, columns=["gram", "context", "before", "after"])
+                        yield pd.DataFrame(rows, columns=names)
                         rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=["gram", "context", "before", "after"])
+                yield pd.DataFrame(rows, columns=names)
     return run
 
 
@@ -275,17 +274,68 @@ def _chunks(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         at = end
 
 
-def _hash_windows(length: int, gram: int):
+def _cores(length: int, gram: int):
+    """Per run of ``RUN`` window offsets: the bytes that all its windows share, and those that they span."""
+    first = np.arange(0, length - gram + 1, RUN)
+    last = np.minimum(first + RUN - 1, length - gram)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out = []
             for g, c, before, after in zip(batch["gram"], batch["context"], batch["before"], batch["after"]):
+                at, end = len(before), len(before) + len(after)
+                sums = PrefixHash(np.frombuffer(before + after, dtype=np.uint8))
+                has = (first <= at) & (at + length - last <= end)
+                lo, hi = first[has], last[has]
+                whole = (hi <= at) & (at + length - lo <= end)
+                span = sums.of(np.maximum(at - hi, 0), np.minimum(at + length - lo, end))
+                out.append((np.full(len(lo), g), np.full(len(lo), c), lo.astype(np.int32),
+                            mix(sums.of(at - lo, at + length - hi)).view(np.int64), mix(span).view(np.int64), whole))
+            if out:
+                yield pd.DataFrame(dict(zip(("gram", "context", "lo", "core", "span", "whole"), map(np.concatenate, zip(*out)))))
+    return run
+
+
+def _hash_windows(length: int, gram: int):
+    """Hashes of the windows in the wanted runs of offsets."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for g, c, before, after, runs in zip(batch["gram"], batch["context"], batch["before"], batch["after"], batch["runs"]):
+                at, end = len(before), len(before) + len(after)
                 sums = PrefixHash(np.frombuffer(before + after, dtype=np.uint8))
-                start = np.arange(len(before) + len(after) - length + 1)
-                o = (len(before) - start).astype(np.int32)
-                yield pd.DataFrame({"gram": g, "context": c, "o": o, "window": mix(sums.of(start, start + length)).view(np.int64)})
+                o = np.concatenate([np.arange(lo, min(lo + RUN, length - gram + 1)) for lo in runs])
+                o = o[(o <= at) & (at + length - o <= end)]
+                out.append((np.full(len(o), g), np.full(len(o), c), o.astype(np.int32),
+                            mix(sums.of(at - o, at - o + length)).view(np.int64)))
+            if out:
+                yield pd.DataFrame(dict(zip(("gram", "context", "o", "window"), map(np.concatenate, zip(*out)))))
     return run
 
 
+def _crowded_spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Repeated windows of grams with very many contexts, from counts of hashes only."""
+    width = length - gram + 1
+    runs = cut(contexts.mapInPandas(_cores(length, gram), "gram long, context long, lo int, core long, span long, whole boolean"))
+
+    def twice(df: DataFrame, *keys: str) -> DataFrame:  # cut, so that a join with it can be split
+        return cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("least")).filter("n > 1").drop("n"))
+    cores = twice(runs, "gram", "lo", "core").drop("least")  # else no window of the run stands twice
+    spans = twice(runs.filter("whole"), "gram", "lo", "span")  # all its windows do
+    open_ = cut(runs.join(cores, ["gram", "lo", "core"]).join(spans, ["gram", "lo", "span"], "left").select(
+        "gram", "context", "lo", (F.col("whole") & F.col("least").isNotNull()).alias("all"),
+        F.col("least").eqNullSafe(F.col("context")).alias("stands_in")))
+    last = F.least(F.col("lo") + (RUN - 1), F.lit(width - 1))
+    resolved = open_.filter("all").select("gram", "context", (-last).alias("begin"), (length - F.col("lo")).alias("end"))
+    # One context of each settled span shows its windows to those that are not settled.
+    wanted = open_.filter("not all or stands_in").groupBy("gram", "context").agg(F.collect_list("lo").alias("runs"))
+    windows = cut(contexts.join(wanted, ["gram", "context"]).mapInPandas(
+        _hash_windows(length, gram), "gram long, context long, o int, window long"))
+    single = windows.join(twice(windows, "gram", "o", "window").drop("least"), ["gram", "o", "window"]).select(
+        "gram", "context", (-F.col("o")).alias("begin"), (length - F.col("o")).alias("end"))
+    return resolved.unionByName(single)
+
+
 def _remove(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -314,34 +364,53 @@ def _remove(length: int):
     return run
 
 
+def _unpack(place: str) -> list:
+    return [F.shiftright(place, 32).cast("int").alias("t2"), F.col(place).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos")]
+
+
+def _merge(spans):
+    """Sorted spans with overlapping and touching ones joined."""
+    def add(done, x):
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.struct(last["begin"].alias("begin"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when((F.size(done) > 0) & (x["begin"] <= last["end"]), F.concat(
+            F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(x)))
+    return F.aggregate(spans, F.array().cast("array<struct<begin:int,end:int>>"), add)
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte spans."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *content_key(F.col("text")))
-    found = cut(source.mapInPandas(_find(length, gram), "t1 long, t2 long, gram long, context long, pos int").distinct())
+    anchored = source.select("text", *KEY).mapInPandas(_find(length, gram), "t1 long, place long, gram long, context long")
+    # Eight bytes an anchor first: only grams that stand twice, copies of a text included, go on.
+    often = anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # Dealt anew by all columns, so that the join may be split where one gram is very common.
+    found = anchored.join(cut(often).hint("shuffle_hash"), "gram", "left_semi").repartition("t1", "place", "gram", "context")
+    found = cut(found.distinct())
     classes = cut(found.groupBy("gram", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.first("t1").alias("t1"), F.first("t2").alias("t2"), F.first("pos").alias("pos")))
-    grams = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
-    mixed = classes.join(grams, "gram")
-
-    wanted = mixed.groupBy(*KEY).agg(F.collect_list(F.struct("gram", "context", "pos")).alias("wanted"))
-    reach = "gram long, context long, before binary, after binary"
-    read_in = source.select("text", *KEY).join(wanted.hint("shuffle_hash"), KEY).mapInPandas(_contexts(length, gram), reach)
-    read_in = cut(read_in)
-    crowded = cut(grams.filter(F.col("contexts") > hot).select("gram"))
-    calm = read_in.join(crowded, "gram", "left_anti")
-    spans = calm.repartition("gram").sortWithinPartitions("gram").mapInPandas(
+        F.count(F.lit(1)).alias("n"), F.first("t1").alias("t1"), F.first("place").alias("place")))
+    grams = cut(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1"))
+    mixed = cut(classes.join(grams, "gram").select(
+        "gram", "context", "t1", *_unpack("place"), (F.col("contexts") > hot).alias("crowded")))
+
+    wanted = mixed.groupBy(*KEY).agg(F.collect_list(F.struct("gram", "context", "pos", "crowded")).alias("wanted"))
+    read_in = source.select("text", *KEY).join(wanted.hint("shuffle_hash"), KEY).mapInPandas(
+        _contexts(length, gram), "gram long, context long, crowded boolean, before binary, after binary")
+    crowds = not mixed.filter("crowded").isEmpty()
+    if crowds:
+        read_in = cut(read_in)  # two readers
+    spans = read_in.filter("not crowded").repartition("gram").sortWithinPartitions("gram").mapInPandas(
         _compare(length, gram), "gram long, context long, begin int, end int")
-    windows = read_in.join(crowded, "gram", "left_semi").mapInPandas(
-        _hash_windows(length, gram), "gram long, context long, o int, window long").distinct()
-    twice = windows.groupBy("gram", "o", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    counted = windows.join(twice, ["gram", "o", "window"]).select(
-        "gram", "context", (-F.col("o")).alias("begin"), (F.lit(length) - F.col("o")).alias("end"))
+    if crowds:
+        spans = spans.unionByName(_crowded_spans(read_in.filter("crowded").dropDuplicates(["gram", "context"]), length, gram))
     equal = classes.filter("n > 1").select("gram", "context", F.lit(gram - length).alias("begin"), F.lit(length).alias("end"))
-    spans = spans.unionByName(counted).unionByName(equal)
+    spans = spans.unionByName(equal)
 
-    by_text = found.join(spans, ["gram", "context"]).select(
-        *KEY, (F.col("pos") + F.col("begin")).alias("begin"), (F.col("pos") + F.col("end")).alias("end"))
-    by_text = by_text.groupBy(*KEY).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    # One row per context, its overlapping spans joined, before they meet the occurrences.
+    merged = spans.groupBy("gram", "context").agg(_merge(F.sort_array(F.collect_set(F.struct("begin", "end")))).alias("spans"))
+    by_text = found.join(merged, ["gram", "context"]).select("t1", *_unpack("place"), "spans").select(*KEY, F.transform(
+        "spans", lambda s: F.struct((F.col("pos") + s["begin"]).alias("begin"), (F.col("pos") + s["end"]).alias("end"))).alias("spans"))
+    by_text = by_text.groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     copies = source.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"))
     known = copies.join(by_text, KEY, "left").filter("copies > 1 or spans is not null").hint("shuffle_hash")
     return source.join(known, KEY, "left").select("doc_id", "text", "spans", F.coalesce("copies", F.lit(1)).alias("copies")).mapInPandas(
