@@ -32,6 +32,9 @@ HEADLINE = [
     "crop_results",
     "linear_regression",
     "stream_window_counts",
+    "raw_ingest",
+    "bundle_rows",
+    "knn_forecast",
 ]
 
 

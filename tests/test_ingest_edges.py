@@ -2,8 +2,8 @@
 import os
 import tempfile
 
-import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from verdant.operators.clean import clean_dataset, missing_report
 from verdant.sources.ingest import alias_mapping, discover_files, load_sources, resolve_target
@@ -39,8 +39,8 @@ def raw_dir():
     return d
 
 
-def test_discovery_and_aliases(raw_dir):
-    files = discover_files([raw_dir, os.path.join(raw_dir, "missing.csv")])
+def test_discovery_and_aliases(spark, raw_dir):
+    files = discover_files(spark, ["file://" + raw_dir, os.path.join(raw_dir, "missing.csv")])
     assert [os.path.basename(f) for f in files] == ["a_tomato_sensor.csv", "b_mixed.csv",
                                                     "c_chilli_days.csv", "d_no_temperature.csv"]
     m = alias_mapping(["Recorded At", "Temp (C)", "RH", "class", "Temperature", "temp"])
@@ -72,3 +72,29 @@ def test_load_standardize_and_clean(spark, raw_dir):
     assert len(t) == 3                                     # bad time dropped, duplicate hour removed
     assert t["indoor_temperature_c"].notna().all()
     assert cleaned["soil_moisture_pct"].notna().all()     # all-null in other keys -> global median
+
+
+@pytest.mark.parametrize("text,want", [
+    ("03/15/2025", "2025-03-15 00:00:00"), ("3/5/2025 4:05", "2025-03-05 04:05:00"), ("15-03-2025 10:00", "2025-03-15 10:00:00"),
+    ("2025/03/15 10:00", "2025-03-15 10:00:00"), ("Mar 15, 2025", "2025-03-15 00:00:00"), ("20250315", "2025-03-15 00:00:00"),
+    ("2025-03-15T10:00:00", "2025-03-15 10:00:00"), ("15 March 2025 1:05 PM", "2025-03-15 13:05:00"), ("13/13/2025", None), ("soon", None)])
+def test_time_formats(spark, text, want):
+    from verdant.functions.values import lenient_timestamp
+    got = spark.createDataFrame([(text,)], "t string").select(lenient_timestamp(F.col("t")).cast("string")).first()[0]
+    assert got == want
+
+
+def test_files_of_one_header_are_one_scan(spark, tmp_path):
+    for i in range(12):
+        _write(str(tmp_path), f"okra_{i:02d}.csv", f"time,temp\n2025-01-{i + 1:02d} 00:00:00,{i}\n")
+    raw = load_sources(spark, [f"file://{tmp_path}"])
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    rows = raw.orderBy("timestamp").collect()
+    assert [r.indoor_temperature_c for r in rows] == list(range(12)) and {r.crop_type for r in rows} == {"ladysfinger"}
+    assert [r["_order"]["src"] for r in rows] == list(range(12))
+
+
+def test_dropped_rows_are_counted(spark, raw_dir):
+    from verdant.sources.ingest import dropped_rows
+    got = {r.crop_type: (r["rows"], r.dropped) for r in dropped_rows(load_sources(spark, [raw_dir])).collect()}
+    assert got["tomato"] == (5, 1) and got["okra"] == (2, 0)

@@ -26,12 +26,36 @@ def _brute(w, k=7):
 
 
 @needs(SF001)
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_knn_matches_brute_force(spark, rounds):
+@pytest.mark.parametrize("sizes", [{}, {"pivots": 5, "rings": 2, "cell_rows": 7}])
+def test_knn_matches_brute_force(spark, sizes):
     run = event_run(spark, SF001)
     w = run.windows
     exp = _brute(w.toPandas())
-    got = knn_forecast(w, "crop_type", 12, rounds=rounds).toPandas()
+    got = knn_forecast(w, "crop_type", 12, **sizes).toPandas()
     assert len(got) == len(exp)
     for _, r in got.iterrows():
         assert abs(r.yhat - exp[(r.crop_type, r.timestamp, r.split)]) < 1e-9
+
+
+def test_autocorrelated_series_need_few_pairs(spark):
+    """A slow wave with little noise: most cells are ruled out, and the answer stays exact."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from verdant.operators.knn import knn_neighbours
+    rng = np.random.default_rng(1)
+    n, dim = 4000, 6
+    wave = np.sin(np.arange(n + dim) / 40) + rng.normal(0, 0.002, n + dim)
+    x = np.stack([wave[i:i + dim] for i in range(n)])
+    pdf = pd.DataFrame({"crop_type": "a", "_pos": np.arange(n), "timestamp": pd.to_datetime(np.arange(n), unit="s"),
+                        "split": np.where(np.arange(n) < 3000, "train", "test"), "x": list(x), "y": wave[dim:],
+                        "is_fit": np.arange(n) < 3000, "is_val": False})
+    w = spark.createDataFrame(pdf).withColumn("_pos", F.col("_pos").cast("long"))
+    stats: dict = {}
+    got = knn_neighbours(w, "crop_type", dim, stats=stats).toPandas()
+    assert stats["all_pairs"] == 3000 * 1000 and stats["pairs"] < stats["all_pairs"] / 5
+    z = (x - x[:3000].mean(0)) / x[:3000].std(0)
+    for t in (3000, 3500, 3999):
+        d = np.sqrt(((z[:3000] - z[t]) ** 2).sum(1))
+        mine = got[got.timestamp == pdf.timestamp[t]].sort_values("dist")
+        assert np.allclose(mine["dist"], np.sort(d)[:7], atol=1e-9)

@@ -55,3 +55,16 @@ def test_forecast_identical_on_scale_paths(spark):
     wa = small.weights.toPandas().sort_values(["crop_type", "model"])["weight"].values
     wb = big.weights.toPandas().sort_values(["crop_type", "model"])["weight"].values
     assert abs(wa - wb).max() < 1e-12
+
+
+@needs(SF01)
+def test_quantile_paths_agree_exactly_and_split_equal_values(spark):
+    from verdant.operators.quantiles import cumulative_counts, exact_quantiles
+    li = read_table(spark, SF01, "lineitem").select("l_returnflag", "l_discount", "l_extendedprice")
+    cols, probs = ["l_discount", "l_extendedprice"], [0.01, 0.5, 0.99]
+    for groups in ([], ["l_returnflag"]):
+        pick = lambda limit: sorted(map(tuple, exact_quantiles(li, groups, cols, probs, single_task_values=limit).collect()))
+        assert pick(0) == pick(1 << 30)
+    long = li.select(F.lit("d").alias("column"), F.col("l_discount").alias("value"))
+    counted = cumulative_counts(long, ["column"], partitions=4)
+    assert counted.count() == 11 and counted.agg(F.sum("_count")).first()[0] == li.count()  # one row per value, however many rows share it

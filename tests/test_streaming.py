@@ -3,10 +3,14 @@ import os
 import shutil
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF001, needs
 from verdant.plans.forecast import EVENT_THRESHOLDS as T
 from verdant.sources.sinks import shared_path
-from verdant.streaming.control_stream import control_actions, event_stream
+from verdant.streaming.control_stream import (action_counts, control_actions, drain, event_stream, first_per_hour,
+                                               merge_counts)
 
 
 @needs(SF001)
@@ -29,13 +33,33 @@ def test_incremental_refresh_processes_only_new_files(spark):
     assert run_once() == 2 * first                   # only the new file is added
 
 
+def _pieces(spark, folder, n):
+    """The events, dealt at random over n files."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    table = pq.read_table(os.path.join(SF001, "events.parquet"))
+    order = np.random.default_rng(3).permutation(table.num_rows)
+    for i, part in enumerate(np.array_split(order, n)):
+        pq.write_table(table.take(pa.array(part)), os.path.join(folder, f"events_{i:03d}.parquet"))
+
+
 @needs(SF001)
-def test_stream_dedupe_keeps_one_row_per_key_and_hour(spark):
-    import __spark_entry__ as E
-    from pyspark.sql import functions as F
-    got = E.queries()["stream_dedupe"](spark, SF001)
-    ev = spark.read.parquet(os.path.join(SF001, "events.parquet"))
-    expected = ev.select("event_type", F.date_trunc("hour", "ts").alias("h")).distinct().count()
-    assert got.count() == expected
-    per = got.groupBy("crop_type", F.date_trunc("hour", "ts")).count()
-    assert per.filter("count > 1").count() == 0
+@pytest.mark.parametrize("files", [1, 60])
+def test_streams_equal_the_batch_answer_for_any_cut(spark, tmp_path, files):
+    limits = (T["low"], T["high"], T["spray"])
+    _pieces(spark, str(tmp_path), files)
+    batch = spark.read.parquet(os.path.join(SF001, "events.parquet")).select(
+        F.col("event_type").alias("crop_type"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("reading"), "event_id")
+
+    def stream():
+        schema = spark.read.parquet(os.path.join(SF001, "events.parquet")).schema
+        raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(str(tmp_path))
+        return raw.select(F.col("event_type").alias("crop_type"), F.col("ts").cast("timestamp").alias("ts"),
+                          F.col("value").alias("reading"), "event_id")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    counts = merge_counts(drain(stream(), "test-counts", lambda b: action_counts(b, *limits)))
+    assert same(counts, action_counts(batch, *limits))
+    assert counts.agg(F.sum("total_records")).first()[0] == batch.count()
+    firsts = first_per_hour(drain(stream(), "test-first", first_per_hour))
+    assert same(firsts, first_per_hour(batch))

@@ -8,7 +8,7 @@ results.  Tunables that only affect physical execution live in
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --------------------------------------------------------------------------
 # Fixed values (semantics): canonical columns and their accepted aliases, in
@@ -39,13 +39,14 @@ FILENAME_KEY_RULES: list[tuple[tuple[str, ...], str]] = [
 ]
 DEFAULT_KEY = "mixed_crop"
 UNKNOWN_KEY_SLUG = "unknown_crop"
-UNKNOWN_NAME_SLUG = "unknown"
 
 # Feature order used when selecting forecasting features.
 PREFERRED_FEATURES = [
     "canopy_temperature_c", "ambient_temperature_c", "humidity_pct",
     "soil_moisture_pct", "co2_ppm", "light_lux",
 ]
+# What makes a normalised column name a temperature.
+TEMPERATURE_NAME = r"temperature|(^|_)temp($|_)"
 DEFAULT_TARGET = "indoor_temperature_c"
 DEFAULT_TIME = "timestamp"
 DEFAULT_KEY_COLUMN = "crop_type"
@@ -91,6 +92,7 @@ GB_ROUNDS, GB_RATE, GB_DEPTH, GB_SUBSAMPLE = 280, 0.04, 3, 0.9
 XGB_ROUNDS, XGB_RATE, XGB_DEPTH, XGB_SUBSAMPLE, XGB_COLSAMPLE = 320, 0.05, 4, 0.9, 0.9
 KNN_NEIGHBOURS = 7
 SVR_C = 15.0
+HUBER_EPSILON = 1.35
 RANDOM_SEED = 42
 
 
@@ -123,13 +125,11 @@ class ExecutionConfig:
     # the unit of work of one window task, so it bounds task memory no matter
     # how large a single series grows.
     block_rows: int = 1 << 17
-    # Upper bound on distinct groups for which one MLlib model is fitted per
-    # group (the fits are distributed, the loop over groups is not).
-    max_model_groups: int = 64
+    # Keys whose MLlib models are fitted together; every key is fitted, wave after wave.
+    model_wave: int = 32
     # Groups with at most this many values get Spark's exact percentile (its
     # buffer holds the group's distinct values); larger ones the sort path.
     single_task_values: int = 1 << 20
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULT_EXEC = ExecutionConfig()

@@ -1,4 +1,4 @@
-"""Value functions: lenient casts, NaN handling, rounding, ISO text."""
+"""Value functions: lenient casts, NaN handling, ISO text."""
 
 from __future__ import annotations
 
@@ -23,16 +23,21 @@ def lenient_double(c: Column) -> Column:
     return nan_to_null(c.try_cast("double"))
 
 
+# Accepted date orders, tried from top to bottom after ISO text; each also with a time.
+DATE_FORMATS = ["yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "d.M.yyyy", "yyyyMMdd",
+                "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy"]
+TIME_FORMATS = ["", " H:mm", " H:mm:ss", " H:mm:ss.SSSSSS", " h:mm a", " h:mm:ss a"]
+
+
 def lenient_timestamp(c: Column) -> Column:
-    """Parse ISO text with 'T' or space separator; bad -> NULL."""
-    s = F.trim(c.cast("string"))
-    return F.coalesce(
-        s.try_cast("timestamp_ntz"),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
-        F.try_to_timestamp(s, F.lit("yyyy/MM/dd HH:mm:ss")).cast("timestamp_ntz"),
-        F.try_to_timestamp(s, F.lit("MM/dd/yyyy HH:mm")).cast("timestamp_ntz"),
-        F.try_to_timestamp(s, F.lit("yyyy/MM/dd")).cast("timestamp_ntz"),
-    )
+    """ISO text with 'T' or space, else one of the fixed date orders with an optional time; bad -> NULL.
+
+    Month-first is tried before day-first, so only days above 12 read as day-first.
+    """
+    s = F.regexp_replace(F.trim(c.cast("string")), r"\s+", " ")
+    iso = F.when(s.rlike(r"^\d{8}( |$)"), F.lit(None).cast("timestamp_ntz")).otherwise(s.try_cast("timestamp_ntz"))
+    tries = [F.try_to_timestamp(s, F.lit(d + t)).cast("timestamp_ntz") for d in DATE_FORMATS for t in TIME_FORMATS]
+    return F.coalesce(iso, *tries)
 
 
 def finite_or_zero(c: Column) -> Column:
@@ -47,11 +52,6 @@ def json_number(c: Column) -> Column:
     return lenient_double(c)
 
 
-def round4(c: Column) -> Column:
-    """Half-even rounding to four decimals."""
-    return F.bround(c, 4)
-
-
 def iso_text(ts: Column) -> Column:
     """ISO-8601 text; fractional seconds only when present."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")

@@ -20,24 +20,6 @@ def _is_bad(c: Column) -> Column:
     return c.isNull() | F.isnan(c)
 
 
-def valid_models(preds: DataFrame, key: str) -> DataFrame:
-    """(key, model) present in validation and test, no NaN, full validation length.
-
-    The expected validation length is the largest validation count of any
-    model of the key (every model scores the same validation windows).
-    """
-    per = preds.groupBy(key, "model").agg(
-        F.count_if(F.col("split") == "val").alias("n_val"),
-        F.count_if(F.col("split") == "test").alias("n_test"),
-        F.count_if(_is_bad(F.col("yhat"))).alias("n_bad"),
-    )
-    expected = preds.filter(F.col("split") == "val").groupBy(key, "model").count() \
-        .groupBy(key).agg(F.max("count").alias("n_expected"))
-    return (per.join(expected, [key], "left")
-            .filter((F.col("n_bad") == 0) & (F.col("n_test") > 0) & (F.col("n_val") == F.col("n_expected")))
-            .select(key, "model"))
-
-
 def validation_rmse(preds: DataFrame, key: str) -> DataFrame:
     """RMSE on validation windows per (key, model), in scaled units."""
     val = preds.filter(F.col("split") == "val")

@@ -1,33 +1,36 @@
-"""Exact k-nearest-neighbour regression (M4) without an all-pairs join.
+"""Exact k-nearest-neighbour regression (M4) with cell pruning.
 
 Semantics: features standardised per key on the fit windows (population
 std, zero std -> 1), Euclidean distance, the k nearest fit windows (ties by
 window position), prediction = sum(y/d) / sum(1/d); when some of the k
 neighbours are at distance 0 only those count (their mean).
 
-Execution: every window is projected onto the unit diagonal,
-``p = sum(z) / sqrt(D)``, so ``|p_q - p_f| <= ||z_q - z_f||``.  Fit windows
-are bucketed into cells of width ``h`` on ``p``; a query is equi-joined with
-its own and the two neighbouring cells, which contain every fit window with
-``|p_q - p_f| < h``.  If the k-th candidate distance is ``<= h`` no window
-outside those cells can be closer, so the answer is exact and certified.
-Queries that are not certified retry with wider cells (see
-``knn_neighbours``); whatever is left after the last round is compared with
-its whole key (still exact).
+Execution: up to ``PIVOTS`` fit windows of a key are pivots; every fit window
+belongs to its nearest pivot and to one of ``RINGS`` distance rings around it,
+and such a cell knows its least and largest distance.  By the triangle
+inequality a cell is at least max(d - largest, least - d) and its windows at
+most d + largest away from a query at distance d from the pivot.  Each query is
+compared with the cell of the best such upper bound, which gives a bound of its
+own on the k-th distance, and then with just those cells that can still hold
+something nearer.  On autocorrelated series that is a small part of all pairs; on
+independent noise no exact method can prune much.  Cells over ``CELL_ROWS`` rows
+are dealt over several join keys, so a hot key or cell is never one task.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import KNN_NEIGHBOURS
 from ..session import materialize
 from .models import _long, scored_rows
+from .series import join_small
 
 QKEY = ["timestamp", "split"]
+PIVOTS = 64
+RINGS = 8
+CELL_ROWS = 4096
 
 
 def _standardize(windows: DataFrame, key: str, dim: int) -> tuple[DataFrame, DataFrame]:
@@ -35,23 +38,18 @@ def _standardize(windows: DataFrame, key: str, dim: int) -> tuple[DataFrame, Dat
     el = [F.element_at("x", i + 1) for i in range(dim)]
     mom = fit.groupBy(key).agg(
         F.array(*[F.avg(e) for e in el]).alias("mu"),
-        F.array(*[F.stddev_pop(e) for e in el]).alias("sd"),
-        F.count(F.lit(1)).alias("n_fit"))
+        F.array(*[F.stddev_pop(e) for e in el]).alias("sd"))
     mom = mom.select(key, "mu", F.transform("sd", lambda s: F.when(s.isNull() | (s == 0), F.lit(1.0))
-                                            .otherwise(s)).alias("sd"), "n_fit")
+                                            .otherwise(s)).alias("sd"))
 
     def z(df):
         # Plain arithmetic per dimension (codegen) rather than array higher-order functions.
         j = df.join(mom, [key])
         parts = [(F.element_at("x", i) - F.element_at("mu", i)) / F.element_at("sd", i) for i in range(1, dim + 1)]
-        total = parts[0]
-        for p_ in parts[1:]:
-            total = total + p_
-        return j.withColumn("z", F.array(*parts)).withColumn("p", total / F.lit(math.sqrt(dim)))
-
-    fit_z = z(fit).select(key, F.col("_pos").alias("fid"), "z", "p", F.col("y").alias("y_f"), "n_fit")
-    q_z = z(scored_rows(windows)).select(key, *QKEY, F.col("y").alias("y_q"), F.col("z").alias("zq"),
-                                        F.col("p").alias("pq"), "n_fit")
+        return j.withColumn("z", F.array(*parts))
+
+    fit_z = z(fit).select(key, F.col("_pos").alias("fid"), "z", F.col("y").alias("y_f"))
+    q_z = z(scored_rows(windows)).select(key, *QKEY, F.col("y").alias("y_q"), F.col("z").alias("zq"))
     return fit_z, q_z
 
 
@@ -70,59 +68,70 @@ def _top_k(cand: DataFrame, key: str, k: int) -> DataFrame:
     return cand.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
 
 
-def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOURS,
-                   rounds: int = 2, cell_fill: float = 16.0) -> DataFrame:
+def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOURS, pivots: int = PIVOTS,
+                   rings: int = RINGS, cell_rows: int = CELL_ROWS, stats: dict | None = None) -> DataFrame:
     """Top-k fit windows per query: (key, timestamp, split, y_q, fid, dist, y_f).
 
-    Round widths adapt per key: an uncertified query that already saw k
-    candidates has an upper bound on its k-th distance, so the next round's
-    width is the larger of 8x the old width and the largest such bound; all
-    of those queries are then certified in that round.
+    ``stats`` (optional) receives ``pairs`` (distances computed) and ``all_pairs``.
     """
     fit_z, q_z = _standardize(windows, key, dim)
-    fit_z = materialize(fit_z)
-    width = materialize(fit_z.groupBy(key).agg(
-        F.greatest((F.max("p") - F.min("p")) * F.lit(cell_fill) / F.count(F.lit(1)), F.lit(1e-9)).alias("h")))
-    pending = materialize(q_z)
-    done = []
-    cols = [key, *QKEY, "y_q", "fid", "dist", "y_f"]
+    fit_z, q_z = materialize(fit_z), materialize(q_z)
+    chosen = Window.partitionBy(key).orderBy(F.xxhash64("fid"), "fid")
+    pv = materialize(fit_z.withColumn("pid", F.row_number().over(chosen)).filter(F.col("pid") <= pivots)
+                     .select(key, "pid", F.col("z").alias("zp")))
+    n_pv = pv.count()  # at most ``pivots`` per key
+
+    near = join_small(fit_z.select(key, "fid", "z"), pv, [key], "inner", n_pv).withColumn(
+        "d", _dist(F.col("z"), F.col("zp"), dim)).groupBy(key, "fid").agg(F.min(F.struct("d", "pid")).alias("m"))
+    placed = fit_z.join(near, [key, "fid"]).select(key, "fid", "z", "y_f", F.col("m.d").alias("d"), F.col("m.pid").alias("pid"))
+    reach = materialize(placed.groupBy(key, "pid").agg(F.max("d").alias("reach")))
+    placed = join_small(placed, reach, [key, "pid"], "inner", n_pv).withColumn(
+        "ring", F.when(F.col("reach") > 0, F.floor(F.col("d") / F.col("reach") * rings)).otherwise(0).cast("int"))
+    placed = materialize(placed.drop("reach"))
+    cells = placed.groupBy(key, "pid", "ring").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.count(F.lit(1)).alias("n"))
+    cells = materialize(cells.withColumn("chunks", F.ceil(F.col("n") / cell_rows).cast("int")))
+    n_cells = n_pv * (rings + 1)
+    placed = join_small(placed, cells.select(key, "pid", "ring", "chunks"), [key, "pid", "ring"], "inner", n_cells).withColumn(
+        "chunk", F.pmod(F.hash("fid"), "chunks")).drop("d", "chunks")
+
+    # (query, cell) with the bounds that the triangle inequality gives
+    slack = F.lit(1e-9)
     q = [key, *QKEY]
-    for _ in range(rounds):
-        h = F.col("h")
-        fc = fit_z.join(width, [key]).withColumn("cell", F.floor(F.col("p") / h).cast("long")) \
-            .select(key, "cell", "fid", "z", "y_f")
-        base = F.floor(F.col("pq") / h).cast("long")
-        qc = pending.join(width, [key]).withColumn("cell", F.explode(F.array(base - 1, base, base + 1)))
-        # Candidate counts from per-cell fit counts: no pair is materialised for them.
-        n_cand = qc.join(fc.groupBy(key, "cell").count(), [key, "cell"], "left") \
-            .groupBy(key, *QKEY).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n_cand"))
-        cand = qc.join(fc, [key, "cell"]).withColumn("dist", _dist(F.col("zq"), F.col("z"), dim))
-        top = materialize(_top_k(cand, key, k).select(*cols, "n_fit", "h").join(n_cand, q))
-        stat = top.groupBy(*q).agg(F.max("dist").alias("d_k"), F.first("n_cand").alias("n_cand"),
-                                   F.first("n_fit").alias("n_fit"), F.first("h").alias("h"))
-        certified = ((F.col("n_cand") >= k) & (F.col("d_k") <= F.col("h"))) | (F.col("n_cand") >= F.col("n_fit"))
-        stat = materialize(stat.withColumn("ok", certified))
-        ok = stat.filter("ok").select(*q)
-        done.append(top.join(ok, q, "left_semi").select(*cols))
-        pending = materialize(pending.join(ok, q, "left_anti"))
-        bound = stat.filter(~F.col("ok") & (F.col("n_cand") >= k)).groupBy(key).agg(F.max("d_k").alias("ub"))
-        width = materialize(width.join(bound, [key], "left").select(
-            key, F.greatest(F.col("h") * F.lit(8.0), F.coalesce("ub", F.lit(0.0))).alias("h")))
-    # Leftovers (queries that never saw k candidates): compare with every fit window of their key.
-    rest = pending.join(fit_z.drop("n_fit", "p"), [key]).withColumn("dist", _dist(F.col("zq"), F.col("z"), dim))
-    done.append(_top_k(rest, key, k).select(*cols))
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
-
-
-def knn_forecast(windows: DataFrame, key: str, dim: int | None = None, k: int = KNN_NEIGHBOURS,
-                 rounds: int = 2) -> DataFrame:
+    at = join_small(q_z.select(*q, "zq"), pv, [key], "inner", n_pv).withColumn("dp", _dist(F.col("zq"), F.col("zp"), dim)).drop("zq", "zp")
+    bounds = join_small(at, cells, [key, "pid"], "inner", n_cells).select(
+        *q, "pid", "ring", "chunks", "n", F.greatest(F.lit(0.0), F.col("dp") - F.col("hi"), F.col("lo") - F.col("dp")).alias("lb"),
+        (F.col("dp") + F.col("hi")).alias("ub"))
+    # The best cell that holds k windows; where none does, every cell is compared.
+    best = bounds.groupBy(*q).agg(F.min(F.when(F.col("n") >= k, F.struct("ub", "pid", "ring"))).alias("b"))
+    best = materialize(best.select(*q, F.col("b.pid").alias("bp"), F.col("b.ring").alias("br"), F.col("b.ub").alias("bub")))
+
+    def compare(wanted: DataFrame) -> DataFrame:
+        spread = wanted.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+        pairs = spread.join(q_z, q).join(placed, [key, "pid", "ring", "chunk"])
+        return pairs.withColumn("dist", _dist(F.col("zq"), F.col("z"), dim)).select(*q, "y_q", "fid", "dist", "y_f")
+
+    own = best.filter("bp is not null").select(*q, F.col("bp").alias("pid"), F.col("br").alias("ring"))
+    own = join_small(own, cells.select(key, "pid", "ring", "chunks"), [key, "pid", "ring"], "inner", n_cells)
+    first = materialize(_top_k(compare(own), key, k).drop("rn"))
+    kth = first.groupBy(*q).agg(F.max("dist").alias("dk"))
+    limits = best.join(kth, q, "left")
+    rest = bounds.join(limits, q).filter(
+        F.col("bp").isNull() | (~((F.col("pid") == F.col("bp")) & (F.col("ring") == F.col("br")))
+                                & (F.col("lb") - slack <= F.least("dk", "bub"))))
+    rest = materialize(rest.select(*q, "pid", "ring", "chunks", "n"))
+    if stats is not None:
+        seen = own.join(cells.select(key, "pid", "ring", "n"), [key, "pid", "ring"]).select("n").unionByName(rest.select("n"))
+        stats["pairs"] = seen.agg(F.sum("n")).first()[0]
+        stats["all_pairs"] = q_z.groupBy(key).count().join(
+            fit_z.groupBy(key).agg(F.count(F.lit(1)).alias("f")), [key]).agg(F.sum(F.col("count") * F.col("f"))).first()[0]
+    return _top_k(first.unionByName(compare(rest)), key, k)
+
+
+def knn_forecast(windows: DataFrame, key: str, dim: int | None = None, k: int = KNN_NEIGHBOURS, **kw) -> DataFrame:
     """M4 predictions in the long prediction layout (model ``knn_regressor``)."""
     if dim is None:
         dim = int(windows.select(F.size("x")).first()[0])
-    nb = knn_neighbours(windows, key, dim, k, rounds)
+    nb = knn_neighbours(windows, key, dim, k, **kw)
     zero = F.col("dist") == 0
     pred = nb.groupBy(key, *QKEY).agg(
         F.first("y_q").alias("y"),

@@ -3,9 +3,10 @@
 Set-based models (persistence, AR(1), KNN, and linear regression via TSQR)
 run for any number of keys as joins, grouped aggregates and per-task numpy
 reductions.  Tree and kernel models use MLlib, fitted once per key like the
-source workflow; each fit is a distributed Spark job and the number of keys
-is bounded by ``max_groups`` (high-cardinality keys should use the set-based
-models).
+source workflow: windows are written once, partitioned by key, and keys are
+fitted wave after wave; a fit reads its own key's files only and appends its
+predictions to one shared Parquet table, so neither plan nor driver grows with
+the number of keys (with very many keys the set-based models are far cheaper).
 
 Every predictor returns the long prediction table
 ``(key, timestamp, split, model, y, yhat)`` with split in {val, test}.
@@ -21,10 +22,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import (DEFAULT_EXEC, GB_DEPTH, GB_RATE, GB_ROUNDS, GB_SUBSAMPLE, RANDOM_SEED, RF_DEPTH,
+from ..config import (DEFAULT_EXEC, GB_DEPTH, GB_RATE, GB_ROUNDS, GB_SUBSAMPLE, HUBER_EPSILON, RANDOM_SEED, RF_DEPTH,
                       RF_MIN_LEAF, RF_TREES, SVR_C, XGB_COLSAMPLE, XGB_DEPTH, XGB_RATE, XGB_ROUNDS,
                       XGB_SUBSAMPLE)
-from ..session import materialize
 from .series import join_small
 
 PRED_COLS = ["split", "model", "y", "yhat"]
@@ -179,7 +179,7 @@ def second_boosting(rounds: int = XGB_ROUNDS):
 
 
 def rbf_regression(n_components: int = 256, seed: int = RANDOM_SEED):
-    """M5: RBF-kernel regressor as random Fourier features + ridge fit (SVR role, C=15).
+    """M5: RBF-kernel regressor as random Fourier features + Huber-loss fit (SVR role, C=15).
 
     Returned as a factory taking the fit DataFrame, because the feature map
     depends on the fit data's scale (gamma = 1 / (n_features * var)).
@@ -219,52 +219,73 @@ def _fit_rbf(fit: DataFrame, score: DataFrame, n_components: int, seed: int):
     weights = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, n_components))
     offsets = rng.uniform(0.0, 2.0 * np.pi, size=n_components)
     rff = _rff_udf(weights, offsets, mean, std)
-    # Ridge on the feature map with the SVR trade-off: lambda = 1 / (C * n).
-    est = LinearRegression(featuresCol="features", labelCol="y", loss="squaredError",
+    # Robust loss on the feature map with the SVR trade-off: lambda = 1 / (C * n).
+    est = LinearRegression(featuresCol="features", labelCol="y", loss="huber", epsilon=HUBER_EPSILON,
                            regParam=1.0 / (SVR_C * max(int(moments["n"]), 1)), elasticNetParam=0.0,
-                           standardization=False, maxIter=500)
+                           standardization=False, maxIter=200)
     model = est.fit(fit.withColumn("features", array_to_vector(rff("x"))))
     return model.transform(score.withColumn("features", array_to_vector(rff("x"))))
 
 
+def _waves(keys, size: int):
+    wave = []
+    for k in keys:
+        wave.append(k)
+        if len(wave) == size:
+            yield wave
+            wave = []
+    if wave:
+        yield wave
+
+
 def fit_per_key(windows: DataFrame, key: str, model_name: str, make_estimator: Callable,
-                max_groups: int = DEFAULT_EXEC.max_model_groups, threads: int = 4,
-                keep_models: dict | None = None, materialize_input: bool = True) -> DataFrame:
+                wave: int = DEFAULT_EXEC.model_wave, threads: int = 4,
+                on_model: Callable | None = None) -> DataFrame:
     """Fit one MLlib estimator per key on fit windows; score val + test windows (M2, M3, M5, M6, M9).
 
-    Every fit re-reads the window table, so it is checkpointed first unless the
-    caller passes an already materialised table (``materialize_input=False``).
+    Every key is fitted.  ``on_model(key, model)`` may return rows of
+    ``(key, name, value)``, kept in a second table; then the pair
+    (predictions, rows) is returned.
     """
-    windows = windows.select(key, "timestamp", "split", "x", "y", "is_fit", "is_val")
-    if materialize_input:
-        windows = materialize(windows)
-    keys = [r[0] for r in windows.select(key).distinct().limit(max_groups + 1).collect()]
-    if len(keys) > max_groups:
-        raise ValueError(f"{model_name}: more than {max_groups} keys; use the set-based models")
-    rows = scored_rows(windows)
-
-    def one(k):
-        fit = windows.filter((F.col(key) == k) & F.col("is_fit"))
-        score = rows.filter(F.col(key) == k)
+    from ..sources.sinks import shared_path
+
+    spark = windows.sparkSession
+    base = shared_path(spark, "fits", model_name)
+    slim = windows.select(F.col(key).alias("_k"), key, "timestamp", "split", "x", "y", "is_fit", "is_val")
+    slim.repartition("_k").write.partitionBy("_k").parquet(f"{base}/windows")
+    stored = spark.read.schema(slim.schema).parquet(f"{base}/windows")
+    predictions, extras = f"{base}/predictions", f"{base}/extras"
+
+    def one(numbered):
+        number, k = numbered  # a folder per fit: parallel writers must not share one
+        mine = stored.filter(F.col("_k").eqNullSafe(F.lit(k))).drop("_k")
+        fit = mine.filter("is_fit")
         est = make_estimator()
         if isinstance(est, tuple) and est[0] == "rbf":
-            pred = _fit_rbf(fit, score, est[1], est[2])
+            pred = _fit_rbf(fit, scored_rows(mine), est[1], est[2])
         else:
             model = est.fit(_vectorize(fit))
-            if keep_models is not None:
-                keep_models[k] = model
-            pred = model.transform(_vectorize(score))
-        return _long(pred, key, model_name, F.col("prediction"))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(keys)))) as pool:
-        parts = list(pool.map(one, sorted(keys)))
-    if not parts:
-        return rows.limit(0).select(key, "timestamp", "split", F.lit(model_name).alias("model"),
-                                    "y", F.col("y").alias("yhat"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            if on_model is not None:
+                spark.createDataFrame(on_model(k, model), f"{key} string, name string, value double").coalesce(1) \
+                    .write.parquet(f"{extras}/fit={number}")
+            pred = model.transform(_vectorize(scored_rows(mine)))
+        _long(pred, key, model_name, F.col("prediction")).write.parquet(f"{predictions}/fit={number}")
+
+    names = (r[0] for r in stored.filter("is_fit").select("_k").distinct().orderBy("_k").toLocalIterator())
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for group in _waves(enumerate(names), wave):
+            list(pool.map(one, group))
+    empty = _long(scored_rows(windows), key, model_name, F.lit(0.0)).schema
+    got = spark.read.schema(empty).parquet(predictions).drop("fit") if _exists(spark, predictions) else spark.createDataFrame([], empty)
+    if on_model is None:
+        return got
+    rows = f"{key} string, name string, value double"
+    return got, spark.read.schema(rows).parquet(extras).drop("fit") if _exists(spark, extras) else spark.createDataFrame([], rows)
+
+
+def _exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def feature_names(features: Sequence[str], length: int) -> list[str]:
@@ -273,16 +294,15 @@ def feature_names(features: Sequence[str], length: int) -> list[str]:
 
 
 def feature_importance(windows: DataFrame, key: str, features: Sequence[str], length: int,
-                       trees: int = RF_TREES, max_groups: int = DEFAULT_EXEC.max_model_groups) -> DataFrame:
+                       trees: int = RF_TREES) -> DataFrame:
     """Random-forest feature importances per key, long form."""
-    models: dict = {}
-    fit_per_key(windows, key, "random_forest", lambda: random_forest(trees), max_groups,
-                keep_models=models)
     names = feature_names(features, length)
-    spark = windows.sparkSession
-    rows = [(k, names[i], float(v)) for k, m in models.items()
-            for i, v in enumerate(m.featureImportances.toArray())]
-    return spark.createDataFrame(rows, f"{key} string, feature string, importance double")
+
+    def importances(k, model):
+        return [(k, names[i], float(v)) for i, v in enumerate(model.featureImportances.toArray())]
+
+    _, rows = fit_per_key(windows, key, "random_forest", lambda: random_forest(trees), on_model=importances)
+    return rows.select(key, F.col("name").alias("feature"), F.col("value").alias("importance"))
 
 
 def correlation_matrix(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
@@ -295,12 +315,26 @@ def correlation_matrix(df: DataFrame, key: str, features: Sequence[str]) -> Data
     return wide.select(key, kv.alias("p")).select(key, "p.feature_a", "p.feature_b", "p.corr")
 
 
-def registry_notes(spark, key_values: DataFrame, key: str, models: Sequence[str],
-                   notes: dict[str, str]) -> DataFrame:
-    """(key, model, note) rows for every trained model plus extra notes."""
-    entries = [(m, "trained") for m in models] + list(notes.items())
-    tbl = spark.createDataFrame(entries, "model string, note string")
-    return key_values.select(key).distinct().crossJoin(F.broadcast(tbl))
+def registry_notes(predictions: DataFrame, weights: DataFrame, eligibility: DataFrame, key: str,
+                   requested: Sequence[str]) -> DataFrame:
+    """(key, model, n_predictions, n_bad, note): what happened to every requested model of every key.
+
+    Facts only: keys that were skipped and why, models without predictions, models
+    whose predictions the ensemble refused, and models in use.
+    """
+    made = predictions.groupBy(key, "model").agg(
+        F.count(F.lit(1)).alias("n_predictions"),
+        F.count_if(F.col("yhat").isNull() | F.isnan("yhat")).alias("n_bad"))
+    used = weights.select(key, "model", F.lit(True).alias("_used"))
+    rows = eligibility.select(key, "reason", F.explode(F.array(*[F.lit(m) for m in requested])).alias("model"))
+    rows = rows.join(made, [key, "model"], "left").join(used, [key, "model"], "left")
+    note = (F.when(F.col("reason").isNotNull(), F.concat(F.lit("skipped: "), F.col("reason")))
+            .when(F.col("n_predictions").isNull(), F.lit("no predictions"))
+            .when(F.col("_used").isNull(), F.lit("refused by the ensemble"))
+            .otherwise(F.lit("in use")))
+    zero = F.lit(0).cast("long")
+    return rows.select(key, "model", F.coalesce("n_predictions", zero).alias("n_predictions"),
+                       F.coalesce("n_bad", zero).alias("n_bad"), note.alias("note"))
 
 
 def save_model(model, path: str) -> None:

@@ -1,8 +1,7 @@
 """Report and dashboard tables (R5, R7, R10) and joins J4/J5.
 
-Reports are DataFrames; the few that end up as single documents (index,
-bundle) are built with grouped ``collect_list`` over one row per key, which
-is bounded by the number of keys, never by observations.
+Reports are DataFrames of one row per key, or per (key, page) where a key's
+series would not fit one document.
 """
 
 from __future__ import annotations
@@ -10,31 +9,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import display_key, lookup_key
+from ..functions.names import display_key, lookup_key, slug_col
 from ..functions.values import json_number
 
 
-def payload_index(labels: DataFrame, payload_paths: DataFrame, key: str = "crop_type") -> DataFrame:
-    """(key, model_coordination, payload_file)."""
-    return labels.join(payload_paths, [key], "inner").select(key, "model_coordination", "payload_file")
+def payload_index(labels: DataFrame, payloads: DataFrame, key: str, folder: str) -> DataFrame:
+    """R5 entries: one row per key with its number of pages and the folder its payload pages are in."""
+    pages = payloads.groupBy(key).agg(F.count(F.lit(1)).alias("pages"))
+    return labels.join(pages, [key]).select(
+        key, "model_coordination", "pages",
+        F.concat(F.lit(f"{folder}/key_slug="), slug_col(F.col(key))).alias("payload_file"))
+
+
+def index_document(index: DataFrame, table_paths: dict[str, str], key: str) -> DataFrame:
+    """R5 head: one row with the number of processed keys and the paths of the shared tables."""
+    paths = F.create_map(*[F.lit(x) for pair in sorted(table_paths.items()) for x in pair])
+    return index.agg(F.count(key).alias("processed_count")).withColumn("tables", paths)
 
 
 def dashboard_bundle(index: DataFrame, payloads: DataFrame, performance: DataFrame,
                      thresholds: dict[str, float], key: str = "crop_type") -> DataFrame:
-    """J5 (index with the payloads that exist) + J4 (metrics by lower-cased key, missing -> NULL).
+    """J5 (index with the payload pages that exist) + J4 (metrics by lower-cased key, missing -> NULL).
 
-    One row per key, upper-cased label, thresholds attached, ordered by key.
+    One row per (key, page), upper-cased label, thresholds attached, ordered by key and page.
     """
+    rest = [c for c in payloads.columns if c not in (key, "model_coordination", "payload_file", "key_slug")]
     present = index.alias("i").join(payloads.alias("p"), F.col(f"i.{key}") == F.col(f"p.{key}"), "inner") \
-        .select(F.col(f"i.{key}").alias(key), "i.model_coordination", "i.payload_file",
-                *[F.col(f"p.{c}") for c in payloads.columns if c not in (key, "model_coordination")])
+        .select(F.col(f"i.{key}").alias(key), "i.model_coordination", "i.payload_file", "i.pages", *[F.col(f"p.{c}") for c in rest])
     perf = performance.alias("m")
     j = present.join(perf, lookup_key(present[key]) == lookup_key(F.col(f"m.{key}")), "left")
     metrics = F.struct(*[json_number(F.col(f"m.{c}")).alias(c) for c in ("mae", "rmse", "mape_pct", "r2")])
     out = j.select(present[key].alias(key), display_key(present[key]).alias("crop_label"),
                    *[present[c] for c in present.columns if c != key], metrics.alias("metrics"),
                    F.struct(*[F.lit(float(v)).alias(k) for k, v in thresholds.items()]).alias("thresholds"))
-    return out.orderBy(key)
+    return out.orderBy(key, "page")
+
+
+PAYLOAD_ARRAYS = ("timestamps", "actual_temperature_c", "predicted_temperature_c", "absolute_error_c", "actions",
+                  "fan_on", "spray_on")
+
+
+def payload_rows(payloads: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Payload pages flattened: one row per (key, page, position in the page), with the ``keep`` columns."""
+    zipped = F.posexplode(F.arrays_zip(*PAYLOAD_ARRAYS)).alias("row_pos", "z")
+    flat = payloads.select(key, "page", *keep, zipped)
+    return flat.select(key, "page", *keep, "row_pos", *[F.col(f"z.{c}").alias(c) for c in PAYLOAD_ARRAYS])
+
+
+def last_rows(rows: DataFrame, key: str, k: int = 8, step: int | None = None, time_col: str = "timestamp") -> DataFrame:
+    """The newest ``k`` rows per key at or before position ``step``, with ``recent_rank`` 1 for the newest."""
+    from pyspark.sql import Window
+    newest = Window.partitionBy(key).orderBy(F.col(time_col).desc())
+    if step is not None:
+        oldest = Window.partitionBy(key).orderBy(time_col)
+        rows = rows.withColumn("_step", F.row_number().over(oldest)).filter(F.col("_step") <= step).drop("_step")
+    return rows.withColumn("recent_rank", F.row_number().over(newest)).filter(F.col("recent_rank") <= k)
 
 
 def plot_tables(cleaned: DataFrame, selected: DataFrame, scaled: DataFrame, forecast: DataFrame,

@@ -43,9 +43,11 @@ def _join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str =
     return lt.join(rt, cond, how).select(*[F.col(f"_l.`{c}`") for c in left.columns], *extra)
 
 
-# Per-key side tables (parameters, coefficients, weights) up to this many rows
-# are broadcast explicitly; beyond it the join is left to AQE's runtime choice.
-BROADCAST_ROWS = 1 << 20
+# Per-key side tables (parameters, coefficients, weights) up to this many bytes,
+# measured rows times fixed column widths, are broadcast explicitly; beyond it the
+# join is left to AQE's runtime choice.
+BROADCAST_BYTES = 32 << 20
+TEXT_BYTES = 64  # allowance for a string value
 
 
 def group_size_bound(df: DataFrame, keys: Sequence[str]) -> int:
@@ -65,10 +67,15 @@ def group_sizes(df: DataFrame, keys: Sequence[str], stats: dict | None = None) -
     return int(row[0] or 0), int(row[1] or 0)
 
 
+def row_bytes(df: DataFrame, array_items: int = 1024) -> int:
+    """Allowance for one row of a side table; an array counts as ``array_items`` numbers."""
+    return sum(TEXT_BYTES if t == "string" else 8 * array_items if t.startswith("array") else 16 for _, t in df.dtypes)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                small_rows: int | None = None) -> DataFrame:
-    """Join a side table whose row count is measured: broadcast it only when proven small."""
-    if small_rows is not None and small_rows <= BROADCAST_ROWS:
+    """Join a side table whose row count is measured: broadcast it only when its bytes are proven small."""
+    if small_rows is not None and small_rows * row_bytes(small) <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
@@ -212,7 +219,3 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                       ("lpv", "lpp", "lnv", "lnp", "cpv", "cpp", "cnv", "cnp")]
     return out.select("*", *final).drop(*drop)
 
-
-def tail_rank(pos_col: str = POS, size_col: str = SIZE) -> Column:
-    """1 for the last row of a key, 2 for the one before, ..."""
-    return F.col(size_col) - F.col(pos_col) + F.lit(1)

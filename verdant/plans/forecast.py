@@ -36,6 +36,8 @@ class ForecastRun:
     model_set: tuple[str, ...] = ("naive_persistence", "linear_baseline")
     mllib_trees: int | None = None
     mllib_rounds: int | None = None
+    # (key, timestamp, split, model, yhat) in scaled units, produced elsewhere.
+    external: DataFrame | None = None
 
     # ------------------------------------------------------------- cleaning
     @cached_property
@@ -120,17 +122,40 @@ class ForecastRun:
             "svr_rbf": models.rbf_regression,
             "xgboost": models.second_boosting,
         }
-        return models.fit_per_key(self.windows, k, name, makers[name], self.exec_cfg.max_model_groups,
-                                  materialize_input=False)
+        return models.fit_per_key(self.windows, k, name, makers[name], self.exec_cfg.model_wave)
+
+    @cached_property
+    def eligibility(self) -> DataFrame:
+        """One row per key of the cleaned data: window counts and, where it is skipped, why."""
+        k = self.cfg.key
+        sizes = self.cleaned.groupBy(k).agg(F.max(SIZE).alias(SIZE))
+        return windows.eligibility(sizes, k, self.cfg.effective_min_samples, self.cfg.sequence_length, self.cfg.test_ratio)
 
     @cached_property
     def predictions(self) -> DataFrame:
         parts = [self.predictions_for(m) for m in self.model_set]
+        if self.external is not None:
+            parts.append(models.external_predictions(self.windows, self.external, self.cfg.key))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return materialize(out)
 
+    @cached_property
+    def registry(self) -> DataFrame:
+        """What happened to every requested model of every key."""
+        names = list(self.model_set)
+        if self.external is not None:
+            names += [r[0] for r in self.external.select("model").distinct().collect()]  # one row per model
+        return models.registry_notes(self.predictions, self.weights, self.eligibility, self.cfg.key, names)
+
+    def require_results(self) -> None:
+        """Raise where nothing could be forecast: no key goes on, or no key has a valid model."""
+        if self.windows.isEmpty():
+            raise ValueError("no key has enough rows to forecast; see the eligibility table")
+        if self.weights.isEmpty():
+            raise ValueError("no model has complete, finite predictions; see the registry table")
+
     # ------------------------------------------------------------- ensemble
     @cached_property
     def weights(self) -> DataFrame:
@@ -138,7 +163,7 @@ class ForecastRun:
 
     @cached_property
     def hybrid(self) -> DataFrame:
-        n = self.n_keys * len(self.model_set) if self.n_keys is not None else None
+        n = self.n_keys * (len(self.model_set) + 1) if self.n_keys is not None else None
         return ensemble.hybrid_forecast(self.predictions, self.weights, self.cfg.key, n)
 
     @cached_property
@@ -237,5 +262,8 @@ class ForecastRun:
         ).groupBy(k, "page").agg(F.map_from_entries(F.collect_list(F.struct(
             "model", F.transform("s", lambda e: F.bround(e["yhat"], 4))))).alias("model_prediction_series"))
         best = metrics.best_model(self.comparison, k).select(k, "best_model")
+        single = F.filter(F.array_sort(F.map_keys("model_prediction_series")), lambda m: m != HYBRID_MODEL)
+        columns = F.transform(single, lambda m: F.concat(F.lit("pred_"), m, F.lit("_c")))
         return (series.join(self.label, [k], "left").join(w, [k], "left").join(cmp, [k], "left")
-                .join(best, [k], "left").join(model_series, [k, "page"], "left"))
+                .join(best, [k], "left").join(model_series, [k, "page"], "left")
+                .withColumn("model_prediction_columns", columns))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from ..config import (BLEND_MODEL, BLEND_UNIFORM, MAX_WEIGHT_BONUS, MAX_WEIGHT_CAP, MAX_WEIGHT_FLOOR,
                       MIN_WEIGHT_FEW, MIN_WEIGHT_MANY, PREFERRED_BOOST, RMSE_FLOOR, SEQUENCE_LENGTH,
                       TEST_RATIO, VALIDATION_RATIO, WEIGHT_ITERATIONS, WEIGHT_TOLERANCE)
-from ..sources.tables import EVENT_GRAIN, EVENT_INVALID_CODE
+from ..sources.tables import EVENT_INVALID_CODE, SECOND_COPY_ORDER
 from .forecast import EVENT_THRESHOLDS
 
 L = SEQUENCE_LENGTH
@@ -37,14 +37,24 @@ def with_(*ctes: str) -> str:
 
 # ---------------------------------------------------------------- shared CTEs
 
-OBS = f"""obs AS (
-  SELECT event_type AS crop_type, CAST(date_trunc('{EVENT_GRAIN}', ts) AS TIMESTAMP) AS "timestamp",
-         CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= {EVENT_INVALID_CODE}
-              THEN NULL ELSE value END AS indoor_temperature_c,
+def _obs(value: str) -> str:
+    return f"""obs AS (
+  SELECT CASE WHEN event_type IS NULL THEN 'nan' WHEN trim(event_type) = '' THEN 'mixed_crop'
+              ELSE lower(trim(event_type)) END AS crop_type, CAST(ts AS TIMESTAMP) AS "timestamp",
+         {value} AS indoor_temperature_c,
          TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity_pct,
          event_id AS _order
   FROM events)"""
 
+
+OBS = _obs("value")
+OBS_BLANK = _obs(f"""CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= {EVENT_INVALID_CODE}
+              THEN NULL ELSE value END""")
+# Every observation and an altered copy of it, later in input order.
+OBS_TWICE = OBS.replace("obs AS", "once AS", 1) + f""",
+obs AS (SELECT * FROM once UNION ALL
+  SELECT crop_type, "timestamp", indoor_temperature_c + 1000, NULL, _order + {SECOND_COPY_ORDER} FROM once)"""
+
 DEDUP = """dedup AS (
   SELECT crop_type, "timestamp", indoor_temperature_c, humidity_pct FROM obs
   WHERE "timestamp" IS NOT NULL
@@ -270,7 +280,7 @@ def oracle_sql() -> dict[str, str]:
          for c in ("crop_type", "timestamp")]
         + [f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS BIGINT) AS missing FROM obs"
            for c in FEATS])
-    q["missing_report"] = with_(OBS) + miss
+    q["missing_report"] = with_(OBS_BLANK) + miss
 
     def slug(e):
         return f"trim(regexp_replace(lower(trim({e})), '[^a-z0-9]+', '_', 'g'), '_')"
@@ -291,14 +301,14 @@ def oracle_sql() -> dict[str, str]:
           CAST(count(*) AS DOUBLE) FROM orders GROUP BY o_orderpriority, o_orderdate"""
 
     feats_r = ", ".join(r(c, c) for c in FEATS)
-    q["dedupe_first"] = with_(OBS, DEDUP) + f'SELECT crop_type, "timestamp", {feats_r} FROM dedup'
-    q["interpolate_linear"] = with_(OBS, DEDUP, RANKED, *interp_ctes("ranked", "interp", FEATS)) + \
+    q["dedupe_first"] = with_(OBS_TWICE, DEDUP) + f'SELECT crop_type, "timestamp", {feats_r} FROM dedup'
+    q["interpolate_linear"] = with_(OBS_BLANK, DEDUP, RANKED, *interp_ctes("ranked", "interp", FEATS)) + \
         f'SELECT crop_type, "timestamp", {b("_pos", "row_pos")}, {feats_r} FROM interp'
-    q["impute_median"] = with_(OBS, DEDUP, "gm AS (SELECT crop_type, " + ", ".join(
+    q["impute_median"] = with_(OBS_BLANK, DEDUP, "gm AS (SELECT crop_type, " + ", ".join(
         f"median({c}) AS m_{c}" for c in FEATS) + " FROM dedup GROUP BY crop_type)") + \
         'SELECT crop_type, "timestamp", ' + ", ".join(r(f"coalesce({c}, m_{c})", c) for c in FEATS) + \
         " FROM dedup JOIN gm USING (crop_type)"
-    q["global_median_fill"] = with_(OBS, DEDUP, "gm AS (SELECT " + ", ".join(
+    q["global_median_fill"] = with_(OBS_BLANK, DEDUP, "gm AS (SELECT " + ", ".join(
         f"median({c}) AS m_{c}" for c in FEATS) + " FROM dedup)") + \
         'SELECT crop_type, "timestamp", ' + ", ".join(r(f"coalesce({c}, m_{c})", c) for c in FEATS) + \
         " FROM dedup, gm"
@@ -324,9 +334,8 @@ def oracle_sql() -> dict[str, str]:
 
     q["export_roundtrip"] = _event_sql(CLEAN, f"""SELECT crop_type, "timestamp", {b('_pos', 'row_pos')}, {feats_r},
         trim(regexp_replace(lower(trim(crop_type)), '[^a-z0-9]+', '_', 'g'), '_') AS key_slug FROM cleaned""")
-    sacts = f"""sacts AS (SELECT event_type AS crop_type, CAST(ts AS TIMESTAMP) AS ts, event_id,
-        CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= {EVENT_INVALID_CODE} THEN NULL
-             ELSE value END AS predicted_temperature_c FROM events)"""
+    sacts = """sacts AS (SELECT event_type AS crop_type, CAST(ts AS TIMESTAMP) AS ts, event_id,
+        value AS predicted_temperature_c FROM events)"""
     q["stream_control"] = with_(sacts) + f"""SELECT crop_type, ts, event_id, {r('predicted_temperature_c', 'reading')},
         {_act(0)} AS action, {b(_act(1), 'fan_on')}, {b(_act(2), 'spray_on')}, {_act(3)} AS status_note FROM sacts"""
     q["stream_window_counts"] = with_(sacts) + f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
@@ -334,8 +343,7 @@ def oracle_sql() -> dict[str, str]:
         {b('count(*)', 'total_records')}, {b(f'sum({_act(1)})', 'fan_on_events')},
         {b(f'sum({_act(2)})', 'spray_on_events')}, {b(f"count(*) FILTER (WHERE {_act(0)} = 'fan_and_spray_on')", 'fan_and_spray_events')},
         {b(f"count(*) FILTER (WHERE {_act(0)} = 'idle')", 'idle_events')}
-        FROM sacts GROUP BY 1, 2, 3
-        HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM sacts) - INTERVAL 2 HOUR"""
+        FROM sacts GROUP BY 1, 2, 3"""
     q["knn_forecast"] = _event_sql(CLEAN + SCALE + WINDOWS + _knn_ctes(), f"""SELECT crop_type, "timestamp", split,
         'knn_regressor' AS model, {r('first(y_q)', 'y')},
         {r('CASE WHEN count(*) FILTER (WHERE dist = 0) > 0 THEN avg(y_f) FILTER (WHERE dist = 0) '
@@ -343,11 +351,52 @@ def oracle_sql() -> dict[str, str]:
         FROM knn_top GROUP BY crop_type, "timestamp", split""")
     q["external_predictions"] = _event_sql(CLEAN + SCALE + WINDOWS + PREDS, f"""SELECT crop_type, "timestamp", split,
         'external_persistence' AS model, {r('y', 'y')}, {r('yhat', 'yhat')} FROM preds WHERE model = 'naive_persistence'""")
-    q["model_registry_notes"] = _event_sql(CLEAN + SCALE + WINDOWS, """SELECT k.crop_type, n.model, n.note
-        FROM (SELECT DISTINCT crop_type FROM wins) k,
-             (VALUES ('naive_persistence', 'trained'), ('linear_baseline', 'trained'),
-                     ('xgboost', 'Unavailable: disabled by configuration'),
-                     ('primary_backend', 'linear_baseline')) n(model, note)""")
+    q["model_registry_notes"] = _event_sql(CLEAN + SCALE + WINDOWS + PREDS + WEIGHTS, f"""
+        SELECT k.crop_type, m.model, {b('coalesce(p.n, 0)', 'n_predictions')}, {b('coalesce(p.n_bad, 0)', 'n_bad')},
+          CASE WHEN p.n IS NULL THEN 'no predictions' WHEN w.model IS NULL THEN 'refused by the ensemble' ELSE 'in use' END AS note
+        FROM (SELECT DISTINCT crop_type FROM cleaned) k
+        CROSS JOIN (VALUES ('naive_persistence'), ('linear_baseline')) m(model)
+        LEFT JOIN (SELECT crop_type, model, n_val + n_test AS n, n_bad FROM per) p ON p.crop_type = k.crop_type AND p.model = m.model
+        LEFT JOIN weights w ON w.crop_type = k.crop_type AND w.model = m.model""")
+    q["key_eligibility"] = f"""WITH s AS (SELECT CAST(user_id AS VARCHAR) AS crop_type, count(*) AS n FROM events GROUP BY 1),
+        k AS (SELECT *, greatest(1, least(CAST(floor(n * {1.0 - TEST_RATIO!r}::DOUBLE) AS BIGINT), n - 1)) AS k FROM s),
+        t AS (SELECT *, greatest(k - {L}, 0) AS tr, greatest(n - k - {L}, 0) AS te FROM k)
+        SELECT crop_type, {b('n', 'samples_total')}, {b('tr', 'train_sequences')}, {b('te', 'test_sequences')},
+          CASE WHEN n < 12 THEN printf('%d rows, 12 needed', n) WHEN tr < 3 THEN printf('%d training windows, 3 needed', tr)
+               WHEN te < 1 THEN 'no test window' END AS reason FROM t"""
+    preds3 = [c.replace("preds AS (", "made AS (", 1) for c in PREDS] + ["""preds AS (SELECT * FROM made UNION ALL
+        SELECT crop_type, "timestamp", split, 'external_mean' AS model, first(y), avg(yhat) FROM made GROUP BY crop_type, "timestamp", split)"""]
+    q["external_ensemble"] = _event_sql(CLEAN + SCALE + WINDOWS + preds3 + WEIGHTS, f"""SELECT crop_type, model,
+        {r('validation_rmse', 'validation_rmse')}, {r('score', 'score')}, {r('weight', 'weight')} FROM weights""")
+    q["raw_ingest"] = f"""SELECT lower(event_type) AS crop_type, CAST(date_trunc('second', ts) AS TIMESTAMP) AS "timestamp",
+          {r('value', 'indoor_temperature_c')}, {r("TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)", 'humidity_pct')}
+        FROM events WHERE event_id % 3 = 0
+        UNION ALL SELECT lower(event_type), CAST(ts AS TIMESTAMP),
+          round(CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= {EVENT_INVALID_CODE} THEN NULL ELSE value END, 6),
+          round(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 6) FROM events WHERE event_id % 3 = 1
+        UNION ALL SELECT 'mixed_crop', CAST(date_trunc('day', ts) AS TIMESTAMP), round(value, 6), NULL
+        FROM events WHERE event_id % 3 = 2"""
+    paged = """paged AS (SELECT fc.*, action, fan_on, spray_on, (row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp") - 1) AS place
+        FROM fc JOIN acts USING (crop_type, "timestamp"))""".replace("fc.*", 'fc.crop_type, fc."timestamp", actual_temperature_c, fc.predicted_temperature_c, absolute_error_c')
+    best_one = """best1 AS (SELECT crop_type, arg_min(model, "rank") AS best_model FROM cmp GROUP BY crop_type)"""
+    iso = """CASE WHEN microsecond("timestamp") % 1000000 = 0 THEN strftime("timestamp", '%Y-%m-%dT%H:%M:%S')
+        ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') END"""
+    q["payload_rows"] = _event_sql(FULL + ACTIONS + CMP + LABEL + [paged, best_one], f"""SELECT p.crop_type, {b('place // 500', 'page')},
+        l.model_coordination, best_model, {b('place % 500', 'row_pos')}, {iso} AS timestamps,
+        round_even(actual_temperature_c, 4) AS actual_temperature_c, round_even(predicted_temperature_c, 4) AS predicted_temperature_c,
+        round_even(absolute_error_c, 4) AS absolute_error_c, action AS actions, {b('fan_on', 'fan_on')}, {b('spray_on', 'spray_on')}
+        FROM paged p JOIN lbl l USING (crop_type) JOIN best1 USING (crop_type)""")
+    q["bundle_rows"] = _event_sql(FULL + ACTIONS + [paged], f"""SELECT p.crop_type, upper(p.crop_type) AS crop_label,
+        {b('max(place // 500) OVER (PARTITION BY p.crop_type) + 1', 'pages')}, {b('place // 500', 'page')}, {b('place % 500', 'row_pos')},
+        {iso} AS timestamps, action AS actions, round_even(predicted_temperature_c, 4) AS predicted_temperature_c, {r('m.rmse', 'rmse')}
+        FROM paged p JOIN (SELECT crop_type, sqrt(avg((actual_temperature_c - predicted_temperature_c)
+             * (actual_temperature_c - predicted_temperature_c))) AS rmse FROM fc GROUP BY crop_type) m USING (crop_type)""")
+    q["linear_regression_normal"] = _event_sql(CLEAN + SCALE + WINDOWS, f"""SELECT crop_type, CAST(slot AS BIGINT) AS slot, 0.0::DOUBLE AS moment
+        FROM (SELECT DISTINCT crop_type FROM wins), range({L * len(FEATS) + 1}) s(slot)""")
+    q["forest_bounds"] = _event_sql(CLEAN + SCALE + WINDOWS + PREDS[:1], f"""SELECT crop_type, split, {b('count(*)', 'n')},
+        CAST(0 AS BIGINT) AS outside FROM scored GROUP BY crop_type, split""")
+    q["stream_dedupe"] = f"""SELECT event_type AS crop_type, CAST(ts AS TIMESTAMP) AS ts, event_id, {r('value', 'reading')} FROM events
+        QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts, event_id) = 1"""
     t = "indoor_temperature_c"
     q["plot_tables"] = _event_sql(FULL + CMP + ACTIONS + [rank_sql], f"""
         SELECT 'temperature_trend' AS chart, crop_type, "timestamp", '{t}' AS label, {r(t, 'value')} FROM cleaned
@@ -458,8 +507,9 @@ def oracle_sql() -> dict[str, str]:
         {r("(SELECT o.yhat FROM orig o WHERE o.crop_type = fc.crop_type AND o.\"timestamp\" = fc.\"timestamp\" AND o.model = 'linear_baseline')", 'pred_linear_baseline_c')},
         {r("(SELECT o.yhat FROM orig o WHERE o.crop_type = fc.crop_type AND o.\"timestamp\" = fc.\"timestamp\" AND o.model = 'naive_persistence')", 'pred_naive_persistence_c')}
         FROM fc""")
-    q["last_k_rows"] = _event_sql(FULL, f"""SELECT {fc_cols}, {b('rn', 'recent_rank')} FROM (
-        SELECT *, row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp" DESC) AS rn FROM fc) WHERE rn <= 8""")
+    q["last_k_rows"] = _event_sql(FULL + ACTIONS, f"""SELECT {fc_cols}, action, {b('rn', 'recent_rank')} FROM (
+        SELECT fc.crop_type, fc."timestamp", actual_temperature_c, fc.predicted_temperature_c, absolute_error_c, action, row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp" DESC) AS rn
+        FROM fc JOIN acts USING (crop_type, "timestamp")) WHERE rn <= 8""")
     q["hybrid_gain"] = _event_sql(FULL + CMP, f"""SELECT s.crop_type, s.best_single_model,
         {r('s.best_single_rmse', 'best_single_rmse')}, {r('h.rmse', 'hybrid_rmse')},
         {r('s.best_single_rmse - h.rmse', 'hybrid_gain')}

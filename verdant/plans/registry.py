@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import HYBRID_MODEL
 from ..functions.names import display_key, lookup_key, normalize_col, slug_col
 from ..functions.values import json_number
-from ..operators import clean, ensemble, metrics, models, windows
+from ..operators import clean, ensemble, metrics, models, reports, windows
 from ..operators.series import POS, SIZE
 from ..sources import tables
 from ..sources.ingest import standardize, union_all
@@ -50,7 +50,7 @@ FEATURES = ["indoor_temperature_c", "humidity_pct"]
 # ------------------------------------------------------------ ingest / functions
 
 def q_missing_report(spark, d):
-    return finish(clean.missing_report(tables.event_observations(spark, d).select(*OBS_COLS)))
+    return finish(clean.missing_report(tables.event_observations(spark, d, blanks=True).select(*OBS_COLS)))
 
 
 def q_slugify(spark, d):
@@ -88,13 +88,13 @@ def q_union_by_name(spark, d):
 
 # ------------------------------------------------------------------- cleaning
 
-def _deduped(spark, d):
-    obs = tables.event_observations(spark, d)
+def _deduped(spark, d, obs=None):
+    obs = obs if obs is not None else tables.event_observations(spark, d, blanks=True)
     return clean.dedupe_first(clean.drop_null_time(obs), ["crop_type", "timestamp"]).select(*OBS_COLS)
 
 
 def q_dedupe_first(spark, d):
-    return finish(_deduped(spark, d))
+    return finish(_deduped(spark, d, tables.event_observations_twice(spark, d)))
 
 
 def q_interpolate_linear(spark, d):
@@ -293,18 +293,14 @@ def q_prediction_pivot(spark, d):
     return finish(run.forecast.join(piv, ["crop_type", "timestamp"], "left"))
 
 
-def q_last_k_rows(spark, d, k: int = 8):
-    """The newest k forecast rows per key (a top-k report; the limit is the feature).
+def q_last_k_rows(spark, d, k: int = 8, step: int | None = None):
+    """The newest k forecast rows per key up to a step (1-based position; the last by default), with actions.
 
-    Ranked with the size-checked positions primitive, so a hot key is ranked
-    by a range-partitioned sort rather than inside one window task.
+    A bare ``row_number() <= k`` lets Spark keep k rows per key before the shuffle.
     """
-    from ..config import DEFAULT_EXEC
-    from ..operators.series import group_size_bound, positions
-    f = event_run(spark, d).forecast
-    ranked = positions(f, ["crop_type"], [F.col("timestamp").desc()], pos_col="recent_rank", size_col="_n",
-                       max_group=group_size_bound(f, ["crop_type"]), single_task_rows=DEFAULT_EXEC.block_rows)
-    return finish(ranked.filter(F.col("recent_rank") <= k).drop("_n"))
+    run = event_run(spark, d)
+    return finish(reports.last_rows(run.forecast.join(
+        run.actions.select("crop_type", "timestamp", "action"), ["crop_type", "timestamp"]), "crop_type", k, step))
 
 
 def q_hybrid_gain(spark, d):
@@ -339,7 +335,6 @@ def q_plot_series(spark, d):
 
 def q_plot_tables(spark, d):
     """The data behind every chart, long form."""
-    from ..operators import reports
     run = event_run(spark, d)
     return finish(reports.plot_tables(run.cleaned, run.selected, run.scaled, run.forecast, run.comparison,
                                       metrics.overall_ranking(run.comparison), run.actions, run.target))
@@ -400,10 +395,70 @@ def q_external_predictions(spark, d):
 
 
 def q_model_registry_notes(spark, d):
-    """(key, model, note) for every model of the run plus the optional second booster."""
+    """(key, model, predictions, bad ones, note) for every model of the run."""
+    return finish(event_run(spark, d).registry)
+
+
+def q_key_eligibility(spark, d):
+    """Window counts per key and, for skipped keys, the reason (keys: users, so that many are short)."""
+    ev = tables.read_table(spark, d, "events")
+    sizes = ev.groupBy(F.col("user_id").cast("string").alias("crop_type")).agg(F.count(F.lit(1)).alias(SIZE))
+    return finish(windows.eligibility(sizes, "crop_type", 12))
+
+
+def q_external_ensemble(spark, d):
+    """M10 in the ensemble: a model made elsewhere (mean of the two baselines, persisted) gets weights too."""
+    from ..sources import sinks
     run = event_run(spark, d)
-    notes = {"xgboost": "Unavailable: disabled by configuration", "primary_backend": run.cfg.preferred_model}
-    return finish(models.registry_notes(spark, run.windows, "crop_type", list(run.model_set), notes))
+    made = run.predictions.groupBy("crop_type", "timestamp", "split").agg(F.avg("yhat").alias("yhat")).withColumn(
+        "model", F.lit("external_mean"))
+    path = sinks.shared_path(spark, "external-mean")
+    made.write.parquet(path)
+    return finish(event_run(spark, d, external=spark.read.parquet(path)).weights)
+
+
+def q_raw_ingest(spark, d):
+    """Events written as raw CSV folders of three headers and time formats, read back."""
+    from ..sources import sinks
+    from ..sources.ingest import load_sources
+    ev = tables.read_table(spark, d, "events")
+    third = F.col("event_id") % 3
+    code = F.get_json_object("props", "$.k")
+    value = F.col("value").cast("string")
+    parts = {
+        "us": ev.filter(third == 0).select(
+            F.date_format("ts", "MM/dd/yyyy HH:mm:ss").alias("Recorded At"), F.col("event_type").alias("Class"),
+            value.alias("Temp (C)"), code.alias("RH")),
+        "iso": ev.filter(third == 1).select(
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"), F.upper("event_type").alias("crop"),
+            F.when(code.try_cast("double") >= tables.EVENT_INVALID_CODE, F.lit("NA")).otherwise(value).alias("temperature"),
+            code.alias("humidity")),
+        "okra": ev.filter(third == 2).select(F.date_format("ts", "MMM d, yyyy").alias("date"), value.alias("air_temperature")),
+    }
+    folders = []
+    for name, part in parts.items():
+        folders.append(sinks.shared_path(spark, "raw", name))
+        part.write.option("header", True).csv(folders[-1])
+    return finish(load_sources(spark, folders).select("crop_type", "timestamp", "indoor_temperature_c", "humidity_pct"))
+
+
+def q_payload_rows(spark, d, page_rows: int = 500):
+    """R4 flattened: one row per (key, page, position), with small pages so that keys have several."""
+    rows = reports.payload_rows(event_run(spark, d).payload(page_rows), "crop_type", ("model_coordination", "best_model"))
+    return finish(rows.withColumn("row_pos", F.col("row_pos").cast("long")))
+
+
+def q_bundle_rows(spark, d, page_rows: int = 500):
+    """K1-K8, R5, R7, J5 flattened: artifacts written, index and payload pages read back and assembled."""
+    from ..sources import sinks
+    from .forecast import EVENT_THRESHOLDS
+    from .workflow import load_bundle, run_workflow
+    paths = run_workflow(spark, tables.event_observations(spark, d), sinks.shared_path(spark, "workflow"),
+                         event_config(), page_rows=page_rows)
+    bundle = load_bundle(spark, paths, EVENT_THRESHOLDS).withColumn("rmse", F.col("metrics.rmse").cast("double"))
+    rows = reports.payload_rows(bundle, "crop_type", ("crop_label", "pages", "rmse"))
+    return finish(rows.select("crop_type", "crop_label", "pages", "page", "row_pos", "timestamps", "actions",
+                              F.col("predicted_temperature_c").cast("double").alias("predicted_temperature_c"), "rmse"))
 
 
 def q_hybrid_all_models(spark, d):
@@ -436,21 +491,39 @@ def q_rbf_regression(spark, d):
     return _mllib(spark, d, "svr_rbf")
 
 
+def q_second_boosting(spark, d):
+    """M6: the second boosted configuration."""
+    return _mllib(spark, d, "xgboost", mllib_rounds=None)
+
+
+def q_linear_regression_normal(spark, d):
+    """M1 checked by its normal equations: mean of residual times each centred slot over fit windows is zero."""
+    run = event_run(spark, d)
+    dim = len(run.features) * run.cfg.sequence_length
+    fit = run.windows.filter("is_fit").join(models.ols_coefficients(run.windows, "crop_type", dim), ["crop_type"])
+    res = F.col("y") - (F.col("intercept") + models.dot_product(F.col("x"), F.col("coef"), dim))
+    slots = F.explode(F.array(F.struct(F.lit(0).alias("slot"), res.alias("v")), *[
+        F.struct(F.lit(i).alias("slot"), (res * F.element_at("x", i)).alias("v")) for i in range(1, dim + 1)]))
+    return finish(fit.select("crop_type", slots.alias("s")).groupBy("crop_type", F.col("s.slot").alias("slot")).agg(
+        F.abs(F.round(F.avg("s.v"), 6)).alias("moment")))
+
+
+def q_forest_bounds(spark, d):
+    """M2 checked by what must hold for any forest: one prediction per window, none outside the fit targets."""
+    run = event_run(spark, d, model_set=("random_forest",), mllib_trees=20)
+    span = run.windows.filter("is_fit").groupBy("crop_type").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
+    j = run.predictions.join(span, ["crop_type"])
+    return finish(j.groupBy("crop_type", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("yhat") < F.col("lo") - 1e-9) | (F.col("yhat") > F.col("hi") + 1e-9)).alias("outside")))
+
+
 def q_feature_importance(spark, d):
     run = event_run(spark, d)
     return finish(models.feature_importance(run.windows, "crop_type", run.features, run.cfg.sequence_length))
 
 
 def queries() -> dict[str, Query]:
+    from ..operators.knn import q_knn_forecast
+    from ..streaming.control_stream import stream_queries
     out = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
-    try:
-        from ..operators.knn import q_knn_forecast
-        out["knn_forecast"] = q_knn_forecast
-    except ImportError:
-        pass
-    try:
-        from ..streaming.control_stream import stream_queries
-        out.update(stream_queries())
-    except ImportError:
-        pass
-    return out
+    return out | {"knn_forecast": q_knn_forecast} | stream_queries()

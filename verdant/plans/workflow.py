@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_EXEC, ExecutionConfig, ForecastConfig
 from ..operators import metrics, reports, windows
 from ..operators.series import POS, SIZE
+from ..session import materialize
 from ..sources import sinks
 from .forecast import ForecastRun
 
@@ -32,13 +33,16 @@ def _lines(df: DataFrame, fmt: str, *cols: str) -> DataFrame:
 
 def run_workflow(spark: SparkSession, observations: DataFrame, out_dir: str,
                  cfg: ForecastConfig | None = None, exec_cfg: ExecutionConfig = DEFAULT_EXEC,
-                 model_set: tuple[str, ...] = ("naive_persistence", "linear_baseline")) -> dict[str, str]:
+                 model_set: tuple[str, ...] = ("naive_persistence", "linear_baseline"),
+                 page_rows: int = 10000) -> dict[str, str]:
     run = ForecastRun(observations, cfg or ForecastConfig(), exec_cfg, model_set)
+    run.require_results()
     k = run.cfg.key
     p = {name: os.path.join(out_dir, name) for name in (
         "classified_inputs", "features_cleaned", "features_scaled", "scaling_parameters", "windows",
         "predictions", "control_actions", "overall_crop_results", "overall_model_comparison",
-        "overall_model_ranking", "ui_payload", "payload_index", "data_summary", "pipeline_status")}
+        "overall_model_ranking", "ui_payload", "payload_index", "payload_index_head", "skip_reasons",
+        "model_registry", "data_summary", "pipeline_status")}
     sinks.export_by_key(run.cleaned.drop(POS, SIZE), p["classified_inputs"], k)             # K1
     sinks.export_by_key(run.selected.drop(POS, SIZE), p["features_cleaned"], k)             # K2
     sinks.export_by_key(run.scaled.drop(POS, SIZE), p["features_scaled"], k)                # K2
@@ -53,11 +57,14 @@ def run_workflow(spark: SparkSession, observations: DataFrame, out_dir: str,
     sinks.write_table_csv(run.crop_results, p["overall_crop_results"])                       # K6
     sinks.write_table_csv(run.comparison, p["overall_model_comparison"])                     # K6
     sinks.write_table_csv(metrics.overall_ranking(run.comparison), p["overall_model_ranking"])
-    payload = run.payload().withColumn("payload_file", F.concat(
-        F.lit(p["ui_payload"] + "/key_slug="), F.col(k)))
+    payload = materialize(run.payload(page_rows))
     sinks.export_by_key(payload, p["ui_payload"], k, fmt="json")                           # K7
-    index = reports.payload_index(run.label, payload.select(k, "payload_file"), k)          # R5
-    sinks.write_json_documents(index.coalesce(1), p["payload_index"])                      # K7
+    index = reports.payload_index(run.label, payload, k, p["ui_payload"])                   # R5
+    sinks.write_json_documents(index, p["payload_index"])                                  # K7
+    tables = {name: p[name] for name in ("overall_crop_results", "overall_model_comparison", "overall_model_ranking")}
+    sinks.write_json_documents(reports.index_document(index, tables, k), p["payload_index_head"])
+    sinks.write_table_csv(run.eligibility, p["skip_reasons"])
+    sinks.write_table_csv(run.registry, p["model_registry"])
     summary = metrics.dataset_summary(run.observations, run.cleaned, run.selected, run.scaled, run.features)
     sinks.write_text_report(_lines(summary.orderBy("section", "column"), "%s %s: %s",
                                    "section", "column", "value").coalesce(1), p["data_summary"])  # K8
@@ -73,7 +80,7 @@ def load_bundle(spark: SparkSession, paths: dict[str, str], thresholds: dict[str
     index = sinks.read_json(spark, paths["payload_index"])
     payloads = sinks.read_json(spark, paths["ui_payload"])
     results = sinks.read_csv(spark, paths["overall_crop_results"])
-    return reports.dashboard_bundle(index, payloads.drop("key_slug", "payload_file"), results, thresholds, key)
+    return reports.dashboard_bundle(index, payloads, results, thresholds, key)
 
 
 def main(argv: list[str] | None = None) -> None:

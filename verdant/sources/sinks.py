@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +28,11 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 def export_by_key(df: DataFrame, path: str, key: str = "crop_type", fmt: str = "csv") -> str:
     """K1/K2/K5: one folder per key slug (keys whose slugs collide share a folder, no row is lost)."""
+    # Clustered by folder and time first, else each task writes a file into every folder;
+    # ranges, so that a hot key is spread over several tasks and files.
     out = df.withColumn("key_slug", slug_col(F.col(key)))
-    writer = out.write.mode("overwrite").partitionBy("key_slug")
+    order = ["key_slug"] + [c for c in ("timestamp",) if c in df.columns]
+    writer = out.repartitionByRange(*order).write.mode("overwrite").partitionBy("key_slug")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
@@ -49,7 +53,7 @@ def write_windows(windows: DataFrame, path: str, key: str = "crop_type") -> str:
 
 def write_table_csv(df: DataFrame, path: str) -> str:
     """K6: results / comparison / ranking tables with a header (kept for empty tables)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -72,10 +76,10 @@ def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
         reader = reader.schema(schema)
     try:
         return reader.json(path)
-    except Exception:
-        if schema is None:
-            return spark.createDataFrame([], "value string")
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema or "value string")
 
 
 def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:

@@ -12,69 +12,52 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import clean_key_col
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Fixed values for the events mapping: a device quality code k at or above
-# this level marks the temperature reading invalid (the table has no NULLs,
-# so this is where the gaps that interpolation repairs come from).
+# Fixed value of the queries whose feature is missing values: a device quality
+# code k at or above this level marks the reading invalid (the table has no NULLs).
 EVENT_INVALID_CODE = 90
-# Observation grain of the events series: readings are bucketed to the minute,
-# so series length grows with the table while same-minute events still give
-# duplicates for first-row de-duplication.
-EVENT_GRAIN = "minute"
+# Distance in input order of the altered second copy that the de-duplication query adds.
+SECOND_COPY_ORDER = 1 << 40
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def event_observations(spark: SparkSession, sf_dir: str, grain: str | None = EVENT_GRAIN) -> DataFrame:
-    """events -> observations: key=event_type, time=ts truncated to ``grain``, target=value,
-    humidity=props.k.
+def event_observations(spark: SparkSession, sf_dir: str, blanks: bool = False) -> DataFrame:
+    """events -> observations at their own times: key=event_type, time=ts, target=value, humidity=props.k.
 
-    Truncation makes several events share a (key, time); cleaning keeps the
-    first by ``event_id``.  ``grain=None`` keeps the raw timestamps.
+    Every event is one observation.  ``blanks`` makes readings of invalid
+    quality NULL, for the queries about missing values.
     """
     ev = read_table(spark, sf_dir, "events")
     code = F.get_json_object("props", "$.k").try_cast("double")
-    ts = F.date_trunc(grain, "ts").cast("timestamp_ntz") if grain else F.col("ts")
+    value = F.when(code >= F.lit(EVENT_INVALID_CODE), F.lit(None).cast("double")).otherwise(F.col("value")) \
+        if blanks else F.col("value")
     return ev.select(
-        F.col("event_type").alias("crop_type"),
-        ts.alias("timestamp"),
-        F.when(code >= F.lit(EVENT_INVALID_CODE), F.lit(None).cast("double"))
-        .otherwise(F.col("value")).alias("indoor_temperature_c"),
+        clean_key_col(F.col("event_type")).alias("crop_type"),
+        F.col("ts").cast("timestamp_ntz").alias("timestamp"),
+        value.alias("indoor_temperature_c"),
         code.alias("humidity_pct"),
         F.col("event_id").alias("_order"),
     )
 
 
-def hourly_mean_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> one row per (type, hour) with the mean value (pre-aggregated map-side)."""
-    ev = read_table(spark, sf_dir, "events")
-    return ev.groupBy(
-        F.col("event_type").alias("crop_type"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"),
-    ).agg(F.avg("value").alias("indoor_temperature_c"))
-
-
-def lineitem_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as a volume series table: key=l_returnflag, time=l_shipdate."""
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.col("l_returnflag").alias("crop_type"),
-        F.col("l_shipdate").alias("timestamp"),
-        F.col("l_quantity").alias("indoor_temperature_c"),
-        F.col("l_extendedprice").alias("ambient_temperature_c"),
-        F.col("l_discount").alias("humidity_pct"),
-        F.col("l_tax").alias("co2_ppm"),
-        F.col("l_orderkey"), F.col("l_linenumber"),
-    )
+def event_observations_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every observation and, later in input order, an altered copy of it with the same key and time."""
+    obs = event_observations(spark, sf_dir)
+    later = obs.withColumn("indoor_temperature_c", F.col("indoor_temperature_c") + 1000).withColumn(
+        "humidity_pct", F.lit(None).cast("double")).withColumn("_order", F.col("_order") + SECOND_COPY_ORDER)
+    return later.unionByName(obs)
 
 
 def order_day_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> daily revenue and count per priority (a second keyed series source)."""
     o = read_table(spark, sf_dir, "orders")
     return o.groupBy(
-        F.col("o_orderpriority").alias("crop_type"), F.col("o_orderdate").alias("timestamp")
+        F.coalesce("o_orderpriority", F.lit("nan")).alias("crop_type"), F.col("o_orderdate").alias("timestamp")
     ).agg(F.sum("o_totalprice").alias("indoor_temperature_c"), F.count(F.lit(1)).cast("double").alias("n_orders"))
