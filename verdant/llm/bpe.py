@@ -10,8 +10,8 @@ one split of each token that lower ranks leave.  Merging all places of the
 lowest pair at once equals merging the leftmost one, because every token of the
 vocabulary encodes to itself (checked when the ranks are read).
 
-The rank map is a literal: an array of small maps indexed by a hash, so that a
-lookup does not scan it.  Distinct words are counted over all documents; the
+The rank map is a literal: an array of short strings of a few pairs each, indexed by
+a hash, so that a lookup does not scan it.  Distinct words are counted over all documents; the
 ``CACHED`` most frequent ones of at most ``CACHED_CHARS`` characters are folded
 once and become a second literal map, of bounded size.  Every other word is
 folded where it stands, so the result does not depend on these two numbers.
@@ -37,7 +37,7 @@ from .common import let, read
 RANKS = "byte_bpe_50k.tiktoken"
 CACHED = 1 << 17
 CACHED_CHARS = 48
-SLOTS = 1 << 16
+START, END = "\ue000", "\ue001"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -57,20 +57,36 @@ def pair_of(token: bytes, ranks: dict[bytes, int]) -> tuple[int, int]:
     return ranks[parts[0]], ranks[parts[1]]
 
 
-def slot(key: Column) -> Column:
-    return F.hash(key).bitwiseAND(F.lit(SLOTS - 1))
+def slot(key: Column, slots: int) -> Column:
+    return F.hash(key).bitwiseAND(F.lit(slots - 1))
 
 
-def literal_map(spark: SparkSession, entries: DataFrame) -> Column:
-    """(k, v) string rows, of a bounded number, as a literal array of maps indexed by ``slot(k)``."""
-    table: list[dict] = [{} for _ in range(SLOTS)]
-    for i, k, v in entries.select(slot(F.col("k")), "k", "v").toLocalIterator():
-        table[i][k] = v
-    return F.from_json(F.lit(json.dumps(table, ensure_ascii=False, separators=(",", ":"))), "array<map<string,string>>")
+class LiteralMap:
+    """A bounded number of (k, v) string rows as a literal array of short strings, indexed by a hash of the key.
 
+    A slot is ``START k END v`` for each of its entries.  Neither keys nor values
+    hold START or END; a START in a key that is looked up becomes END END, which no
+    slot holds.
+    """
 
-def look_up(table: Column, key: Column) -> Column:
-    return F.element_at(F.get(table, slot(key)), key)
+    def __init__(self, entries: DataFrame, slots: int):
+        table = [""] * slots
+        for i, k, v in entries.select(slot(F.col("k"), slots), "k", "v").toLocalIterator():
+            table[i] += START + k + END + v
+        self.slots, self.table = slots, F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<string>")
+
+    def get(self, key: Column) -> Column:
+        """The value of the key, or null."""
+        want = F.concat(F.lit(START), F.replace(key, F.lit(START), F.lit(END + END)), F.lit(END))
+        return let(F.get(self.table, slot(key, self.slots)), lambda held: let(
+            F.instr(held, want), lambda at: F.when(at > 0, F.substring_index(
+                F.substr(held, at + F.length(want)), START, 1))))
+
+    def get_short(self, key: Column, key_chars: int, value_chars: int) -> Column:
+        """The same for keys and values of fixed lengths, the keys free of START."""
+        return let(F.get(self.table, slot(key, self.slots)), lambda held: let(
+            F.instr(held, F.concat(F.lit(START), key)), lambda at: F.when(
+                at > 0, F.substr(held, at + (key_chars + 2), F.lit(value_chars)))))
 
 
 class BytePairs:
@@ -85,11 +101,12 @@ class BytePairs:
         char = lambda i: chr(i) if i else self.zero
         self.bytes_from = "".join(map(chr, range(256)))
         self.bytes_to = "".join(char(ranks[bytes([b])]) for b in range(256))
-        pairs = [("".join(map(char, pair_of(t, ranks))), chr(r)) for t, r in ranks.items() if len(t) > 1]
-        self.merges = literal_map(spark, spark.createDataFrame(pairs, "k string, v string"))
+        pairs = [("".join(map(char, pair_of(t, ranks))), r) for t, r in ranks.items() if len(t) > 1]
+        # the value is the merged token and the pair again, so that the least value tells all of a merge
+        self.merges = LiteralMap(spark.createDataFrame([(p, chr(r) + p) for p, r in pairs], "k string, v string"), 1 << 16)
         by_id = sorted(ranks, key=ranks.get)
         self.pieces = F.from_json(F.lit(json.dumps([t.decode("latin-1") for t in by_id])), "array<string>")
-        self.cache: Column | None = None
+        self.cache: LiteralMap | None = None
 
     def words(self, text: Column) -> Column:
         """The matches of the splitting pattern, in order."""
@@ -100,15 +117,13 @@ class BytePairs:
         start = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), self.bytes_from, self.bytes_to)
 
         def step(state: Column, _) -> Column:
-            def merged(chars: Column) -> Column:
-                pairs = F.transform(F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))),
-                                    lambda right, i: F.concat(F.get(chars, i), right))
-                found = F.filter(F.transform(pairs, lambda p: F.struct(look_up(self.merges, p).alias("to"), p.alias("pair"))),
-                                 lambda x: x["to"].isNotNull())
-                return F.array_min(found)
+            def lowest(chars: Column) -> Column:  # ranks are code points, so the least string is the lowest rank
+                return F.array_min(F.transform(F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))),
+                                               lambda right, i: self.merges.get_short(F.concat(F.get(chars, i), right), 2, 3)))
             return F.when(state["done"], state).otherwise(
-                let(let(F.split(state["s"], ""), merged), lambda best: F.struct(
-                    F.when(best.isNull(), state["s"]).otherwise(F.replace(state["s"], best["pair"], best["to"])).alias("s"),
+                let(let(F.split(state["s"], ""), lowest), lambda best: F.struct(
+                    F.when(best.isNull(), state["s"]).otherwise(
+                        F.replace(state["s"], F.substring(best, 2, 2), F.substring(best, 1, 1))).alias("s"),
                     best.isNull().alias("done"))))
 
         rounds = F.when(F.octet_length(word) > 1, F.sequence(F.lit(2), F.octet_length(word))).otherwise(
@@ -118,13 +133,13 @@ class BytePairs:
     def learn(self, docs: DataFrame, text: str = "text", cached: int = CACHED) -> "BytePairs":
         """Fold the most frequent distinct words of all documents once, for ``encode`` to look up."""
         counts = (docs.select(F.explode(self.words(F.col(text))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-                  .filter(F.length("k") <= CACHED_CHARS).orderBy(F.desc("n"), "k").limit(cached))
-        self.cache = literal_map(self.spark, counts.select("k", self.fold(F.col("k")).alias("v")))
+                  .filter((F.length("k") <= CACHED_CHARS) & ~F.col("k").rlike(f"[{START}{END}]")).orderBy(F.desc("n"), "k").limit(cached))
+        self.cache = LiteralMap(counts.select("k", self.fold(F.col("k")).alias("v")), 1 << 17)
         return self
 
     def encode(self, text: Column) -> Column:
         """Token characters of a whole text; ``ids``, ``packed`` and ``decode`` read them."""
-        one = self.fold if self.cache is None else lambda w: F.coalesce(look_up(self.cache, w), self.fold(w))
+        one = self.fold if self.cache is None else lambda w: F.coalesce(self.cache.get(w), self.fold(w))
         return F.replace(F.array_join(F.transform(self.words(text), one), ""), F.lit(self.zero), F.lit("\0"))
 
     @staticmethod
@@ -132,15 +147,26 @@ class BytePairs:
         return F.transform(F.split(tokens, ""), lambda c: F.ascii(c))
 
     @staticmethod
-    def packed(tokens: Column) -> Column:
+    def _packed(chars: Column) -> Column:
+        spread = F.concat(F.array_join(chars, "\0"), F.lit("\0"))
+        return F.encode(F.when(F.get(chars, F.lit(0)) == "", F.lit("")).otherwise(spread), "UTF-16LE")
+
+    def _decoded(self, chars: Column) -> Column:
+        pieces = F.transform(chars, lambda c: F.get(self.pieces, F.ascii(c)))
+        return F.encode(F.when(F.get(chars, F.lit(0)) == "", F.lit("")).otherwise(F.array_join(pieces, "")), "ISO-8859-1")
+
+    def packed(self, tokens: Column) -> Column:
         """The ids as little-endian unsigned 32-bit integers: UTF-16 units with a zero unit after each."""
-        spread = F.concat(F.array_join(F.split(tokens, ""), "\0"), F.lit("\0"))
-        return F.encode(F.when(tokens == "", F.lit("")).otherwise(spread), "UTF-16LE")
+        return let(F.split(tokens, ""), self._packed)
 
     def decode(self, tokens: Column) -> Column:
         """The bytes that the ids stand for."""
-        pieces = F.transform(F.split(tokens, ""), lambda c: F.get(self.pieces, F.ascii(c)))
-        return F.encode(F.when(tokens == "", F.lit("")).otherwise(F.array_join(pieces, "")), "ISO-8859-1")
+        return let(F.split(tokens, ""), self._decoded)
+
+    def digests(self, tokens: Column) -> Column:
+        """SHA-256 of the packed ids and of the decoded bytes, from one splitting of the tokens."""
+        return let(F.split(tokens, ""), lambda chars: F.struct(
+            F.sha2(self._packed(chars), 256).alias("ids_sha256"), F.sha2(self._decoded(chars), 256).alias("decoded_sha256")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +176,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_documents(docs: DataFrame) -> DataFrame:
     pairs = BytePairs(docs.sparkSession).learn(docs)
     d = docs.select("doc_id", pairs.encode(F.col("text")).alias("tokens"))
-    return d.select("doc_id", F.length("tokens").cast("long").alias("n_tokens"),
-                    F.sha2(pairs.packed(F.col("tokens")), 256).alias("ids_sha256"),
-                    F.sha2(pairs.decode(F.col("tokens")), 256).alias("decoded_sha256"))
+    return d.select("doc_id", F.length("tokens").cast("long").alias("n_tokens"), pairs.digests(F.col("tokens")).alias("d")).select(
+        "doc_id", "n_tokens", "d.*")

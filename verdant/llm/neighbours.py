@@ -71,8 +71,8 @@ class Voters:
         self.labels = labels.astype(np.float32)
         self.idf = (np.log((1 + len(terms)) / (1 + np.count_nonzero(terms, axis=0))) + 1).astype(np.float32)
         x = self._weighted(terms)
-        values, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-        self.axes = vectors[:, np.argsort(values)[::-1][:RANK]].astype(np.float32)
+        values, vectors = np.linalg.eigh(x.T @ x)  # single precision: TERMS squared floats stay small on the driver
+        self.axes = np.ascontiguousarray(vectors[:, np.argsort(values)[::-1][:RANK]])
         self.vectors = self._unit(x @ self.axes)
 
     @staticmethod
@@ -112,10 +112,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Voters | float:
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(
         _term_rows, "doc_id long, label int, terms binary")
     one = rows.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("terms").alias("terms"))  # one text an id
-    got = one.toPandas().sort_values("doc_id")  # at most SAMPLE rows
-    if got["label"].nunique() < 2:
-        return float(got["label"].iloc[0]) if len(got) else 0.5
-    return Voters(np.stack([np.frombuffer(t, dtype=np.float32) for t in got["terms"]]), got["label"].to_numpy())
+    labels_, terms = [], bytearray()
+    for r in one.orderBy("doc_id").toLocalIterator():  # at most SAMPLE rows
+        labels_.append(r["label"])
+        terms += r["terms"]
+    if len(set(labels_)) < 2:
+        return float(labels_[0]) if labels_ else 0.5
+    return Voters(np.frombuffer(terms, dtype=np.float32).reshape(-1, TERMS), np.array(labels_))
 
 
 def score_documents(docs: DataFrame, voters: Voters | float) -> DataFrame:
