@@ -18,6 +18,10 @@ from ..functions.names import slug_col
 from ..session import ensure_checkpoint_dir
 
 
+# Times in CSV keep their microseconds (the default format stops at milliseconds).
+CSV_TIMES = {f: "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]" for f in ("timestampFormat", "timestampNTZFormat")}
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
@@ -34,7 +38,7 @@ def export_by_key(df: DataFrame, path: str, key: str = "crop_type", fmt: str = "
     order = ["key_slug"] + [c for c in ("timestamp",) if c in df.columns]
     writer = out.repartitionByRange(*order).write.mode("overwrite").partitionBy("key_slug")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(header=True, **CSV_TIMES).csv(path)
     else:
         writer.format(fmt).save(path)
     return path
@@ -53,7 +57,7 @@ def write_windows(windows: DataFrame, path: str, key: str = "crop_type") -> str:
 
 def write_table_csv(df: DataFrame, path: str) -> str:
     """K6: results / comparison / ranking tables with a header (kept for empty tables)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **CSV_TIMES).csv(path)
     return path
 
 
@@ -84,5 +88,5 @@ def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Read a CSV table back (header row)."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(header=True, **CSV_TIMES)
     return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
