@@ -31,7 +31,7 @@ from .common import as_bytes, cut, in_fold, read, word_hashes
 
 FOLDS, HELD_OUT = 5, 0
 SAMPLE = 4096
-TRIGRAM_BITS = 11
+TRIGRAM_BITS = 10
 TERMS = (1 << TRIGRAM_BITS) + 2
 RANK = 48
 NEIGHBOURS = 32
