@@ -37,6 +37,7 @@ from .common import let, read
 RANKS = "byte_bpe_50k.tiktoken"
 CACHED = 1 << 17
 CACHED_CHARS = 48
+PLAN_CHARS = 1 << 16
 START, END = "\ue000", "\ue001"
 
 
@@ -97,6 +98,8 @@ class BytePairs:
         if sorted(ranks.values()) != list(range(len(ranks))) or len(ranks) >= 0xD800:
             raise ValueError("ranks must be 0 .. n-1, fewer than 55296")
         self.spark, self.pattern = spark, "(?U)" + pattern
+        # Plans print their literals, and the driver keeps what plans print: keep that short.
+        spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
         self.zero = chr(len(ranks))
         char = lambda i: chr(i) if i else self.zero
         self.bytes_from = "".join(map(chr, range(256)))
