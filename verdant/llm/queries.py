@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, chat, jaccard, llr, mixing, neighbours, pii, suffix, topk, toxicity
+from . import bpe, chat, jaccard, llr, mixing, neighbours, pii, runs, suffix, tokenfile, topk, toxicity, trie
 
 QUERIES = {
     "op1_chat_formatting": chat,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_threshold_top_k": topk,
     "op9_suffix_dedup": suffix,
     "op10_surrogates": pii,
+    "op11_periodic_runs": runs,
+    "op12_prefix_trie": trie,
+    "op13_token_files": tokenfile,
 }
 
 
