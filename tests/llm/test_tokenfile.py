@@ -79,3 +79,24 @@ def test_wide_ids_take_32_bits(spark, tmp_path):
     folder = f"{tmp_path}/wide"
     got = stored(spark, documents(spark, ["a b", "c"]), folder, end_id=70_000)
     assert [bytes(r.ids) for r in sorted(got, key=lambda r: r.start)] == [e.tobytes() for e in encoded(["a b", "c"], 70_000)]
+
+
+def test_units_between_spaces_give_the_ids_of_whole_texts(monkeypatch):
+    rng = random.Random(9)
+    alphabet = ["a", "B", "é", "漢", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "'s", "'", "1", "!", "-", " ", "​", "x" * 60, "'ll"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    monkeypatch.setattr(tokenfile, "KNOWN_UNITS", 50)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = tokenfile.Encoder(f.read(), 0)
+    assert encoder.by_units
+    want = [e.astype("<u2").tobytes() for e in encoded(texts)]
+    assert [m for i in range(0, len(texts), 100) for m in encoder.encode(texts[i:i + 100])] == want
+
+
+def test_other_vocabularies_are_given_whole_texts():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        source = f.read()
+    encoder = tokenfile.Encoder(source, 1)
+    assert not encoder.by_units
+    want = Tokenizer.from_str(source).encode("Some Words here", add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(["Some Words here"])[0], dtype="<u2").tolist() == want + [1]

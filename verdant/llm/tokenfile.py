@@ -15,8 +15,9 @@ base + shard offset, so that no shard is written twice.
 Execution: documents are range-partitioned by id (ties by content, equal rows by a salt, so
 that an id on a third of all rows is spread), sorted within tasks and streamed: a task holds
 one encoding batch, never a shard.  Files are written under a name of the attempt and moved
-into place, so a repeated task replaces its shard by the same bytes.  Readers take blocks of
-documents and map the files (other file systems: ranged reads).
+into place, so a repeated task replaces its shard by the same bytes.  A task encodes each distinct
+unit between single spaces once as long as it remembers it (where the vocabulary's splitting
+allows that).  Readers take blocks of documents and map the files (other file systems: ranged reads).
 
 ``docs`` should be a stored table: the salt follows the order of its rows, which a repeated
 task must find again.
@@ -28,7 +29,9 @@ rows; strings of special tokens in a text are ordinary text.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -37,12 +40,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from ..sources.sinks import shared_path
 from .common import read
 
 BATCH_CHARS = 1 << 20
 BLOCK_DOCS = 1 << 13
 SALTS = 1 << 10
+KNOWN_UNITS = 1 << 19  # units a task remembers at a time
+UNIT_CHARS = 48  # longer ones are not worth remembering
 SHARDS = "shard int, n_docs long, n_nulls long, n_tokens long"
 
 
@@ -55,6 +61,52 @@ def file_system(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
+def splits_at_spaces(tokenizer: str) -> bool:
+    """Whether the ids of a text are those of its units, cut before single spaces between other characters.
+
+    True of plain byte-level splitting without normalisation: such a space always begins a new
+    piece, and nothing but white space looks at what follows it.
+    """
+    made = json.loads(tokenizer)
+    pre = made.get("pre_tokenizer") or {}
+    plain = made.get("normalizer") is None and all(t["special"] for t in made.get("added_tokens") or [])
+    return (plain and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and made["model"].get("type") == "BPE" and not made["model"].get("ignore_merges"))
+
+
+class Encoder:
+    """Texts to id bytes by the tokenizers library, each distinct unit encoded once as long as it is remembered."""
+
+    def __init__(self, tokenizer: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
+        from tokenizers import Tokenizer
+        self.made = Tokenizer.from_str(tokenizer)
+        self.made.no_truncation()
+        self.made.no_padding()
+        self.made.encode_special_tokens = True
+        self.kind = np.dtype("<u2" if max(self.made.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+        self.end = np.array([end_id], dtype=self.kind).tobytes()
+        self.by_units, self.known = splits_at_spaces(tokenizer), {}
+        self.cut = re.compile(r"(?<=\S) (?=\S)").split
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text and the end id."""
+        if not self.by_units:
+            return [ids + self.end for ids in self._library(texts)]
+        if len(self.known) > KNOWN_UNITS:
+            self.known = {}
+        known, long = self.known, {}
+        cut = [self.cut(t) for t in texts]
+        first = [c[0] for c in cut]  # no space before it
+        new = list({u for c in cut for u in c[1:] if u not in known})
+        for unit, ids in zip(new, self._library([f" {u}" for u in new])):
+            (known if len(unit) <= UNIT_CHARS else long)[unit] = ids
+        found = known if not long else {**long, **{u: known[u] for c in cut for u in c[1:] if u in known}}
+        return [b"".join((head, *map(found.__getitem__, c[1:]), self.end)) for head, c in zip(self._library(first), cut)]
+
+
 def _writer(folder: str, tokenizer, end_id: int, batch_chars: int):
     """Encode and write the documents of one partition as one shard; yields its sizes."""
     def chunks(batches: Iterator[pd.DataFrame]):
@@ -71,28 +123,20 @@ def _writer(folder: str, tokenizer, end_id: int, batch_chars: int):
             yield ids, texts
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-        made = Tokenizer.from_str(tokenizer.value)
-        made.no_truncation()
-        made.no_padding()
-        made.encode_special_tokens = True
-        kind = "<u2" if max(made.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         store, path = file_system(folder)
         task = TaskContext.get()
-        shard, files = task.partitionId(), {}
+        shard, files, encoder = task.partitionId(), {}, None
         n_docs = n_nulls = n_tokens = 0
         for ids, texts in chunks(batches):
             if not files:
+                encoder = Encoder(tokenizer.value, end_id)
                 store.create_dir(path, recursive=True)
                 files = {k: store.open_output_stream(f"{path}/{shard}.{task.taskAttemptId()}.{k}.part") for k in ("ids", "off", "doc")}
                 files["off"].write(np.zeros(1, dtype="<u8").tobytes())
-            lengths = np.empty(len(texts), dtype=np.uint64)
-            for i, e in enumerate(made.encode_batch_fast(texts, add_special_tokens=False)):
-                lengths[i] = len(e.ids) + 1
-                files["ids"].write(np.array(e.ids + [end_id], dtype=kind).tobytes())
-            ends = np.cumsum(lengths) + np.uint64(n_tokens)
+            made = encoder.encode(texts)
+            files["ids"].write(b"".join(made))
+            ends = np.cumsum([len(m) // encoder.kind.itemsize for m in made]) + n_tokens
             files["off"].write(ends.astype("<u8").tobytes())
             missing = pd.isna(pd.Series(ids, dtype=object)).to_numpy()
             files["doc"].write(np.array([0 if gone else int(d) for d, gone in zip(ids, missing)], dtype="<i8").tobytes())
@@ -160,7 +204,8 @@ def read_tokens(spark: SparkSession, folder: str, block_docs: int = BLOCK_DOCS)
     first = F.explode(F.expr(f"sequence(0L, n_docs - 1, {int(block_docs)}L)"))
     blocks = shards.select("shard", "base", "n_docs", "n_nulls", "n_tokens", first.alias("first"))
     blocks = blocks.select("shard", "base", "n_nulls", "n_tokens", "first", F.least(F.col("first") + block_docs, "n_docs").alias("last"))
-    return blocks.repartition("shard", "first").mapInPandas(_reader(folder), "doc_id long, start long, ids binary")
+    # a stated number: these rows are tiny, but what they stand for is not
+    return blocks.repartition(shuffle_partitions(spark), "shard", "first").mapInPandas(_reader(folder), "doc_id long, start long, ids binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
