@@ -15,9 +15,9 @@ base + shard offset, so that no shard is written twice.
 Execution: documents are range-partitioned by id (ties by content, equal rows by a salt, so
 that an id on a third of all rows is spread), sorted within tasks and streamed: a task holds
 one encoding batch, never a shard.  Files are written under a name of the attempt and moved
-into place, so a repeated task replaces its shard by the same bytes.  A task encodes each distinct
+into place, so a repeated task replaces its shard by the same bytes.  A worker encodes a distinct
 unit between single spaces once as long as it remembers it (where the vocabulary's splitting
-allows that).  Readers take blocks of documents and map the files (other file systems: ranged reads).
+allows that; two bounded generations).  Readers take blocks of documents and map the files (other file systems: ranged reads).
 
 ``docs`` should be a stored table: the salt follows the order of its rows, which a repeated
 task must find again.
@@ -32,6 +32,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -47,7 +48,7 @@ from .common import read
 BATCH_CHARS = 1 << 20
 BLOCK_DOCS = 1 << 13
 SALTS = 1 << 10
-KNOWN_UNITS = 1 << 19  # units a task remembers at a time
+KNOWN_UNITS = 1 << 19  # units of a generation; a worker remembers two
 UNIT_CHARS = 48  # longer ones are not worth remembering
 SHARDS = "shard int, n_docs long, n_nulls long, n_tokens long"
 
@@ -70,7 +71,8 @@ def splits_at_spaces(tokenizer: str) -> bool:
     made = json.loads(tokenizer)
     pre = made.get("pre_tokenizer") or {}
     plain = made.get("normalizer") is None and all(t["special"] for t in made.get("added_tokens") or [])
-    return (plain and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and made["model"].get("type") == "BPE" and not made["model"].get("ignore_merges"))
+    level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+    return bool(plain and level and made["model"].get("type") == "BPE" and not made["model"].get("ignore_merges"))
 
 
 class Encoder:
@@ -84,29 +86,46 @@ class Encoder:
         self.made.no_padding()
         self.made.encode_special_tokens = True
         self.kind = np.dtype("<u2" if max(self.made.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
-        self.end = np.array([end_id], dtype=self.kind).tobytes()
-        self.by_units, self.known = splits_at_spaces(tokenizer), {}
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.end = array(self.code, [end_id]).tobytes()
+        self.by_units, self.known, self.older = splits_at_spaces(tokenizer), {}, {}
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id."""
         if not self.by_units:
             return [ids + self.end for ids in self._library(texts)]
         if len(self.known) > KNOWN_UNITS:
-            self.known = {}
-        known, long = self.known, {}
+            self.known, self.older = {}, self.known
+        known, older, long = self.known, self.older, {}
         cut = [self.cut(t) for t in texts]
         first = [c[0] for c in cut]  # no space before it
-        new = list({u for c in cut for u in c[1:] if u not in known})
+        new = []
+        for unit in {u for c in cut for u in c[1:] if u not in known}:
+            if unit in older:
+                known[unit] = older[unit]
+            else:
+                new.append(unit)
         for unit, ids in zip(new, self._library([f" {u}" for u in new])):
             (known if len(unit) <= UNIT_CHARS else long)[unit] = ids
         found = known if not long else {**long, **{u: known[u] for c in cut for u in c[1:] if u in known}}
         return [b"".join((head, *map(found.__getitem__, c[1:]), self.end)) for head, c in zip(self._library(first), cut)]
 
 
+_encoders: dict = {}  # a Python worker serves many tasks: its units serve them all
+
+
+def encoder_of(tokenizer: str, end_id: int) -> Encoder:
+    key = (hash(tokenizer), len(tokenizer), end_id)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(tokenizer, end_id)
+    return _encoders[key]
+
+
 def _writer(folder: str, tokenizer, end_id: int, batch_chars: int):
     """Encode and write the documents of one partition as one shard; yields its sizes."""
     def chunks(batches: Iterator[pd.DataFrame]):
@@ -130,7 +149,7 @@ def _writer(folder: str, tokenizer, end_id: int, batch_chars: int):
         n_docs = n_nulls = n_tokens = 0
         for ids, texts in chunks(batches):
             if not files:
-                encoder = Encoder(tokenizer.value, end_id)
+                encoder = encoder_of(tokenizer.value, end_id)
                 store.create_dir(path, recursive=True)
                 files = {k: store.open_output_stream(f"{path}/{shard}.{task.taskAttemptId()}.{k}.part") for k in ("ids", "off", "doc")}
                 files["off"].write(np.zeros(1, dtype="<u8").tobytes())
