@@ -16,7 +16,7 @@ Execution: documents are range-partitioned by id (ties by content, equal rows by
 that an id on a third of all rows is spread), sorted within tasks and streamed: a task holds
 one encoding batch, never a shard.  Files are written under a name of the attempt and moved
 into place, so a repeated task replaces its shard by the same bytes.  A worker encodes a distinct
-unit between single spaces once as long as it remembers it (where the vocabulary's splitting
+unit (a word with the white space before it) once as long as it remembers it (where the vocabulary's splitting
 allows that; two bounded generations).  Readers take blocks of documents and map the files (other file systems: ranged reads).
 
 ``docs`` should be a stored table: the salt follows the order of its rows, which a repeated
@@ -63,10 +63,10 @@ def file_system(folder: str):
 
 
 def splits_at_spaces(tokenizer: str) -> bool:
-    """Whether the ids of a text are those of its units, cut before single spaces between other characters.
+    """Whether the ids of a text are those of its units, cut before white space that follows something else.
 
-    True of plain byte-level splitting without normalisation: such a space always begins a new
-    piece, and nothing but white space looks at what follows it.
+    True of plain byte-level splitting without normalisation: no piece goes on from other
+    characters into white space, and nothing but white space looks at what follows it.
     """
     made = json.loads(tokenizer)
     pre = made.get("pre_tokenizer") or {}
@@ -89,7 +89,7 @@ class Encoder:
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.end = array(self.code, [end_id]).tobytes()
         self.by_units, self.known, self.older = splits_at_spaces(tokenizer), {}, {}
-        self.cut = re.compile(r"(?<=\S) (?=\S)").split
+        self.cut = re.compile(r"\s*\S+|\s+").findall
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
@@ -100,19 +100,15 @@ class Encoder:
             return [ids + self.end for ids in self._library(texts)]
         if len(self.known) > KNOWN_UNITS:
             self.known, self.older = {}, self.known
-        known, older, long = self.known, self.older, {}
+        known, older = self.known, self.older
         cut = [self.cut(t) for t in texts]
-        first = [c[0] for c in cut]  # no space before it
-        new = []
-        for unit in {u for c in cut for u in c[1:] if u not in known}:
-            if unit in older:
-                known[unit] = older[unit]
-            else:
-                new.append(unit)
-        for unit, ids in zip(new, self._library([f" {u}" for u in new])):
-            (known if len(unit) <= UNIT_CHARS else long)[unit] = ids
-        found = known if not long else {**long, **{u: known[u] for c in cut for u in c[1:] if u in known}}
-        return [b"".join((head, *map(found.__getitem__, c[1:]), self.end)) for head, c in zip(self._library(first), cut)]
+        made = [list(map(known.get, c)) for c in cut]
+        missing = {u for c, m in zip(cut, made) if None in m for u, ids in zip(c, m) if ids is None}
+        new = [u for u in missing if u not in older]
+        fresh = {u: older[u] for u in missing if u in older} | dict(zip(new, self._library(new)))
+        known.update((u, ids) for u, ids in fresh.items() if len(u) <= UNIT_CHARS)
+        return [b"".join(m if None not in m else [fresh[u] if ids is None else ids for u, ids in zip(c, m)]) + self.end
+                for c, m in zip(cut, made)]
 
 
 _encoders: dict = {}  # a Python worker serves many tasks: its units serve them all
