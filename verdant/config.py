@@ -125,8 +125,6 @@ class ExecutionConfig:
     # the unit of work of one window task, so it bounds task memory no matter
     # how large a single series grows.
     block_rows: int = 1 << 17
-    # Keys whose MLlib models are fitted together; every key is fitted, wave after wave.
-    model_wave: int = 32
     # Groups with at most this many values get Spark's exact percentile (its
     # buffer holds the group's distinct values); larger ones the sort path.
     single_task_values: int = 1 << 20

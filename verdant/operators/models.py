@@ -1,12 +1,8 @@
-"""Forecasting models (M1-M14) over the window table.
+"""Forecasting models (M1, M7-M11, M14) over the window table.
 
-Set-based models (persistence, AR(1), KNN, and linear regression via TSQR)
-run for any number of keys as joins, grouped aggregates and per-task numpy
-reductions.  Tree and kernel models use MLlib, fitted once per key like the
-source workflow: windows are written once, partitioned by key, and keys are
-fitted wave after wave; a fit reads its own key's files only and appends its
-predictions to one shared Parquet table, so neither plan nor driver grows with
-the number of keys (with very many keys the set-based models are far cheaper).
+Persistence, AR(1) and linear regression by TSQR run for any number of keys as
+joins, grouped aggregates and per-task numpy reductions; so do the models in
+``trees`` (M2, M3, M6, M13), ``knn`` (M4) and ``kernel`` (M5).
 
 Every predictor returns the long prediction table
 ``(key, timestamp, split, model, y, yhat)`` with split in {val, test}.
@@ -14,17 +10,13 @@ Every predictor returns the long prediction table
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import (DEFAULT_EXEC, GB_DEPTH, GB_RATE, GB_ROUNDS, GB_SUBSAMPLE, HUBER_EPSILON, RANDOM_SEED, RF_DEPTH,
-                      RF_MIN_LEAF, RF_TREES, SVR_C, XGB_COLSAMPLE, XGB_DEPTH, XGB_RATE, XGB_ROUNDS,
-                      XGB_SUBSAMPLE)
 from .series import join_small
 
 PRED_COLS = ["split", "model", "y", "yhat"]
@@ -78,12 +70,7 @@ def external_predictions(windows: DataFrame, external: DataFrame, key: str) -> D
         key, "timestamp", "split", "model", "y", "yhat")
 
 
-# ---------------------------------------------------------------- MLlib fits
-
-def _vectorize(df: DataFrame) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn("features", array_to_vector("x"))
-
+# ---------------------------------------------------------------- least squares
 
 def dot_product(a: Column, b: Column, dim: int) -> Column:
     """sum(a[i] * b[i]) as plain arithmetic (whole-stage codegen; array HOFs are interpreted)."""
@@ -157,154 +144,11 @@ def ols_forecast(windows: DataFrame, key: str, dim: int, n_keys: int | None = No
     return _long(rows, key, "linear_regression", F.col("intercept") + dot)
 
 
-def random_forest(trees: int = RF_TREES):
-    from pyspark.ml.regression import RandomForestRegressor
-    return RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=trees, maxDepth=RF_DEPTH,
-                                 minInstancesPerNode=RF_MIN_LEAF, seed=RANDOM_SEED,
-                                 featureSubsetStrategy="all", bootstrap=True)
-
-
-def gradient_boosting(rounds: int = GB_ROUNDS):
-    from pyspark.ml.regression import GBTRegressor
-    return GBTRegressor(featuresCol="features", labelCol="y", maxIter=rounds, stepSize=GB_RATE,
-                        maxDepth=GB_DEPTH, subsamplingRate=GB_SUBSAMPLE, seed=RANDOM_SEED)
-
-
-def second_boosting(rounds: int = XGB_ROUNDS):
-    """M6: the optional second boosted configuration, as MLlib GBT."""
-    from pyspark.ml.regression import GBTRegressor
-    return GBTRegressor(featuresCol="features", labelCol="y", maxIter=rounds, stepSize=XGB_RATE,
-                        maxDepth=XGB_DEPTH, subsamplingRate=XGB_SUBSAMPLE,
-                        featureSubsetStrategy=str(XGB_COLSAMPLE), seed=RANDOM_SEED)
-
-
-def rbf_regression(n_components: int = 256, seed: int = RANDOM_SEED):
-    """M5: RBF-kernel regressor as random Fourier features + Huber-loss fit (SVR role, C=15).
-
-    Returned as a factory taking the fit DataFrame, because the feature map
-    depends on the fit data's scale (gamma = 1 / (n_features * var)).
-    """
-    return ("rbf", n_components, seed)
-
-
-def _rff_udf(weights: np.ndarray, offsets: np.ndarray, mean: np.ndarray, std: np.ndarray):
-    scale = np.sqrt(2.0 / weights.shape[1])
-
-    @F.pandas_udf("array<double>")
-    def rff(x: pd.Series) -> pd.Series:
-        if len(x) == 0:
-            return pd.Series([], dtype=object)
-        m = (np.vstack(x.to_numpy()) - mean) / std
-        z = scale * np.cos(m @ weights + offsets)
-        return pd.Series(list(z))
-
-    return rff
-
-
-def _fit_rbf(fit: DataFrame, score: DataFrame, n_components: int, seed: int):
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import LinearRegression
-
-    # Column moments: one aggregation over the fit windows (bounded width).
-    dim = len(fit.select("x").first()[0])
-    moments = fit.select(*[F.element_at("x", i + 1).alias(f"c{i}") for i in range(dim)]).agg(
-        *[F.avg(f"c{i}").alias(f"m{i}") for i in range(dim)],
-        *[F.stddev_pop(f"c{i}").alias(f"s{i}") for i in range(dim)],
-        F.count(F.lit(1)).alias("n")).first()
-    mean = np.array([moments[f"m{i}"] or 0.0 for i in range(dim)])
-    std = np.array([moments[f"s{i}"] or 0.0 for i in range(dim)])
-    std[std == 0] = 1.0
-    gamma = 1.0 / dim  # standardized inputs have unit variance
-    rng = np.random.default_rng(seed)
-    weights = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, n_components))
-    offsets = rng.uniform(0.0, 2.0 * np.pi, size=n_components)
-    rff = _rff_udf(weights, offsets, mean, std)
-    # Robust loss on the feature map with the SVR trade-off: lambda = 1 / (C * n).
-    est = LinearRegression(featuresCol="features", labelCol="y", loss="huber", epsilon=HUBER_EPSILON,
-                           regParam=1.0 / (SVR_C * max(int(moments["n"]), 1)), elasticNetParam=0.0,
-                           standardization=False, maxIter=200)
-    model = est.fit(fit.withColumn("features", array_to_vector(rff("x"))))
-    return model.transform(score.withColumn("features", array_to_vector(rff("x"))))
-
-
-def _waves(keys, size: int):
-    wave = []
-    for k in keys:
-        wave.append(k)
-        if len(wave) == size:
-            yield wave
-            wave = []
-    if wave:
-        yield wave
-
-
-def fit_per_key(windows: DataFrame, key: str, model_name: str, make_estimator: Callable,
-                wave: int = DEFAULT_EXEC.model_wave, threads: int = 4,
-                on_model: Callable | None = None) -> DataFrame:
-    """Fit one MLlib estimator per key on fit windows; score val + test windows (M2, M3, M5, M6, M9).
-
-    Every key is fitted.  ``on_model(key, model)`` may return rows of
-    ``(key, name, value)``, kept in a second table; then the pair
-    (predictions, rows) is returned.
-    """
-    from ..sources.sinks import shared_path
-
-    spark = windows.sparkSession
-    base = shared_path(spark, "fits", model_name)
-    slim = windows.select(F.col(key).alias("_k"), key, "timestamp", "split", "x", "y", "is_fit", "is_val")
-    slim.repartition("_k").write.partitionBy("_k").parquet(f"{base}/windows")
-    stored = spark.read.schema(slim.schema).parquet(f"{base}/windows")
-    predictions, extras = f"{base}/predictions", f"{base}/extras"
-
-    def one(numbered):
-        number, k = numbered  # a folder per fit: parallel writers must not share one
-        mine = stored.filter(F.col("_k").eqNullSafe(F.lit(k))).drop("_k")
-        fit = mine.filter("is_fit")
-        est = make_estimator()
-        if isinstance(est, tuple) and est[0] == "rbf":
-            pred = _fit_rbf(fit, scored_rows(mine), est[1], est[2])
-        else:
-            model = est.fit(_vectorize(fit))
-            if on_model is not None:
-                spark.createDataFrame(on_model(k, model), f"{key} string, name string, value double").coalesce(1) \
-                    .write.parquet(f"{extras}/fit={number}")
-            pred = model.transform(_vectorize(scored_rows(mine)))
-        _long(pred, key, model_name, F.col("prediction")).write.parquet(f"{predictions}/fit={number}")
-
-    names = (r[0] for r in stored.filter("is_fit").select("_k").distinct().orderBy("_k").toLocalIterator())
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        for group in _waves(enumerate(names), wave):
-            list(pool.map(one, group))
-    empty = _long(scored_rows(windows), key, model_name, F.lit(0.0)).schema
-    got = spark.read.schema(empty).parquet(predictions).drop("fit") if _exists(spark, predictions) else spark.createDataFrame([], empty)
-    if on_model is None:
-        return got
-    rows = f"{key} string, name string, value double"
-    return got, spark.read.schema(rows).parquet(extras).drop("fit") if _exists(spark, extras) else spark.createDataFrame([], rows)
-
-
-def _exists(spark, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def feature_names(features: Sequence[str], length: int) -> list[str]:
     """Names of flattened window slots: time-major, oldest step first."""
     return [f"{f}_t-{lag}" for lag in range(length, 0, -1) for f in features]
 
 
-def feature_importance(windows: DataFrame, key: str, features: Sequence[str], length: int,
-                       trees: int = RF_TREES) -> DataFrame:
-    """Random-forest feature importances per key, long form."""
-    names = feature_names(features, length)
-
-    def importances(k, model):
-        return [(k, names[i], float(v)) for i, v in enumerate(model.featureImportances.toArray())]
-
-    _, rows = fit_per_key(windows, key, "random_forest", lambda: random_forest(trees), on_model=importances)
-    return rows.select(key, F.col("name").alias("feature"), F.col("value").alias("importance"))
-
-
 def correlation_matrix(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     """Pearson correlation of every feature pair per key (one grouped aggregation)."""
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
@@ -336,7 +180,3 @@ def registry_notes(predictions: DataFrame, weights: DataFrame, eligibility: Data
     return rows.select(key, "model", F.coalesce("n_predictions", zero).alias("n_predictions"),
                        F.coalesce("n_bad", zero).alias("n_bad"), note.alias("note"))
 
-
-def save_model(model, path: str) -> None:
-    """Persist a fitted MLlib model (overwrite)."""
-    model.write().overwrite().save(path)

@@ -1,9 +1,9 @@
 """End-to-end forecasting and control flow as lazy DataFrame stages.
 
 ``ForecastRun`` builds every stage of the flow once per run and exposes them
-as DataFrames; nothing is collected to the driver except MLlib fits'
-bookkeeping.  The stages are keyed by the series key column, so the same run
-handles five keys or five million (set-based models only for the latter).
+as DataFrames; nothing is collected to the driver but single counts.  The
+stages are keyed by the series key column, so the same run handles five keys
+or five million, with every model.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_EXEC, HYBRID_MODEL, ExecutionConfig, ForecastConfig
+from ..config import DEFAULT_EXEC, GB_ROUNDS, HYBRID_MODEL, RF_TREES, XGB_ROUNDS, ExecutionConfig, ForecastConfig
 from ..functions.values import iso_text
-from ..operators import clean, control, ensemble, metrics, models, windows
+from ..operators import clean, control, ensemble, kernel, metrics, models, trees, windows
 from ..operators.series import SIZE, join_small
 from ..session import materialize
 
@@ -34,8 +34,9 @@ class ForecastRun:
     cfg: ForecastConfig = field(default_factory=ForecastConfig)
     exec_cfg: ExecutionConfig = DEFAULT_EXEC
     model_set: tuple[str, ...] = ("naive_persistence", "linear_baseline")
-    mllib_trees: int | None = None
-    mllib_rounds: int | None = None
+    forest_trees: int = RF_TREES
+    boost_rounds: int = GB_ROUNDS
+    second_rounds: int = XGB_ROUNDS
     # (key, timestamp, split, model, yhat) in scaled units, produced elsewhere.
     external: DataFrame | None = None
 
@@ -114,15 +115,34 @@ class ForecastRun:
         if name == "knn_regressor":
             from ..operators.knn import knn_forecast
             return knn_forecast(self.windows, k, nf * self.cfg.sequence_length)
-        trees = self.mllib_trees
-        rounds = self.mllib_rounds
-        makers = {
-            "random_forest": (lambda: models.random_forest(trees)) if trees else models.random_forest,
-            "gradient_boosting": (lambda: models.gradient_boosting(rounds)) if rounds else models.gradient_boosting,
-            "svr_rbf": models.rbf_regression,
-            "xgboost": models.second_boosting,
+        if name == "svr_rbf":
+            return kernel.kernel_forecast(self.windows, self.fitted(name), k, self.dim)
+        return trees.tree_forecast(self.windows, self.fitted(name), k, self.dim, name)
+
+    @property
+    def dim(self) -> int:
+        """Slots of a flattened window."""
+        return len(self.features) * self.cfg.sequence_length
+
+    @cached_property
+    def _fits(self) -> dict:
+        return {}
+
+    def fitted(self, name: str) -> DataFrame:
+        """Model table of a tree, kernel or linear model, fitted once a run (M9): see ``plans.store``."""
+        fits = {
+            "random_forest": lambda: trees.forest(self.windows, self.cfg.key, self.dim, self.forest_trees),
+            "gradient_boosting": lambda: trees.boosted(self.windows, self.cfg.key, self.dim, self.boost_rounds),
+            "xgboost": lambda: trees.second_boosted(self.windows, self.cfg.key, self.dim, self.second_rounds),
+            "svr_rbf": lambda: kernel.kernel_models(self.windows, self.cfg.key, self.dim),
+            "linear_regression": lambda: models.ols_coefficients(self.windows, self.cfg.key, self.dim, n_keys=self.n_keys),
+            "linear_baseline": lambda: models.ar1_params(self.windows, self.cfg.key, len(self.features), self.target_index),
         }
-        return models.fit_per_key(self.windows, k, name, makers[name], self.exec_cfg.model_wave)
+        if name not in fits:
+            raise ValueError(f"{name} is not a fitted model")
+        if name not in self._fits:
+            self._fits[name] = fits[name]()
+        return self._fits[name]
 
     @cached_property
     def eligibility(self) -> DataFrame:

@@ -393,6 +393,23 @@ def oracle_sql() -> dict[str, str]:
              * (actual_temperature_c - predicted_temperature_c))) AS rmse FROM fc GROUP BY crop_type) m USING (crop_type)""")
     q["linear_regression_normal"] = _event_sql(CLEAN + SCALE + WINDOWS, f"""SELECT crop_type, CAST(slot AS BIGINT) AS slot, 0.0::DOUBLE AS moment
         FROM (SELECT DISTINCT crop_type FROM wins), range({L * len(FEATS) + 1}) s(slot)""")
+    wins = CLEAN + SCALE + WINDOWS
+    fit_keys = f"SELECT crop_type, {b('count(*) FILTER (WHERE is_fit)', 'fit_windows')} FROM wins GROUP BY crop_type"
+    q["boosting_loss"] = _event_sql(wins, f"""SELECT crop_type, model, fit_windows, TRUE AS falls FROM ({fit_keys}),
+        (VALUES ('gradient_boosting'), ('xgboost')) m(model)""")
+    q["model_rows"] = _event_sql(wins + PREDS[:1], f"""SELECT crop_type, split, m.model, {b('count(*)', 'n')}, {b('0', 'unusual')}
+        FROM scored, (VALUES ('random_forest'), ('gradient_boosting'), ('xgboost'), ('svr_rbf')) m(model)
+        GROUP BY crop_type, split, m.model""")
+    q["kernel_first_order"] = _event_sql(wins, """SELECT crop_type, CAST(slot AS BIGINT) AS slot, 0.0::DOUBLE AS moment
+        FROM (SELECT DISTINCT crop_type FROM wins), range(257) t(slot)""")
+    q["importance_shares"] = _event_sql(wins, f"""SELECT DISTINCT crop_type, {b(str(L * len(FEATS)), 'features')},
+        1.0::DOUBLE AS total, {b('0', 'negative')} FROM wins""")
+    q["stored_models_match"] = _event_sql(wins + PREDS[:1], f"""SELECT crop_type, split, m.model, {b('count(*)', 'n')}, 0.0::DOUBLE AS worst
+        FROM scored, (VALUES ('linear_regression'), ('gradient_boosting'), ('xgboost'), ('svr_rbf')) m(model)
+        GROUP BY crop_type, split, m.model""")
+    q["all_models_ensemble"] = _event_sql(wins, f"""SELECT crop_type, {b('5', 'models')}, 1.0::DOUBLE AS total, {b('0', 'outside')},
+        {b('6', 'ranked')}, {b('0', 'unscored')}, {b("count(*) FILTER (WHERE split = 'test')", 'forecast_rows')}
+        FROM wins GROUP BY crop_type""")
     q["forest_bounds"] = _event_sql(CLEAN + SCALE + WINDOWS + PREDS[:1], f"""SELECT crop_type, split, {b('count(*)', 'n')},
         CAST(0 AS BIGINT) AS outside FROM scored GROUP BY crop_type, split""")
     q["stream_dedupe"] = f"""SELECT event_type AS crop_type, CAST(ts AS TIMESTAMP) AS ts, event_id, {r('value', 'reading')} FROM events
@@ -447,6 +464,7 @@ def oracle_sql() -> dict[str, str]:
     base = CLEAN + SCALE + WINDOWS + PREDS
     q["persistence_forecast"] = _event_sql(base, f"SELECT {pred_cols} FROM preds WHERE model = 'naive_persistence'")
     q["ar1_forecast"] = _event_sql(base, f"SELECT {pred_cols} FROM preds WHERE model = 'linear_baseline'")
+    q["stored_linear_forecast"] = q["ar1_forecast"]
     q["validation_rmse"] = _event_sql(base, f"""SELECT crop_type, model,
         {r('sqrt(avg(power(y - yhat, 2)))', 'validation_rmse')} FROM preds WHERE split = 'val' GROUP BY crop_type, model""")
     q["ensemble_weights"] = _event_sql(base + WEIGHTS, f"""SELECT crop_type, model, {r('validation_rmse', 'validation_rmse')},

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import HYBRID_MODEL
 from ..functions.names import display_key, lookup_key, normalize_col, slug_col
 from ..functions.values import json_number
-from ..operators import clean, ensemble, metrics, models, reports, windows
+from ..operators import clean, ensemble, kernel, metrics, models, reports, trees, windows
 from ..operators.series import POS, SIZE
 from ..sources import tables
 from ..sources.ingest import standardize, union_all
@@ -43,6 +43,11 @@ def event_run(spark: SparkSession, sf_dir: str, **kw) -> ForecastRun:
     return ForecastRun(tables.event_observations(spark, sf_dir), event_config(), **kw)
 
 
+def sinks_path(spark, name: str) -> str:
+    from ..sources import sinks
+    return sinks.shared_path(spark, name)
+
+
 OBS_COLS = ["crop_type", "timestamp", "indoor_temperature_c", "humidity_pct"]
 FEATURES = ["indoor_temperature_c", "humidity_pct"]
 
@@ -461,39 +466,99 @@ def q_bundle_rows(spark, d, page_rows: int = 500):
                               F.col("predicted_temperature_c").cast("double").alias("predicted_temperature_c"), "rmse"))
 
 
+ALL_MODELS = ("knn_regressor", "linear_regression", "random_forest", "gradient_boosting", "svr_rbf")
+
+
 def q_hybrid_all_models(spark, d):
     """The full model set of the source workflow through the ensemble; per key x model accuracy."""
-    run = event_run(spark, d, model_set=("knn_regressor", "linear_regression", "random_forest",
-                                         "gradient_boosting", "svr_rbf"))
-    return finish(run.comparison)
+    return finish(event_run(spark, d, model_set=ALL_MODELS).comparison)
+
+
+def q_all_models_ensemble(spark, d):
+    """The full model set checked by what must hold: its weights sum to 1, stay in their bounds, and rank every model."""
+    run = event_run(spark, d, model_set=ALL_MODELS)
+    w = run.weights.groupBy("crop_type").agg(
+        F.count(F.lit(1)).alias("models"), F.sum("weight").alias("total"),
+        F.count_if((F.col("weight") < 0.03 - 1e-6) | (F.col("weight") > 0.70 + 1e-6)).alias("outside"))
+    ranked = run.comparison.groupBy("crop_type").agg(F.max("rank").alias("ranked"), F.count_if(F.col("rmse").isNull()).alias("unscored"))
+    n = run.forecast.groupBy("crop_type").agg(F.count(F.lit(1)).alias("forecast_rows"))
+    return finish(w.join(ranked, ["crop_type"]).join(n, ["crop_type"]))
 
 
-# -------------------------------------------------------------------- MLlib
+# ------------------------------------------------- fitted models, all keys together
 
-def _mllib(spark, d, name, **kw):
+def _model(spark, d, name, **kw):
     run = event_run(spark, d, model_set=(name,), **kw)
     return finish(run.predictions_for(name))
 
 
 def q_linear_regression(spark, d):
-    return _mllib(spark, d, "linear_regression")
+    return _model(spark, d, "linear_regression")
 
 
 def q_random_forest(spark, d):
-    return _mllib(spark, d, "random_forest")
+    """M2."""
+    return _model(spark, d, "random_forest")
 
 
 def q_gbt(spark, d):
-    return _mllib(spark, d, "gradient_boosting")
+    """M3."""
+    return _model(spark, d, "gradient_boosting")
 
 
 def q_rbf_regression(spark, d):
-    return _mllib(spark, d, "svr_rbf")
+    """M5."""
+    return _model(spark, d, "svr_rbf")
 
 
 def q_second_boosting(spark, d):
     """M6: the second boosted configuration."""
-    return _mllib(spark, d, "xgboost", mllib_rounds=None)
+    return _model(spark, d, "xgboost")
+
+
+def _per_window(run, name) -> DataFrame:
+    """(crop_type, split, model, n, unusual): predictions per split, and how many are null or not finite."""
+    p = run.predictions_for(name)
+    bad = F.col("yhat").isNull() | F.isnan("yhat") | (F.abs("yhat") == float("inf"))
+    return p.groupBy("crop_type", "split", "model").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("unusual"))
+
+
+def q_boosting_loss(spark, d):
+    """M3, M6: per key the training loss after each quarter of the rounds; it falls from quarter to quarter.
+
+    ``falls`` compares the mean squared residual of the fit windows after 1/4, 2/4, 3/4 and all rounds
+    with the one after the first round.
+    """
+    run = event_run(spark, d)
+    out = []
+    for name, rounds in (("gradient_boosting", run.boost_rounds), ("xgboost", run.second_rounds)):
+        nodes = run.fitted(name)
+        fit = run.windows.filter("is_fit").withColumn("split", F.lit("fit"))
+        loss = {}
+        for step, last in enumerate([1, *[rounds * q // 4 for q in (1, 2, 3, 4)]]):
+            p = trees.predict(fit, nodes.filter(F.col("tree") < last), "crop_type", run.dim)
+            loss[step] = p.groupBy("crop_type").agg(F.count(F.lit(1)).alias(f"n{step}"), F.avg(
+                (F.col("y") - F.col("prediction")) * (F.col("y") - F.col("prediction"))).alias(f"l{step}"))
+        j = loss[0]
+        for step in (1, 2, 3, 4):
+            j = j.join(loss[step], ["crop_type"])
+        falls = (F.col("l1") < F.col("l0")) & (F.col("l2") < F.col("l1")) & (F.col("l3") < F.col("l2")) & (F.col("l4") < F.col("l3"))
+        out.append(j.select("crop_type", F.lit(name).alias("model"), F.col("n4").alias("fit_windows"), falls.alias("falls")))
+    return finish(out[0].unionByName(out[1]))
+
+
+def q_model_rows(spark, d):
+    """M2, M3, M5, M6: every fitted model gives every validation and test window one finite prediction."""
+    run = event_run(spark, d)
+    out = [_per_window(run, name) for name in ("random_forest", "gradient_boosting", "xgboost", "svr_rbf")]
+    return finish(out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3]))
+
+
+def q_kernel_first_order(spark, d):
+    """M5 checked by its first-order condition: the mean gradient of its loss is zero in every slot of every key."""
+    run = event_run(spark, d)
+    moments = kernel.first_order(run.windows, run.fitted("svr_rbf"), "crop_type", run.dim)
+    return finish(moments.select("crop_type", "slot", F.abs(F.round("moment", 6)).alias("moment")))
 
 
 def q_linear_regression_normal(spark, d):
@@ -510,7 +575,7 @@ def q_linear_regression_normal(spark, d):
 
 def q_forest_bounds(spark, d):
     """M2 checked by what must hold for any forest: one prediction per window, none outside the fit targets."""
-    run = event_run(spark, d, model_set=("random_forest",), mllib_trees=20)
+    run = event_run(spark, d, model_set=("random_forest",))
     span = run.windows.filter("is_fit").groupBy("crop_type").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     j = run.predictions.join(span, ["crop_type"])
     return finish(j.groupBy("crop_type", "split").agg(
@@ -518,8 +583,38 @@ def q_forest_bounds(spark, d):
 
 
 def q_feature_importance(spark, d):
+    """M13."""
+    run = event_run(spark, d)
+    return finish(trees.importances(run.fitted("random_forest"), "crop_type", models.feature_names(run.features, run.cfg.sequence_length)))
+
+
+def q_importance_shares(spark, d):
+    """M13 checked: per key one importance a slot, none negative, and they sum to 1."""
+    run = event_run(spark, d)
+    imp = trees.importances(run.fitted("random_forest"), "crop_type", models.feature_names(run.features, run.cfg.sequence_length))
+    return finish(imp.groupBy("crop_type").agg(F.count_distinct("feature").alias("features"), F.sum("importance").alias("total"),
+                                               F.count_if(F.col("importance") < 0).alias("negative")))
+
+
+def q_stored_linear_forecast(spark, d):
+    """The AR(1) model stored as a version, read back and scored by join, without a fit."""
+    from . import store
     run = event_run(spark, d)
-    return finish(models.feature_importance(run.windows, "crop_type", run.features, run.cfg.sequence_length))
+    folder = store.save(run, sinks_path(spark, "models"), ("linear_baseline",))
+    return finish(store.score(run.windows, store.load(spark, folder), run.cfg.key))
+
+
+def q_stored_models_match(spark, d):
+    """Models of every kind stored, read back and scored against the run that fitted them."""
+    from . import store
+    names = ("linear_regression", "gradient_boosting", "xgboost", "svr_rbf")
+    run = event_run(spark, d, model_set=names)
+    folder = store.save(run, sinks_path(spark, "models"), names)
+    scored = store.score(run.windows, store.load(spark, folder), run.cfg.key).select(
+        "crop_type", "timestamp", "split", "model", F.col("yhat").alias("stored"))
+    j = run.predictions.join(scored, ["crop_type", "timestamp", "split", "model"], "full")
+    return finish(j.groupBy("crop_type", "split", "model").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.coalesce(F.abs(F.col("yhat") - F.col("stored")), F.lit(1.0))).alias("worst")))
 
 
 def queries() -> dict[str, Query]:
