@@ -1,56 +1,65 @@
-"""Exact k-nearest-neighbour regression (M4) with cell pruning.
+"""k-nearest-neighbour regression (M4) by blocks of distances, exact by default.
 
 Semantics: features standardised per key on the fit windows (population
 std, zero std -> 1), Euclidean distance, the k nearest fit windows (ties by
 window position), prediction = sum(y/d) / sum(1/d); when some of the k
 neighbours are at distance 0 only those count (their mean).
 
-Execution: up to ``PIVOTS`` fit windows of a key are pivots; every fit window
-belongs to its nearest pivot and to one of ``RINGS`` distance rings around it,
-and such a cell knows its least and largest distance.  By the triangle
-inequality a cell is at least max(d - largest, least - d) and its windows at
-most d + largest away from a query at distance d from the pivot.  Each query is
-compared with the cell of the best such upper bound, which gives a bound of its
-own on the k-th distance, and then with just those cells that can still hold
-something nearer.  On autocorrelated series that is a small part of all pairs; on
-independent noise no exact method can prune much.  Cells over ``CELL_ROWS`` rows
-are dealt over several join keys, so a hot key or cell is never one task.
+Execution: some fit windows of a key are pivots (one in ``pivot_rows``, at most
+``MAX_PIVOTS``); fit windows and queries go to the blocks of their nearest pivot,
+which have a bounded number of rows, so a hot key is many blocks.  A pair of blocks
+is one matrix product; each query keeps the candidates that its k-th value cannot
+rule out within rounding, and their distances are computed again from the
+differences.  First every query block meets the fit blocks of its own pivot.  By the
+triangle inequality a block of another pivot is at least the pivots' distance less
+both radii away; it is compared only where that is within the k-th distance found.
+On autocorrelated series that is a small part of all pairs; on noise no exact method
+prunes, and the matrix products carry the work.
+
+``approximate=True`` is an opt-in: signed random projections, several tables of
+bucket keys, candidates only from equal buckets (queries with fewer than k
+candidates are compared exactly).
 """
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import KNN_NEIGHBOURS
+from ..config import KNN_NEIGHBOURS, RANDOM_SEED
 from ..session import materialize
 from .models import _long, scored_rows
 from .series import join_small
 
-QKEY = ["timestamp", "split"]
-PIVOTS = 64
-RINGS = 8
-CELL_ROWS = 4096
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no package import
+
+MAX_PIVOTS = 64
+PIVOT_ROWS = 512
+FIT_ROWS = 4096
+QUERY_ROWS = 1024
+QUERY = ["_pos", "split"]
 
 
 def _standardize(windows: DataFrame, key: str, dim: int) -> tuple[DataFrame, DataFrame]:
+    """(key, id, y, z) of fit windows and of queries; a query's id also tells its split."""
     fit = windows.filter(F.col("is_fit"))
     el = [F.element_at("x", i + 1) for i in range(dim)]
-    mom = fit.groupBy(key).agg(
-        F.array(*[F.avg(e) for e in el]).alias("mu"),
-        F.array(*[F.stddev_pop(e) for e in el]).alias("sd"))
-    mom = mom.select(key, "mu", F.transform("sd", lambda s: F.when(s.isNull() | (s == 0), F.lit(1.0))
-                                            .otherwise(s)).alias("sd"))
+    sds = [F.stddev_pop(e) for e in el]
+    mom = fit.groupBy(key).agg(F.array(*[F.avg(e) for e in el]).alias("mu"),
+                               F.array(*[F.when(s > 0, s).otherwise(1.0) for s in sds]).alias("sd"))
 
-    def z(df):
+    def z(df, id_):
         # Plain arithmetic per dimension (codegen) rather than array higher-order functions.
-        j = df.join(mom, [key])
         parts = [(F.element_at("x", i) - F.element_at("mu", i)) / F.element_at("sd", i) for i in range(1, dim + 1)]
-        return j.withColumn("z", F.array(*parts))
+        return df.join(mom, [key]).select(key, id_.alias("id"), "y", F.array(*parts).alias("z"))
 
-    fit_z = z(fit).select(key, F.col("_pos").alias("fid"), "z", F.col("y").alias("y_f"))
-    q_z = z(scored_rows(windows)).select(key, *QKEY, F.col("y").alias("y_q"), F.col("z").alias("zq"))
-    return fit_z, q_z
+    queries = scored_rows(windows)
+    return z(fit, F.col("_pos")), z(queries, F.col("_pos") * 2 + (F.col("split") == "test").cast("long"))
 
 
 def _dist(zq, zf, dim: int):
@@ -64,86 +73,192 @@ def _dist(zq, zf, dim: int):
 
 def _top_k(cand: DataFrame, key: str, k: int) -> DataFrame:
     """k nearest per query; a bare ``row_number <= k`` lets Spark limit each group map-side."""
-    w = Window.partitionBy(key, *QKEY).orderBy("dist", "fid")
-    return cand.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+    w = Window.partitionBy(key, "id").orderBy("dist", "fid")
+    return cand.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).drop("rn")
+
+
+def nearest(zq: np.ndarray, zf: np.ndarray, fid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query rows, fit rows, distances): the k nearest of every query, ties by ``fid``."""
+    out = []
+    chunk = max(1, (1 << 21) // max(len(zf), 1))
+    size = (zf * zf).sum(axis=1)
+    for begin in range(0, len(zq), chunk):
+        q = zq[begin:begin + chunk]
+        near = size[None, :] - 2.0 * (q @ zf.T)  # squared distance less the query's own size
+        own = (q * q).sum(axis=1)
+        if len(zf) > k:
+            limit = np.partition(near, k - 1, axis=1)[:, k - 1]
+            slack = 1e-9 * (own + size.max() + 1.0)  # far above the rounding of the product
+            row, col = np.nonzero(near <= (limit + slack)[:, None])
+        else:
+            row, col = (a.ravel() for a in np.indices(near.shape))
+        total = np.zeros(len(row))
+        for i in range(zq.shape[1]):  # the exact distance, in the order of the dimensions
+            d = q[row, i] - zf[col, i]
+            total += d * d
+        dist = np.sqrt(total)
+        order = np.lexsort((fid[col], dist, row))
+        row, col, dist = row[order], col[order], dist[order]
+        first = np.searchsorted(row, np.arange(len(q)))
+        keep = np.arange(len(row)) - first[row] < k
+        out.append((row[keep] + begin, col[keep], dist[keep]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
 
+def _compare(dim: int, k: int):
+    def run(qz: pd.Series, qid: pd.Series, fz: pd.Series, fid: pd.Series, fy: pd.Series) -> pd.DataFrame:
+        out = []
+        for a, i, b, f, y in zip(qz, qid, fz, fid, fy):
+            f = np.asarray(f)
+            row, col, dist = nearest(np.asarray(a).reshape(-1, dim), np.asarray(b).reshape(-1, dim), f, k)
+            out.append((np.asarray(i)[row], f[col], dist, np.asarray(y)[col]))
+        return pd.DataFrame(out, columns=["id", "fid", "dist", "y_f"])
+    return run
 
-def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOURS, pivots: int = PIVOTS,
-                   rings: int = RINGS, cell_rows: int = CELL_ROWS, stats: dict | None = None) -> DataFrame:
-    """Top-k fit windows per query: (key, timestamp, split, y_q, fid, dist, y_f).
+
+def _blocks(rows: DataFrame, key: str, pivots: DataFrame, n_pivots: int, dim: int, size: int) -> DataFrame:
+    """(key, pid, chunk, n, radius, id, y, z): rows by nearest pivot, in blocks of about ``size`` rows; z flat."""
+    near = join_small(rows, pivots, [key], "inner", n_pivots).withColumn("d", _dist(F.col("z"), F.col("zp"), dim))
+    near = near.groupBy(key, "id").agg(F.min(F.struct("d", "pid")).alias("m"), F.first("y").alias("y"), F.first("z").alias("z"))
+    near = materialize(near.select(key, "id", "y", "z", F.col("m.d").alias("d"), F.col("m.pid").alias("pid")))
+    counts = near.groupBy(key, "pid").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("chunks"))
+    dealt = join_small(near, counts, [key, "pid"], "inner", n_pivots).withColumn("chunk", F.pmod(F.hash("id"), "chunks"))
+    packed = dealt.groupBy(key, "pid", "chunk").agg(F.collect_list(F.struct("id", "y", "z")).alias("r"), F.max("d").alias("radius"))
+    return materialize(packed.select(key, "pid", "chunk", F.size("r").alias("n"), "radius", F.col("r.id").alias("id"),
+                                     F.col("r.y").alias("y"), F.flatten("r.z").alias("z")))
+
+
+def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOURS, pivot_rows: int = PIVOT_ROWS,
+                   max_pivots: int = MAX_PIVOTS, fit_rows: int = FIT_ROWS, query_rows: int = QUERY_ROWS,
+                   stats: dict | None = None) -> DataFrame:
+    """Top-k fit windows per query: (key, id, fid, dist, y_f); id = 2 * position + (1 for a test query).
 
     ``stats`` (optional) receives ``pairs`` (distances computed) and ``all_pairs``.
     """
     fit_z, q_z = _standardize(windows, key, dim)
-    fit_z, q_z = materialize(fit_z), materialize(q_z)
-    chosen = Window.partitionBy(key).orderBy(F.xxhash64("fid"), "fid")
-    pv = materialize(fit_z.withColumn("pid", F.row_number().over(chosen)).filter(F.col("pid") <= pivots)
-                     .select(key, "pid", F.col("z").alias("zp")))
-    n_pv = pv.count()  # at most ``pivots`` per key
-
-    near = join_small(fit_z.select(key, "fid", "z"), pv, [key], "inner", n_pv).withColumn(
-        "d", _dist(F.col("z"), F.col("zp"), dim)).groupBy(key, "fid").agg(F.min(F.struct("d", "pid")).alias("m"))
-    placed = fit_z.join(near, [key, "fid"]).select(key, "fid", "z", "y_f", F.col("m.d").alias("d"), F.col("m.pid").alias("pid"))
-    reach = materialize(placed.groupBy(key, "pid").agg(F.max("d").alias("reach")))
-    placed = join_small(placed, reach, [key, "pid"], "inner", n_pv).withColumn(
-        "ring", F.when(F.col("reach") > 0, F.floor(F.col("d") / F.col("reach") * rings)).otherwise(0).cast("int"))
-    placed = materialize(placed.drop("reach"))
-    cells = placed.groupBy(key, "pid", "ring").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.count(F.lit(1)).alias("n"))
-    cells = materialize(cells.withColumn("chunks", F.ceil(F.col("n") / cell_rows).cast("int")))
-    n_cells = n_pv * (rings + 1)
-    placed = join_small(placed, cells.select(key, "pid", "ring", "chunks"), [key, "pid", "ring"], "inner", n_cells).withColumn(
-        "chunk", F.pmod(F.hash("fid"), "chunks")).drop("d", "chunks")
-
-    # (query, cell) with the bounds that the triangle inequality gives
-    slack = F.lit(1e-9)
-    q = [key, *QKEY]
-    at = join_small(q_z.select(*q, "zq"), pv, [key], "inner", n_pv).withColumn("dp", _dist(F.col("zq"), F.col("zp"), dim)).drop("zq", "zp")
-    bounds = join_small(at, cells, [key, "pid"], "inner", n_cells).select(
-        *q, "pid", "ring", "chunks", "n", F.greatest(F.lit(0.0), F.col("dp") - F.col("hi"), F.col("lo") - F.col("dp")).alias("lb"),
-        (F.col("dp") + F.col("hi")).alias("ub"))
-    # The best cell that holds k windows; where none does, every cell is compared.
-    best = bounds.groupBy(*q).agg(F.min(F.when(F.col("n") >= k, F.struct("ub", "pid", "ring"))).alias("b"))
-    best = materialize(best.select(*q, F.col("b.pid").alias("bp"), F.col("b.ring").alias("br"), F.col("b.ub").alias("bub")))
-
-    def compare(wanted: DataFrame) -> DataFrame:
-        spread = wanted.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
-        pairs = spread.join(q_z, q).join(placed, [key, "pid", "ring", "chunk"])
-        return pairs.withColumn("dist", _dist(F.col("zq"), F.col("z"), dim)).select(*q, "y_q", "fid", "dist", "y_f")
-
-    own = best.filter("bp is not null").select(*q, F.col("bp").alias("pid"), F.col("br").alias("ring"))
-    own = join_small(own, cells.select(key, "pid", "ring", "chunks"), [key, "pid", "ring"], "inner", n_cells)
-    first = materialize(_top_k(compare(own), key, k).drop("rn"))
-    kth = first.groupBy(*q).agg(F.max("dist").alias("dk"))
-    limits = best.join(kth, q, "left")
-    rest = bounds.join(limits, q).filter(
-        F.col("bp").isNull() | (~((F.col("pid") == F.col("bp")) & (F.col("ring") == F.col("br")))
-                                & (F.col("lb") - slack <= F.least("dk", "bub"))))
-    rest = materialize(rest.select(*q, "pid", "ring", "chunks", "n"))
+    fit_z = materialize(fit_z)
+    sizes = fit_z.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.least(F.lit(max_pivots), F.ceil(F.col("n") / pivot_rows)).cast("int")
+    order = Window.partitionBy(key).orderBy(F.xxhash64("id"), "id")
+    chosen = fit_z.withColumn("pid", F.row_number().over(order)).filter(F.col("pid") <= max_pivots)
+    pivots = materialize(chosen.join(sizes, [key]).filter(F.col("pid") <= wanted).select(key, "pid", F.col("z").alias("zp")))
+    n_pivots = pivots.count()
+
+    fits = _blocks(fit_z, key, pivots, n_pivots, dim, fit_rows)
+    queries = _blocks(q_z, key, pivots, n_pivots, dim, query_rows)
+    compare = F.pandas_udf(_compare(dim, k), "id array<long>, fid array<long>, dist array<double>, y_f array<double>")
+
+    def candidates(pairs: DataFrame) -> DataFrame:
+        """Best k of each (query, fit block) of the pairs (key, qp, qc, fp, fc)."""
+        q = queries.select(key, F.col("pid").alias("qp"), F.col("chunk").alias("qc"), F.col("id").alias("qid"), F.col("z").alias("qz"))
+        f = fits.select(key, F.col("pid").alias("fp"), F.col("chunk").alias("fc"), F.col("id").alias("fid"), F.col("y").alias("fy"),
+                        F.col("z").alias("fz"))
+        both = pairs.join(q, [key, "qp", "qc"]).join(f, [key, "fp", "fc"])
+        made = both.select(key, compare("qz", "qid", "fz", "fid", "fy").alias("c"))
+        each = made.select(key, F.explode(F.arrays_zip("c.id", "c.fid", "c.dist", "c.y_f")).alias("z"))
+        return each.select(key, "z.id", "z.fid", "z.dist", "z.y_f")
+
+    # block pairs with the least distance that their rows can have
+    a = queries.select(key, F.col("pid").alias("qp"), F.col("chunk").alias("qc"), F.col("radius").alias("qr"), F.col("n").alias("qn"))
+    b = fits.select(key, F.col("pid").alias("fp"), F.col("chunk").alias("fc"), F.col("radius").alias("fr"), F.col("n").alias("fn"))
+    apart = pivots.alias("x").join(pivots.alias("y"), [key]).select(
+        key, F.col("x.pid").alias("qp"), F.col("y.pid").alias("fp"), _dist(F.col("x.zp"), F.col("y.zp"), dim).alias("apart"))
+    pairs = materialize(a.join(b, [key]).join(apart, [key, "qp", "fp"]).withColumn(
+        "least", F.col("apart") - F.col("qr") - F.col("fr")))
+    own = pairs.filter("qp = fp")
+    first = materialize(_top_k(candidates(own.select(key, "qp", "qc", "fp", "fc")), key, k))
+    place = queries.select(key, F.col("pid").alias("qp"), F.col("chunk").alias("qc"), F.explode("id").alias("id"))
+    kth = first.groupBy(key, "id").agg(F.max("dist").alias("dk"), F.count(F.lit(1)).alias("found"))
+    # a query with fewer than k neighbours so far rules nothing out
+    limit = place.join(kth, [key, "id"], "left").groupBy(key, "qp", "qc").agg(
+        F.max(F.when(F.col("found") >= k, F.col("dk")).otherwise(float("inf"))).alias("limit"))
+    rest = materialize(pairs.filter("qp <> fp").join(limit, [key, "qp", "qc"]).filter(
+        F.col("least") <= F.col("limit") * (1 + 1e-9) + 1e-9).select(key, "qp", "qc", "fp", "fc", "qn", "fn"))
     if stats is not None:
-        seen = own.join(cells.select(key, "pid", "ring", "n"), [key, "pid", "ring"]).select("n").unionByName(rest.select("n"))
-        stats["pairs"] = seen.agg(F.sum("n")).first()[0]
-        stats["all_pairs"] = q_z.groupBy(key).count().join(
-            fit_z.groupBy(key).agg(F.count(F.lit(1)).alias("f")), [key]).agg(F.sum(F.col("count") * F.col("f"))).first()[0]
-    return _top_k(first.unionByName(compare(rest)), key, k)
+        count = F.sum(F.col("qn") * F.col("fn"))
+        stats["pairs"] = own.agg(count).first()[0] + (rest.agg(count).first()[0] or 0)
+        stats["all_pairs"] = pairs.agg(count).first()[0]
+    return _top_k(first.unionByName(candidates(rest.drop("qn", "fn"))), key, k)
 
 
-def knn_forecast(windows: DataFrame, key: str, dim: int | None = None, k: int = KNN_NEIGHBOURS, **kw) -> DataFrame:
+def approximate_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOURS, tables: int = 24,
+                           bits: int = 6, seed: int = RANDOM_SEED) -> DataFrame:
+    """Top-k fit windows per query among those that share a bucket, laid out as ``knn_neighbours``.
+
+    A bucket is the signs of ``bits`` random projections and one of ``tables`` draws of them; buckets of over
+    ``FIT_ROWS`` fit windows are dealt over several blocks, so no bucket is one task.  A query with fewer than k
+    candidates is compared exactly.
+    """
+    fit_z, q_z = (materialize(d) for d in _standardize(windows, key, dim))
+    rng = np.random.default_rng(seed)
+    planes = rng.normal(size=(tables, bits, dim))
+
+    def signs(z: pd.Series) -> pd.Series:
+        m = np.vstack(z.to_numpy()) if len(z) else np.zeros((0, dim))
+        code = ((np.einsum("nd,tbd->ntb", m, planes) > 0) * (1 << np.arange(bits))).sum(axis=2)
+        return pd.Series(list(code.astype(np.int32)), dtype=object)
+
+    def bucketed(rows, size):
+        coded = rows.withColumn("codes", F.pandas_udf(signs, "array<int>")("z")).select(
+            key, "id", "y", "z", F.posexplode("codes").alias("t", "code"))
+        bucket = [key, "t", "code"]
+        counts = materialize(coded.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("chunks")))
+        dealt = coded.join(counts, bucket).withColumn("chunk", F.pmod(F.hash("id"), "chunks"))
+        return dealt.groupBy(*bucket, "chunk").agg(F.collect_list(F.struct("id", "y", "z")).alias("r")).select(
+            *bucket, "chunk", F.col("r.id").alias("id"), F.col("r.y").alias("y"), F.flatten("r.z").alias("z"))
+
+    q = bucketed(q_z, QUERY_ROWS).select(key, "t", "code", F.col("id").alias("qid"), F.col("z").alias("qz"))
+    f = bucketed(fit_z, FIT_ROWS).select(key, "t", "code", F.col("id").alias("fid"), F.col("y").alias("fy"), F.col("z").alias("fz"))
+    compare = F.pandas_udf(_compare(dim, k), "id array<long>, fid array<long>, dist array<double>, y_f array<double>")
+    made = q.join(f, [key, "t", "code"]).select(key, compare("qz", "qid", "fz", "fid", "fy").alias("c"))
+    each = made.select(key, F.explode(F.arrays_zip("c.id", "c.fid", "c.dist", "c.y_f")).alias("z")).select(
+        key, "z.id", "z.fid", "z.dist", "z.y_f").distinct()
+    found = materialize(_top_k(each, key, k))
+    enough = found.groupBy(key, "id").agg(F.count(F.lit(1)).alias("n"))
+    least = fit_z.groupBy(key).agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("least"))
+    short = q_z.select(key, "id").join(enough, [key, "id"], "left").join(least, [key]).filter(
+        F.coalesce("n", F.lit(0)) < F.col("least")).select(key, "id")
+    if short.isEmpty():
+        return found
+    again = windows.withColumn("_test", F.when(F.col("split") == "test", 1).otherwise(0))
+    ids = short.select(key, F.floor(F.col("id") / 2).alias("_pos"), F.pmod("id", F.lit(2)).cast("int").alias("_asked")).distinct()
+    asked = again.join(ids, [key, "_pos"], "left")
+    left = asked.filter(F.col("is_fit") | F.col("_asked").isNotNull()).withColumn(
+        "is_val", F.col("is_val") & (F.col("_asked") == 0)).withColumn(
+        "split", F.when((F.col("split") == "test") & F.col("_asked").isNull(), "train").otherwise(F.col("split")))
+    exact = knn_neighbours(left.drop("_asked", "_test"), key, dim, k).join(short, [key, "id"], "left_semi")
+    return found.join(short, [key, "id"], "left_anti").unionByName(exact)
+
+
+def knn_forecast(windows: DataFrame, key: str, dim: int | None = None, k: int = KNN_NEIGHBOURS, approximate: bool = False,
+                 **kw) -> DataFrame:
     """M4 predictions in the long prediction layout (model ``knn_regressor``)."""
     if dim is None:
         dim = int(windows.select(F.size("x")).first()[0])
-    nb = knn_neighbours(windows, key, dim, k, **kw)
+    nb = (approximate_neighbours if approximate else knn_neighbours)(windows, key, dim, k, **kw)
     zero = F.col("dist") == 0
-    pred = nb.groupBy(key, *QKEY).agg(
-        F.first("y_q").alias("y"),
+    pred = nb.groupBy(key, "id").agg(
         F.count_if(zero).alias("n_zero"),
         F.avg(F.when(zero, F.col("y_f"))).alias("zero_mean"),
         F.sum(F.when(~zero, F.col("y_f") / F.col("dist"))).alias("num"),
         F.sum(F.when(~zero, F.lit(1.0) / F.col("dist"))).alias("den"))
     yhat = F.when(F.col("n_zero") > 0, F.col("zero_mean")).otherwise(F.col("num") / F.col("den"))
-    return _long(pred, key, "knn_regressor", yhat)
+    named = scored_rows(windows).select(key, "timestamp", "split", "y", (F.col("_pos") * 2 + (F.col("split") == "test").cast("long")).alias("id"))
+    return _long(named.join(pred, [key, "id"]), key, "knn_regressor", yhat)
 
 
 def q_knn_forecast(spark, sf_dir):
     from ..plans.registry import event_run, finish
     run = event_run(spark, sf_dir)
-    return finish(knn_forecast(run.windows, "crop_type", len(run.features) * run.cfg.sequence_length))
+    return finish(knn_forecast(run.windows, "crop_type", run.dim))
+
+
+def q_knn_recall(spark, sf_dir):
+    """M4: recall of the opt-in approximate neighbours against the exact ones; ``recall_ok`` asks for 0.9 per key."""
+    from ..plans.registry import event_run, finish
+    run = event_run(spark, sf_dir)
+    exact = materialize(knn_neighbours(run.windows, "crop_type", run.dim))
+    close = approximate_neighbours(run.windows, "crop_type", run.dim).select("crop_type", "id", F.col("dist").alias("dist_"), "fid")
+    both = exact.join(close, ["crop_type", "id", "fid"], "left").groupBy("crop_type").agg(
+        F.count(F.lit(1)).alias("neighbours"), (F.count("dist_") / F.count(F.lit(1)) >= 0.9).alias("recall_ok"))
+    return finish(both)

@@ -402,6 +402,8 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY crop_type, split, m.model""")
     q["kernel_first_order"] = _event_sql(wins, """SELECT crop_type, CAST(slot AS BIGINT) AS slot, 0.0::DOUBLE AS moment
         FROM (SELECT DISTINCT crop_type FROM wins), range(257) t(slot)""")
+    q["knn_recall"] = _event_sql(wins + PREDS[:1], f"""SELECT crop_type, {b('7 * count(*)', 'neighbours')}, TRUE AS recall_ok
+        FROM scored GROUP BY crop_type""")
     q["importance_shares"] = _event_sql(wins, f"""SELECT DISTINCT crop_type, {b(str(L * len(FEATS)), 'features')},
         1.0::DOUBLE AS total, {b('0', 'negative')} FROM wins""")
     q["stored_models_match"] = _event_sql(wins + PREDS[:1], f"""SELECT crop_type, split, m.model, {b('count(*)', 'n')}, 0.0::DOUBLE AS worst

@@ -618,7 +618,7 @@ def q_stored_models_match(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    from ..operators.knn import q_knn_forecast
+    from ..operators.knn import q_knn_forecast, q_knn_recall
     from ..streaming.control_stream import stream_queries
     out = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
-    return out | {"knn_forecast": q_knn_forecast} | stream_queries()
+    return out | {"knn_forecast": q_knn_forecast, "knn_recall": q_knn_recall} | stream_queries()
