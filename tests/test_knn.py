@@ -26,7 +26,7 @@ def _brute(w, k=7):
 
 
 @needs(SF001)
-@pytest.mark.parametrize("sizes", [{}, {"pivots": 5, "rings": 2, "cell_rows": 7}])
+@pytest.mark.parametrize("sizes", [{}, {"pivot_rows": 9, "fit_rows": 7, "query_rows": 5}])
 def test_knn_matches_brute_force(spark, sizes):
     run = event_run(spark, SF001)
     w = run.windows
@@ -52,10 +52,39 @@ def test_autocorrelated_series_need_few_pairs(spark):
                         "is_fit": np.arange(n) < 3000, "is_val": False})
     w = spark.createDataFrame(pdf).withColumn("_pos", F.col("_pos").cast("long"))
     stats: dict = {}
-    got = knn_neighbours(w, "crop_type", dim, stats=stats).toPandas()
+    got = knn_neighbours(w, "crop_type", dim, stats=stats, pivot_rows=50).toPandas()
     assert stats["all_pairs"] == 3000 * 1000 and stats["pairs"] < stats["all_pairs"] / 5
     z = (x - x[:3000].mean(0)) / x[:3000].std(0)
     for t in (3000, 3500, 3999):
         d = np.sqrt(((z[:3000] - z[t]) ** 2).sum(1))
-        mine = got[got.timestamp == pdf.timestamp[t]].sort_values("dist")
+        mine = got[got.id == 2 * t + 1].sort_values("dist")
         assert np.allclose(mine["dist"], np.sort(d)[:7], atol=1e-9)
+
+
+def test_blocks_keep_ties_and_equal_points():
+    from verdant.operators.knn import nearest
+    rng = np.random.default_rng(3)
+    fit = rng.integers(0, 2, size=(300, 3)).astype(float)  # many equal rows: ties decide
+    query, fid = rng.integers(0, 2, size=(40, 3)).astype(float), rng.permutation(300)
+    row, col, dist = nearest(query, fit, fid, 5)
+    for i in range(40):
+        d = np.sqrt(((fit - query[i]) ** 2).sum(1))
+        assert list(fid[col[row == i]]) == list(fid[np.lexsort((fid, d))[:5]])
+    few = nearest(query, fit[:3], fid[:3], 5)
+    assert len(few[0]) == 40 * 3
+
+
+@needs(SF001)
+def test_approximate_neighbours_find_nine_in_ten(spark):
+    from pyspark.sql import functions as F
+
+    from verdant.operators.knn import approximate_neighbours, knn_neighbours
+    w = event_run(spark, SF001).windows
+    exact = knn_neighbours(w, "crop_type", 12).select("crop_type", "id", "fid")
+    close = approximate_neighbours(w, "crop_type", 12)
+    assert close.groupBy("crop_type", "id").count().filter("count <> 7").count() == 0
+    assert exact.join(close, ["crop_type", "id", "fid"]).count() >= 0.9 * exact.count()
+    # hardly any candidates: the rest is compared exactly
+    poor = approximate_neighbours(w, "crop_type", 12, tables=1, bucket_rows=1)
+    assert poor.groupBy("crop_type", "id").agg(F.count(F.lit(1)).alias("n")).filter("n <> 7").count() == 0
+    assert poor.select("crop_type", "id").distinct().count() == exact.select("crop_type", "id").distinct().count()

@@ -39,10 +39,10 @@ from .series import join_small
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no package import
 
 MAX_PIVOTS = 64
-PIVOT_ROWS = 512
+PIVOT_ROWS = 2048
 FIT_ROWS = 4096
 QUERY_ROWS = 1024
-QUERY = ["_pos", "split"]
+MAX_BITS = 16
 
 
 def _standardize(windows: DataFrame, key: str, dim: int) -> tuple[DataFrame, DataFrame]:
@@ -77,42 +77,75 @@ def _top_k(cand: DataFrame, key: str, k: int) -> DataFrame:
     return cand.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).drop("rn")
 
 
-def nearest(zq: np.ndarray, zf: np.ndarray, fid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query rows, fit rows, distances): the k nearest of every query, ties by ``fid``."""
+def nearest(zq: np.ndarray, zf: np.ndarray, fid: np.ndarray, k: int, known: np.ndarray | None = None):
+    """(query rows, fit rows, distances): the k nearest of every query, ties by ``fid``.
+
+    ``known`` (optional) is a distance per query beyond which nothing is wanted.
+    """
     out = []
     chunk = max(1, (1 << 21) // max(len(zf), 1))
     size = (zf * zf).sum(axis=1)
     for begin in range(0, len(zq), chunk):
         q = zq[begin:begin + chunk]
-        near = size[None, :] - 2.0 * (q @ zf.T)  # squared distance less the query's own size
         own = (q * q).sum(axis=1)
-        if len(zf) > k:
-            limit = np.partition(near, k - 1, axis=1)[:, k - 1]
-            slack = 1e-9 * (own + size.max() + 1.0)  # far above the rounding of the product
-            row, col = np.nonzero(near <= (limit + slack)[:, None])
-        else:
-            row, col = (a.ravel() for a in np.indices(near.shape))
+        near = size[None, :] - 2.0 * (q @ zf.T)  # squared distance less the query's own size
+        limit = np.full(len(q), np.inf) if known is None else known[begin:begin + chunk] ** 2 - own
+        open_ = np.isinf(limit)
+        if len(zf) > k and open_.any():
+            limit[open_] = np.partition(near[open_], k - 1, axis=1)[:, k - 1]
+        slack = 1e-9 * (own + size.max() + 1.0)  # far above the rounding of the product
+        row, col = np.nonzero(near <= (limit + slack)[:, None])
         total = np.zeros(len(row))
         for i in range(zq.shape[1]):  # the exact distance, in the order of the dimensions
             d = q[row, i] - zf[col, i]
             total += d * d
-        dist = np.sqrt(total)
-        order = np.lexsort((fid[col], dist, row))
-        row, col, dist = row[order], col[order], dist[order]
-        first = np.searchsorted(row, np.arange(len(q)))
-        keep = np.arange(len(row)) - first[row] < k
-        out.append((row[keep] + begin, col[keep], dist[keep]))
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def _compare(dim: int, k: int):
-    def run(qz: pd.Series, qid: pd.Series, fz: pd.Series, fid: pd.Series, fy: pd.Series) -> pd.DataFrame:
-        out = []
-        for a, i, b, f, y in zip(qz, qid, fz, fid, fy):
-            f = np.asarray(f)
-            row, col, dist = nearest(np.asarray(a).reshape(-1, dim), np.asarray(b).reshape(-1, dim), f, k)
-            out.append((np.asarray(i)[row], f[col], dist, np.asarray(y)[col]))
-        return pd.DataFrame(out, columns=["id", "fid", "dist", "y_f"])
+        out.append((row + begin, col, np.sqrt(total)))
+    row, col, dist = (np.concatenate(x) for x in zip(*out))
+    keep = _first_k(row, dist, fid[col], k)
+    return row[keep], col[keep], dist[keep]
+
+
+def _first_k(row: np.ndarray, dist: np.ndarray, fid: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k least (distance, fid) of each row, in that order."""
+    order = np.lexsort((fid, dist, row))
+    sorted_rows = row[order]
+    return order[np.arange(len(order)) - np.searchsorted(sorted_rows, sorted_rows) < k]
+
+
+FOUND = "id long, fid long, dist double, y_f double"
+
+
+def _compare(key: str, dim: int, k: int):
+    """Pairs of blocks -> the k nearest of each query; rows of one query block that follow each other are merged."""
+    def run(batches):
+        now, held, ids = None, None, None
+
+        def give(name):
+            row, fid, dist, y = held
+            return pd.DataFrame({key: [name[0]] * len(row), "id": ids[row], "fid": fid, "dist": dist, "y_f": y})
+
+        for b in batches:
+            for name, qid, qz, f, y, fz in zip(zip(b[key], b["qp"], b["qc"]), b["qid"], b["qz"], b["fid"], b["fy"], b["fz"]):
+                f, y = np.asarray(f), np.asarray(y)
+                zq, zf = np.asarray(qz).reshape(-1, dim), np.asarray(fz).reshape(-1, dim)
+                known = None
+                if name == now:
+                    known = np.full(len(zq), np.inf)
+                    full = np.bincount(held[0], minlength=len(zq)) >= k
+                    worst = np.zeros(len(zq))
+                    np.maximum.at(worst, held[0], held[2])
+                    known[full] = worst[full]
+                elif now is not None:
+                    yield give(now)
+                row, col, dist = nearest(zq, zf, f, k, known)
+                new = (row, f[col], dist, y[col])
+                if name == now:
+                    new = tuple(np.concatenate(x) for x in zip(held, new))
+                    keep = _first_k(new[0], new[2], new[1], k)
+                    new = tuple(x[keep] for x in new)
+                now, held, ids = name, new, np.asarray(qid)
+        if now is not None:
+            yield give(now)
     return run
 
 
@@ -146,17 +179,16 @@ def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOU
 
     fits = _blocks(fit_z, key, pivots, n_pivots, dim, fit_rows)
     queries = _blocks(q_z, key, pivots, n_pivots, dim, query_rows)
-    compare = F.pandas_udf(_compare(dim, k), "id array<long>, fid array<long>, dist array<double>, y_f array<double>")
 
     def candidates(pairs: DataFrame) -> DataFrame:
-        """Best k of each (query, fit block) of the pairs (key, qp, qc, fp, fc)."""
+        """Best k of each query among the fit blocks of its pairs (key, qp, qc, fp, fc); some queries more than once."""
         q = queries.select(key, F.col("pid").alias("qp"), F.col("chunk").alias("qc"), F.col("id").alias("qid"), F.col("z").alias("qz"))
         f = fits.select(key, F.col("pid").alias("fp"), F.col("chunk").alias("fc"), F.col("id").alias("fid"), F.col("y").alias("fy"),
                         F.col("z").alias("fz"))
-        both = pairs.join(q, [key, "qp", "qc"]).join(f, [key, "fp", "fc"])
-        made = both.select(key, compare("qz", "qid", "fz", "fid", "fy").alias("c"))
-        each = made.select(key, F.explode(F.arrays_zip("c.id", "c.fid", "c.dist", "c.y_f")).alias("z"))
-        return each.select(key, "z.id", "z.fid", "z.dist", "z.y_f")
+        # joined with the queries last, so that pairs of one query block mostly follow each other
+        both = pairs.join(f, [key, "fp", "fc"]).join(q, [key, "qp", "qc"])
+        return both.select(key, "qp", "qc", "qid", "qz", "fid", "fy", "fz").mapInPandas(
+            _compare(key, dim, k), f"{key} string, {FOUND}")
 
     # block pairs with the least distance that their rows can have
     a = queries.select(key, F.col("pid").alias("qp"), F.col("chunk").alias("qc"), F.col("radius").alias("qr"), F.col("n").alias("qn"))
@@ -182,16 +214,19 @@ def knn_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOU
 
 
 def approximate_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_NEIGHBOURS, tables: int = 24,
-                           bits: int = 6, seed: int = RANDOM_SEED) -> DataFrame:
+                           bucket_rows: int = 64, seed: int = RANDOM_SEED) -> DataFrame:
     """Top-k fit windows per query among those that share a bucket, laid out as ``knn_neighbours``.
 
-    A bucket is the signs of ``bits`` random projections and one of ``tables`` draws of them; buckets of over
-    ``FIT_ROWS`` fit windows are dealt over several blocks, so no bucket is one task.  A query with fewer than k
-    candidates is compared exactly.
+    A bucket is the signs of random projections, as many as cut a key's fit windows into buckets of about
+    ``bucket_rows``, in one of ``tables`` draws of them.  Buckets of over ``FIT_ROWS`` fit windows are dealt over
+    several blocks, so no bucket is one task.  A query with fewer than k candidates is compared exactly.
     """
     fit_z, q_z = (materialize(d) for d in _standardize(windows, key, dim))
     rng = np.random.default_rng(seed)
+    bits = MAX_BITS
     planes = rng.normal(size=(tables, bits, dim))
+    cuts = F.greatest(F.lit(1), F.least(F.lit(bits), F.floor(F.log2(F.count(F.lit(1)) / bucket_rows)))).cast("int")
+    used = fit_z.groupBy(key).agg((F.pow(F.lit(2), cuts) - 1).cast("int").alias("mask"))
 
     def signs(z: pd.Series) -> pd.Series:
         m = np.vstack(z.to_numpy()) if len(z) else np.zeros((0, dim))
@@ -200,19 +235,19 @@ def approximate_neighbours(windows: DataFrame, key: str, dim: int, k: int = KNN_
 
     def bucketed(rows, size):
         coded = rows.withColumn("codes", F.pandas_udf(signs, "array<int>")("z")).select(
-            key, "id", "y", "z", F.posexplode("codes").alias("t", "code"))
+            key, "id", "y", "z", F.posexplode("codes").alias("t", "code")).join(used, [key]).withColumn(
+            "code", F.col("code").bitwiseAND(F.col("mask"))).drop("mask")
         bucket = [key, "t", "code"]
         counts = materialize(coded.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("chunks")))
         dealt = coded.join(counts, bucket).withColumn("chunk", F.pmod(F.hash("id"), "chunks"))
         return dealt.groupBy(*bucket, "chunk").agg(F.collect_list(F.struct("id", "y", "z")).alias("r")).select(
             *bucket, "chunk", F.col("r.id").alias("id"), F.col("r.y").alias("y"), F.flatten("r.z").alias("z"))
 
-    q = bucketed(q_z, QUERY_ROWS).select(key, "t", "code", F.col("id").alias("qid"), F.col("z").alias("qz"))
+    q = bucketed(q_z, QUERY_ROWS).select(key, "t", "code", F.col("chunk").alias("qc"), F.col("id").alias("qid"), F.col("z").alias("qz"))
     f = bucketed(fit_z, FIT_ROWS).select(key, "t", "code", F.col("id").alias("fid"), F.col("y").alias("fy"), F.col("z").alias("fz"))
-    compare = F.pandas_udf(_compare(dim, k), "id array<long>, fid array<long>, dist array<double>, y_f array<double>")
-    made = q.join(f, [key, "t", "code"]).select(key, compare("qz", "qid", "fz", "fid", "fy").alias("c"))
-    each = made.select(key, F.explode(F.arrays_zip("c.id", "c.fid", "c.dist", "c.y_f")).alias("z")).select(
-        key, "z.id", "z.fid", "z.dist", "z.y_f").distinct()
+    both = q.join(f, [key, "t", "code"]).withColumn("qp", F.col("t") * (1 << bits) + F.col("code"))
+    each = both.select(key, "qp", "qc", "qid", "qz", "fid", "fy", "fz").mapInPandas(
+        _compare(key, dim, k), f"{key} string, {FOUND}").distinct()
     found = materialize(_top_k(each, key, k))
     enough = found.groupBy(key, "id").agg(F.count(F.lit(1)).alias("n"))
     least = fit_z.groupBy(key).agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("least"))
