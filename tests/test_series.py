@@ -88,3 +88,23 @@ def test_null_key_is_a_series(spark):
     nb = with_neighbours(ranked, ["k"], ["v"], block_rows=4).toPandas()
     nulls = nb[nb.k.isna()].sort_values("t")
     assert len(nulls) == 29 and nulls["_pv_v"].iloc[3:].notna().all()
+
+
+def test_long_windows_equal_the_lag_path(spark):
+    """168 steps as slices of blocks equal a lag column each, in blocks of any size, with as few columns as 6 steps."""
+    from verdant.operators import windows
+    rows = [(k, i, float((i * 37 + n) % 101), float(i % 13)) for n, k in enumerate(("a", "b")) for i in range(900 - 300 * n)]
+    ranked = positions(spark.createDataFrame(rows, "crop_type string, i long, t double, h double").withColumn(
+        "timestamp", F.timestamp_seconds("i").cast("timestamp_ntz")), ["crop_type"], ["i"], num_partitions=3)
+
+    def made(lag_slots, length=168, block_rows=250):
+        return windows.sliding_windows(ranked, "crop_type", "t", ["t", "h"], length, block_rows=block_rows, lag_slots=lag_slots)
+    lags = made(10_000)
+    for block_rows in (10, 250, 1 << 17):
+        long = made(0, block_rows=block_rows)
+        assert long.columns == lags.columns and long.count() == lags.count() > 0
+        assert long.exceptAll(lags).count() == 0
+
+    def width(df):
+        return max(len(line.split(",")) for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert width(made(0)) == width(made(0, length=6)) < width(lags) / 5

@@ -150,6 +150,38 @@ def with_lags(df: DataFrame, keys: Sequence[str], cols: Sequence[str], max_lag:
     )
 
 
+HISTORY_VALUES = 1 << 21  # numbers that the windows of one block may hold
+
+
+def with_history(df: DataFrame, keys: Sequence[str], values: Column, width: int, length: int, block_rows: int,
+                 pos_col: str = POS, name: str = "x") -> DataFrame:
+    """Add ``name``: the ``values`` (an array of ``width`` numbers) of the ``length`` rows before, oldest first, flat.
+
+    For long histories: a block of consecutive rows and the ``length`` halo rows before it become one array, and a
+    row's history is a slice of it, so that the plan has one column whatever ``length`` is.  Blocks shrink as
+    windows grow, which bounds the task's memory.  Rows with fewer than ``length`` predecessors are left out.
+    """
+    keys = list(keys)
+    b = max(int(length), min(int(block_rows), HISTORY_VALUES // (length * width)))
+    pos = F.col(pos_col)
+    own = block_of(pos, b)
+    tail = ((pos - F.lit(1)) % F.lit(b)) >= F.lit(b - length)
+    rest = [c for c in df.columns if c not in (*keys, pos_col)]
+    tagged = df.withColumn("_v", values).withColumn("_own", own).withColumn(
+        BLOCK, F.explode(F.when(tail, F.array(own, own + F.lit(1))).otherwise(F.array(own))))
+    row = F.struct(pos_col, "_own", "_v", *rest)
+    rows = tagged.groupBy(*keys, BLOCK).agg(F.array_sort(F.collect_list(row)).alias("_r"))
+
+    def slices(flat):
+        return F.transform(F.sequence(F.lit(length + 1), F.size("_r")), lambda i: F.struct(
+            F.get("_r", i - 1).alias("r"), F.slice(flat, (i - 1 - length) * width + 1, length * width).alias(name)))
+
+    made = F.element_at(F.transform(F.array(F.flatten(F.col("_r._v"))), slices), 1)
+    each = rows.filter(F.size("_r") > length).select(*keys, BLOCK, F.explode(made).alias("_w"))
+    kept = each.filter(F.col("_w.r._own") == F.col(BLOCK))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_w.r.`{c}`").alias(c) for c in df.columns], F.col(f"_w.{name}").alias(name))
+
+
 def with_neighbours(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                     block_rows: int, pos_col: str = POS, single_block: bool = False) -> DataFrame:
     """For each column add the nearest non-null value at/before and at/after the row.

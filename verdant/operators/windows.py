@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, DEFAULT_KEY_COLUMN, MIN_TRAIN_WINDOWS, SEQUENCE_LENGTH, TEST_RATIO, VALIDATION_RATIO
 from ..functions.values import finite_or_zero
-from .series import POS, SIZE, join_small, with_lags
+from .series import POS, SIZE, join_small, with_history, with_lags
+
+# Slots of a window up to which a lag column each is the cheaper plan.
+LAG_SLOTS = 64
 
 
 def min_group_filter(df: DataFrame, min_rows: int, size_col: str = SIZE) -> DataFrame:
@@ -80,9 +83,12 @@ def chrono_split(df: DataFrame, ratio: float = TEST_RATIO) -> DataFrame:
 def sliding_windows(df: DataFrame, key: str, target: str, features: Sequence[str],
                     length: int = SEQUENCE_LENGTH, ratio: float = TEST_RATIO,
                     val_ratio: float = VALIDATION_RATIO,
-                    block_rows: int = DEFAULT_EXEC.block_rows, time_col: str = "timestamp") -> DataFrame:
+                    block_rows: int = DEFAULT_EXEC.block_rows, time_col: str = "timestamp",
+                    lag_slots: int = LAG_SLOTS) -> DataFrame:
     """One row per window, never crossing the train/test split.
 
+    Windows of up to ``lag_slots`` slots are gathered by lags, longer ones as slices of blocks.
+
     Row at position p predicts its own target from rows p-L..p-1.  Output:
     key, time, ``_pos``, split, ``win`` (1-based index inside its split),
     ``x`` (time-major then feature, NaN/inf -> 0), ``y``, ``is_fit``,
@@ -93,7 +99,6 @@ def sliding_windows(df: DataFrame, key: str, target: str, features: Sequence[str
     if target not in features:
         raise ValueError(f"the target {target} is not one of the features")
     split = chrono_split(df, ratio)
-    lagged = with_lags(split, [key], list(features), length, block_rows)
     pos, k, n = F.col(POS), F.col("_k"), F.col(SIZE)
     in_train = pos <= k
     win = F.when(in_train, pos - F.lit(length)).otherwise(pos - k - F.lit(length))
@@ -102,7 +107,12 @@ def sliding_windows(df: DataFrame, key: str, target: str, features: Sequence[str
     def f32(c):
         return finite_or_zero(c).cast("float").cast("double")
 
-    x = F.array(*[f32(F.col(f"{f}__lag{lag}")) for lag in range(length, 0, -1) for f in features])
+    if length * len(features) <= lag_slots:
+        lagged = with_lags(split, [key], list(features), length, block_rows)
+        x = F.array(*[f32(F.col(f"{f}__lag{lag}")) for lag in range(length, 0, -1) for f in features])
+    else:
+        lagged = with_history(split, [key], F.array(*[f32(F.col(f)) for f in features]), len(features), length, block_rows, name="_x")
+        x = F.col("_x")
     n_tr = F.greatest(k - F.lit(length), F.lit(0))
     n_te = F.greatest(n - k - F.lit(length), F.lit(0))
     val_size = F.greatest(F.lit(1), F.floor(n_tr.cast("double") * F.lit(val_ratio)).cast("long"))

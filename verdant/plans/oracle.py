@@ -456,6 +456,19 @@ def oracle_sql() -> dict[str, str]:
     xr = ", ".join(r(f"x{i + 1:02d}", f"x{i + 1:02d}") for i in range(nx))
     q["sliding_windows"] = _event_sql(CLEAN + SCALE + WINDOWS, f"""SELECT crop_type, "timestamp", split,
         {b('win', 'win')}, {xr}, {r('y', 'y')} FROM wins""")
+    long = 168
+    f32 = {c: f"CAST(CAST({fz(c)} AS FLOAT) AS DOUBLE)" for c in FEATS}
+    span = f"OVER (PARTITION BY crop_type ORDER BY _pos ROWS BETWEEN {long} PRECEDING AND 1 PRECEDING)"
+    q["long_windows"] = _event_sql(CLEAN + [c.replace("_n >= 12", f"_n >= {long + 6}") for c in SCALE] + WINDOWS[:1], f"""
+        SELECT crop_type, "timestamp", split, {b('win', 'win')}, {b(str(long * len(FEATS)), 'slots')}, round(oldest, 4) AS oldest,
+          round(newest, 4) AS newest, {', '.join(f'round(sum_{c}, 4) AS sum_{c}' for c in FEATS)}, round(y, 4) AS y,
+          in_train AND (n_tr < 5 OR win <= n_tr - greatest(1, CAST(floor(n_tr * {VALIDATION_RATIO!r}::DOUBLE) AS BIGINT))) AS is_fit,
+          in_train AND (n_tr < 5 OR win > n_tr - greatest(1, CAST(floor(n_tr * {VALIDATION_RATIO!r}::DOUBLE) AS BIGINT))) AS is_val
+        FROM (SELECT *, _pos <= _k AS in_train, CASE WHEN _pos <= _k THEN 'train' ELSE 'test' END AS split,
+            CASE WHEN _pos <= _k THEN _pos - {long} ELSE _pos - _k - {long} END AS win, greatest(_k - {long}, 0) AS n_tr,
+            first_value({f32['indoor_temperature_c']}) {span} AS oldest, last_value({f32['indoor_temperature_c']}) {span} AS newest,
+            {', '.join(f'sum({f32[c]}) {span} AS sum_{c}' for c in FEATS)}, {f32['indoor_temperature_c']} AS y FROM splitted)
+        WHERE win >= 1""")
     q["fit_val_split"] = _event_sql(CLEAN + SCALE + WINDOWS, f"""SELECT crop_type,
         {b("count(*) FILTER (WHERE split = 'train')", 'train_sequences')},
         {b("count(*) FILTER (WHERE split = 'test')", 'test_sequences')},

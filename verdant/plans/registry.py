@@ -9,6 +9,7 @@ internal position columns exposed as ``row_pos``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,6 +200,23 @@ def q_sliding_windows(spark, d):
     return finish(w.select("crop_type", "timestamp", "split", "win", *xs, "y"))
 
 
+LONG_STEPS = 168
+
+
+def q_long_windows(spark, d):
+    """W7 with 168 steps (a week of hours): windows as slices of blocks; sums over their slots."""
+    run = ForecastRun(tables.event_observations(spark, d), replace(event_config(), sequence_length=LONG_STEPS))
+    w = run.all_windows
+    n = len(run.features)
+
+    def total(f):
+        return F.aggregate(F.filter("x", lambda _, i: i % n == f), F.lit(0.0), lambda a, v: a + v)
+
+    sums = [total(f).alias(f"sum_{name}") for f, name in enumerate(run.features)]
+    return finish(w.select("crop_type", "timestamp", "split", "win", F.size("x").alias("slots"), F.element_at("x", 1).alias("oldest"),
+                           F.element_at("x", -n).alias("newest"), *sums, "y", "is_fit", "is_val"), 4)
+
+
 def q_fit_val_split(spark, d):
     run = event_run(spark, d)
     return finish(windows.window_counts(run.windows))
