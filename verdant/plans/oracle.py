@@ -487,6 +487,7 @@ def oracle_sql() -> dict[str, str]:
     fc_cols = f"""crop_type, "timestamp", {r('actual_temperature_c', 'actual_temperature_c')},
         {r('predicted_temperature_c', 'predicted_temperature_c')}, {r('absolute_error_c', 'absolute_error_c')}"""
     q["hybrid_forecast"] = _event_sql(FULL, f"SELECT {fc_cols} FROM fc")
+    q["stream_forecast"] = q["hybrid_forecast"]
     q["coordination_label"] = _event_sql(FULL + LABEL, "SELECT crop_type, model_coordination FROM lbl")
     q["regression_metrics"] = _event_sql(FULL, f"""SELECT crop_type, {metric_sql('actual_temperature_c', 'predicted_temperature_c')}
         FROM fc GROUP BY crop_type""")

@@ -100,5 +100,7 @@ def stream_queries() -> dict:
     def stream_dedupe(spark, d):
         return finish(first_per_hour(drain(event_stream(spark, d), "dedupe", first_per_hour)).drop("hour"))
 
+    from .forecast_stream import q_stream_forecast
+
     return {"stream_control": stream_control, "stream_window_counts": stream_window_counts,
-            "stream_dedupe": stream_dedupe}
+            "stream_dedupe": stream_dedupe, "stream_forecast": q_stream_forecast}
