@@ -98,3 +98,43 @@ def test_dropped_rows_are_counted(spark, raw_dir):
     from verdant.sources.ingest import dropped_rows
     got = {r.crop_type: (r["rows"], r.dropped) for r in dropped_rows(load_sources(spark, [raw_dir])).collect()}
     assert got["tomato"] == (5, 1) and got["okra"] == (2, 0)
+
+
+def test_headers_of_many_files_come_from_one_job(spark, tmp_path):
+    from verdant.sources.ingest import read_headers
+    n = 2000
+    for i in range(n):
+        _write(str(tmp_path), f"f{i:05d}.csv", "﻿time,temp\r\n" if i % 3 == 0 else '"temp","a,b"\n1,2\n' if i % 3 == 1 else "")
+    files = list(enumerate(discover_files(spark, [f"file://{tmp_path}"])))
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    found = read_headers(spark, files)
+    sc.setJobGroup("", "")
+    assert len(tracker.getJobIdsForGroup("headers")) <= 4  # whatever the number of files
+    assert {h: len(p) for h, p in found.items()} == {("time", "temp"): 667, ("temp", "a,b"): 667, (): 666}
+    assert found[("time", "temp")][:2] == [(0, files[0][1]), (3, files[3][1])]
+
+
+def test_long_header_lines_and_text_reader_agree(spark, tmp_path, monkeypatch):
+    from verdant.sources import ingest
+    wide = ",".join(f"column {i}" for i in range(20_000))
+    _write(str(tmp_path), "a.csv", wide + "\n1\n")
+    _write(str(tmp_path), "b.csv", "temp,time\n" + "1,2025-01-01\n" * 50)
+    _write(str(tmp_path), "c.csv", "")
+    files = list(enumerate(discover_files(spark, [f"file://{tmp_path}"])))
+    by_tasks = ingest.read_headers(spark, files)
+    monkeypatch.setattr(ingest, "TASK_SCHEMES", ())
+    assert ingest.read_headers(spark, files) == by_tasks
+    assert [len(h) for h in by_tasks] == [20_000, 2, 0]
+
+
+def test_documents_over_several_lines(spark, tmp_path):
+    from verdant.sources import sinks
+    _write(str(tmp_path), "a.json", '{\n  "name": "okra",\n  "values": [1,\n 2]\n}\n')
+    _write(str(tmp_path), "b.json", '{\n  "name": "cut off",\n  "values": [1,')
+    _write(str(tmp_path), "c.json", '[\n {"name": "one"},\n {"name": "two", "values": null, "more": 3}\n]')
+    rows = sinks.read_documents(spark, f"file://{tmp_path}", "name string, values array<int>").collect()
+    good = sorted((r.name, r["values"]) for r in rows if r._corrupt is None)
+    assert good == [("okra", [1, 2]), ("one", None), ("two", None)]
+    assert [r._corrupt.startswith('{\n  "name": "cut off"') for r in rows if r._corrupt is not None] == [True]
+    assert sinks.read_documents(spark, "/nonexistent/verdant/path", "name string").columns == ["name", "_corrupt"]

@@ -63,3 +63,47 @@ def test_streams_equal_the_batch_answer_for_any_cut(spark, tmp_path, files):
     assert counts.agg(F.sum("total_records")).first()[0] == batch.count()
     firsts = first_per_hour(drain(stream(), "test-first", first_per_hour))
     assert same(firsts, first_per_hour(batch))
+
+
+def _weighted_line(spark, length=3):
+    """A stored line a key: AR(1) 0.5 + 0.5 x at the newest step, scaled from [0, 10]."""
+    from verdant.plans.store import StoredModels
+    linear = spark.createDataFrame([(k, m, 0.25, [0.0] * (length - 1) + [c]) for k in "ab" for m, c in (("m1", 0.25), ("m2", 0.75))],
+                                   "crop_type string, model string, intercept double, coef array<double>")
+    scaling = spark.createDataFrame([("a", 0.0, 10.0), ("b", 0.0, 10.0)], "crop_type string, t__min double, t__max double")
+    weights = spark.createDataFrame([(k, m, 0.5) for k in "ab" for m in ("m1", "m2")], "crop_type string, model string, weight double")
+    return StoredModels(1, ["m1", "m2"], ["t"], length, "t", 0, scaling, linear, None, None), weights
+
+
+def test_forecast_refresh_does_not_depend_on_cuts_and_flags_late_rows(spark):
+    from verdant.sources.sinks import shared_path
+    from verdant.streaming.control_stream import drain
+    from verdant.streaming.forecast_stream import combined, observation_stream, refresh_forecasts
+    stored, weights = _weighted_line(spark)
+    models = combined(stored, weights, "crop_type").cache()
+    assert [round(c, 6) for c in models.first()["coef"]] == [0.0, 0.0, 0.5]
+    t = F.timestamp_seconds(F.col("i") * 60).cast("timestamp_ntz").alias("timestamp")
+    rows = spark.createDataFrame([(k, i, float((i * 7 + n) % 10)) for n, k in enumerate("abz") for i in range(20)],
+                                 "crop_type string, i long, t double")
+    whole = None
+    for cuts in ([20], [1, 2, 3, 9, 20], list(range(1, 21))):
+        folder, begin = shared_path(spark, "arrivals-test"), 0
+        out, checkpoint = shared_path(spark, "out-test"), shared_path(spark, "checkpoint-test")
+        for end in cuts:  # a run for every cut: the state is found again, old files are not read again
+            rows.filter(F.col("i").between(begin, end - 1)).select("crop_type", t, "t").repartition(2, "crop_type").write.mode("append").parquet(folder)
+            stream = observation_stream(folder, rows.select("crop_type", t, "t"))
+            made = drain(refresh_forecasts(stream, models, stored, "crop_type"), "refresh", out=out, checkpoint=checkpoint)
+            begin = end
+        got = sorted((r.crop_type, str(r.timestamp), round(r.actual, 4), None if r.predicted is None else round(r.predicted, 4), r.late)
+                     for r in made.collect())
+        whole = whole or got
+        assert got == whole and len(got) == 40  # the key without a model has no rows
+    a = [r for r in whole if r[0] == "a"]
+    assert [r[3] for r in a[:3]] == [None] * 3 and a[3][3] == round((0.25 + 0.5 * a[2][2] / 10) * 10, 4)
+    # a row that comes too late changes nothing but is told
+    rows.filter("i = 5").select("crop_type", t, F.lit(9.0).alias("t")).write.mode("append").parquet(folder)
+    made = drain(refresh_forecasts(observation_stream(folder, rows.select("crop_type", t, "t")), models, stored, "crop_type"),
+                 "refresh", out=out, checkpoint=checkpoint)
+    late = made.filter("late").collect()
+    assert sorted(r.crop_type for r in late) == ["a", "b"] and all(r.predicted is None for r in late)
+    assert made.filter("not late").count() == 40

@@ -368,14 +368,21 @@ def oracle_sql() -> dict[str, str]:
         SELECT crop_type, "timestamp", split, 'external_mean' AS model, first(y), avg(yhat) FROM made GROUP BY crop_type, "timestamp", split)"""]
     q["external_ensemble"] = _event_sql(CLEAN + SCALE + WINDOWS + preds3 + WEIGHTS, f"""SELECT crop_type, model,
         {r('validation_rmse', 'validation_rmse')}, {r('score', 'score')}, {r('weight', 'weight')} FROM weights""")
+    k_of = "TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)"
     q["raw_ingest"] = f"""SELECT lower(event_type) AS crop_type, CAST(date_trunc('second', ts) AS TIMESTAMP) AS "timestamp",
-          {r('value', 'indoor_temperature_c')}, {r("TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)", 'humidity_pct')}
-        FROM events WHERE event_id % 3 = 0
+          {r('value', 'indoor_temperature_c')}, {r(k_of, 'humidity_pct')} FROM events WHERE event_id % 4 = 0
         UNION ALL SELECT lower(event_type), CAST(ts AS TIMESTAMP),
-          round(CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= {EVENT_INVALID_CODE} THEN NULL ELSE value END, 6),
-          round(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 6) FROM events WHERE event_id % 3 = 1
-        UNION ALL SELECT 'mixed_crop', CAST(date_trunc('day', ts) AS TIMESTAMP), round(value, 6), NULL
-        FROM events WHERE event_id % 3 = 2"""
+          round(CASE WHEN {k_of} >= {EVENT_INVALID_CODE} THEN NULL ELSE value END, 6), round({k_of}, 6) FROM events WHERE event_id % 4 = 1
+        UNION ALL SELECT 'ladysfinger', TIMESTAMP '2025-01-01' + to_hours(row_number() OVER (ORDER BY event_id) - 1), round(value, 6), NULL
+        FROM events WHERE event_id % 4 = 2
+        UNION ALL SELECT lower(event_type), TIMESTAMP '2025-01-01' + to_seconds(event_id * 10800), round(value, 6), round({k_of}, 6)
+        FROM events WHERE event_id % 4 = 3"""
+    q["json_documents"] = f"""SELECT event_type AS name, CASE WHEN ok THEN event_type END AS crop_type,
+          CAST(CASE WHEN ok THEN n ELSE -1 END AS BIGINT) AS rows, CASE WHEN ok THEN round(total, 6) END AS total,
+          CAST(CASE WHEN ok THEN n_codes ELSE -1 END AS BIGINT) AS n_codes, NOT ok AS broken
+        FROM (SELECT event_type, event_type <> 'error' AS ok, count(*) AS n,
+            CAST(sum(CAST(round(value, 2) AS DECIMAL(18, 2))) AS DOUBLE) AS total,
+            count(DISTINCT TRY_CAST(json_extract_string(props, '$.k') AS INT)) AS n_codes FROM events GROUP BY event_type)"""
     paged = """paged AS (SELECT fc.*, action, fan_on, spray_on, (row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp") - 1) AS place
         FROM fc JOIN acts USING (crop_type, "timestamp"))""".replace("fc.*", 'fc.crop_type, fc."timestamp", actual_temperature_c, fc.predicted_temperature_c, absolute_error_c')
     best_one = """best1 AS (SELECT crop_type, arg_min(model, "rank") AS best_model FROM cmp GROUP BY crop_type)"""

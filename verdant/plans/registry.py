@@ -441,30 +441,55 @@ def q_external_ensemble(spark, d):
 
 
 def q_raw_ingest(spark, d):
-    """Events written as raw CSV folders of three headers and time formats, read back."""
+    """Events written as raw CSV folders of four headers and time formats, read back.
+
+    ``okra.csv`` has neither key nor time (P5: the key is in its name, P8: hours by row position, hence one file);
+    ``days`` has day offsets instead of times (P7).
+    """
     from ..sources import sinks
     from ..sources.ingest import load_sources
     ev = tables.read_table(spark, d, "events")
-    third = F.col("event_id") % 3
+    part = F.col("event_id") % 4
     code = F.get_json_object("props", "$.k")
     value = F.col("value").cast("string")
     parts = {
-        "us": ev.filter(third == 0).select(
+        "us": ev.filter(part == 0).select(
             F.date_format("ts", "MM/dd/yyyy HH:mm:ss").alias("Recorded At"), F.col("event_type").alias("Class"),
             value.alias("Temp (C)"), code.alias("RH")),
-        "iso": ev.filter(third == 1).select(
+        "iso": ev.filter(part == 1).select(
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"), F.upper("event_type").alias("crop"),
             F.when(code.try_cast("double") >= tables.EVENT_INVALID_CODE, F.lit("NA")).otherwise(value).alias("temperature"),
             code.alias("humidity")),
-        "okra": ev.filter(third == 2).select(F.date_format("ts", "MMM d, yyyy").alias("date"), value.alias("air_temperature")),
+        "named": ev.filter(part == 2).coalesce(1).sortWithinPartitions("event_id").select(value.alias("air_temperature")),
+        "days": ev.filter(part == 3).select((F.col("event_id") / 8).cast("string").alias("Day"), F.col("event_type").alias("Species"),
+                                            value.alias("Temp C"), code.alias("Humidity")),
     }
     folders = []
-    for name, part in parts.items():
+    for name, rows in parts.items():
         folders.append(sinks.shared_path(spark, "raw", name))
-        part.write.option("header", True).csv(folders[-1])
+        rows.write.option("header", True).csv(folders[-1])
+    sinks.rename_part(spark, folders[2], "okra.csv")
     return finish(load_sources(spark, folders).select("crop_type", "timestamp", "indoor_temperature_c", "humidity_pct"))
 
 
+def q_json_documents(spark, d):
+    """One indented JSON document a key, one of them cut off, read back over several lines each."""
+    from ..sources import sinks
+    ev = tables.read_table(spark, d, "events")
+    per = ev.groupBy(F.col("event_type").alias("crop_type")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.round("value", 2).cast("decimal(18,2)")).cast("double").alias("total"),
+        F.array_sort(F.collect_set(F.get_json_object("props", "$.k").try_cast("int"))).alias("codes"))
+    doc = per.select(F.col("crop_type").alias("name"), F.struct("crop_type", F.struct("rows", "total").alias("summary"), "codes").alias("doc"))
+    path = sinks.write_documents(doc.filter("name <> 'error'"), sinks.shared_path(spark, "documents"), "name", "doc")
+    broken = doc.filter("name = 'error'").select("name", F.expr("left(to_json(doc, map('pretty', 'true')), 40)").alias("value"))
+    broken.write.mode("append").partitionBy("name").text(path)
+    schema = "crop_type string, summary struct<rows: bigint, total: double>, codes array<int>"
+    back = sinks.read_documents(spark, path, schema)
+    return finish(back.select("name", "crop_type", F.coalesce("summary.rows", F.lit(-1)).alias("rows"), "summary.total",
+                              F.coalesce(F.size("codes"), F.lit(-1)).alias("n_codes"),
+                              F.col(sinks.CORRUPT).isNotNull().alias("broken")))
+
+
 def q_payload_rows(spark, d, page_rows: int = 500):
     """R4 flattened: one row per (key, page, position), with small pages so that keys have several."""
     rows = reports.payload_rows(event_run(spark, d).payload(page_rows), "crop_type", ("model_coordination", "best_model"))

@@ -86,6 +86,41 @@ def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
         return spark.createDataFrame([], schema or "value string")
 
 
+CORRUPT = "_corrupt"
+
+
+def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One JSON document a file, over any number of lines; ``_corrupt`` has the text of one that cannot be read.
+
+    ``schema`` is explicit, so nothing is inferred; a missing path is empty.
+    """
+    shape = f"{schema}, {CORRUPT} string"
+    try:
+        return spark.read.schema(shape).options(mode="PERMISSIVE", multiLine=True, columnNameOfCorruptRecord=CORRUPT).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], shape)
+
+
+def write_documents(df: DataFrame, path: str, name: str, document: str) -> str:
+    """K7, indented: one file a row, in a folder named by the value of ``name``."""
+    indented = F.to_json(document, {"pretty": "true", "ignoreNullFields": "false"})
+    df.select(F.col(name), indented.alias("value")).write.mode("overwrite").partitionBy(name).option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def rename_part(spark: SparkSession, folder: str, name: str) -> str:
+    """Give the single part file of a folder a name of its own (some readers take meaning from file names)."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [x.getPath() for x in fs.listStatus(base) if x.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise ValueError(f"{folder} has {len(parts)} part files, not one")
+    fs.rename(parts[0], spark._jvm.org.apache.hadoop.fs.Path(base, name))
+    return f"{folder}/{name}"
+
+
 def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Read a CSV table back (header row)."""
     reader = spark.read.options(header=True, **CSV_TIMES)
