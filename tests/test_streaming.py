@@ -107,3 +107,26 @@ def test_forecast_refresh_does_not_depend_on_cuts_and_flags_late_rows(spark):
     late = made.filter("late").collect()
     assert sorted(r.crop_type for r in late) == ["a", "b"] and all(r.predicted is None for r in late)
     assert made.filter("not late").count() == 40
+
+
+@needs(SF001)
+@pytest.mark.parametrize("files", [1, 11])
+def test_event_time_state_gives_the_batch_answer_and_stays_small(spark, files):
+    from datetime import timedelta
+
+    from verdant.streaming.control_stream import COUNTS, merge_counts
+    from verdant.streaming.event_time import counts_table, drain_table, shuffled_events
+    limits = (T["low"], T["high"], T["spray"])
+    table = counts_table(spark, shared_path(spark, "event-test"), *limits, timedelta(days=1), keep=4)
+    got = drain_table(shuffled_events(spark, SF001, files), table).select("window_start", "crop_type", *COUNTS)
+    batch = spark.read.parquet(f"{SF001}/events.parquet").select(
+        F.col("event_type").alias("crop_type"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("reading"), "event_id")
+    want = merge_counts(action_counts(batch, *limits)).select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert len(table.parts("closed")) <= 5 and len(table.parts("late")) <= 5 and len(table.numbers("open")) <= 2
+    hours = {r[0] for r in spark.read.parquet(table._part("open", table.numbers("open")[-1])).select("window_start").distinct().collect()}
+    assert len(hours) <= 26  # open windows end within a day of the latest event
+    # a batch that is repeated overwrites its own parts
+    table.write(batch.limit(0), table.numbers("open")[-1] + 1)
+    again = table.read().select(*got.columns)
+    assert again.exceptAll(want).count() == 0 and want.exceptAll(again).count() == 0

@@ -538,7 +538,8 @@ def oracle_sql() -> dict[str, str]:
     q["performance_report"] = _event_sql(FULL + LABEL + [perf_sql], f"""SELECT p.crop_type, {r('p.mae', 'mae')},
         {r('p.rmse', 'rmse')}, {r('p.mape_pct', 'mape_pct')}, {r('p.r2', 'r2')}, {b('p.sample_count', 'sample_count')},
         l.model_coordination AS backend,
-        printf('MAE (C): %.4f | RMSE (C): %.4f | MAPE (%%): %.2f | R2: %.4f', p.mae, p.rmse, p.mape_pct, p.r2) AS report_line
+        printf('%s: off by %.4f on average (root mean square %.4f, %.2f percent), r2 %.4f over %d rows', p.crop_type, p.mae, p.rmse,
+               p.mape_pct, p.r2, p.sample_count) AS report_line
         FROM perf p LEFT JOIN lbl l USING (crop_type)""")
     q["dataset_summary"] = _event_sql(FULL, _summary_sql())
     q["run_status"] = _event_sql(FULL, f"""SELECT {b('(SELECT count(DISTINCT crop_type) FROM cleaned)', 'keys_exported')},
@@ -563,6 +564,20 @@ def oracle_sql() -> dict[str, str]:
     q["plot_series"] = _event_sql(FULL, f"""SELECT crop_type, "timestamp", 'actual' AS series, {r('y', 'value')}
         FROM orig WHERE model = 'hybrid_coordinated'
         UNION ALL SELECT crop_type, "timestamp", model AS series, {r('yhat', 'value')} FROM orig""")
+    for exported, source in (("scaled_export", "minmax_scale"), ("params_export", "minmax_fit"), ("actions_export", "threshold_actions"),
+                             ("predictions_export", "prediction_pivot")):
+        q[exported] = q[source]
+    slots = [f"x{i + 1:02d}" for i in range(L * len(FEATS))]
+    q["windows_export"] = _event_sql(CLEAN + SCALE + WINDOWS, f"""SELECT crop_type, "timestamp", split, {b('win', 'win')},
+        {b(str(len(slots)), 'slots')}, {r(' + '.join(['0.0', *slots]), 'total')}, {r('y', 'y')} FROM wins""")
+    q["status_text"] = _event_sql(FULL, """SELECT printf('keys: %d found, %d processed, %d exported',
+        (SELECT count(DISTINCT crop_type) FROM grp), (SELECT count(DISTINCT crop_type) FROM fc),
+        (SELECT count(DISTINCT crop_type) FROM cleaned)) AS line""")
+    q["comparison_report_rows"] = _event_sql(FULL + CMP, f"""SELECT crop_type, {b('count(*) OVER (PARTITION BY crop_type) + 1', 'lines')},
+        first_value(model) OVER (PARTITION BY crop_type ORDER BY "rank") AS winner,
+        {r('first_value(rmse) OVER (PARTITION BY crop_type ORDER BY "rank")', 'winner_rmse')}, {b('"rank"', 'place')}, model,
+        {r('rmse', 'rmse')}, {r('mae', 'mae')}, {r('r2', 'r2')} FROM cmp""")
+    q["event_time_counts"], q["event_time_dedupe"] = q["stream_window_counts"], q["stream_dedupe"]
     return q
 
 

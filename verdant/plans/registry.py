@@ -289,8 +289,8 @@ def q_crop_results(spark, d):
 
 def q_performance_report(spark, d):
     perf = event_run(spark, d).performance
-    line = F.format_string("MAE (C): %.4f | RMSE (C): %.4f | MAPE (%%): %.2f | R2: %.4f",
-                           "mae", "rmse", "mape_pct", "r2")
+    line = F.format_string("%s: off by %.4f on average (root mean square %.4f, %.2f percent), r2 %.4f over %d rows",
+                           "crop_type", "mae", "rmse", "mape_pct", "r2", F.col("sample_count").cast("long"))
     return finish(perf.withColumn("report_line", line))
 
 
@@ -377,23 +377,89 @@ def q_ui_payload(spark, d):
     return event_run(spark, d).payload()
 
 
-def q_comparison_report(spark, d):
-    """Per-key comparison report as a JSON document plus its text lines."""
-    run = event_run(spark, d)
+def comparison_reports(run) -> DataFrame:
+    """Per key a JSON document of its models, best first, and the same as text."""
     cmp = run.comparison
     rows = cmp.groupBy("crop_type").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "model", "mae", "rmse", "r2"))).alias("ranking"))
-    best = metrics.best_model(cmp, "crop_type")
-    j = rows.join(best, ["crop_type"])
-    lines = F.transform("ranking", lambda r: F.format_string(
-        "#%d %s: MAE=%.4f, RMSE=%.4f, R2=%.4f", r["rank"], r["model"], r["mae"], r["rmse"], r["r2"]))
-    text = F.concat_ws("\n", F.concat(F.lit("=== Model Comparison Report: "), F.col("crop_type"), F.lit(" ===")),
-                       F.format_string("Best model: %s", F.col("best_model")),
-                       F.format_string("Best RMSE: %.4f", F.col("best_model_rmse")), F.lit(""),
-                       F.array_join(lines, "\n"))
-    return j.select("crop_type", F.to_json(F.struct(
-        F.col("crop_type").alias("crop_name"), "best_model", F.col("best_model_rmse").alias("best_rmse"),
-        "models_evaluated", "ranking")).alias("report_json"), text.alias("report_text"))
+        F.array_sort(F.collect_list(F.struct(F.col("rank").alias("place"), "model", "rmse", "mae", "r2"))).alias("models"))
+    best = F.get("models", F.lit(0))
+    doc = F.struct(F.col("crop_type").alias("key"), best["model"].alias("winner"), best["rmse"].alias("winner_rmse"), "models")
+    lines = F.transform("models", lambda r: F.format_string(
+        "%d. %s (rmse %.4f, mae %.4f, r2 %.4f)", r["place"].cast("int"), r["model"], r["rmse"], r["mae"], r["r2"]))
+    text = F.concat(F.lit("Models of "), F.col("crop_type"), F.lit(", best first:\n"), F.array_join(lines, "\n"))
+    return rows.select("crop_type", F.to_json(doc).alias("document"), text.alias("text"))
+
+
+def q_comparison_report(spark, d):
+    """Documents and text."""
+    return comparison_reports(event_run(spark, d))
+
+
+def q_comparison_report_rows(spark, d):
+    """R3, K7 checked by value: the documents written as JSON lines, read back and flattened; text lines counted."""
+    from ..sources import sinks
+    reports_ = comparison_reports(event_run(spark, d))
+    path = sinks.write_json_documents(reports_.select("crop_type", "document", F.size(F.split("text", "\n")).alias("lines")),
+                                      sinks.shared_path(spark, "reports"))
+    back = sinks.read_json(spark, path, "crop_type string, document string, lines int")
+    shape = "key string, winner string, winner_rmse double, models array<struct<place: int, model: string, rmse: double, mae: double, r2: double>>"
+    doc = back.select("crop_type", "lines", F.from_json("document", shape).alias("j"))
+    each = doc.select("crop_type", "lines", "j.winner", "j.winner_rmse", F.explode("j.models").alias("m"))
+    return finish(each.select("crop_type", "lines", "winner", "winner_rmse", F.col("m.place").alias("place"), "m.model", "m.rmse", "m.mae", "m.r2"))
+
+
+def q_scaled_export(spark, d):
+    """K2 + S6: scaled features exported by key as CSV, read back."""
+    from ..sources import sinks
+    run = event_run(spark, d)
+    path = sinks.export_by_key(run.scaled.select("crop_type", "timestamp", *run.features), sinks.shared_path(spark, "scaled"))
+    return finish(sinks.read_csv(spark, path, "crop_type string, timestamp timestamp_ntz, indoor_temperature_c double, humidity_pct double"
+                                 ).drop("key_slug"))
+
+
+def q_params_export(spark, d):
+    """K3 + S6: scaling parameters as JSON lines, read back."""
+    from ..sources import sinks
+    run = event_run(spark, d)
+    path = sinks.write_params(windows.params_long(run.params, ["crop_type"], run.features), sinks.shared_path(spark, "params"))
+    return finish(sinks.read_json(spark, path, "crop_type string, feature string, min_val double, max_val double"))
+
+
+def q_windows_export(spark, d):
+    """K4 + S6: the window table by key, read back; targets and sums over the slots."""
+    from ..sources import sinks
+    path = sinks.write_windows(event_run(spark, d).windows, sinks.shared_path(spark, "windows"))
+    back = spark.read.parquet(path)
+    return finish(back.select("crop_type", "timestamp", "split", "win", F.size("x").alias("slots"),
+                              F.aggregate("x", F.lit(0.0), lambda a, v: a + v).alias("total"), "y"))
+
+
+def q_actions_export(spark, d):
+    """K5 + S6: control actions exported by key as CSV, read back."""
+    from ..sources import sinks
+    path = sinks.export_by_key(event_run(spark, d).actions, sinks.shared_path(spark, "actions"))
+    schema = ("timestamp timestamp_ntz, crop_type string, predicted_temperature_c double, action string, fan_on int, spray_on int, "
+              "status_note string")
+    return finish(sinks.read_csv(spark, path, schema).drop("key_slug"))
+
+
+def q_predictions_export(spark, d):
+    """K5 + S6: the forecast with a column a model, exported by key as CSV, read back."""
+    from ..sources import sinks
+    path = sinks.export_by_key(q_prediction_pivot(spark, d), sinks.shared_path(spark, "predictions"))
+    schema = ("crop_type string, timestamp timestamp_ntz, actual_temperature_c double, predicted_temperature_c double, "
+              "absolute_error_c double, pred_linear_baseline_c double, pred_naive_persistence_c double")
+    return finish(sinks.read_csv(spark, path, schema).drop("key_slug"))
+
+
+def q_status_text(spark, d):
+    """K8: the run's status as a text report, read back."""
+    from ..sources import sinks
+    run = event_run(spark, d)
+    status = metrics.run_status(run.cleaned, run.grouped, run.forecast, "crop_type")
+    line = F.format_string("keys: %d found, %d processed, %d exported", "keys_discovered", "keys_processed", "keys_exported")
+    path = sinks.write_text_report(status.select(line.alias("line")), sinks.shared_path(spark, "status"))
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 def q_export_roundtrip(spark, d):
@@ -664,4 +730,6 @@ def queries() -> dict[str, Query]:
     from ..operators.knn import q_knn_forecast, q_knn_recall
     from ..streaming.control_stream import stream_queries
     out = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
+    from ..streaming.event_time import q_event_time_counts, q_event_time_dedupe
+    out |= {"event_time_counts": q_event_time_counts, "event_time_dedupe": q_event_time_dedupe}
     return out | {"knn_forecast": q_knn_forecast, "knn_recall": q_knn_recall} | stream_queries()
