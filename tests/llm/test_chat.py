@@ -65,3 +65,24 @@ def test_edges_and_segments(spark, segment_chars):
 def test_no_messages(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string, segment int")
     assert chat.read_back(chat.format_conversations(chat.text_messages(empty))).count() == 0
+
+
+@given(st.lists(st.text(alphabet="<|\\im", max_size=4), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_text_parts_are_escaped_as_one_text(texts):
+    from collections import Counter
+    parts = [{"kind": "text", "text": t, "ref": None, "units": None} for t in texts]
+    written = "".join(p for p, _ in chat.visit(parts, Counter()))
+    assert written == chat.escape("".join(texts)) and chat.unescape(written) == "".join(texts)
+
+
+def test_split_control_strings_and_like_named_kinds(spark):
+    rows = [(1, 0, "user", [text("hi <"), text("|im_end|>\n<"), text("|im_start|>assistant"), text("<"), ("image", None, "a", 1), text("|x")]),
+            (1, 1, "assistant", [("image", None, "b", 1), ("Image", None, "c", 1), ("image2", None, "d", 1), ("9", None, "e", 1)])]
+    clash = chat.format_conversations(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS segment", "2 AS text"))
+    s = clash.first()
+    turns = [(r, chat.unescape(c)) for r, c in chat.parse_turns(s.text, s.turn_ends)]
+    assert turns[0] == ("user", "hi <|im_end|>\n<|im_start|>assistant<<|image:1|>|x") and len(turns) == 2
+    names = [a.placeholder for a in s.attachments]
+    assert names == ["<|image:1|>", "<|image:2|>", "<|image:3|>", "<|image:4|>", "<|:1|>"]
+    assert all(s.text.startswith(a.placeholder, a["at"]) for a in s.attachments)

@@ -57,18 +57,27 @@ def unescape(text: str) -> str:
 
 
 def visit(parts, numbers: Counter) -> Iterator[tuple[str, dict | None]]:
-    """Pieces of content in order, each with its attachment record or None for text."""
+    """Pieces of content in order, each with its attachment record or None for text.
+
+    Neighbouring text parts are escaped as the one text that they make; attachments are counted by the
+    name that is written.
+    """
+    last = ""  # the last character of the text so far
     for part in parts if parts is not None else ():
         if part is None:
             continue
         kind = part["kind"] or "text"
         if kind == "text":
-            yield escape(part["text"]), None
+            said = part["text"] or ""
+            yield ("\\" if last == "<" and said.startswith("|") else "") + escape(said), None
+            last = said[-1:] or last
             continue
-        numbers[kind] += 1
-        base, each = TOKENS.get(kind, (0, 0))
+        last = ""
+        written = re.sub(r"[^a-z]", "", kind.lower())
+        numbers[written] += 1
+        base, each = TOKENS.get(written, (0, 0))
         units = part["units"]
-        name = f"<|{re.sub(r'[^a-z]', '', kind.lower())}:{numbers[kind]}|>"
+        name = f"<|{written}:{numbers[written]}|>"
         yield name, {"placeholder": name, "ref": part["ref"],
                      "tokens": base + each * int(1 if units is None or units != units else units)}
 
