@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT_EXEC
 from ..functions.names import display_key, lookup_key, slug_col
 from ..functions.values import json_number
+from .series import POS, SIZE, group_size_bound, positions
 
 
 def payload_index(labels: DataFrame, payloads: DataFrame, key: str, folder: str) -> DataFrame:
@@ -57,13 +59,18 @@ def payload_rows(payloads: DataFrame, key: str, keep: tuple[str, ...] = ()) -> D
 
 
 def last_rows(rows: DataFrame, key: str, k: int = 8, step: int | None = None, time_col: str = "timestamp") -> DataFrame:
-    """The newest ``k`` rows per key at or before position ``step``, with ``recent_rank`` 1 for the newest."""
+    """The newest ``k`` rows per key at or before position ``step``, with ``recent_rank`` 1 for the newest.
+
+    Without a step Spark keeps k rows a key before the shuffle; with one, positions come from a range-partitioned
+    sort wherever a key is larger than a block, so that no task ranks a whole key.
+    """
     from pyspark.sql import Window
-    newest = Window.partitionBy(key).orderBy(F.col(time_col).desc())
-    if step is not None:
-        oldest = Window.partitionBy(key).orderBy(time_col)
-        rows = rows.withColumn("_step", F.row_number().over(oldest)).filter(F.col("_step") <= step).drop("_step")
-    return rows.withColumn("recent_rank", F.row_number().over(newest)).filter(F.col("recent_rank") <= k)
+    if step is None:
+        newest = Window.partitionBy(key).orderBy(F.col(time_col).desc())
+        return rows.withColumn("recent_rank", F.row_number().over(newest)).filter(F.col("recent_rank") <= k)
+    placed = positions(rows, [key], [time_col], max_group=group_size_bound(rows, [key]), single_task_rows=DEFAULT_EXEC.block_rows)
+    rank = F.least(F.lit(step), F.col(SIZE)) - F.col(POS) + 1
+    return placed.withColumn("recent_rank", rank).filter(F.col("recent_rank").between(1, k)).drop(POS, SIZE)
 
 
 def plot_tables(cleaned: DataFrame, selected: DataFrame, scaled: DataFrame, forecast: DataFrame,

@@ -552,6 +552,12 @@ def oracle_sql() -> dict[str, str]:
     q["last_k_rows"] = _event_sql(FULL + ACTIONS, f"""SELECT {fc_cols}, action, {b('rn', 'recent_rank')} FROM (
         SELECT fc.crop_type, fc."timestamp", actual_temperature_c, fc.predicted_temperature_c, absolute_error_c, action, row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp" DESC) AS rn
         FROM fc JOIN acts USING (crop_type, "timestamp")) WHERE rn <= 8""")
+    q["last_k_rows_at_step"] = _event_sql(FULL + ACTIONS, f"""SELECT {fc_cols}, action,
+        {b('row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp" DESC)', 'recent_rank')} FROM (
+        SELECT fc.crop_type, fc."timestamp", actual_temperature_c, fc.predicted_temperature_c, absolute_error_c, action,
+               row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp") AS step
+        FROM fc JOIN acts USING (crop_type, "timestamp")) WHERE step <= 100
+        QUALIFY row_number() OVER (PARTITION BY crop_type ORDER BY "timestamp" DESC) <= 8""")
     q["hybrid_gain"] = _event_sql(FULL + CMP, f"""SELECT s.crop_type, s.best_single_model,
         {r('s.best_single_rmse', 'best_single_rmse')}, {r('h.rmse', 'hybrid_rmse')},
         {r('s.best_single_rmse - h.rmse', 'hybrid_gain')}

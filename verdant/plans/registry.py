@@ -326,6 +326,11 @@ def q_last_k_rows(spark, d, k: int = 8, step: int | None = None):
         run.actions.select("crop_type", "timestamp", "action"), ["crop_type", "timestamp"]), "crop_type", k, step))
 
 
+def q_last_k_rows_at_step(spark, d):
+    """R8 with a step: the 8 forecast rows per key up to its 100th."""
+    return q_last_k_rows(spark, d, 8, 100)
+
+
 def q_hybrid_gain(spark, d):
     cmp = event_run(spark, d).comparison
     single = cmp.filter(F.lower("model") != HYBRID_MODEL).groupBy("crop_type").agg(

@@ -37,6 +37,9 @@ def run_workflow(spark: SparkSession, observations: DataFrame, out_dir: str,
                  page_rows: int = 10000) -> dict[str, str]:
     run = ForecastRun(observations, cfg or ForecastConfig(), exec_cfg, model_set)
     run.require_results()
+    # Read by every report below: cut once.
+    run.weights, run.test_original = materialize(run.weights), materialize(run.test_original)
+    run.comparison, run.actions = materialize(run.comparison), materialize(run.actions)
     k = run.cfg.key
     p = {name: os.path.join(out_dir, name) for name in (
         "classified_inputs", "features_cleaned", "features_scaled", "scaling_parameters", "windows",
