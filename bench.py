@@ -35,6 +35,11 @@ HEADLINE = [
     "raw_ingest",
     "bundle_rows",
     "knn_forecast",
+    "random_forest",
+    "gbt",
+    "rbf_regression",
+    "hybrid_all_models",
+    "long_windows",
 ]
 
 
