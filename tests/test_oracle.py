@@ -43,7 +43,11 @@ def duck():
 @needs(SF001)
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF001).toPandas()
+    made = E.queries()[name](spark, SF001)
+    got = made.toPandas()
+    for c, t in made.dtypes:
+        if t == "bigint":  # pandas turns whole numbers beside nulls into floats
+            got[c] = got[c].astype("Int64")
     exp = duck.execute(E.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(exp.columns)
     assert len(got) == len(exp)
