@@ -1,14 +1,18 @@
 """Each stage of the pipeline is held against its own input; queries against SQL at the small scale."""
 import os
+from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
 from verdant.llm import jaccard, mixing, neighbours
 from verdant.llm.common import read
 
+from .helpers import DOC_SCHEMA, edge_documents, no_documents, with_clashes
+
 SF = "/root/testdata/sf0.001"
 needs = pytest.mark.skipif(not os.path.exists(SF), reason="no test data")
 
@@ -56,6 +60,32 @@ def test_decisions_take_effect(spark, staged):
     assert tokens.count() == before.count() and tokens.filter("n_tokens * 4 <> octet_length(ids)").count() == 0
 
 
+@pytest.mark.parametrize("name,stage", P.STAGES)
+def test_stages_on_edge_rows(spark, tmp_path, name, stage):
+    edge_documents(spark).select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = with_clashes(edge_documents(spark))
+    got = stage(spark, docs, str(tmp_path)).collect()
+    assert stage(spark, with_clashes(no_documents(spark)), str(tmp_path)).collect() == []
+    if name == "tokens":
+        assert len(got) == docs.count() and all(r.n_tokens == 0 for r in got if r.doc_id in (1, 2))
+        return
+    assert set(got[0].asDict()) == set(docs.columns)
+    if name in ("quality", "personal data"):  # one class of labels: all are good; no entity: no text changes
+        assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in docs.collect())
+    elif name == "near copies":  # the repeated row, and the same text under a null id, go but for one
+        assert Counter((r.doc_id, r.text) for r in got) == Counter(
+            {(r.doc_id, r.text): 1 for r in docs.collect() if r.doc_id is not None or not (r.text or "").split()})
+    else:  # wordless rows have no part in the mix
+        assert all((r.text or "").split() for r in got)
+
+
+def test_equal_ids_and_texts_keep_the_least_row(spark):
+    for order in (1, -1):
+        rows = [(7, "same words in this text", "en", s, 5) for s in ("y", "x", "z", "x")][::order]
+        got = jaccard.one_of_each(spark.createDataFrame(rows, DOC_SCHEMA).withColumn("m", F.create_map(F.lit("k"), "source"))).collect()
+        assert [(r.doc_id, r.source, r.m) for r in got] == [(7, "x", {"k": "x"})]
+
+
 @needs
 def test_run_equals_the_chain(spark, staged):
     pick = lambda df: sorted(tuple(r) for r in df.select("doc_id", "n_tokens", "ids_sha256").collect())

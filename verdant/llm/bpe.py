@@ -20,7 +20,7 @@ Decoding looks up the bytes of each id and concatenates them.
 
 Defined cases: null text is empty and has no tokens; very long words are folded
 by as many passes as they have distinct merges; repeated rows give equal rows;
-an empty table gives no rows.
+an empty table gives no rows; columns beside ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -147,7 +147,7 @@ class BytePairs:
 
     @staticmethod
     def ids(tokens: Column) -> Column:
-        return F.transform(F.split(tokens, ""), lambda c: F.ascii(c))
+        return F.transform(F.filter(F.split(tokens, ""), lambda c: c != ""), lambda c: F.ascii(c))
 
     @staticmethod
     def _packed(chars: Column) -> Column:

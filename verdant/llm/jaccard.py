@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from .common import as_bytes, cut, mix, read, shingle_hashes, text_key
 from .components import connected_components
@@ -162,7 +163,8 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SH
     hubs = cut(buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top"))
     stars = buckets.join(hubs, "bucket").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     groups = cut(connected_components(stars))
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    # cut, so that the join below reads plain shuffles and a hot group can be split
+    sizes = cut(groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")))
     members = classes.select("set_key", "text_key", "copies", short).join(groups, "node").join(sizes, "root").select(
         "text_key", "set_key", "copies", F.col("root").alias("group"), "blocks",
         F.pmod(F.hash("set_key"), "blocks").alias("block"))
@@ -187,14 +189,24 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SH
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def _unordered(kind: DataType) -> bool:
+    """Maps and variants, which rows cannot be sorted by, anywhere in a type."""
+    return any(name in kind.simpleString() for name in ("map<", "variant"))
+
+
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without near copies: the document that names its class stays, once; texts without words all stay."""
+    """``docs`` without near copies: the document that names its class stays, once; texts without words all stay.
+
+    Of rows with the same id and text the one with the least other columns stays, nulls first.
+    """
     decided = near_copies(docs, **options)
     keep = decided.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
         F.col("text_key").alias("_key"), F.col("doc_id").alias("_id")).distinct().hint("shuffle_hash")
     rows = docs.select(F.struct("*").alias("_row"), text_key(F.col("text")).alias("_text"))
     kept = rows.join(keep, (F.col("_text") == F.col("_key")) & F.col("_row.doc_id").eqNullSafe(F.col("_id")))
-    first = Window.partitionBy("_text", "_row.doc_id").orderBy(F.lit(0))
+    others = [(F.col(f"_row.`{f.name}`"), f.dataType) for f in docs.schema.fields if f.name not in ("doc_id", "text")]
+    order = [F.to_json(F.struct(c)) if _unordered(kind) else c for c, kind in others]
+    first = Window.partitionBy("_text", "_row.doc_id").orderBy(*order or [F.lit(0)])
     wordless = ~F.coalesce(F.col("_row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return kept.withColumn("_n", F.row_number().over(first)).filter((F.col("_n") == 1) | wordless).select("_row.*")
 

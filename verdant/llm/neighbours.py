@@ -86,10 +86,11 @@ class Voters:
     def score(self, terms: np.ndarray) -> np.ndarray:
         """Votes for a block of documents."""
         x = self._unit(self._weighted(terms) @ self.axes)
-        cosine = np.round(x @ self.vectors.T, 5)
-        k = min(NEIGHBOURS, cosine.shape[1])
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** SHARPNESS
+        cosine = np.rint(x.astype(np.float64) @ self.vectors.T.astype(np.float64) * 1e9).astype(np.int64)  # nano-units
+        n = cosine.shape[1]
+        k = min(NEIGHBOURS, n)
+        near = np.argpartition(np.arange(n) - cosine * n, k - 1, axis=1)[:, :k]  # ties to the earlier vector
+        weight = np.maximum(np.take_along_axis(cosine, near, axis=1) / 1e9, 0) ** SHARPNESS
         total = weight.sum(axis=1)
         votes = (weight * self.labels[near]).sum(axis=1)
         return np.round(np.divide(votes, total, out=np.zeros_like(votes), where=total > 0), 6)
