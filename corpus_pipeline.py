@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows the one before kept;
 all but the last return the columns of ``documents``.  ``run`` cuts lineage after
 every stage in the shared checkpoint folder, so a lost executor costs one stage.
+
+Defined cases, for every stage: an empty table gives no rows; nulls are allowed in
+any column and a null text counts as empty; extra columns pass whatever their names
+(the last stage returns its own).  Quality: without two classes of labels all rows
+get the one known label.  Near copies: wordless rows all stay; of rows with the same
+id and text the one with the least other columns stays.  Source mix: rows without
+words take no part, a row taken n times stands n times.  Tokens: an empty text has none.
 """
 
 from __future__ import annotations
