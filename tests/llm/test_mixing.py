@@ -2,6 +2,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from verdant.llm import mixing
 
@@ -50,6 +51,28 @@ def test_taken_is_near_target_and_reruns_agree(spark):
     assert total - 60 <= taken <= total
 
 
+def test_one_id_on_many_rows_is_spread_and_reruns_agree(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = documents(spark, [prose(rng, 20) for _ in range(400)], ids=[None] * 300 + list(range(100)), sources=["a"] * 400)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10)
+    full = lambda d: sorted((str(r.row.doc_id), r.row.text, r.copies) for r in mixing.mix(d).collect())
+    one = full(docs)
+    assert one == full(docs.repartition(5))
+    buckets = docs.filter("doc_id is null").select(F.substring(mixing.shuffle_key(), 1, 2)).distinct().count()
+    assert buckets > 100
+
+
+def test_ranges_are_divided_until_few_copies_are_left(spark):
+    copies = spark.range(5000).select((F.col("id") / 1e6).alias("finish"), F.lit(1).cast("long").alias("size"))
+    end, before = mixing.end_of_budget(copies, 1234, 3, 10)
+    left = sorted(r.finish for r in end.collect())
+    assert len(left) <= 10 and left[0] <= 1234 / 1e6 <= left[-1] + 1e-6 and before == round(left[0] * 1e6)
+    assert mixing.end_of_budget(copies, 5000, 3, 10) is None
+    whole = outcome(documents(spark, ["a b c"] * 50, sources=["x", "y"] * 25))
+    fine = mixing.mix(documents(spark, ["a b c"] * 50, sources=["x", "y"] * 25), range_rows=1)
+    assert sorted(r["copies"] for r in whole) == sorted(r.copies for r in fine.collect())
+
+
 def test_edges(spark):
     got = outcome(with_clashes(edge_documents(spark)))
     assert len(got) == 11

@@ -4,19 +4,20 @@ Sources in code-point order (null last) weigh 5, 2, 1, repeating.  The budget is
 the words of the whole input; a source's target is its share by weight, at most
 ``cap`` times its own size, the excess shared again by weight.
 
-Documents of a source are shuffled by a keyed hash and queue up to ``cap``
+Documents of a source are shuffled by a keyed hash of id and text and queue up to ``cap``
 times.  A copy's virtual finish time is (words of its source up to and with it)
 / target.  All copies are range-partitioned by finish time; totals of the ranges
-show which range holds the end of the budget, that range is sorted, and the last
-copy that still fits is the cut.  A copy is taken if it does not come after the
+show which range holds the end of the budget, which is divided again until it has
+few copies; those are sorted, and the last copy that still fits is the cut.  A copy is taken if it does not come after the
 cut, so each source stays within one document of its target.
 
 A source or a range is never one task: prefix sums go over (source, hash bucket)
-groups whose number follows the row count, and only bucket totals meet.
+groups whose number follows the row count, and only bucket totals meet.  Rows of one
+id (or none) spread over the buckets by their texts.
 
 Defined cases: null or wordless text has size 0 and takes nothing; null sources
-are one source; equal ids are ordered by size, so fully equal rows are
-interchangeable; columns of the input cannot clash because they travel in one
+are one source; equal ids are ordered by their texts, and rows of equal id and
+text are interchangeable; columns of the input cannot clash because they travel in one
 struct; an empty table gives no rows.
 """
 
@@ -27,19 +28,26 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, read
+from .common import WORD, cut, read, text_key
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = "mix:"
 BUCKET_ROWS = 20_000
 RANGES = 4096
+FINEST = RANGES ** 3  # finer ranges of a double's finish times tell nothing apart
 
 
 def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def shuffle_key():
+    """The place of a document in its source's shuffled order."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(SEED), doc_id, F.lit(":"), text_key(F.col("text"))))
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per source with its weight and target; ``sizes`` has one (source, source_size) row per source."""
     everything = Window.orderBy(F.col("source").asc_nulls_last())
@@ -57,12 +65,29 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFra
     return s.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, keep: list[str] | None = None) -> DataFrame:
+def end_of_budget(copies: DataFrame, budget: int, cap: int, range_rows: int):
+    """The copies of the range of finish times that ends the budget, and the words before it; None if all copies fit."""
+    scale, before = RANGES, 0
+    while True:
+        ranged = copies.withColumn("range", F.floor(F.least(F.col("finish"), F.lit(float(cap * 2))) * scale))
+        totals = ranged.groupBy("range").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows"))
+        running = totals.withColumn("upto", F.sum("n").over(Window.orderBy("range")) + before)  # one row a range
+        last = running.filter(F.col("upto") > budget).orderBy("range").first()
+        if last is None:
+            return None
+        copies, before = ranged.filter(F.col("range") == last["range"]).drop("range"), last["upto"] - last["n"]
+        if last["rows"] <= range_rows or scale >= FINEST:
+            return copies, before
+        scale *= RANGES
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, keep: list[str] | None = None,
+        range_rows: int = BUCKET_ROWS) -> DataFrame:
     """Rows (row, size, source_size, target, copies): ``row`` has the columns ``keep`` (all by default) of ``docs``."""
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col("source"),
         word_count(F.col("text")).alias("size"),
-        F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("hash"))
+        shuffle_key().alias("hash"))
     light = cut(keyed.select("source", "size", "hash"))
     rows = light.count()
     digits = max(2, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS + 1, 16)))
@@ -87,18 +112,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, keep: list[str] | None
     order = ["finish", "source", "hash", "size", "epoch"]
     copies = (queued(light).filter("size > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))).alias("epoch"))
               .withColumn("finish", finish(F.col("epoch"))).filter(F.col("finish").isNotNull())
-              .select(*order, F.floor(F.least(F.col("finish"), F.lit(float(cap * 2))) * RANGES).alias("range")))
+              .select(*order))
     copies = cut(copies)
-    totals = copies.groupBy("range").agg(F.sum("size").alias("n"))
-    running = totals.withColumn("upto", F.sum("n").over(Window.orderBy("range")))
-    budget = targets.agg(F.sum("source_size")).first()[0] or 0
-    # One row each, from tables of one row per source and per range.
-    last = running.filter(F.col("upto") > budget).orderBy("range").select("range", (F.col("upto") - F.col("n")).alias("before")).first()
+    budget = targets.agg(F.sum("source_size")).first()[0] or 0  # one row
+    last = end_of_budget(copies, budget, cap, range_rows)
     if last is None:
         taken = F.lit(cap)
     else:
-        end = copies.filter(F.col("range") == last["range"]).withColumn(
-            "upto", F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) + last["before"])
+        end, before = last
+        end = end.withColumn("upto", F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) + before)
         stop = end.filter(F.col("upto") > budget).orderBy(*order).first()
         names = ["finish", "source", "hash", "size", "epoch"]
 
@@ -124,7 +146,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash FROM documents),
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS hash FROM documents),
 s AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
 l AS (SELECT *, CAST(3 AS DOUBLE) * source_size / weight AS level FROM w),
