@@ -43,6 +43,19 @@ def test_edges(spark):
     assert run(spark, [(0, [1.0])]) == []
 
 
+def test_repeated_ids_and_rows(spark):
+    rng = np.random.default_rng(8)
+    v = [[float(x) for x in row] for row in rng.normal(0, 0.5, (300, 4))]
+    one_id = [(50, v[i]) for i in range(120)] + [(7, x) for x in v[120:200]]
+    same = [(7, v[200])] * 40 + [(100, v[201])] * 30 + [(i, v[i]) for i in range(202, 300)]
+    rows = one_id + same
+    want = {}
+    for i, n, j, s in brute(rows):
+        want.setdefault(i, []).append((-s, j))
+    want = [(i, n + 1, j, -s) for i, best in want.items() for n, (s, j) in enumerate(sorted(best)[:5])]
+    assert run(spark, rows, block=16, queries=8) == sorted(want)
+
+
 def test_stops_before_reading_all_lists():
     rng = np.random.default_rng(5)
     vectors = rng.integers(-10, 10, (5000, 4))

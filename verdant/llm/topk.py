@@ -3,7 +3,9 @@
 Vectors become integers, floor(256 * x).  Queries (ids divisible by 50) meet all
 candidates in a grid: candidates in blocks of about ``BLOCK`` rows, queries in
 blocks of about ``QUERIES``; a task holds one block of each, whatever the table's
-size, and nothing is broadcast.  A task sorts its candidates once per dimension.
+size, and nothing is broadcast.  Rows that repeat both id and vector are counted first and
+stand at most k times, for more of them cannot show; rows are dealt by id and vector, so
+that an id which many vectors share is spread.  A task sorts its candidates once per dimension.
 For each query it reads the lists in the order that favours the query, deeper and
 deeper; what the lists have shown is scored in full; it stops when the bound at
 that depth (the inner product with the list values there) is below the k-th best
@@ -89,10 +91,11 @@ def _block(k: int):
 
 def top_k(vectors: DataFrame, is_query, k: int = K, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``integer_vectors`` that ``is_query`` selects."""
-    v = cut(vectors)
+    v = vectors.groupBy("vec_id", "v", "dims").agg(F.count(F.lit(1)).alias("n"))
+    v = cut(v.select("vec_id", "v", "dims", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("copy")))
     counts = v.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()  # one row
     rows, columns = max(1, math.ceil(counts["n"] / block)), max(1, math.ceil(counts["q"] / queries))
-    spread = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)).cast("int")
+    spread = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "vec_id", "v", "copy"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = v.filter(is_query).select("vec_id", "v", "dims", spread(1, columns).alias("c")).withColumn("r", each(rows))
     right = v.select("vec_id", "v", "dims", spread(2, rows).alias("r")).withColumn("c", each(columns))
