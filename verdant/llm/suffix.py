@@ -406,8 +406,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     equal = classes.filter("n > 1").select("gram", "context", F.lit(gram - length).alias("begin"), F.lit(length).alias("end"))
     spans = spans.unionByName(equal)
 
-    # One row per context, its overlapping spans joined, before they meet the occurrences.
-    merged = spans.groupBy("gram", "context").agg(_merge(F.sort_array(F.collect_set(F.struct("begin", "end")))).alias("spans"))
+    # One row per context, its overlapping spans joined, before they meet the occurrences; cut, so that
+    # the join with a context of very many occurrences may be split.
+    merged = cut(spans.groupBy("gram", "context").agg(
+        _merge(F.sort_array(F.collect_set(F.struct("begin", "end")))).alias("spans")))
     by_text = found.join(merged, ["gram", "context"]).select("t1", *_unpack("place"), "spans").select(*KEY, F.transform(
         "spans", lambda s: F.struct((F.col("pos") + s["begin"]).alias("begin"), (F.col("pos") + s["end"]).alias("end"))).alias("spans"))
     by_text = by_text.groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans"))
