@@ -11,7 +11,8 @@ lowest pair at once equals merging the leftmost one, because every token of the
 vocabulary encodes to itself (checked when the ranks are read).
 
 The rank map is a literal: an array of short strings of a few pairs each, indexed by
-a hash, so that a lookup does not scan it.  Distinct words are counted over all documents; the
+a hash, so that a lookup does not scan it.  Literals are bound once, at the top of an
+expression: each expression around a literal prints all of it when a plan is printed.  Distinct words are counted over all documents; the
 ``CACHED`` most frequent ones of at most ``CACHED_CHARS`` characters are folded
 once and become a second literal map, of bounded size.  Every other word is
 folded where it stands, so the result does not depend on these two numbers.
@@ -32,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, read
+from .common import cut, let, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 CACHED = 1 << 17
@@ -76,16 +77,16 @@ class LiteralMap:
             table[i] += START + k + END + v
         self.slots, self.table = slots, F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<string>")
 
-    def get(self, key: Column) -> Column:
-        """The value of the key, or null."""
+    def get(self, table: Column, key: Column) -> Column:
+        """The value of the key, or null; ``table`` is this map's, as the caller bound it."""
         want = F.concat(F.lit(START), F.replace(key, F.lit(START), F.lit(END + END)), F.lit(END))
-        return let(F.get(self.table, slot(key, self.slots)), lambda held: let(
+        return let(F.get(table, slot(key, self.slots)), lambda held: let(
             F.instr(held, want), lambda at: F.when(at > 0, F.substring_index(
                 F.substr(held, at + F.length(want)), START, 1))))
 
-    def get_short(self, key: Column, key_chars: int, value_chars: int) -> Column:
+    def get_short(self, table: Column, key: Column, key_chars: int, value_chars: int) -> Column:
         """The same for keys and values of fixed lengths, the keys free of START."""
-        return let(F.get(self.table, slot(key, self.slots)), lambda held: let(
+        return let(F.get(table, slot(key, self.slots)), lambda held: let(
             F.instr(held, F.concat(F.lit(START), key)), lambda at: F.when(
                 at > 0, F.substr(held, at + (key_chars + 2), F.lit(value_chars)))))
 
@@ -117,12 +118,15 @@ class BytePairs:
 
     def fold(self, word: Column) -> Column:
         """Token characters of one word, by ranked merges over its bytes."""
+        return let(self.merges.table, lambda merges: self._fold(word, merges))
+
+    def _fold(self, word: Column, merges: Column) -> Column:
         start = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), self.bytes_from, self.bytes_to)
 
         def step(state: Column, _) -> Column:
             def lowest(chars: Column) -> Column:  # ranks are code points, so the least string is the lowest rank
                 return F.array_min(F.transform(F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))),
-                                               lambda right, i: self.merges.get_short(F.concat(F.get(chars, i), right), 2, 3)))
+                                               lambda right, i: self.merges.get_short(merges, F.concat(F.get(chars, i), right), 2, 3)))
             return F.when(state["done"], state).otherwise(
                 let(let(F.split(state["s"], ""), lowest), lambda best: F.struct(
                     F.when(best.isNull(), state["s"]).otherwise(
@@ -137,13 +141,21 @@ class BytePairs:
         """Fold the most frequent distinct words of all documents once, for ``encode`` to look up."""
         counts = (docs.select(F.explode(self.words(F.col(text))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
                   .filter((F.length("k") <= CACHED_CHARS) & ~F.col("k").rlike(f"[{START}{END}]")).orderBy(F.desc("n"), "k").limit(cached))
-        self.cache = LiteralMap(counts.select("k", self.fold(F.col("k")).alias("v")), 1 << 17)
+        # Cut, so that the plans of the count do not print the rank map again at each of their stages.
+        self.cache = LiteralMap(cut(counts.select("k")).select("k", self.fold(F.col("k")).alias("v")), 1 << 17)
         return self
 
     def encode(self, text: Column) -> Column:
         """Token characters of a whole text; ``ids``, ``packed`` and ``decode`` read them."""
-        one = self.fold if self.cache is None else lambda w: F.coalesce(self.cache.get(w), self.fold(w))
-        return F.replace(F.array_join(F.transform(self.words(text), one), ""), F.lit(self.zero), F.lit("\0"))
+        def joined(one) -> Column:
+            return F.replace(F.array_join(F.transform(self.words(text), one), ""), F.lit(self.zero), F.lit("\0"))
+
+        def folded(merges: Column) -> Column:
+            if self.cache is None:
+                return joined(lambda w: self._fold(w, merges))
+            return let(self.cache.table, lambda cache: joined(
+                lambda w: F.coalesce(self.cache.get(cache, w), self._fold(w, merges))))
+        return let(self.merges.table, folded)
 
     @staticmethod
     def ids(tokens: Column) -> Column:
@@ -154,9 +166,10 @@ class BytePairs:
         spread = F.concat(F.array_join(chars, "\0"), F.lit("\0"))
         return F.encode(F.when(F.get(chars, F.lit(0)) == "", F.lit("")).otherwise(spread), "UTF-16LE")
 
-    def _decoded(self, chars: Column) -> Column:
-        pieces = F.transform(chars, lambda c: F.get(self.pieces, F.ascii(c)))
-        return F.encode(F.when(F.get(chars, F.lit(0)) == "", F.lit("")).otherwise(F.array_join(pieces, "")), "ISO-8859-1")
+    @staticmethod
+    def _decoded(chars: Column, pieces: Column) -> Column:
+        found = F.transform(chars, lambda c: F.get(pieces, F.ascii(c)))
+        return F.encode(F.when(F.get(chars, F.lit(0)) == "", F.lit("")).otherwise(F.array_join(found, "")), "ISO-8859-1")
 
     def packed(self, tokens: Column) -> Column:
         """The ids as little-endian unsigned 32-bit integers: UTF-16 units with a zero unit after each."""
@@ -164,12 +177,13 @@ class BytePairs:
 
     def decode(self, tokens: Column) -> Column:
         """The bytes that the ids stand for."""
-        return let(F.split(tokens, ""), self._decoded)
+        return let(self.pieces, lambda pieces: let(F.split(tokens, ""), lambda chars: self._decoded(chars, pieces)))
 
     def digests(self, tokens: Column) -> Column:
         """SHA-256 of the packed ids and of the decoded bytes, from one splitting of the tokens."""
-        return let(F.split(tokens, ""), lambda chars: F.struct(
-            F.sha2(self._packed(chars), 256).alias("ids_sha256"), F.sha2(self._decoded(chars), 256).alias("decoded_sha256")))
+        return let(self.pieces, lambda pieces: let(F.split(tokens, ""), lambda chars: F.struct(
+            F.sha2(self._packed(chars), 256).alias("ids_sha256"),
+            F.sha2(self._decoded(chars, pieces), 256).alias("decoded_sha256"))))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
