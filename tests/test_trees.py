@@ -102,3 +102,38 @@ def test_no_fit_windows_give_no_nodes(spark):
     empty = made_windows(spark, {"a": 8}).filter("false")
     assert trees.forest(empty, "crop_type", DIM, trees=2).count() == 0
     assert trees.boosted(empty, "crop_type", DIM, rounds=2).count() == 0
+
+
+def test_counts_of_joint_slots_and_of_the_smaller_child_equal_plain_counts():
+    """Histograms by three, two and one slots at a time are the same, and every row's leaf is the one a walk finds."""
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, trees.BINS, size=(300_000, 4)).astype(np.uint8)
+    target, weights = rng.integers(0, 1 << 30, size=300_000), rng.integers(0, 2, size=300_000)
+    row = np.flatnonzero(weights)
+    got = trees._counts(bins, np.zeros(len(row), dtype=np.int64), 1, row, None, target[row].astype(float), np.array([0, 2, 3]), {})
+    for i, f in enumerate((0, 2, 3)):
+        assert (got[0, i, 0] == np.bincount(bins[row, f], minlength=trees.BINS)).all()
+        assert (got[1, i, 0] == np.bincount(bins[row, f], target[row], trees.BINS)).all()
+    leaves = np.zeros(300_000, dtype=np.int64)
+    nodes = trees.grow(bins, target, weights[None], 4, 1, np.arange(4), leaves=leaves)
+    assert (leaves[row] == trees.leaf_of(bins, nodes, 4)[row]).all()
+
+
+def test_each_tree_is_walked_once_for_all_stops(spark, windows):
+    nodes = trees.boosted(windows, "crop_type", DIM, rounds=12)
+    got = {r.crop_type: r for r in trees.staged_loss(windows, nodes, "crop_type", DIM, [1, 5, 12]).collect()}
+    fit = windows.filter("is_fit").withColumn("split", F.lit("fit"))
+    for i, stop in enumerate((1, 5, 12)):
+        p = trees.predict(fit, nodes.filter(F.col("tree") < stop), "crop_type", DIM)
+        for r in p.groupBy("crop_type").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("y") - F.col("prediction")) ** 2).alias("l")).collect():
+            assert got[r.crop_type].n == r.n and abs(got[r.crop_type].loss[i] - r.l) < 1e-12
+
+
+def test_large_models_meet_blocks_by_group_of_trees(spark, windows, monkeypatch):
+    nodes = trees.forest(windows, "crop_type", DIM, trees=45)
+    def scores():
+        return {(r.crop_type, r.timestamp): r.yhat for r in trees.tree_forecast(windows, nodes, "crop_type", DIM, "random_forest").collect()}
+    one = scores()
+    monkeypatch.setattr(trees, "SCORE_NODES", 10)
+    many = scores()
+    assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-12 for k in one)
