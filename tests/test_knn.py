@@ -88,3 +88,32 @@ def test_approximate_neighbours_find_nine_in_ten(spark):
     poor = approximate_neighbours(w, "crop_type", 12, tables=1, bucket_rows=1)
     assert poor.groupBy("crop_type", "id").agg(F.count(F.lit(1)).alias("n")).filter("n <> 7").count() == 0
     assert poor.select("crop_type", "id").distinct().count() == exact.select("crop_type", "id").distinct().count()
+
+
+def test_groups_of_blocks_travel_once_a_group(spark, monkeypatch):
+    """Many groups of few blocks give the answer of one, and no pair of blocks is shipped by itself."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from verdant.operators import knn
+    rng = np.random.default_rng(5)
+    n, dim = 900, 4
+    x = rng.integers(0, 3, size=(n, dim)).astype(float)  # ties and equal points
+    pdf = pd.DataFrame({"crop_type": "a", "_pos": np.arange(n), "timestamp": pd.to_datetime(np.arange(n), unit="s"),
+                        "split": np.where(np.arange(n) < 600, "train", "test"), "x": list(x), "y": rng.random(n),
+                        "is_fit": np.arange(n) < 600, "is_val": False})
+    w = spark.createDataFrame(pdf).withColumn("_pos", F.col("_pos").cast("long"))
+    small = {"pivot_rows": 60, "fit_rows": 20, "query_rows": 10}
+    one = sorted(map(tuple, knn.knn_neighbours(w, "crop_type", dim).collect()))
+    monkeypatch.setattr(knn, "GROUP_BLOCKS", 4)
+    assert sorted(map(tuple, knn.knn_neighbours(w, "crop_type", dim, **small).collect())) == one
+
+
+def test_nearest_is_exact_far_from_the_origin():
+    """Distances far below single precision: the product in double precision decides."""
+    from verdant.operators.knn import nearest
+    rng = np.random.default_rng(4)
+    fit, query = 50 + rng.normal(0, 1e-4, size=(3000, 5)), 50 + rng.normal(0, 1e-4, size=(20, 5))
+    row, col, _ = nearest(query, fit, np.arange(3000), 7)
+    for i in range(20):
+        assert list(col[row == i]) == list(np.argsort(((fit - query[i]) ** 2).sum(1), kind="stable")[:7])
