@@ -68,3 +68,35 @@ def test_quantile_paths_agree_exactly_and_split_equal_values(spark):
     long = li.select(F.lit("d").alias("column"), F.col("l_discount").alias("value"))
     counted = cumulative_counts(long, ["column"], partitions=4)
     assert counted.count() == 11 and counted.agg(F.sum("_count")).first()[0] == li.count()  # one row per value, however many rows share it
+
+
+def test_regression_of_partitions_without_fit_windows(spark):
+    """Tasks that see no fit window give no factor, and the fit is over before its table is broadcast."""
+    from test_trees import made_windows
+    from verdant.operators import models
+    w = made_windows(spark, {"a": 40, "b": 30})
+    few, many = (models.ols_coefficients(d, "crop_type", 3, n_keys=2).orderBy("crop_type").collect()
+                 for d in (w.coalesce(1), w.repartitionByRange(60, "is_fit", "crop_type", "_pos")))
+    for a, b in zip(few, many):
+        assert abs(a.intercept - b.intercept) < 1e-9 and max(abs(x - y) for x, y in zip(a.coef, b.coef)) < 1e-9
+    plan = models.ols_forecast(w, "crop_type", 3, n_keys=2)._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan
+
+
+def test_scaling_broadcasts_the_parameters_of_few_keys(spark):
+    """Rows of a hot key stay where they are."""
+    from verdant.operators import windows
+    df = spark.range(1000).selectExpr("if(id % 10 = 0, 'b', 'a') AS k", "cast(id AS double) AS v")
+    scaled, params = windows.minmax_scale(df, ["k"], ["v"])
+    plan = scaled._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert params.count() == 2 and scaled.agg({"v": "max"}).first()[0] == 1.0
+
+
+def test_bounds_of_cleaning_are_computed_once(spark):
+    """Readers of the cleaned table do not rank its values again."""
+    from verdant.operators import clean
+    df = spark.range(500).selectExpr("cast(id AS double) AS v")
+    for out in (clean.clip_quantile(df, ["v"]), clean.fill_global_median(df, ["v"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and "Generate" not in plan

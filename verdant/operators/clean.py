@@ -102,7 +102,8 @@ def fill_group_median(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame
 def fill_global_median(df: DataFrame, cols: Sequence[str], size_hint: int | None = None,
                        single_task_values: int | None = None) -> DataFrame:
     """Replace remaining NULLs by the exact median over all keys (C6). One-row side table."""
-    med = wide_quantiles(df, cols, [0.5], size_hint=size_hint, single_task_values=single_task_values)
+    # One row, computed once: every reader of the result would rank all values again.
+    med = materialize(wide_quantiles(df, cols, [0.5], size_hint=size_hint, single_task_values=single_task_values))
     joined = df.crossJoin(F.broadcast(med))
     q = quantile_name(0.5)
     return joined.select(*[F.coalesce(F.col(c), F.col(f"{c}__{q}")).alias(c) if c in cols else F.col(c)
@@ -121,7 +122,7 @@ def clip_quantile(df: DataFrame, cols: Sequence[str], low_q: float = CLIP_LOW_Q,
                   high_q: float = CLIP_HIGH_Q, method: str = "exact", size_hint: int | None = None,
                   single_task_values: int | None = None) -> DataFrame:
     """Clip every column to its global [q_low, q_high] (C7). NULL stays NULL."""
-    bounds = clip_bounds(df, cols, low_q, high_q, method, size_hint, single_task_values)
+    bounds = materialize(clip_bounds(df, cols, low_q, high_q, method, size_hint, single_task_values))
     lo_n, hi_n = quantile_name(low_q), quantile_name(high_q)
     joined = df.crossJoin(F.broadcast(bounds))
 

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .series import join_small
 
 PRED_COLS = ["split", "model", "y", "yhat"]
@@ -133,7 +134,8 @@ def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32,
     coef = level.groupBy(key).applyInPandas(solve, f"{key} string, coef array<double>")
     intercept = F.col("ym") - F.aggregate(F.zip_with("xm", "coef", lambda a, b: a * b), F.lit(0.0),
                                           lambda acc, v: acc + v)
-    return coef.join(means, [key]).select(key, intercept.alias("intercept"), "coef")
+    # Fitted here and once: a broadcast that has to fit first runs into its time limit on large tables.
+    return materialize(coef.join(means, [key]).select(key, intercept.alias("intercept"), "coef"))
 
 
 def ols_forecast(windows: DataFrame, key: str, dim: int, n_keys: int | None = None) -> DataFrame:

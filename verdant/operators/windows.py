@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, DEFAULT_KEY_COLUMN, MIN_TRAIN_WINDOWS, SEQUENCE_LENGTH, TEST_RATIO, VALIDATION_RATIO
 from ..functions.values import finite_or_zero
+from ..session import materialize
 from .series import POS, SIZE, join_small, with_history, with_lags
 
 # Slots of a window up to which a lag column each is the cheaper plan.
@@ -54,10 +55,14 @@ def minmax_scale(df: DataFrame, keys: Sequence[str], features: Sequence[str],
                  params: DataFrame | None = None, n_keys: int | None = None) -> tuple[DataFrame, DataFrame]:
     """W3 (and W5 when ``keys`` is empty): returns (scaled, params).
 
-    ``n_keys`` (measured number of keys) lets the one-row-per-key parameter
-    table be broadcast; without it the join is left to AQE.
+    Parameters fitted here are computed once and counted, unless ``n_keys`` (measured
+    number of keys) is given; a small table is broadcast, so that the rows of a hot
+    key are not sent to one task.
     """
-    params = params if params is not None else minmax_fit(df, keys, features)
+    if params is None:
+        params = materialize(minmax_fit(df, keys, features))
+        if keys and n_keys is None:
+            n_keys = params.count()
     joined = join_small(df, params, list(keys), "left", n_keys) if keys else df.crossJoin(F.broadcast(params))
     out = [scale_expr(F.col(c), F.col(f"{c}__min"), F.col(f"{c}__max")).alias(c) if c in features
            else F.col(c) for c in df.columns]
