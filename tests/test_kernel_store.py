@@ -33,6 +33,23 @@ def test_kernel_fit_meets_its_first_order_condition_and_bounds_outliers(spark):
     assert len(p) == 50 and np.abs(p.y - p.yhat).median() < 0.5
 
 
+def test_kernel_fit_ends_in_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(kernel, "ROUNDS", 10)
+    monkeypatch.setattr("verdant.operators.trees.BLOCK", 50)
+    w = made_windows(spark, {"a": 200, "b": 40}).withColumn("y", F.when(F.col("_pos") % 9 == 3, 40.0 + F.col("_pos")).otherwise(F.col("y")))
+    for local_rows in (1000, 60):
+        m = kernel.kernel_models(w, "crop_type", 3, components=32, local_rows=local_rows)
+        assert m.count() == 2
+        assert kernel.first_order(w, m, "crop_type", 3, components=32).filter(F.abs("moment") > 1e-9).count() == 0
+
+
+def test_a_newton_step_that_raises_the_loss_is_halved():
+    one = np.ones(2)
+    state = {"coef": one, "delta": 1.0, "base": one * 0.5, "move": one * 0.5, "loss": 1.0, "done": False}
+    after = kernel.advance(state, np.concatenate(([2.0], np.zeros(6))), 4, 1.0, 1.35)
+    assert not after["done"] and (after["coef"] == 0.75).all() and (after["move"] == 0.25).all() and (after["base"] == 0.5).all()
+
+
 @needs(SF001)
 def test_store_keeps_versions_and_scores_them(spark):
     run = event_run(spark, SF001, forest_trees=5, boost_rounds=4, second_rounds=3)

@@ -5,12 +5,13 @@ come from a seed and are the same for every key.  The fit minimises
 
     sum of huber(y - z . w - b, delta) + |w|^2 / (2 C),   delta = epsilon * sigma
 
-with ``sigma`` the residual deviation of the squared-loss fit, by reweighted least squares:
-each round solves the system whose rows are scaled by sqrt(min(1, delta / |residual|)),
-through R factors as linear regression does (QR of blocks, then of R factors).
+with ``sigma`` the residual deviation of the squared-loss fit.  The loss is piecewise quadratic
+and convex, so Newton's method, halving a step that raises the loss, ends at the minimum after a
+few rounds.  A round adds up, over chunks of windows, the loss, the gradient and the products of
+the features of windows inside ``delta``; features are made anew each round and never kept.
 
 * Keys of up to ``local_rows`` fit windows: all rounds in one task a key, all keys in one job.
-* Larger keys: a round is one job; blocks give R factors, combined per (key, bucket), then
+* Larger keys: a round is one job; the sums of each block are added per (key, bucket), then
   per key, so that a hot key's windows are spread over as many tasks as it has blocks.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HUBER_EPSILON, RANDOM_SEED, SVR_C
-from ..session import materialize
+from ..session import materialize, shuffle_partitions
 from .models import _long, scored_rows
 from .series import join_small
 from .trees import packed_fit
@@ -35,10 +36,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no p
 COMPONENTS = 256
 LOCAL_ROWS = 1 << 17
 SCORE_BLOCK = 1 << 12
+CHUNK = 1 << 11  # windows whose features are held at once
 ROUNDS = 100
 TOLERANCE = 1e-10
+NEAR = 1e-6  # steps below it that no longer shrink are rounding
+ROUNDING = 1e-12
 FAN_IN = 32
 MODEL = "mean array<double>, sd array<double>, coef array<double>, delta double"
+STATE = "base array<double>, move array<double>, loss double, done boolean"
 
 
 def fourier(dim: int, components: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,30 +59,62 @@ def features(x: np.ndarray, mean, sd, waves) -> np.ndarray:
     return np.column_stack((z, np.ones(len(z))))
 
 
-def r_factor(a: np.ndarray) -> np.ndarray:
-    return np.linalg.qr(a, mode="r") if len(a) else np.zeros((0, a.shape[1]))
-
-
-def weighted(z: np.ndarray, y: np.ndarray, coef: np.ndarray | None, delta: float) -> np.ndarray:
-    """Rows [z | y], scaled by the root of their weight."""
-    a = np.column_stack((z, y))
-    if coef is None:
-        return a
-    r = np.abs(y - z @ coef)
-    return a * np.sqrt(np.minimum(1.0, delta / np.maximum(r, 1e-300)))[:, None]
-
-
-def solve(r: np.ndarray, penalty: float) -> np.ndarray:
-    """Ridge solution from an R factor of [z | y]; the constant is not penalised."""
-    k = r.shape[1] - 1
-    ridge = np.sqrt(penalty) * np.eye(k)
+def round_sums(x: np.ndarray, y: np.ndarray, mean, sd, waves, coef, delta) -> np.ndarray:
+    """What a round needs of some windows, one after the other; sums of parts add up.
+
+    The first round: z'y and z'z.  The second, with ``coef``: the squared residuals.  The others, with
+    ``delta``: the Huber loss, its pull z'clip(residual) and z'z of the windows inside ``delta``.
+    """
+    k = len(waves[1]) + 1
+    out = np.zeros(k + k * k if coef is None else 1 if delta is None else 1 + k + k * k)
+    for at in range(0, len(y), CHUNK):
+        z, t = features(x[at:at + CHUNK], mean, sd, waves), y[at:at + CHUNK]
+        if coef is None:
+            out[:k] += z.T @ t
+            out[k:] += (z.T @ z).ravel()
+            continue
+        r = t - z @ coef
+        if delta is None:
+            out[0] += r @ r
+            continue
+        held = np.clip(r, -delta, delta)
+        near = z[held == r]
+        out[0] += held @ (r - held / 2)
+        out[1:k + 1] += held @ z
+        out[k + 1:] += (near.T @ near).ravel()
+    return out
+
+
+def advance(state: dict, sums: np.ndarray, n: int, penalty: float, epsilon: float) -> dict:
+    """The state of a key after a round: ``coef`` is where the next one looks, or the fit when ``done``.
+
+    ``base`` is the best point so far, ``loss`` the loss there and ``move`` the step from it to ``coef``.
+    The constant is not penalised.
+    """
+    if state["coef"] is None:
+        k = int(np.sqrt(len(sums)))
+        return state | {"coef": _solve(sums[k:].reshape(k, k), sums[:k], penalty)}
+    if state["delta"] is None:
+        return state | {"delta": epsilon * max(float(np.sqrt(sums[0] / max(n, 1))), 1e-12)}
+    coef, base, move = state["coef"], state["base"], state["move"]
+    held = penalty * np.append(coef[:-1], 0.0)
+    loss = float(sums[0] + held @ coef / 2)
+    if base is not None and not loss <= state["loss"] * (1 + ROUNDING):
+        move = move / 2
+        if np.abs(move).max() < TOLERANCE:
+            return state | {"coef": base, "done": True}
+        return state | {"coef": base + move, "move": move}
+    k = len(coef)
+    step = _solve(sums[k + 1:].reshape(k, k), sums[1:k + 1] - held, penalty)
+    size = np.abs(step).max()
+    done = size < TOLERANCE or (move is not None and size < NEAR and size > np.abs(move).max() / 2)
+    return state | {"coef": coef + step, "base": coef, "move": step, "loss": loss, "done": bool(done)}
+
+
+def _solve(gram: np.ndarray, right: np.ndarray, penalty: float) -> np.ndarray:
+    ridge = penalty * np.eye(len(gram))
     ridge[-1, -1] = 0.0
-    return np.linalg.lstsq(np.vstack((r[:, :k], ridge)), np.concatenate((r[:, k], np.zeros(k))), rcond=None)[0]
-
-
-def deviation(r: np.ndarray, coef: np.ndarray, n: int) -> float:
-    """Residual deviation of ``coef`` on the rows behind an unweighted R factor."""
-    return float(np.linalg.norm(r[:, :-1] @ coef - r[:, -1]) / np.sqrt(max(n, 1)))
+    return np.linalg.lstsq(gram + ridge, right, rcond=None)[0]
 
 
 def _standard(windows: DataFrame, key: str, dim: int) -> DataFrame:
@@ -96,73 +133,71 @@ def kernel_models(windows: DataFrame, key: str, dim: int, components: int = COMP
     standard = materialize(_standard(windows, key, dim))
     blocks = packed_fit(windows, key)
     penalty, schema = 1.0 / c, f"{key} string, {MODEL}"
+    large = standard.filter(F.col("n") > local_rows)
+    n_large = large.count()
+    if n_large:
+        # a stated number: a block is a row, but stands for many windows
+        blocks = materialize(blocks.repartition(shuffle_partitions(windows.sparkSession), key, "blk"))
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("blk")
-        x = np.concatenate([np.asarray(v).reshape(-1, dim) for v in pdf["x"]])
-        y = np.concatenate([np.asarray(v) for v in pdf["y"]])
-        mean, sd = pdf["mean"].iloc[0], pdf["sd"].iloc[0]
-        z = features(x, mean, sd, waves)
-        r = r_factor(weighted(z, y, None, 0.0))
-        coef = solve(r, penalty)
-        delta = epsilon * max(deviation(r, coef, len(y)), 1e-12)
+        parts = [(np.asarray(x).reshape(-1, dim), np.asarray(y)) for x, y in zip(pdf["x"], pdf["y"])]
+        mean, sd, n = pdf["mean"].iloc[0], pdf["sd"].iloc[0], int(pdf["n"].iloc[0])
+        state = {"coef": None, "delta": None, "base": None, "move": None, "loss": None, "done": False}
         for _ in range(ROUNDS):
-            last, coef = coef, solve(r_factor(weighted(z, y, coef, delta)), penalty)
-            if np.abs(coef - last).max() < TOLERANCE:
+            sums = sum(round_sums(x, y, mean, sd, waves, state["coef"], state["delta"]) for x, y in parts)
+            state = advance(state, sums, n, penalty, epsilon)
+            if state["done"]:
                 break
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "mean": [mean], "sd": [sd], "coef": [coef], "delta": [delta]})
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "mean": [mean], "sd": [sd], "coef": [state["coef"]], "delta": [state["delta"]]})
 
     small = blocks.join(standard.filter(F.col("n") <= local_rows), key)
     models = small.groupBy(key).applyInPandas(local, schema)
-    large = standard.filter(F.col("n") > local_rows)
-    n_large = large.count()
     if n_large:
-        models = models.unionByName(_large(join_small(blocks, large, key, "inner", n_large), large, n_large, key, dim, waves,
-                                           penalty, epsilon, schema))
+        models = models.unionByName(_large(blocks, large, n_large, key, dim, waves, penalty, epsilon))
     return materialize(models)
 
 
-def _large(blocks: DataFrame, standard: DataFrame, n_large: int, key: str, dim: int, waves, penalty: float, epsilon: float,
-           schema: str) -> DataFrame:
+def _large(blocks: DataFrame, standard: DataFrame, n_large: int, key: str, dim: int, waves, penalty: float,
+           epsilon: float) -> DataFrame:
     """Rounds of jobs over the blocks of large keys."""
-    blocks, width = materialize(blocks), len(waves[1]) + 2
-    shape = f"{key} string, bucket int, n long, mean array<double>, sd array<double>, delta double, r binary"
+    shape = f"{key} string, bucket int, sums binary"
+    schema = f"{key} string, n long, {MODEL}, {STATE}"
 
     def reduce_blocks(batches):
         for pdf in batches:
             for value, row in zip(pdf[key], pdf.drop(columns=key).itertuples(index=False)):
-                z = features(np.asarray(row.x).reshape(-1, dim), row.mean, row.sd, waves)
-                known = row.coef is not None
-                a = weighted(z, np.asarray(row.y), np.asarray(row.coef) if known else None, row.delta if known else 0.0)
-                yield pd.DataFrame({key: [value], "bucket": [int(row.blk) % FAN_IN], "n": [row.n], "mean": [row.mean],
-                                    "sd": [row.sd], "delta": [row.delta], "r": [r_factor(a).tobytes()]})
+                known = None if row.coef is None else np.asarray(row.coef)
+                sums = round_sums(np.asarray(row.x).reshape(-1, dim), np.asarray(row.y), row.mean, row.sd, waves, known,
+                                  None if pd.isna(row.delta) else row.delta)
+                yield pd.DataFrame({key: [value], "bucket": [int(row.blk) % FAN_IN], "sums": [sums.tobytes()]})
 
-    def joined(pdf: pd.DataFrame) -> np.ndarray:
-        return r_factor(np.concatenate([np.frombuffer(b).reshape(-1, width) for b in pdf["r"]]))
+    def added(values) -> np.ndarray:
+        return sum(np.frombuffer(v) for v in values)
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[:1].copy()
-        first["r"] = [joined(pdf).tobytes()]
-        return first
+        return pdf.iloc[:1].assign(sums=[added(pdf["sums"]).tobytes()])
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, row = joined(pdf), pdf.iloc[0]
-        coef, delta = solve(r, penalty), row["delta"]
-        if pd.isna(delta):
-            delta = epsilon * max(deviation(r, coef, int(row["n"])), 1e-12)
-        return pd.DataFrame({key: [row[key]], "mean": [row["mean"]], "sd": [row["sd"]], "coef": [coef], "delta": [delta]})
-
-    now = standard.select(key, F.lit(None).cast("array<double>").alias("coef"), F.lit(None).cast("double").alias("delta"))
+        row = pdf.iloc[0]
+        state = {c: None if row[c] is None else np.asarray(row[c]) for c in ("coef", "base", "move")}
+        state |= {c: None if pd.isna(row[c]) else float(row[c]) for c in ("delta", "loss")} | {"done": False}
+        state = advance(state, added(pdf["sums"]), int(row["n"]), penalty, epsilon)
+        return pd.DataFrame({c: [row[c]] for c in (key, "n", "mean", "sd")} | {c: [v] for c, v in state.items()})
+
+    fresh = {"coef": "array<double>", "delta": "double", "base": "array<double>", "move": "array<double>", "loss": "double",
+             "done": "boolean"}
+    now = standard.select(key, "n", "mean", "sd", *[F.lit(False if c == "done" else None).cast(t).alias(c) for c, t in fresh.items()])
     for _ in range(ROUNDS):
-        with_coef = join_small(blocks, now.select(key, "coef", "delta"), key, "inner", n_large)
-        factors = with_coef.select(key, "blk", "n", "mean", "sd", "x", "y", "coef", "delta").mapInPandas(reduce_blocks, shape)
-        fitted = factors.groupBy(key, "bucket").applyInPandas(combine, shape).groupBy(key).applyInPandas(finish, schema)
-        last, now = now, materialize(fitted)
-        change = F.array_max(F.zip_with(now["coef"], last["coef"], lambda a, b: F.abs(a - b)))
-        moved = now.join(last, now[key] == last[key]).agg(F.max(F.coalesce(change, F.lit(1.0)))).first()[0]
-        if moved is None or moved < TOLERANCE:
+        going = now.filter(~F.col("done"))
+        looked = join_small(blocks, going.select(key, "mean", "sd", "coef", "delta"), key, "inner", n_large)
+        sums = looked.select(key, "blk", "x", "y", "mean", "sd", "coef", "delta").mapInPandas(reduce_blocks, shape)
+        buckets = sums.groupBy(key, "bucket").applyInPandas(combine, shape)
+        moved = buckets.drop("bucket").join(going, key).groupBy(key).applyInPandas(finish, schema)
+        now = materialize(now.filter("done").unionByName(moved))
+        if now.filter(~F.col("done")).isEmpty():
             break
-    return now
+    return now.select(key, "mean", "sd", "coef", "delta")
 
 
 def predict(rows: DataFrame, models: DataFrame, key: str, dim: int, components: int = COMPONENTS, seed: int = RANDOM_SEED,
