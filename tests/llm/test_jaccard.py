@@ -4,7 +4,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from verdant.llm import jaccard
+from verdant.llm import components, jaccard
+from verdant.llm.common import cut
 from verdant.llm.components import connected_components
 
 from .helpers import documents, edge_documents, no_documents, prose, with_clashes, word_list
@@ -84,6 +85,20 @@ def test_sparse_and_dense_sets_intersect_exactly():
     assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(12) for j in range(12) if i != j)
 
 
+def test_components_of_edges_that_fit_a_task_need_no_rounds(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(components, "cut", lambda df: cuts.append(1) or cut(df))
+    edges = spark.range(4000).selectExpr("id as a", "id + 1 as b").filter("a % 1000 <> 999")
+    for task_edges in (1 << 17, 700):
+        monkeypatch.setattr(components, "TASK_EDGES", task_edges)
+        cuts.clear()
+        got = components.connected_components(edges)
+        assert (len(cuts) == 2) == (task_edges > 4000)
+        assert got.count() == 4000 and got.filter("root <> node - node % 1000").count() == 0
+    keyed = edges.selectExpr("unhex(lpad(hex(b), 4, '0')) as a", "unhex(lpad(hex(a), 4, '0')) as b")
+    assert components.connected_components(keyed).filter("hex(root) = '03E8'").count() == 1000
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (None, 3)]
