@@ -1,9 +1,12 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from verdant.llm import suffix
 
@@ -82,3 +85,22 @@ def test_mergesort_orders_suffixes_and_survives_collisions():
     s.prefix[:] = 0  # every hash collides
     order, same = s.neighbours()
     assert [(group[i], strings[i]) for i in order] == [(group[i], strings[i]) for i in want] and list(same) == list(agree)
+
+
+def test_prefix_hashes_are_made_in_place():
+    strings = [bytes([i % 251]) * 400 for i in range(2000)]
+    tracemalloc.start()
+    s = suffix.Suffixes(strings, np.zeros(2000, dtype=np.int64), 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * (s.prefix.nbytes + s.bytes.nbytes)
+    assert (s.prefix[:, 1:] == np.cumsum((s.bytes[:, :-1] + np.uint64(1)) * suffix.powers(suffix._MULTIPLIER, 400), axis=1)).all()
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"size": [int(b["text"].str.len().sum())]})
+    run(documents(spark, ["a b"]))
+    long = spark.range(40, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    assert long.mapInPandas(sizes, "size long").agg(F.max("size")).first()[0] <= 2 * suffix.ARROW_BYTES
