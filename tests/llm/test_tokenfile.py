@@ -100,3 +100,27 @@ def test_other_vocabularies_are_given_whole_texts():
     assert not encoder.by_units
     want = Tokenizer.from_str(source).encode("Some Words here", add_special_tokens=False).ids
     assert np.frombuffer(encoder.encode(["Some Words here"])[0], dtype="<u2").tolist() == want + [1]
+
+
+def test_new_units_go_to_the_library_joined_and_are_told_apart(monkeypatch):
+    rng = random.Random(4)
+    alphabet = ["a", "ß", "é", "漢", "１", "–", " ", " ", "  ", "\n", "\x85", "\xa0", "　", " ", "᠎", "'s", "'", "7", "&&&", "_", " the", "ing"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [" ".join(f"w{rng.randrange(10**6)}" for _ in range(50)) + "***" for _ in range(40)]
+    monkeypatch.setattr(tokenfile, "JOINED_BYTES", 1000)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = tokenfile.Encoder(f.read(), 0)
+    library, given = encoder.made, []
+
+    class Counted:
+        def encode_batch_fast(self, batch, **kw):
+            given.extend(batch)
+            return library.encode_batch_fast(batch, **kw)
+    encoder.made = Counted()
+    assert encoder.encode(texts) == [e.astype("<u2").tobytes() for e in encoded(texts)]
+    given.clear()
+    new = [prose(rng, 50) for _ in range(40)]
+    assert encoder.encode(new) == [e.astype("<u2").tobytes() for e in encoded(new)]
+    assert len(given) < 200  # almost 2,000 new units
+    given.clear()
+    assert encoder.encode(new) == [e.astype("<u2").tobytes() for e in encoded(new)] and not given

@@ -16,8 +16,10 @@ Execution: documents are range-partitioned by id (ties by content, equal rows by
 that an id on a third of all rows is spread), sorted within tasks and streamed: a task holds
 one encoding batch, never a shard.  Files are written under a name of the attempt and moved
 into place, so a repeated task replaces its shard by the same bytes.  A worker encodes a distinct
-unit (a word with the white space before it) once as long as it remembers it (where the vocabulary's splitting
-allows that; two bounded generations).  Readers take blocks of documents and map the files (other file systems: ranged reads).
+unit (a word with the white space before it, or a run of signs) once as long as it remembers it (where the
+vocabulary's splitting allows that; a bounded number).  New units go to the library joined to longer texts, and
+the ids are told apart by the bytes that each token stands for; texts are cut, units looked up and
+ids put together as Arrow columns.  Readers take blocks of documents and map the files (other file systems: ranged reads).
 
 ``docs`` should be a stored table: the salt follows the order of its rows, which a repeated
 task must find again.
@@ -31,25 +33,26 @@ from __future__ import annotations
 
 import json
 import os
-import re
-from array import array
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
 from ..sources.sinks import shared_path
-from .common import read
+from .common import ends_space, parts, read, strings, unit_starts
 
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 23
 BLOCK_DOCS = 1 << 13
 SALTS = 1 << 10
-KNOWN_UNITS = 1 << 19  # units of a generation; a worker remembers two
-UNIT_CHARS = 48  # longer ones are not worth remembering
+KNOWN_UNITS = 1 << 21  # units that a worker remembers, about 25 bytes each
+UNIT_CHARS = 48  # bytes; longer ones are not worth remembering
+JOINED_BYTES = 1 << 18  # of new units that the library is given as one text
 SHARDS = "shard int, n_docs long, n_nulls long, n_tokens long"
 
 
@@ -63,10 +66,11 @@ def file_system(folder: str):
 
 
 def splits_at_spaces(tokenizer: str) -> bool:
-    """Whether the ids of a text are those of its units, cut before white space that follows something else.
+    """Whether the ids of a text are those of its units, cut where ``unit_starts`` says.
 
     True of plain byte-level splitting without normalisation: no piece goes on from other
-    characters into white space, and nothing but white space looks at what follows it.
+    characters into white space or from one class of characters into another (but after an
+    apostrophe or a space), and nothing but white space looks at what follows it.
     """
     made = json.loads(tokenizer)
     pre = made.get("pre_tokenizer") or {}
@@ -85,30 +89,85 @@ class Encoder:
         self.made.no_truncation()
         self.made.no_padding()
         self.made.encode_special_tokens = True
-        self.kind = np.dtype("<u2" if max(self.made.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
-        self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.end = array(self.code, [end_id]).tobytes()
-        self.by_units, self.known, self.older = splits_at_spaces(tokenizer), {}, {}
-        self.cut = re.compile(r"\s*\S+|\s+").findall
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
+        size = max(self.made.get_vocab_size(), end_id + 1)
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.end_id = end_id
+        self.by_units = splits_at_spaces(tokenizer)
+        self.known = self.ids = pa.array([], pa.large_binary())
+        # A byte-level token has one character for each byte of text that it stands for.
+        self.bytes_of = np.zeros(max(self.made.get_vocab().values(), default=0) + 1, dtype=np.int64)
+        for token, i in self.made.get_vocab().items():
+            self.bytes_of[i] = len(token)
+
+    def _library(self, texts: list[str]) -> pa.Array:
+        """The ids of each text as bytes."""
+        ids = [np.array(e.ids, dtype=self.kind) for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = np.cumsum([0, *map(len, ids)]) * self.kind.itemsize
+        return strings(ends, np.concatenate(ids) if ids else b"")
+
+    def _joined(self, units: pa.Array) -> list[pa.Array]:
+        """The same for units that may stand after one another in one text, told apart by the bytes of their tokens."""
+        at, data = parts(units)
+        out, begin = [], 0
+        while begin < len(units):
+            end = max(begin + 1, int(np.searchsorted(at, at[begin] + JOINED_BYTES)) - 1)
+            text = data[at[begin]:at[end]].tobytes().decode()
+            ids = np.array(self.made.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+            covered = np.cumsum(self.bytes_of[ids])
+            ends = at[begin + 1:end + 1] - at[begin]
+            last = np.searchsorted(covered, ends)
+            if len(covered) and last[-1] == len(covered) - 1 and (covered[last] == ends).all():
+                out.append(strings(np.concatenate(([0], last + 1)) * self.kind.itemsize, ids))
+            else:  # the vocabulary drops or changes something: each unit for itself
+                out.append(self._library(units.slice(begin, end - begin).cast(pa.large_string()).to_pylist()))
+            begin = end
+        return out
+
+    def _new(self, units: pa.Array) -> pa.Array:
+        """The ids of units that are not remembered."""
+        at, data = parts(units)
+        free = (data[at[:-1]] == 32) & ~ends_space(data)[at[1:] - 1]  # from a space to something else
+        order = np.concatenate((np.flatnonzero(free), np.flatnonzero(~free)))
+        made = self._joined(units.filter(pa.array(free)))
+        made.append(self._library(units.filter(pa.array(~free)).cast(pa.large_string()).to_pylist()))
+        back = np.empty(len(order), dtype=np.int64)
+        back[order] = np.arange(len(order))
+        return pa.concat_arrays(made).take(pa.array(back))
+
+    def _units(self, units: pa.Array) -> pa.Array:
+        """The ids of distinct units."""
+        found = pc.index_in(units, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = found < 0
+        if new.any():
+            fresh = units.filter(pa.array(new))
+            known, ids = pa.concat_arrays([self.known, fresh]), pa.concat_arrays([self.ids, self._new(fresh)])
+            found[new] = len(self.known) + np.arange(len(fresh))
+            made = ids.take(pa.array(found))
+            if len(known) > KNOWN_UNITS:  # goes on with the units of this batch
+                known, ids = units, made
+            short = pc.less_equal(pc.binary_length(known), UNIT_CHARS)
+            self.known, self.ids = known.filter(short), ids.filter(short)
+            return made
+        return self.ids.take(pa.array(found))
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, an end id after each, and how many each text has."""
+        texts = texts.cast(pa.large_string())
+        if self.by_units:
+            at, data = parts(texts)
+            starts = unit_starts(data, at)
+            units = strings(starts, data).dictionary_encode()
+            ends, ids = parts(self._units(units.dictionary).take(units.indices))
+            ends = ends[np.searchsorted(starts, at)]
+        else:
+            ends, ids = parts(self._library(texts.to_pylist()))
+        ends //= self.kind.itemsize
+        return np.insert(ids.view(self.kind), ends[1:], self.end_id), np.diff(ends) + 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id."""
-        if not self.by_units:
-            return [ids + self.end for ids in self._library(texts)]
-        if len(self.known) > KNOWN_UNITS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        cut = [self.cut(t) for t in texts]
-        made = [list(map(known.get, c)) for c in cut]
-        missing = {u for c, m in zip(cut, made) if None in m for u, ids in zip(c, m) if ids is None}
-        new = [u for u in missing if u not in older]
-        fresh = {u: older[u] for u in missing if u in older} | dict(zip(new, self._library(new)))
-        known.update((u, ids) for u, ids in fresh.items() if len(u) <= UNIT_CHARS)
-        return [b"".join(m if None not in m else [fresh[u] if ids is None else ids for u, ids in zip(c, m)]) + self.end
-                for c, m in zip(cut, made)]
+        ids, counts = self.flat(pa.array(texts, pa.large_string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
 
 
 _encoders: dict = {}  # a Python worker serves many tasks: its units serve them all
@@ -124,43 +183,47 @@ def encoder_of(tokenizer: str, end_id: int) -> Encoder:
 
 def _writer(folder: str, tokenizer, end_id: int, batch_chars: int):
     """Encode and write the documents of one partition as one shard; yields its sizes."""
-    def chunks(batches: Iterator[pd.DataFrame]):
-        ids, texts, size = [], [], 0
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids.append(doc_id)
-                texts.append(text)
-                size += len(text)
+            ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64))
+            begin = 0
+            while begin < len(ends):
+                done = int(ends[begin - 1]) if begin else 0
+                end = min(len(ends), int(np.searchsorted(ends, done + batch_chars - size)) + 1)
+                held.append(batch.slice(begin, end - begin))
+                size += int(ends[end - 1]) - done
+                begin = end
                 if size >= batch_chars:
-                    yield ids, texts
-                    ids, texts, size = [], [], 0
-        if ids:
-            yield ids, texts
+                    yield pa.Table.from_batches(held)
+                    held, size = [], 0
+        if held:
+            yield pa.Table.from_batches(held)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         store, path = file_system(folder)
         task = TaskContext.get()
         shard, files, encoder = task.partitionId(), {}, None
         n_docs = n_nulls = n_tokens = 0
-        for ids, texts in chunks(batches):
+        for rows in chunks(batches):
             if not files:
                 encoder = encoder_of(tokenizer.value, end_id)
                 store.create_dir(path, recursive=True)
                 files = {k: store.open_output_stream(f"{path}/{shard}.{task.taskAttemptId()}.{k}.part") for k in ("ids", "off", "doc")}
                 files["off"].write(np.zeros(1, dtype="<u8").tobytes())
-            made = encoder.encode(texts)
-            files["ids"].write(b"".join(made))
-            ends = np.cumsum([len(m) // encoder.kind.itemsize for m in made]) + n_tokens
+            ids, counts = encoder.flat(pa.concat_arrays([c.cast(pa.large_string()) for c in rows["text"].chunks]))
+            files["ids"].write(ids.tobytes())
+            ends = np.cumsum(counts) + n_tokens
             files["off"].write(ends.astype("<u8").tobytes())
-            missing = pd.isna(pd.Series(ids, dtype=object)).to_numpy()
-            files["doc"].write(np.array([0 if gone else int(d) for d, gone in zip(ids, missing)], dtype="<i8").tobytes())
-            n_docs, n_nulls, n_tokens = n_docs + len(ids), n_nulls + int(missing.sum()), int(ends[-1])
+            files["doc"].write(rows["doc_id"].fill_null(0).to_numpy().astype("<i8").tobytes())
+            n_docs, n_nulls, n_tokens = n_docs + len(rows), n_nulls + rows["doc_id"].null_count, int(ends[-1])
         for name, f in files.items():
             f.close()
             store.move(f"{path}/{shard}.{task.taskAttemptId()}.{name}.part", f"{path}/{shard}.{name}")
         if files:
-            yield pd.DataFrame([(shard, n_docs, n_nulls, n_tokens)], columns=["shard", "n_docs", "n_nulls", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *(pa.array([n], pa.int64()) for n in (n_docs, n_nulls, n_tokens))],
+                                             names=["shard", "n_docs", "n_nulls", "n_tokens"])
     return run
 
 
@@ -178,7 +241,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     rows = rows.select("doc_id", "text", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), salt.alias("salt"))
     order = ["doc_id", "h1", "h2", "salt"]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    sizes = ranged.mapInPandas(_writer(folder, tokenizer, end_id, batch_chars), SHARDS)
+    sizes = ranged.mapInArrow(_writer(folder, tokenizer, end_id, batch_chars), SHARDS)
     sizes.write.mode("overwrite").parquet(f"{folder}/sizes")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     based = spark.read.schema(SHARDS).parquet(f"{folder}/sizes").withColumn(
