@@ -45,10 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit), their number, and digests of ids and decoded bytes."""
-    pairs = bpe.BytePairs(spark).learn(docs)
-    tokens = docs.select("doc_id", pairs.encode(F.col("text")).alias("tokens"))
-    return tokens.select("doc_id", F.length("tokens").cast("long").alias("n_tokens"), pairs.packed(F.col("tokens")).alias("ids"),
-                         pairs.digests(F.col("tokens")).alias("d")).select("doc_id", "n_tokens", "ids", "d.*")
+    return bpe.with_digests(bpe.BytePairs(spark).encode_rows(docs))
 
 
 STAGES = [

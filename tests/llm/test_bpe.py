@@ -52,3 +52,20 @@ def test_query_digests_on_edges(spark, reference):
                      hashlib.sha256((r.text or "").encode()).hexdigest()))
     assert got == sorted(want, key=str)
     assert bpe.encode_documents(no_documents(spark)).count() == 0
+
+
+@pytest.mark.parametrize("known", [0, 3, 1 << 20])
+def test_blocks_fold_distinct_units_only(spark, reference, known):
+    words = [" " + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(0, 40_000, 97)]
+    texts = HARD + ["".join(words[i::7]) * 3 + "\x85 x　  y 's!'s" for i in range(7)] * 2 + ["a\x1c b\x1f  c᠎ d", "\n", " "]
+    docs = documents(spark, texts).coalesce(1)
+    pairs = bpe.BytePairs(spark)
+    given = []
+    inner = pairs._encode_each
+    pairs._encode_each = lambda units: given.append(units) or inner(units)
+    got = {r.doc_id: (bytes(r.ids), bytes(r.decoded)) for r in pairs.encode_rows(docs, known=known).collect()}
+    assert len(given) == 2  # the folds see arrays of units, for the known ones and for the others
+    assert got == {i: (np.array(reference.encode_ordinary(t or ""), dtype="<u4").tobytes(), (t or "").encode()) for i, t in enumerate(texts)}
+    counts = docs.selectExpr("coalesce(text, '') AS text").mapInArrow(bpe._count_units(True), "unit string, n long").collect()
+    assert sum(len(r.unit) * r.n for r in counts) == sum(len(t or "") for t in texts) and len({r.unit for r in counts}) == len(counts)
+    assert pairs._often(docs.selectExpr("coalesce(text, '') AS text"), known).num_rows <= known

@@ -17,6 +17,11 @@ expression: each expression around a literal prints all of it when a plan is pri
 once and become a second literal map, of bounded size.  Every other word is
 folded where it stands, so the result does not depend on these two numbers.
 
+Tables (``encode_rows``) fold no text twice in a block of documents: texts are cut
+where a word surely ends (``unit_starts``), the distinct units of a block are encoded by
+the same folds, and their ids are put together and decoded as Arrow columns.  Units that
+stand often in the whole table, ``KNOWN`` at most, are folded once for all blocks and broadcast.
+
 Decoding looks up the bytes of each id and concatenates them.
 
 Defined cases: null text is empty and has no tokens; very long words are folded
@@ -28,17 +33,25 @@ from __future__ import annotations
 
 import base64
 import json
+from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, let, read
+from .common import cut, let, parts, read, strings, unit_starts
 
 RANKS = "byte_bpe_50k.tiktoken"
 CACHED = 1 << 17
 CACHED_CHARS = 48
 PLAN_CHARS = 1 << 16
+KNOWN = 1 << 20  # units that all tasks know, about 35 bytes each
+BLOCK_BYTES = 8 << 20  # of texts that are cut together
+JOINED = 256  # documents of a block that are put together at once
+MANY = 1 << 16  # occurrences of a unit; more count as equally many
 START, END = "\ue000", "\ue001"
 
 
@@ -91,6 +104,70 @@ class LiteralMap:
                 at > 0, F.substr(held, at + (key_chars + 2), F.lit(value_chars)))))
 
 
+def _cut(texts: pa.Array, by_units: bool) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """How many units each text has, and all units (whole texts, if the splitting pattern is another one)."""
+    at, data = parts(texts.cast(pa.large_string()).fill_null(""))
+    starts = unit_starts(data, at) if by_units else np.unique(at)
+    return np.diff(np.searchsorted(starts, at)).astype("<i4"), strings(starts, data).dictionary_encode()
+
+
+def _count_units(by_units: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = _cut(batch["text"], by_units)[1]
+            names = units.dictionary.cast(pa.large_string()).cast(pa.string())
+            counts = np.bincount(units.indices.to_numpy(), minlength=len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([names, pa.array(counts)], names=["unit", "n"])
+    return run
+
+
+def _number_units(by_units: bool, known):
+    """A row a block: ids, numbers of units, units as places among the known or (from -1 down) the new ones, new units."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            counts, units = _cut(batch["text"], by_units)
+            place = pc.index_in(units.dictionary, value_set=known.value).fill_null(-1).to_numpy().astype("<i4")
+            new = place < 0
+            place[new] = -1 - np.arange(new.sum())
+            fresh = units.dictionary.filter(pa.array(new)).cast(pa.large_string()).cast(pa.string())
+            ids = batch["doc_id"]
+            yield pa.RecordBatch.from_arrays([
+                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                pa.array([counts.tobytes()], pa.binary()), pa.array([place[units.indices.to_numpy()].tobytes()], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), fresh)], names=["doc_id", "counts", "places", "units"])
+    return run
+
+
+def _ids_of(tokens: pa.Array) -> pa.Array:
+    """Ids as little-endian unsigned 32-bit integers from strings of one character an id."""
+    at, data = parts(tokens.cast(pa.large_string()))
+    lengths = pc.utf8_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+    return strings(4 * np.concatenate(([0], np.cumsum(lengths))), data.tobytes().decode().encode("utf-32-le"))
+
+
+def _join_units(known, pieces):
+    """Ids and decoded bytes of each document of a block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                doc_id, fresh = (batch[c].slice(i, 1).flatten() for c in ("doc_id", "tokens"))
+                all_units = pa.concat_arrays([known.value, _ids_of(fresh)])
+                place = np.frombuffer(batch["places"][i].as_py(), dtype="<i4")
+                place = np.where(place < 0, len(known.value) - 1 - place, place)
+                first = np.concatenate(([0], np.cumsum(np.frombuffer(batch["counts"][i].as_py(), dtype="<i4"))))
+                for begin in range(0, len(doc_id), JOINED):
+                    at = first[begin:begin + JOINED + 1]
+                    ends, ids = parts(all_units.take(pa.array(place[at[0]:at[-1]])))
+                    ends = ends[at - at[0]]
+                    spelt, text = parts(pieces.value.take(pa.array(ids.view("<u4"))))
+                    yield pa.RecordBatch.from_arrays([
+                        doc_id.slice(begin, JOINED), strings(ends, ids).cast(pa.binary()),
+                        strings(spelt[ends // 4], text).cast(pa.binary())], names=["doc_id", "ids", "decoded"])
+    return run
+
+
 class BytePairs:
     """Encoder and decoder for one rank file."""
 
@@ -98,7 +175,7 @@ class BytePairs:
         ranks = load_ranks(path or public_tokenizers.path(RANKS))
         if sorted(ranks.values()) != list(range(len(ranks))) or len(ranks) >= 0xD800:
             raise ValueError("ranks must be 0 .. n-1, fewer than 55296")
-        self.spark, self.pattern = spark, "(?U)" + pattern
+        self.spark, self.pattern, self.by_units = spark, "(?U)" + pattern, pattern == public_tokenizers.PATTERN
         # Plans print their literals, and the driver keeps what plans print: keep that short.
         spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
         self.zero = chr(len(ranks))
@@ -109,6 +186,7 @@ class BytePairs:
         # the value is the merged token and the pair again, so that the least value tells all of a merge
         self.merges = LiteralMap(spark.createDataFrame([(p, chr(r) + p) for p, r in pairs], "k string, v string"), 1 << 16)
         by_id = sorted(ranks, key=ranks.get)
+        self.spelt = pa.array(by_id, pa.large_binary())
         self.pieces = F.from_json(F.lit(json.dumps([t.decode("latin-1") for t in by_id])), "array<string>")
         self.cache: LiteralMap | None = None
 
@@ -157,6 +235,37 @@ class BytePairs:
                 lambda w: F.coalesce(self.cache.get(cache, w), self._fold(w, merges))))
         return let(self.merges.table, folded)
 
+    def _encode_each(self, units: Column) -> Column:
+        """Token characters of each of an array of texts, every word folded."""
+        return let(self.merges.table, lambda merges: F.transform(units, lambda u: F.replace(F.array_join(F.transform(
+            self.words(u), lambda w: self._fold(w, merges)), ""), F.lit(self.zero), F.lit("\0"))))
+
+    def _often(self, texts: DataFrame, most: int) -> pa.Table:
+        """At most ``most`` units of least counts above some count, with their tokens."""
+        counts = texts.mapInArrow(_count_units(self.by_units), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+        counts = cut(counts.filter((F.col("n") > 1) & (F.length("unit") <= CACHED_CHARS)))
+        least, total = MANY + 1, 0
+        for n, units in counts.groupBy(F.least("n", F.lit(MANY)).alias("n")).agg(F.count(F.lit(1)).alias("units")).orderBy(F.desc("n")).collect():
+            total += units
+            if total > most:
+                break
+            least = n
+        often = counts.filter(F.col("n") >= least).select("unit")
+        return often.select("unit", F.element_at(self._encode_each(F.array("unit")), 1).alias("tokens")).toArrow()
+
+    def encode_rows(self, docs: DataFrame, known: int = KNOWN) -> DataFrame:
+        """doc_id, ids (little-endian unsigned 32-bit integers) and the bytes decoded from them, of each (doc_id, text) row."""
+        sc = self.spark.sparkContext
+        self.spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BLOCK_BYTES))
+        texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        often = self._often(texts.select("text"), known)
+        units, tokens = (often[c].cast(pa.large_string()).combine_chunks() for c in ("unit", "tokens"))
+        units = sc.broadcast(units.cast(pa.large_binary()))
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        blocks = texts.mapInArrow(_number_units(self.by_units, units), f"doc_id array<{kind}>, counts binary, places binary, units array<string>")
+        blocks = blocks.select("doc_id", "counts", "places", self._encode_each(F.col("units")).alias("tokens"))
+        return blocks.mapInArrow(_join_units(sc.broadcast(_ids_of(tokens)), sc.broadcast(self.spelt)), f"doc_id {kind}, ids binary, decoded binary")
+
     @staticmethod
     def ids(tokens: Column) -> Column:
         return F.transform(F.filter(F.split(tokens, ""), lambda c: c != ""), lambda c: F.ascii(c))
@@ -191,7 +300,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame) -> DataFrame:
-    pairs = BytePairs(docs.sparkSession).learn(docs)
-    d = docs.select("doc_id", pairs.encode(F.col("text")).alias("tokens"))
-    return d.select("doc_id", F.length("tokens").cast("long").alias("n_tokens"), pairs.digests(F.col("tokens")).alias("d")).select(
-        "doc_id", "n_tokens", "d.*")
+    return with_digests(BytePairs(docs.sparkSession).encode_rows(docs)).drop("ids")
+
+
+def with_digests(rows: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids, and SHA-256 of the ids and of the decoded bytes."""
+    return rows.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
