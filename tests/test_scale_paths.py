@@ -83,6 +83,21 @@ def test_regression_of_partitions_without_fit_windows(spark):
     assert "InPandas" not in plan
 
 
+def test_regression_of_kept_partitions_without_fit_windows(spark):
+    """A checkpointed window table: its partitions stay as they are, so that some tasks see no fit window."""
+    from test_trees import made_windows
+    from verdant.operators import models
+    from verdant.session import materialize
+    w = materialize(made_windows(spark, {"a": 40, "b": 30}))
+    kept = materialize(w.repartitionByRange(60, "is_fit", "crop_type", "_pos"))
+    held = kept.filter("is_fit").select(F.spark_partition_id()).distinct().count()
+    assert held < kept.select(F.spark_partition_id()).distinct().count()
+    few, many = (models.ols_coefficients(d, "crop_type", 3, n_keys=2).orderBy("crop_type").collect() for d in (w.coalesce(1), kept))
+    assert len(few) == len(many) == 2
+    for a, b in zip(few, many):
+        assert abs(a.intercept - b.intercept) < 1e-9 and max(abs(x - y) for x, y in zip(a.coef, b.coef)) < 1e-9
+
+
 def test_scaling_broadcasts_the_parameters_of_few_keys(spark):
     """Rows of a hot key stay where they are."""
     from verdant.operators import windows

@@ -115,8 +115,9 @@ def ols_coefficients(windows: DataFrame, key: str, dim: int, fan_in: int = 32,
                 a = np.column_stack([np.vstack(g["x"].to_numpy()) - xm, g["y"].to_numpy() - ym])
                 acc[kv] = _qr_rows([acc[kv], a], width) if kv in acc else _qr_rows([a], width)
         part = TaskContext.get().partitionId()
-        yield pd.DataFrame({key: list(acc), "part": [part] * len(acc),
-                            "r": [r.ravel() for r in acc.values()]}, columns=[key, "part", "r"])
+        if acc:  # a frame without rows has no type that turns into an array column
+            yield pd.DataFrame({key: list(acc), "part": [part] * len(acc),
+                                "r": [r.ravel() for r in acc.values()]}, columns=[key, "part", "r"])
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
         r = _qr_rows([np.asarray(v) for v in pdf["r"]], width)
