@@ -117,3 +117,65 @@ def test_nearest_is_exact_far_from_the_origin():
     row, col, _ = nearest(query, fit, np.arange(3000), 7)
     for i in range(20):
         assert list(col[row == i]) == list(np.argsort(((fit - query[i]) ** 2).sum(1), kind="stable")[:7])
+
+
+def _made(spark, n, fit, dim, seed):
+    import pandas as pd
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 4, size=(n, dim)) + rng.integers(0, 2, size=(n, 1)) * rng.normal(size=(n, dim))  # some equal points
+    pdf = pd.DataFrame({"crop_type": "a", "_pos": np.arange(n), "timestamp": pd.to_datetime(np.arange(n), unit="s"),
+                        "split": np.where(np.arange(n) < fit, "train", "test"), "x": list(x), "y": rng.random(n),
+                        "is_fit": np.arange(n) < fit, "is_val": False})
+    return spark.createDataFrame(pdf).withColumn("_pos", F.col("_pos").cast("long"))
+
+
+def test_pairs_of_blocks_are_read_and_not_written(spark):
+    """Blocks of other pivots come from a product of kept tables: nothing is dealt out once a group of the other side."""
+    from verdant.operators.knn import knn_neighbours
+    w = _made(spark, 900, 600, 4, 6)
+    plan = knn_neighbours(w, "crop_type", 4, pivot_rows=60, fit_rows=20, query_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "FlatMapGroupsInPandas" not in plan
+
+
+def test_a_vector_travels_once_a_group_and_not_once_a_table(spark, monkeypatch):
+    """What the look-up is given does not grow with the tables, and its answer not with the groups or the way of comparing."""
+    from verdant.operators import knn
+    w = _made(spark, 900, 600, 4, 7)
+    whole, given = knn._look_up, {}
+    for tables in (2, 16):
+        def counted(key, dim, k, planes):
+            import pandas as pd
+
+            def run(pdf):
+                return pd.DataFrame({key: ["a"], "id": [-1], "fid": [sum(map(len, pdf["id"]))], "dist": [0.0], "y_f": [0.0]})
+            return run
+        monkeypatch.setattr(knn, "_look_up", counted)
+        given[tables] = knn.approximate_neighbours(w, "crop_type", 4, tables=tables).filter("id = -1").first().fid
+    assert given == {2: 900, 16: 900}
+    monkeypatch.setattr(knn, "_look_up", whole)
+    one = sorted(map(tuple, knn.approximate_neighbours(w, "crop_type", 4, tables=8, bucket_rows=30).collect()))
+    for name, value in (("CROWDED", 1 << 20), ("CROWDED", 1), ("CHUNK", 50)):
+        monkeypatch.setattr(knn, name, value)
+        assert sorted(map(tuple, knn.approximate_neighbours(w, "crop_type", 4, tables=8, bucket_rows=30).collect())) == one
+    monkeypatch.setattr(knn, "FIT_ROWS", 50)
+    monkeypatch.setattr(knn, "QUERY_ROWS", 20)
+    monkeypatch.setattr(knn, "GROUP_ROWS", 150)
+    assert sorted(map(tuple, knn.approximate_neighbours(w, "crop_type", 4, tables=8, bucket_rows=30).collect())) == one
+
+
+def test_look_up_finds_the_nearest_of_shared_buckets():
+    import pandas as pd
+
+    from verdant.operators.knn import _look_up
+    rng = np.random.default_rng(8)
+    zf, zq, planes = rng.normal(size=(300, 3)), rng.normal(size=(40, 3)), rng.normal(size=(4, 3, 3))
+    pdf = pd.DataFrame({"k": "a", "side": [0, 1], "mask": 7, "id": [np.arange(40), np.arange(300)], "y": [np.zeros(40), np.arange(300) / 2],
+                        "z": [zq.ravel(), zf.ravel()]})
+    got = _look_up("k", 3, 5, planes)(pdf)
+    shared = ((np.einsum("nd,tbd->ntb", zq, planes) > 0)[:, None] == (np.einsum("nd,tbd->ntb", zf, planes) > 0)[None]).all(3).any(2)
+    for i in range(40):
+        d = np.where(shared[i], np.sqrt(((zf - zq[i]) ** 2).sum(1)), np.inf)
+        best = np.argsort(d, kind="stable")[:5]
+        mine = got[got.id == i]
+        assert list(mine.fid) == [j for j in best if np.isfinite(d[j])] and (mine.y_f == mine.fid / 2).all()
